@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from accesslens import fixtures as fx
 from accesslens import schemas, session
-from accesslens.functions.addresses import address, ip_family, ip_is_routable, ip_prefix
+from accesslens.functions.addresses import ip_family, ip_is_routable, ip_prefix
 from accesslens.functions.clients import ua_classify
 from accesslens.functions.hosting import hosting_flag
 from accesslens.functions.values import in_range
@@ -18,7 +18,7 @@ from accesslens.operators import rollups
 from accesslens.operators.decode import (
     REQUEST_STREAM, STREAMS, USAGE_STREAM, CONNECTION_STREAM, field, response_type, split_packed,
 )
-from accesslens.operators.enrich import geo_enrich, prefix_lookup, range_lookup
+from accesslens.operators.enrich import geo_enrich, parsed_addresses, prefix_lookup, range_lookup
 from accesslens.plans import abuse_reports, node_reports, request_reports
 from accesslens.plans.abuse import active_universe, user_abuse
 from accesslens.plans.severity import report_bands, stat_band
@@ -104,7 +104,7 @@ def quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
 def _address_query(name: str, function) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         rows = fx.connection_rows(fx.events(spark, sf))
-        return rows.select("ip", function(F.col("ip")).alias(name))
+        return rows.select("ip", function("ip").alias(name))
 
     return run
 
@@ -123,25 +123,26 @@ def _geo_query(**options) -> Query:
 
 def _addresses(spark: SparkSession, sf: str) -> DataFrame:
     ips = fx.connection_rows(fx.events(spark, sf)).select("ip").distinct()
-    return ips.withColumn("addr", address(F.col("ip")))
+    return parsed_addresses(ips, "ip")
 
 
-def _network_result(df: DataFrame) -> DataFrame:
-    return df.select(
-        "ip", F.coalesce("asn", F.lit(0).cast("bigint")).alias("asn"),
-        F.coalesce("as_org", F.lit("")).alias("as_org"),
+def _network_result(joined: DataFrame, found: dict) -> DataFrame:
+    return joined.select(
+        "ip", F.coalesce(found["asn"], F.lit(0).cast("bigint")).alias("asn"),
+        F.coalesce(found["as_org"], F.lit("")).alias("as_org"),
     )
 
 
 def geo_range_join(spark: SparkSession, sf: str) -> DataFrame:
     nets = fx.fine_networks(spark, sf)
-    found = range_lookup(_addresses(spark, sf), "addr", nets, ("asn", "as_org"), small=False)
-    return _network_result(found)
+    return _network_result(
+        *range_lookup(_addresses(spark, sf), "_probe", nets, ("asn", "as_org"), small=False)
+    )
 
 
 def geo_prefix_join(spark: SparkSession, sf: str) -> DataFrame:
     nets = fx.cidr_networks(spark, sf)
-    return _network_result(prefix_lookup(_addresses(spark, sf), "addr", nets, ("asn", "as_org")))
+    return _network_result(*prefix_lookup(_addresses(spark, sf), nets, ("asn", "as_org")))
 
 
 def hosting_flag_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,16 +150,15 @@ def hosting_flag_query(spark: SparkSession, sf: str) -> DataFrame:
     names = fx.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("doc_id"), F.col("s_name").alias("text")
     )
-    return texts.unionByName(names).select("doc_id", hosting_flag(F.col("text")).alias("is_hosting"))
+    return texts.unionByName(names).select("doc_id", hosting_flag("text").alias("is_hosting"))
 
 
 def ua_classify_query(spark: SparkSession, sf: str) -> DataFrame:
     agents = fx.request_rows(fx.events(spark, sf)).select("user_agent")
     texts = fx.table(spark, sf, "documents").select(F.col("text").alias("user_agent"))
-    client = ua_classify(F.col("user_agent"))
     return (
         agents.unionByName(texts)
-        .withColumn("client", client)
+        .withColumn("client", ua_classify("user_agent"))
         .select("user_agent", F.col("client.family").alias("ua_family"), F.col("client.kind").alias("ua_kind"))
     )
 

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from accesslens.functions.values import moment
 from accesslens.operators import rollups
 from accesslens.operators.decode import CONNECTION_STREAM, REQUEST_STREAM, USAGE_STREAM
 from accesslens.operators.enrich import enrich_connections, enrich_requests
+from accesslens.sources.dimensions import NODES_PAGE, USERS_PAGE
 
 # The whole span of the events, seen through closed bounds.
 T_FROM, T_TO = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
@@ -40,46 +39,46 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _case(value: str, results: dict, other: str = "''") -> str:
+    tests = " ".join(f"WHEN {key} THEN {result}" for key, result in results.items())
+    return f"CASE {value} {tests} ELSE {other} END"
 
 
-def _repeated(events: DataFrame) -> DataFrame:
+def _repeated(ev: DataFrame, *columns: str) -> DataFrame:
     """Every event three times, 0, 2 and 4 minutes after its time."""
-    return events.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn(
-        "at", F.date_trunc("millisecond", F.expr("ts + k * INTERVAL '2' MINUTE")).cast("timestamp_ntz")
-    )
+    at = "CAST(date_trunc('MILLISECOND', ts + k * INTERVAL '2' MINUTE) AS TIMESTAMP_NTZ) AS ts"
+    return ev.selectExpr("*", "explode(array(0, 1, 2)) AS k").selectExpr(at, *columns)
 
 
-def _bytes(k: Column) -> Column:
-    amount = F.round(F.col("value") * 100).cast("bigint") * 104857 * (k + 1)
-    return F.when(F.col("event_id") % 50 == 0, F.lit(0).cast("bigint")).otherwise(amount)
+_NODE = "event_id % 7 + 1"
+_SEEN = "CAST(date_trunc('MILLISECOND', ts) AS TIMESTAMP_NTZ)"
 
 
-def _ip(k: Column) -> Column:
-    e, u = F.col("event_id"), F.col("user_id")
-    v6 = F.concat(F.lit("2a02:6ea0:"), _text(u % 90), F.lit("::"), _text(e % 9 + 1))
-    private = F.concat(F.lit("10.0."), _text(u % 5), F.lit("."), _text(e % 25))
-    public = F.concat_ws(".", _text(e % 23 + 20), _text(u % 200), _text(e % 13), _text(e % 40))
-    kind = (e + k) % 10
-    return F.when(kind == 0, "").when(kind == 1, v6).when(kind == 2, private).otherwise(public)
+def _bytes(k: str = "k") -> str:
+    """Traffic of repetition ``k``; every fiftieth event moves nothing."""
+    return f"IF(event_id % 50 = 0, 0L, CAST(round(value * 100) AS BIGINT) * 104857 * ({k} + 1))"
 
 
-def _user_agent(k: Column) -> Column:
-    values = F.array(*[F.lit(v) for v in USER_AGENTS])
-    return F.element_at(values, ((F.col("event_id") + k) % len(USER_AGENTS) + 1).cast("int"))
+def _ip(k: str = "k") -> str:
+    """Address of repetition ``k``: empty, IPv6, private or public."""
+    return _case(
+        f"(event_id + {k}) % 10",
+        {
+            0: "''",
+            1: "concat('2a02:6ea0:', user_id % 90, '::', event_id % 9 + 1)",
+            2: "concat('10.0.', user_id % 5, '.', event_id % 25)",
+        },
+        "concat(event_id % 23 + 20, '.', user_id % 200, '.', event_id % 13, '.', event_id % 40)",
+    )
 
 
-def _response() -> Column:
-    out = F.when(F.lit(False), "")
-    for kind, response in RESPONSES.items():
-        out = out.when(F.col("event_type") == kind, response)
-    return out.otherwise("")
+def _user_agent(k: str = "k") -> str:
+    numbered = {i: f"'{agent}'" for i, agent in enumerate(USER_AGENTS)}
+    return _case(f"(event_id + {k}) % {len(USER_AGENTS)}", numbered)
 
 
-def _rule() -> Column:
-    named = F.concat(F.lit("rule-"), _text(F.col("event_id") % 4))
-    return F.when(F.col("event_id") % 3 == 0, "").otherwise(named)
+_RESPONSE = _case("event_type", {f"'{kind}'": f"'{response}'" for kind, response in RESPONSES.items()})
+_RULE = "IF(event_id % 3 = 0, '', concat('rule-', event_id % 4))"
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,132 +86,99 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def usage_facts(ev: DataFrame) -> DataFrame:
-    return _repeated(ev).select(
-        F.col("at").alias("ts"),
-        (F.col("event_id") % 7 + 1).alias("node_id"),
-        "user_id",
-        _bytes(F.col("k")).alias("bytes"),
-    )
+    return _repeated(ev, f"{_NODE} AS node_id", "user_id", f"{_bytes()} AS bytes")
 
 
 def request_rows(ev: DataFrame) -> DataFrame:
-    return _repeated(ev).select(
-        F.col("at").alias("ts"),
-        "user_id",
-        _ip(F.col("k")).alias("ip"),
-        _user_agent(F.col("k")).alias("user_agent"),
-        _response().alias("srr_response_type"),
-        _rule().alias("srr_rule_name"),
+    return _repeated(
+        ev, "user_id", f"{_ip()} AS ip", f"{_user_agent()} AS user_agent",
+        f"{_RESPONSE} AS srr_response_type", f"{_RULE} AS srr_rule_name",
     )
 
 
 def connection_rows(ev: DataFrame) -> DataFrame:
-    return _repeated(ev).select(
-        F.col("at").alias("ts"),
-        (F.col("event_id") % 7 + 1).alias("node_id"),
-        "user_id",
-        _ip(F.col("k")).alias("ip"),
-        F.date_trunc("millisecond", "ts").cast("timestamp_ntz").alias("last_seen"),
-    )
-
-
-def _org(number: Column) -> Column:
-    names = F.array(
-        F.lit("Example Hosting Ltd"), F.lit("Residential Telecom"),
-        F.lit("Sample Cloud Inc"), F.lit("Mobile Networks"),
-    )
-    return F.element_at(names, (number % 4 + 1).cast("int"))
+    return _repeated(ev, f"{_NODE} AS node_id", "user_id", f"{_ip()} AS ip", f"{_SEEN} AS last_seen")
 
 
 def geo_networks(spark: SparkSession, sf: str) -> DataFrame:
     """One /8 range per nation; one region is left out so addresses stay unknown."""
-    n = table(spark, sf, "nation").filter(F.col("n_regionkey") != 3)
-    first = (F.col("n_nationkey").cast("bigint") + 20) * 16777216
-    return n.select(
-        first.alias("start_ip"),
-        (first + 16777215).alias("end_ip"),
-        F.col("n_name").alias("country"),
-        F.concat(F.lit("City_"), _text(F.col("n_nationkey"))).alias("city"),
-        (F.col("n_nationkey") + 1000).cast("bigint").alias("asn"),
-        _org(F.col("n_nationkey")).alias("as_org"),
+    org = _case(
+        "n_nationkey % 4",
+        {0: "'Example Hosting Ltd'", 1: "'Residential Telecom'", 2: "'Sample Cloud Inc'"},
+        "'Mobile Networks'",
+    )
+    return table(spark, sf, "nation").filter("n_regionkey <> 3").selectExpr(
+        "(n_nationkey + 20L) * 16777216 AS start_ip",
+        "(n_nationkey + 21L) * 16777216 - 1 AS end_ip",
+        "n_name AS country",
+        "concat('City_', n_nationkey) AS city",
+        "n_nationkey + 1000L AS asn",
+        f"{org} AS as_org",
     )
 
 
 def fine_networks(spark: SparkSession, sf: str) -> DataFrame:
     """One disjoint range per supplier, from forty addresses to a whole /16."""
-    s = F.col("s_suppkey")
-    block = (F.floor(s / 200) + 20) * 16777216 + s % 200 * 65536
-    kind = s % 4
-    offset = F.when(kind == 0, 0).otherwise(s % 5 * 256 + s % 16)
-    size = F.when(kind == 0, 65536).when(kind == 1, 40).when(kind == 2, 1500).otherwise(5000)
-    first = (block + offset).cast("bigint")
-    return table(spark, sf, "supplier").select(
-        first.alias("start_ip"),
-        (first + size - 1).cast("bigint").alias("end_ip"),
-        (s + 1).cast("bigint").alias("asn"),
-        F.col("s_name").alias("as_org"),
+    first = (
+        "(s_suppkey DIV 200 + 20) * 16777216 + s_suppkey % 200 * 65536"
+        " + IF(s_suppkey % 4 = 0, 0, s_suppkey % 5 * 256 + s_suppkey % 16)"
+    )
+    size = _case("s_suppkey % 4", {0: 65536, 1: 40, 2: 1500}, "5000")
+    return table(spark, sf, "supplier").selectExpr(
+        f"{first} AS start_ip", f"{first} + {size} - 1 AS end_ip", "s_suppkey + 1 AS asn", "s_name AS as_org"
     )
 
 
 def cidr_networks(spark: SparkSession, sf: str) -> DataFrame:
     """Nested networks of both families: /8 per nation, /16, /24 and /48 per supplier."""
-    n = table(spark, sf, "nation").select(
-        F.concat(_text(F.col("n_nationkey") + 20), F.lit(".0.0.0/8")).alias("network"),
-        F.col("n_name").alias("as_org"),
-    )
-    s = table(spark, sf, "supplier").select(
-        F.explode(
-            F.array(
-                F.concat_ws(".", _text(F.col("s_nationkey") + 20), _text(F.col("s_suppkey") % 200), F.lit("0.0/16")),
-                F.concat_ws(
-                    ".", _text(F.col("s_nationkey") + 20), _text(F.col("s_suppkey") % 200),
-                    _text(F.col("s_suppkey") % 13), F.lit("0/24"),
-                ),
-                F.concat(F.lit("2a02:6ea0:"), _text(F.col("s_suppkey")), F.lit("::/48")),
-            )
-        ).alias("network"),
-        F.col("s_name").alias("as_org"),
-    )
-    wide = table(spark, sf, "region").select(
-        F.lit("2a02:6ea0::/32").alias("network"), F.col("r_name").alias("as_org")
+    block = "concat(s_nationkey + 20, '.', s_suppkey % 200, '."
+    parts = (
+        table(spark, sf, "nation").selectExpr(
+            "concat(n_nationkey + 20, '.0.0.0/8') AS network", "n_name AS as_org"
+        ),
+        table(spark, sf, "supplier").selectExpr(
+            f"explode(array({block}0.0/16'), {block}', s_suppkey % 13, '.0/24'),"
+            " concat('2a02:6ea0:', s_suppkey, '::/48'))) AS network",
+            "s_name AS as_org",
+        ),
+        table(spark, sf, "region").selectExpr("'2a02:6ea0::/32' AS network", "r_name AS as_org"),
     )
-    return reduce(DataFrame.unionByName, (n, s, wide)).withColumn("asn", F.length("as_org").cast("bigint"))
+    return reduce(DataFrame.unionByName, parts).selectExpr("*", "CAST(length(as_org) AS BIGINT) AS asn")
 
 
 def dim_users(spark: SparkSession, sf: str) -> DataFrame:
     """Accounts from customers; one segment is missing and some names are empty."""
-    c = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
-    key = F.col("c_custkey")
-    return c.select(
-        key.alias("user_id"),
-        F.when(key % 9 == 0, "").otherwise(F.col("c_name")).alias("username"),
-        F.when(F.col("c_acctbal") < 0, "DISABLED").otherwise("ACTIVE").alias("status"),
-        F.col("c_mktsegment").alias("tag"),
-        F.lit(0).cast("bigint").alias("traffic_limit_bytes"),
-        (key % 4).alias("hwid_device_limit"),
-        moment("2025-01-01 00:00:00").alias("expire_at"),
-        moment(AS_OF).alias("updated_at"),
+    return table(spark, sf, "customer").filter("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
+        "c_custkey AS user_id",
+        "IF(c_custkey % 9 = 0, '', c_name) AS username",
+        "IF(c_acctbal < 0, 'DISABLED', 'ACTIVE') AS status",
+        "c_mktsegment AS tag",
+        "0L AS traffic_limit_bytes",
+        "c_custkey % 4 AS hwid_device_limit",
+        "TIMESTAMP_NTZ '2025-01-01 00:00:00' AS expire_at",
+        f"TIMESTAMP_NTZ '{AS_OF}' AS updated_at",
     )
 
 
 def dim_users_history(spark: SparkSession, sf: str) -> DataFrame:
     """The accounts above plus an older version of each under another name."""
     new = dim_users(spark, sf)
-    old = new.withColumn("username", F.concat(F.lit("old-"), "username")).withColumn(
-        "status", F.lit("LIMITED")
-    ).withColumn("updated_at", moment(EARLIER))
+    old = new.selectExpr(
+        "user_id", "concat('old-', username) AS username", "'LIMITED' AS status", "tag",
+        "traffic_limit_bytes", "hwid_device_limit", "expire_at",
+        f"TIMESTAMP_NTZ '{EARLIER}' AS updated_at",
+    )
     return old.unionByName(new)
 
 
 def dim_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """Nodes from suppliers; node 3 has no name and node 7 no row."""
-    key = F.col("s_suppkey")
-    return table(spark, sf, "supplier").filter(key != 7).select(
-        key.cast("bigint").alias("node_id"),
-        F.concat(F.lit("uuid-"), _text(key)).alias("uuid"),
-        F.when(key == 3, "").otherwise(F.concat(F.lit("edge-"), _text(key))).alias("name"),
-        _text(F.col("s_nationkey")).alias("country_code"),
-        moment(AS_OF).alias("updated_at"),
+    return table(spark, sf, "supplier").filter("s_suppkey <> 7").selectExpr(
+        "s_suppkey AS node_id",
+        "concat('uuid-', s_suppkey) AS uuid",
+        "IF(s_suppkey = 3, '', concat('edge-', s_suppkey)) AS name",
+        "CAST(s_nationkey AS STRING) AS country_code",
+        f"TIMESTAMP_NTZ '{AS_OF}' AS updated_at",
     )
 
 
@@ -232,17 +198,25 @@ class DerivedTables:
     def __init__(self, spark: SparkSession, sf: str) -> None:
         self._spark, self._sf = spark, sf
 
+    @cached_property
+    def _events(self) -> DataFrame:
+        return events(self._spark, self._sf)
+
+    @cached_property
+    def _networks(self) -> DataFrame:
+        return geo_networks(self._spark, self._sf)
+
     @cached_property
     def sub_requests(self) -> DataFrame:
-        return sub_requests(self._spark, self._sf)
+        return enrich_requests(request_rows(self._events), self._networks, self._networks)
 
     @cached_property
     def node_connections(self) -> DataFrame:
-        return node_connections(self._spark, self._sf)
+        return enrich_connections(connection_rows(self._events), self._networks, self._networks)
 
     @cached_property
     def usage_5m(self) -> DataFrame:
-        return rollups.usage_5m(usage_facts(events(self._spark, self._sf)))
+        return rollups.usage_5m(usage_facts(self._events))
 
     @cached_property
     def user_conn_5m(self) -> DataFrame:
@@ -264,114 +238,82 @@ class DerivedTables:
 # --- messages -----------------------------------------------------------------
 
 
-def _stamp(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+_STAMP = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
-def _fields(**values: Column) -> Column:
-    """Field map of a message; a NULL value leaves the field out."""
-    pairs = F.map_from_arrays(
-        F.array(*[F.lit(k) for k in values]), F.array(*[_text(v) for v in values.values()])
+def _message(ev: DataFrame, prefix: str, stream: str, fields: dict[str, str]) -> DataFrame:
+    """One entry per event; a field whose SQL gives NULL is left out."""
+    pairs = ", ".join(f"'{name}', CAST({value} AS STRING)" for name, value in fields.items())
+    return ev.selectExpr(
+        f"concat('{prefix}-', event_id) AS entry_id",
+        f"'{stream}' AS stream",
+        f"map_filter(map({pairs}), (name, value) -> value IS NOT NULL) AS fields",
     )
-    return F.map_filter(pairs, lambda _, v: v.isNotNull())
-
-
-def _entry(prefix: str, stream: str, fields: Column) -> list[Column]:
-    return [
-        F.concat(F.lit(prefix), _text(F.col("event_id"))).alias("entry_id"),
-        F.lit(stream).alias("stream"),
-        fields.alias("fields"),
-    ]
 
 
 def usage_messages(ev: DataFrame) -> DataFrame:
     """One message per event: three records of the account and one of its neighbour."""
-    u = _text(F.col("user_id"))
-    records = F.concat_ws(
-        ";",
-        *[F.concat_ws(":", u, _text(_bytes(F.lit(k)))) for k in range(3)],
-        F.lit(""),
-        F.concat_ws(":", _text(F.col("user_id") + 1), F.lit("0")),
-    )
-    fields = _fields(
-        v=F.lit("1"), nodeId=F.col("event_id") % 7 + 1, ts=_stamp(F.col("ts")), records=records
-    )
-    return ev.select(*_entry("u-", USAGE_STREAM, fields))
+    own = ", ".join(f"concat(user_id, ':', {_bytes(str(k))})" for k in range(3))
+    records = f"concat_ws(';', {own}, '', concat(user_id + 1, ':0'))"
+    fields = {"v": "1", "nodeId": _NODE, "ts": _STAMP, "records": records}
+    return _message(ev, "u", USAGE_STREAM, fields)
 
 
 def request_messages(ev: DataFrame) -> DataFrame:
     """One message per event; the response type travels under either spelling."""
-    odd = F.col("event_id") % 2 == 1
-    ip = _ip(F.lit(0))
-    fields = _fields(
-        v=F.lit("1"), userId=F.col("user_id"), requestAt=_stamp(F.col("ts")),
-        requestIp=F.when(ip != "", ip), userAgent=_user_agent(F.lit(0)),
-        ssrResponseType=F.when(odd, _response()),
-        srrResponseType=F.when(~odd, _response()).otherwise("IGNORED_IF_FIRST_FILLED"),
-        srrRuleName=_rule(),
-    )
-    return ev.select(*_entry("r-", REQUEST_STREAM, fields))
+    fields = {
+        "v": "1", "userId": "user_id", "requestAt": _STAMP,
+        "requestIp": f"nullif({_ip('0')}, '')", "userAgent": _user_agent("0"),
+        "ssrResponseType": f"IF(event_id % 2 = 1, {_RESPONSE}, NULL)",
+        "srrResponseType": f"IF(event_id % 2 = 1, 'IGNORED_IF_FIRST_FILLED', {_RESPONSE})",
+        "srrRuleName": _RULE,
+    }
+    return _message(ev, "r", REQUEST_STREAM, fields)
 
 
 def connection_messages(ev: DataFrame) -> DataFrame:
     """One snapshot per event: the account on three addresses, its neighbour on none."""
-    sightings = F.array(
-        *[F.struct(_ip(F.lit(k)).alias("ip"), _stamp(F.col("ts")).alias("lastSeen")) for k in range(3)]
-    )
-    users = F.to_json(
-        F.array(
-            F.struct(_text(F.col("user_id")).alias("userId"), sightings.alias("ips")),
-            F.struct(
-                _text(F.col("user_id") + 1).alias("userId"),
-                F.slice(sightings, 1, 0).alias("ips"),
-            ),
-        )
-    )
-    fields = _fields(
-        v=F.lit("1"), nodeId=F.col("event_id") % 7 + 1, ts=_stamp(F.col("ts")), users=users
-    )
-    return ev.select(*_entry("c-", CONNECTION_STREAM, fields))
+    seen = ", ".join(f"named_struct('ip', {_ip(str(k))}, 'lastSeen', {_STAMP})" for k in range(3))
+    users = f"""to_json(array(
+        named_struct('userId', CAST(user_id AS STRING), 'ips', array({seen})),
+        named_struct('userId', CAST(user_id + 1 AS STRING), 'ips', slice(array({seen}), 1, 0))))"""
+    fields = {"v": "1", "nodeId": _NODE, "ts": _STAMP, "users": users}
+    return _message(ev, "c", CONNECTION_STREAM, fields)
 
 
 def broken_messages(ev: DataFrame) -> DataFrame:
     """One faulty message per event and stream, cycling through the faults."""
-    e, ts = F.col("event_id"), _stamp(F.col("ts"))
-
-    def cycle(*values) -> Column:
-        choices = F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values])
-        return F.element_at(choices, (e % len(values) + 1).cast("int"))
 
-    usage = _fields(
-        v=cycle("2", "1", "1", "1", "1", "1", "1", "1"),
-        nodeId=cycle("1", None, "+5", "18446744073709551615", "1", "1", "1", "1"),
-        ts=cycle(ts, ts, ts, ts, "yesterday", ts, ts, ts),
-        records=cycle("1:2", "1:2", "1:2", "1:2", "1:2", "1:2;1-2", ";;", "1:2:3"),
-    )
-    requests = _fields(
-        v=cycle(None, "1", "1", "1"),
-        userId=cycle("1", "", " 5 ", "1"),
-        requestAt=cycle(ts, ts, ts, "2024-13-01T00:00:00Z"),
-    )
+    def cycle(*values: str) -> str:
+        return _case(f"event_id % {len(values)}", dict(enumerate(values)), "NULL")
+
+    ts, one, pair = _STAMP, "'1'", "'1:2'"
+    usage = {
+        "v": cycle("'2'", *[one] * 7),
+        "nodeId": cycle(one, "NULL", "'+5'", "'18446744073709551615'", *[one] * 4),
+        "ts": cycle(ts, ts, ts, ts, "'yesterday'", ts, ts, ts),
+        "records": cycle(*[pair] * 5, "'1:2;1-2'", "';;'", "'1:2:3'"),
+    }
+    requests = {
+        "v": cycle("NULL", one, one, one),
+        "userId": cycle(one, "''", "' 5 '", one),
+        "requestAt": cycle(ts, ts, ts, "'2024-13-01T00:00:00Z'"),
+    }
     good_ip = '[{"ip":"1.2.3.4","lastSeen":"2024-01-01T00:00:00Z"}]'
-    connections = _fields(
-        v=F.lit("1"),
-        nodeId=F.lit("1"),
-        ts=ts,
-        users=cycle(
-            "{not json",
-            "{}",
-            "[] x",
-            f'[{{"userId":42,"ips":{good_ip}}}]',
-            '[{"userId":"42","ips":[{"ip":"1.2.3.4","lastSeen":"now"}]}]',
-            "",
-        ),
+    bad_ip = '[{"ip":"1.2.3.4","lastSeen":"now"}]'
+    users = cycle(
+        "'{not json'", "'{}'", "'[] x'",
+        f"""'[{{"userId":42,"ips":{good_ip}}}]'""",
+        f"""'[{{"userId":"42","ips":{bad_ip}}}]'""",
+        "''",
     )
+    connections = {"v": one, "nodeId": one, "ts": ts, "users": users}
     return reduce(
         DataFrame.unionByName,
         (
-            ev.select(*_entry("bu-", USAGE_STREAM, usage)),
-            ev.select(*_entry("br-", REQUEST_STREAM, requests)),
-            ev.select(*_entry("bc-", CONNECTION_STREAM, connections)),
+            _message(ev, "bu", USAGE_STREAM, usage),
+            _message(ev, "br", REQUEST_STREAM, requests),
+            _message(ev, "bc", CONNECTION_STREAM, connections),
         ),
     )
 
@@ -386,39 +328,26 @@ def messages(ev: DataFrame) -> DataFrame:
 
 def user_pages(spark: SparkSession, sf: str) -> DataFrame:
     """API pages of accounts, one page per account, with absent and bad values."""
-    from accesslens.sources.dimensions import USERS_PAGE
-
-    key = F.col("c_custkey")
-    user = F.struct(
-        key.alias("id"),
-        F.col("c_name").alias("username"),
-        F.lit("ACTIVE").alias("status"),
-        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("tag"),
-        F.col("c_acctbal").alias("trafficLimitBytes"),
-        F.when(key % 4 != 0, key % 4).alias("hwidDeviceLimit"),
-        F.when(key % 5 == 0, "never").otherwise("2025-01-01T03:00:00.5+03:00").alias("expireAt"),
-    )
-    page = F.to_json(F.struct(F.struct(F.array(user).alias("users")).alias("response")))
+    user = """named_struct('id', c_custkey, 'username', c_name, 'status', 'ACTIVE',
+        'tag', nullif(c_mktsegment, 'HOUSEHOLD'), 'trafficLimitBytes', c_acctbal,
+        'hwidDeviceLimit', nullif(c_custkey % 4, 0),
+        'expireAt', IF(c_custkey % 5 = 0, 'never', '2025-01-01T03:00:00.5+03:00'))"""
+    page = f"to_json(named_struct('response', named_struct('users', array({user}))))"
     return (
         table(spark, sf, "customer")
-        .select(F.from_json(page, USERS_PAGE).alias("page"))
+        .selectExpr(f"from_json({page}, '{USERS_PAGE}') AS page")
         .select("page.*")
     )
 
 
 def node_pages(spark: SparkSession, sf: str) -> DataFrame:
     """API pages of nodes, one page per supplier; nodes of nation 0 carry no id."""
-    from accesslens.sources.dimensions import NODES_PAGE
-
-    node = F.struct(
-        F.when(F.col("s_nationkey") != 0, F.col("s_suppkey") + 1).alias("id"),
-        F.concat(F.lit("uuid-"), _text(F.col("s_suppkey"))).alias("uuid"),
-        F.col("s_name").alias("name"),
-        F.when(F.col("s_nationkey") != 1, _text(F.col("s_nationkey"))).alias("countryCode"),
-    )
-    page = F.to_json(F.struct(F.array(node).alias("response")))
+    node = """named_struct('id', IF(s_nationkey <> 0, s_suppkey + 1, NULL),
+        'uuid', concat('uuid-', s_suppkey), 'name', s_name,
+        'countryCode', IF(s_nationkey <> 1, CAST(s_nationkey AS STRING), NULL))"""
+    page = f"to_json(named_struct('response', array({node})))"
     return (
         table(spark, sf, "supplier")
-        .select(F.from_json(page, NODES_PAGE).alias("page"))
+        .selectExpr(f"from_json({page}, '{NODES_PAGE}') AS page")
         .select("page.*")
     )

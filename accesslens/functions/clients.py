@@ -72,24 +72,29 @@ CLIENT_RULES: list[tuple[str, str, str]] = [
 EMPTY_FAMILY, OTHER_FAMILY, UNKNOWN_KIND = "(empty)", "Other", "unknown"
 
 
-def ua_classify(user_agent: Column) -> Column:
+def ua_classify(user_agent: str) -> Column:
     """``struct<family STRING, kind STRING>`` of a raw User-Agent.
 
-    One ``CASE`` finds the number of the first rule that applies and two
-    constant arrays translate it. Both fields share that ``CASE``, which Spark
-    evaluates once per row as a common subexpression.
+    ``user_agent`` is SQL text naming the value. One ``CASE`` finds the number
+    of the first rule that applies and two constant arrays translate it. Both
+    fields share that ``CASE``, which Spark evaluates once per row as a common
+    subexpression.
     """
-    text = F.lower(trimmed(user_agent))
-    rule = F.when(text == "", len(CLIENT_RULES) + 1)
-    for number, (token, _, _) in enumerate(CLIENT_RULES, start=1):
-        rule = rule.when(text.contains(token), number)
-    rule = rule.otherwise(len(CLIENT_RULES) + 2)
+    text = f"lower({trimmed(user_agent)})"
+    tests = " ".join(
+        f"WHEN contains({text}, '{token}') THEN {number}"
+        for number, (token, _, _) in enumerate(CLIENT_RULES, start=1)
+    )
+    known = len(CLIENT_RULES)
+    rule = f"CASE WHEN {text} = '' THEN {known + 1} {tests} ELSE {known + 2} END"
+
+    def names(values: list[str]) -> str:
+        return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
-    families = [family for _, family, _ in CLIENT_RULES] + [EMPTY_FAMILY, OTHER_FAMILY]
-    kinds = [kind for _, _, kind in CLIENT_RULES] + [UNKNOWN_KIND, UNKNOWN_KIND]
-    return F.struct(
-        F.element_at(F.array(*[F.lit(v) for v in families]), rule).alias("family"),
-        F.element_at(F.array(*[F.lit(v) for v in kinds]), rule).alias("kind"),
+    families = names([family for _, family, _ in CLIENT_RULES] + [EMPTY_FAMILY, OTHER_FAMILY])
+    kinds = names([kind for _, _, kind in CLIENT_RULES] + [UNKNOWN_KIND, UNKNOWN_KIND])
+    return F.expr(
+        f"named_struct('family', element_at({families}, {rule}), 'kind', element_at({kinds}, {rule}))"
     )
 
 

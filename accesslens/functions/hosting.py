@@ -19,11 +19,11 @@ HOSTING_KEYWORDS = tuple(
 )
 
 
-def hosting_flag(org: Column, keywords: Iterable[str] | None = None) -> Column:
-    """1 when the lower-cased operator name contains any keyword, else 0."""
-    words = [w.lower() for w in (keywords or HOSTING_KEYWORDS)]
-    low = F.lower(org)
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | low.contains(word)
-    return F.when((org != "") & hit, 1).otherwise(0).cast("int")
+def hosting_flag(org: str, keywords: Iterable[str] | None = None) -> Column:
+    """1 when the lower-cased operator name contains any keyword, else 0.
+
+    ``org`` is SQL text naming the value.
+    """
+    words = [w.lower().replace("\\", "\\\\").replace("'", "\\'") for w in (keywords or HOSTING_KEYWORDS)]
+    tests = " OR ".join(f"contains(lower({org}), '{w}')" for w in words)
+    return F.expr(f"CASE WHEN {org} <> '' AND ({tests}) THEN 1 ELSE 0 END")

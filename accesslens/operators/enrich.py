@@ -15,7 +15,7 @@ addresses are looked up and the result is joined back.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,122 +45,107 @@ def _is_ranges(nets: DataFrame) -> bool:
     return "start_ip" in nets.columns
 
 
-def city_table(nets: DataFrame) -> DataFrame:
-    """Network columns plus ``country`` (else the registered one) and ``city``."""
-    registered = F.col("registered_country") if "registered_country" in nets.columns else F.lit("")
-    return nets.select(
-        *_network_columns(nets),
-        first_filled(F.col("country"), registered).alias("country"),
-        F.coalesce(F.col("city"), F.lit("")).alias("city"),
-    )
+def _network_columns(nets: DataFrame) -> list[str]:
+    return ["start_ip", "end_ip"] if _is_ranges(nets) else ["network"]
 
 
-def asn_table(nets: DataFrame, keywords: Iterable[str] | None = None) -> DataFrame:
-    """Network columns plus ``asn``, ``as_org`` and the hosting flag.
+def network_table(nets: DataFrame, columns: Sequence[str], keywords: Iterable[str] | None = None) -> DataFrame:
+    """Network columns plus the looked-up ``columns``, empty values filled in.
 
-    The keyword test runs once per network, not once per event.
+    The country falls back to the registered one. The hosting keywords are
+    tested once per network, not once per event.
     """
-    org = F.coalesce(F.col("as_org"), F.lit(""))
-    return nets.select(
-        *_network_columns(nets),
-        F.coalesce(F.col("asn").cast("bigint"), F.lit(0).cast("bigint")).alias("asn"),
-        org.alias("as_org"),
-        hosting_flag(org, keywords).alias("is_hosting"),
-    )
-
-
-def _network_columns(nets: DataFrame) -> list[str]:
-    return ["start_ip", "end_ip"] if _is_ranges(nets) else ["network"]
+    registered = F.col("registered_country") if "registered_country" in nets.columns else F.lit("")
+    values = {
+        "country": lambda: first_filled(F.col("country"), registered),
+        "city": lambda: F.expr("coalesce(city, '')"),
+        "asn": lambda: F.expr("coalesce(CAST(asn AS BIGINT), 0L)"),
+        "as_org": lambda: F.expr("coalesce(as_org, '')"),
+        "is_hosting": lambda: hosting_flag("coalesce(as_org, '')", keywords),
+    }
+    return nets.select(*_network_columns(nets), *[values[c]().alias(c) for c in columns])
 
 
-def range_lookup(df: DataFrame, addr: str, nets: DataFrame, columns: tuple[str, ...], *, small: bool) -> DataFrame:
-    """Left-join disjoint IPv4 ranges onto ``df`` by the parsed address ``addr``.
+def range_lookup(
+    df: DataFrame, probe: str, nets: DataFrame, columns: Sequence[str], *, small: bool, tag: str = ""
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Left-join disjoint IPv4 ranges onto ``df`` by the number in ``probe``.
 
     A range goes to the coarsest grid it fills at least one block of, so it is
     cut into few pieces (at most 65,536 for the whole address space, 17 per
-    range below that) and at most a handful of pieces share a block.
+    range below that) and at most a handful of pieces share a block. Returns
+    the joined frame and the expression of each looked-up column.
     """
-    size = F.col("end_ip") - F.col("start_ip") + 1
-    probe = F.when((F.col(addr)["family"] == 4) & routable(F.col(addr)), F.col(addr)["hi"])
-    df = df.withColumn("_probe", probe)
+    hits = []
     for i, bits in enumerate(_GRIDS):
         least = 1 if bits == _GRIDS[-1] else 1 << bits
         below = 1 << (_GRIDS[i - 1] if i else 33)
-        grid = nets.filter((size >= least) & (size < below)).select(
-            F.explode(
-                F.sequence(F.shiftright("start_ip", bits), F.shiftright("end_ip", bits))
-            ).alias("_block"),
-            F.col("start_ip").alias("_lo"),
-            F.col("end_ip").alias("_hi"),
-            F.struct(*columns).alias(f"_hit{bits}"),
+        name = f"_{tag}{bits}"
+        grid = nets.filter(f"end_ip - start_ip + 1 BETWEEN {least} AND {below - 1}").select(
+            F.expr(f"explode(sequence(start_ip >> {bits}, end_ip >> {bits}))").alias(f"{name}_block"),
+            F.col("start_ip").alias(f"{name}_lo"),
+            F.col("end_ip").alias(f"{name}_hi"),
+            F.struct(*columns).alias(f"{name}_hit"),
         )
-        if small:
-            grid = F.broadcast(grid)
-        df = df.join(
-            grid,
-            (F.shiftright("_probe", bits) == F.col("_block"))
-            & F.col("_probe").between(F.col("_lo"), F.col("_hi")),
-            "left",
-        ).drop("_block", "_lo", "_hi")
-    hit = F.coalesce(*[F.col(f"_hit{bits}") for bits in _GRIDS])
-    return (
-        df.withColumn("_hit", hit)
-        .withColumns({c: F.col("_hit")[c] for c in columns})
-        .drop("_probe", "_hit", *[f"_hit{bits}" for bits in _GRIDS])
-    )
+        inside = F.expr(
+            f"{probe} >> {bits} = {name}_block AND {probe} BETWEEN {name}_lo AND {name}_hi"
+        )
+        df = df.join(F.broadcast(grid) if small else grid, inside, "left")
+        hits.append(f"{name}_hit")
+    return df, {c: F.expr(f"coalesce({', '.join(hits)}).{c}") for c in columns}
 
 
-def prefix_lookup(addresses: DataFrame, addr: str, nets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def prefix_lookup(
+    addresses: DataFrame, nets: DataFrame, columns: Sequence[str], tag: str = ""
+) -> tuple[DataFrame, dict[str, Column]]:
     """Longest-prefix match of distinct addresses against CIDR networks.
 
-    Each address is tried only at the prefix lengths that occur for its family
-    (at most 33 + 129 values, hence the broadcast); every try is an equi-join.
+    ``addresses`` has one row per ``ip`` with its parsed ``_addr``. Each is
+    tried only at the prefix lengths that occur for its family (at most
+    33 + 129 values, hence the broadcast); every try is an equi-join.
     """
     parsed = nets.select(
-        address(F.substring_index("network", "/", 1)).alias("_net"),
-        F.substring_index("network", "/", -1).cast("int").alias("_len"),
+        address("substring_index(network, '/', 1)").alias("_net"),
+        F.expr("CAST(substring_index(network, '/', -1) AS INT)").alias("_len"),
         F.struct(*columns).alias("_hit"),
-    ).select(
-        F.col("_net.family").alias("_family"), "_len",
-        masked(F.col("_net"), F.col("_len")).alias("_masked"), "_hit",
-    )
-    lengths = parsed.select(F.col("_family").alias("_lf"), F.col("_len").alias("_try")).distinct()
+    ).select("_net.family", "_len", masked("_net", "_len").alias("_masked"), "_hit")
+    lengths = parsed.select(F.col("family").alias("_lf"), F.col("_len").alias("_try")).distinct()
     tries = (
-        addresses.filter(routable(F.col(addr)))
-        .join(F.broadcast(lengths), F.col(addr)["family"] == F.col("_lf"))
-        .withColumn("_m", masked(F.col(addr), F.col("_try")))
+        addresses.filter(routable("_addr"))
+        .join(F.broadcast(lengths), F.expr("_addr.family = _lf"))
+        .select(F.col("ip").alias(f"_{tag}ip"), "_lf", "_try", masked("_addr", "_try").alias("_m"))
     )
     best = (
         tries.join(
             parsed,
-            (F.col("_lf") == F.col("_family"))
-            & (F.col("_try") == F.col("_len"))
-            & (F.col("_m")["hi"] == F.col("_masked")["hi"])
-            & (F.col("_m")["lo"] == F.col("_masked")["lo"]),
+            F.expr("_lf = family AND _try = _len AND _m.hi = _masked.hi AND _m.lo = _masked.lo"),
         )
-        .groupBy(F.col("ip").alias("_ip"))
-        .agg(F.max(F.struct(F.col("_len"), F.col("_hit"))).alias("_best"))
+        .groupBy(f"_{tag}ip")
+        .agg(F.max(F.struct("_len", "_hit")).alias(f"_{tag}best"))
     )
-    return (
-        addresses.join(best, F.col("ip") == F.col("_ip"), "left")
-        .withColumns({c: F.col("_best")["_hit"][c] for c in columns})
-        .drop("_ip", "_best")
+    joined = addresses.join(best, F.col("ip") == F.col(f"_{tag}ip"), "left")
+    return joined, {c: F.col(f"_{tag}best")["_hit"][c] for c in columns}
+
+
+def _lookup(df: DataFrame, tables: Sequence[tuple[DataFrame, Sequence[str]]], *, small: bool):
+    """Look every table up; returns the joined frame and the found columns."""
+    found: dict[str, Column] = {}
+    for i, (nets, columns) in enumerate(tables):
+        if _is_ranges(nets):
+            df, hit = range_lookup(df, "_probe", nets, columns, small=small, tag=f"t{i}")
+        else:
+            df, hit = prefix_lookup(df, nets, columns, tag=f"t{i}")
+        found.update(hit)
+    return df, found
+
+
+def parsed_addresses(df: DataFrame, ip_col: str) -> DataFrame:
+    """``df`` with the parsed address and the number of a routable IPv4 address."""
+    return df.select("*", address(ip_col).alias("_addr")).select(
+        "*", F.when(routable("_addr") & (F.col("_addr.family") == 4), F.col("_addr.hi")).alias("_probe")
     )
 
 
-def _empty_lookup(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    kinds = {"asn": "bigint", "is_hosting": "int"}
-    return df.withColumns({c: F.lit(None).cast(kinds.get(c, "string")) for c in columns})
-
-
-def _lookup(df: DataFrame, nets: DataFrame | None, columns: tuple[str, ...], *, small: bool) -> DataFrame:
-    if nets is None:
-        return _empty_lookup(df, columns)
-    if _is_ranges(nets):
-        return range_lookup(df, "_addr", nets, columns, small=small)
-    return prefix_lookup(df, "_addr", nets, columns)
-
-
 def geo_enrich(
     df: DataFrame,
     ip_col: str,
@@ -171,51 +156,46 @@ def geo_enrich(
 ) -> DataFrame:
     """Add ``ip_prefix``, ``country``, ``city``, ``asn``, ``as_org``, ``is_hosting``.
 
-    Either network table may be None; its columns then stay empty. Text that is
-    no address leaves everything empty, a private address only has a prefix.
+    Either network table may be None; its columns then stay empty. One table
+    passed for both is looked up once. Text that is no address leaves
+    everything empty, a private address only has a prefix.
     """
-    city = city_table(city_nets) if city_nets is not None else None
-    asn = asn_table(asn_nets, keywords) if asn_nets is not None else None
-    tables = [t for t in (city, asn) if t is not None]
-    direct = all(_is_ranges(t) for t in tables) and all(
-        estimated_bytes(t) <= broadcast_bytes for t in tables
+    if city_nets is not None and city_nets is asn_nets:
+        wanted = [(city_nets, CITY_COLUMNS + ASN_COLUMNS)]
+    else:
+        wanted = [(n, c) for n, c in ((city_nets, CITY_COLUMNS), (asn_nets, ASN_COLUMNS)) if n is not None]
+    tables = [(network_table(nets, columns, keywords), columns) for nets, columns in wanted]
+    direct = all(
+        _is_ranges(nets) and estimated_bytes(nets) <= broadcast_bytes for nets, _ in tables
     )
-    parsed = df.withColumn("_addr", address(F.col(ip_col)))
     if direct:
-        out = _lookup(_lookup(parsed, city, CITY_COLUMNS, small=True), asn, ASN_COLUMNS, small=True)
+        joined, found = _lookup(parsed_addresses(df, ip_col), tables, small=True)
     else:
-        distinct = (
-            df.select(F.col(ip_col).alias("ip")).distinct().withColumn("_addr", address(F.col("ip")))
-        ).filter(routable(F.col("_addr")))
-        known = _lookup(distinct, city, CITY_COLUMNS, small=False)
-        known = _lookup(known, asn, ASN_COLUMNS, small=False)
-        known = known.drop("_addr").withColumnRenamed("ip", "_known_ip")
+        distinct = parsed_addresses(df.select(F.col(ip_col).alias("ip")).distinct(), "ip").filter(routable("_addr"))
+        looked_up, hit = _lookup(distinct, tables, small=False)
+        known = looked_up.select(F.col("ip").alias("_known_ip"), *[v.alias(f"_{c}") for c, v in hit.items()])
         # One hot address may hold a large share of the rows; AQE splits its
         # partition on the fact side, the other side has one row per address.
-        out = parsed.join(known, F.col(ip_col) == F.col("_known_ip"), "left").drop("_known_ip")
-    return out.withColumns(
-        {
-            "ip_prefix": prefix_of(F.col("_addr")),
-            "country": _or("country", ""),
-            "city": _or("city", ""),
-            "asn": F.coalesce("asn", F.lit(0).cast("bigint")),
-            "as_org": _or("as_org", ""),
-            "is_hosting": _or("is_hosting", 0),
-        }
-    ).drop("_addr")
-
-
-def _or(column: str, empty) -> Column:
-    return F.coalesce(F.col(column), F.lit(empty))
+        parsed = df.select("*", address(ip_col).alias("_addr"))
+        joined = parsed.join(known, F.col(ip_col) == F.col("_known_ip"), "left")
+        found = {c: F.col(f"_{c}") for c in hit}
+    empty = {"asn": F.lit(0).cast("bigint"), "is_hosting": F.lit(0)}
+    return joined.select(
+        *df.columns,
+        prefix_of("_addr").alias("ip_prefix"),
+        *[
+            F.coalesce(*([found[c]] if c in found else []), empty.get(c, F.lit(""))).alias(c)
+            for c in CITY_COLUMNS + ASN_COLUMNS
+        ],
+    )
 
 
 def enrich_requests(rows: DataFrame, city_nets=None, asn_nets=None, keywords=None) -> DataFrame:
     """Subscription fetches with address and client columns."""
-    client = ua_classify(F.col("user_agent"))
-    out = geo_enrich(rows, "ip", city_nets, asn_nets, keywords).withColumn("_client", client)
-    return out.withColumns(
-        {"ua_family": F.col("_client.family"), "ua_kind": F.col("_client.kind")}
-    ).drop("_client")
+    out = geo_enrich(rows, "ip", city_nets, asn_nets, keywords)
+    return out.select("*", ua_classify("user_agent").alias("_client")).select(
+        *out.columns, F.col("_client.family").alias("ua_family"), F.col("_client.kind").alias("ua_kind")
+    )
 
 
 def enrich_connections(rows: DataFrame, city_nets=None, asn_nets=None, keywords=None) -> DataFrame:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not record a Python call site per expression: building plans gets faster.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     # Rollup aggregates keep sketches per key; stay hash-based for longer than
     # the default 128 keys, each sketch starts at a few hundred bytes.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
