@@ -16,7 +16,7 @@ from accesslens.functions.hosting import hosting_flag
 from accesslens.functions.values import in_range
 from accesslens.operators import rollups
 from accesslens.operators.decode import (
-    REQUEST_STREAM, STREAMS, USAGE_STREAM, CONNECTION_STREAM, field, response_type, split_packed,
+    REQUEST_STREAM, STREAMS, USAGE_STREAM, CONNECTION_STREAM, response_type, split_packed,
 )
 from accesslens.operators.enrich import geo_enrich, parsed_addresses, prefix_lookup, range_lookup
 from accesslens.plans import abuse_reports, node_reports, request_reports
@@ -78,14 +78,14 @@ def _decode(stream: str) -> Query:
 def response_type_coalesce(spark: SparkSession, sf: str) -> DataFrame:
     return fx.request_messages(fx.events(spark, sf)).select(
         "entry_id",
-        response_type(field("ssrResponseType"), field("srrResponseType")).alias("srr_response_type"),
+        response_type("fields['ssrResponseType']", "fields['srrResponseType']").alias("srr_response_type"),
     )
 
 
 def split_packed_records(spark: SparkSession, sf: str) -> DataFrame:
     return (
         fx.usage_messages(fx.events(spark, sf))
-        .select("entry_id", F.explode(split_packed(field("records"))).alias("r"))
+        .select("entry_id", F.explode(split_packed("fields['records']")).alias("r"))
         .select("entry_id", "r.user", "r.bytes")
     )
 

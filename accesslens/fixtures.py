@@ -241,26 +241,30 @@ class DerivedTables:
 _STAMP = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
-def _message(ev: DataFrame, prefix: str, stream: str, fields: dict[str, str]) -> DataFrame:
-    """One entry per event; a field whose SQL gives NULL is left out."""
+def _message(prefix: str, stream: str, fields: dict[str, str]) -> str:
+    """SQL of one entry per event; a field whose SQL gives NULL is left out."""
     pairs = ", ".join(f"'{name}', CAST({value} AS STRING)" for name, value in fields.items())
-    return ev.selectExpr(
-        f"concat('{prefix}-', event_id) AS entry_id",
-        f"'{stream}' AS stream",
-        f"map_filter(map({pairs}), (name, value) -> value IS NOT NULL) AS fields",
+    return (
+        f"named_struct('entry_id', concat('{prefix}-', event_id), 'stream', '{stream}', "
+        f"'fields', map_filter(map({pairs}), (name, value) -> value IS NOT NULL))"
     )
 
 
-def usage_messages(ev: DataFrame) -> DataFrame:
-    """One message per event: three records of the account and one of its neighbour."""
+def _entries(ev: DataFrame, *entries: str) -> DataFrame:
+    # The generator keeps message building apart from message decoding, as a
+    # stored stream would: filters on the fields do not rebuild them.
+    return ev.selectExpr(f"explode(array({', '.join(entries)})) AS m").select("m.*")
+
+
+def _usage_message() -> str:
+    """Three records of the account, an empty one, and one of its neighbour."""
     own = ", ".join(f"concat(user_id, ':', {_bytes(str(k))})" for k in range(3))
     records = f"concat_ws(';', {own}, '', concat(user_id + 1, ':0'))"
-    fields = {"v": "1", "nodeId": _NODE, "ts": _STAMP, "records": records}
-    return _message(ev, "u", USAGE_STREAM, fields)
+    return _message("u", USAGE_STREAM, {"v": "1", "nodeId": _NODE, "ts": _STAMP, "records": records})
 
 
-def request_messages(ev: DataFrame) -> DataFrame:
-    """One message per event; the response type travels under either spelling."""
+def _request_message() -> str:
+    """A fetch whose response type travels under either spelling."""
     fields = {
         "v": "1", "userId": "user_id", "requestAt": _STAMP,
         "requestIp": f"nullif({_ip('0')}, '')", "userAgent": _user_agent("0"),
@@ -268,21 +272,20 @@ def request_messages(ev: DataFrame) -> DataFrame:
         "srrResponseType": f"IF(event_id % 2 = 1, 'IGNORED_IF_FIRST_FILLED', {_RESPONSE})",
         "srrRuleName": _RULE,
     }
-    return _message(ev, "r", REQUEST_STREAM, fields)
+    return _message("r", REQUEST_STREAM, fields)
 
 
-def connection_messages(ev: DataFrame) -> DataFrame:
-    """One snapshot per event: the account on three addresses, its neighbour on none."""
+def _connection_message() -> str:
+    """A snapshot with the account on three addresses and its neighbour on none."""
     seen = ", ".join(f"named_struct('ip', {_ip(str(k))}, 'lastSeen', {_STAMP})" for k in range(3))
     users = f"""to_json(array(
         named_struct('userId', CAST(user_id AS STRING), 'ips', array({seen})),
         named_struct('userId', CAST(user_id + 1 AS STRING), 'ips', slice(array({seen}), 1, 0))))"""
-    fields = {"v": "1", "nodeId": _NODE, "ts": _STAMP, "users": users}
-    return _message(ev, "c", CONNECTION_STREAM, fields)
+    return _message("c", CONNECTION_STREAM, {"v": "1", "nodeId": _NODE, "ts": _STAMP, "users": users})
 
 
-def broken_messages(ev: DataFrame) -> DataFrame:
-    """One faulty message per event and stream, cycling through the faults."""
+def _broken_messages() -> tuple[str, str, str]:
+    """One faulty message per stream, cycling through the faults."""
 
     def cycle(*values: str) -> str:
         return _case(f"event_id % {len(values)}", dict(enumerate(values)), "NULL")
@@ -308,21 +311,25 @@ def broken_messages(ev: DataFrame) -> DataFrame:
         "''",
     )
     connections = {"v": one, "nodeId": one, "ts": ts, "users": users}
-    return reduce(
-        DataFrame.unionByName,
-        (
-            _message(ev, "bu", USAGE_STREAM, usage),
-            _message(ev, "br", REQUEST_STREAM, requests),
-            _message(ev, "bc", CONNECTION_STREAM, connections),
-        ),
+    return (
+        _message("bu", USAGE_STREAM, usage),
+        _message("br", REQUEST_STREAM, requests),
+        _message("bc", CONNECTION_STREAM, connections),
     )
 
 
+def usage_messages(ev: DataFrame) -> DataFrame:
+    return _entries(ev, _usage_message())
+
+
+def request_messages(ev: DataFrame) -> DataFrame:
+    return _entries(ev, _request_message())
+
+
 def messages(ev: DataFrame) -> DataFrame:
-    """Good and faulty messages of all three streams."""
-    return reduce(
-        DataFrame.unionByName,
-        (usage_messages(ev), request_messages(ev), connection_messages(ev), broken_messages(ev)),
+    """Good and faulty messages of all three streams, six per event."""
+    return _entries(
+        ev, _usage_message(), _request_message(), _connection_message(), *_broken_messages()
     )
 
 

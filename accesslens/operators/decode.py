@@ -24,239 +24,248 @@ REQUEST_STREAM = "ioraw:export:subscription_requests"
 CONNECTION_STREAM = "ioraw:export:node_connections"
 VERSION = "1"
 
-_DIGITS = r"^[0-9]+$"
 _RFC3339 = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?"
-    r"(?:Z|[+-][0-9]{2}:[0-9]{2})$"
+    "r'^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$'"
 )
 
 
-def unsigned(text: Column) -> Column:
-    """BIGINT of a text made of digits only, NULL otherwise or above 2^63-1."""
-    return F.when(text.rlike(_DIGITS), text.try_cast("bigint"))
+# All helpers below take and return SQL text; lambdas bind what is used twice,
+# because Spark evaluates a filter's repeated subexpressions again each time.
 
 
-def _unsigned_problem(text: Column, what: str) -> Column:
-    return F.when(~text.rlike(_DIGITS), F.lit(f"bad_{what}")).when(
-        text.try_cast("bigint").isNull(), F.lit("uint64_out_of_range")
-    )
+def _bind(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def rfc3339(text: Column) -> Column:
-    """UTC TIMESTAMP_NTZ, cut to milliseconds, of a full RFC 3339 text, else NULL."""
-    millis = F.unix_millis(F.when(text.rlike(_RFC3339), text.try_cast("timestamp")))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MILLISECOND", millis, epoch)
+def _instant(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE {_RFC3339} THEN try_cast({text} AS TIMESTAMP) END"
+
+
+def _moment(text: str) -> str:
+    millis = f"unix_millis({_instant(text)})"
+    return f"timestampadd(MILLISECOND, {millis}, TIMESTAMP_NTZ '1970-01-01 00:00:00')"
 
 
-def field(name: str) -> Column:
-    return F.coalesce(F.col("fields")[name], F.lit(""))
+def _field(name: str) -> str:
+    return f"coalesce(fields['{name}'], '')"
+
+
+def _unsigned(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE '^[0-9]+$' THEN try_cast({text} AS BIGINT) END"
+
+
+def _unsigned_problem(text: str, what: str) -> str:
+    return (
+        f"CASE WHEN {text} RLIKE '^[0-9]{{1,18}}$' THEN NULL WHEN NOT {text} RLIKE '^[0-9]+$' THEN 'bad_{what}' "
+        f"WHEN try_cast({text} AS BIGINT) IS NULL THEN 'uint64_out_of_range' END"
+    )
 
 
-def _missing(name: str) -> Column:
-    return F.when(field(name) == "", F.lit(f"missing_{name}"))
+def _missing(name: str) -> str:
+    return f"IF({_field(name)} = '', 'missing_{name}', NULL)"
 
 
-def _common_problems(id_field: str, ts_field: str) -> list[Column]:
-    """Checks every message shares: version, numeric id, timestamp."""
-    return [
+def _reason(id_field: str, ts_field: str, *more: str) -> str:
+    """First problem of a message: version, id and time, then ``more``."""
+    problems = [
         _missing("v"),
-        F.when(field("v") != VERSION, F.lit("unsupported_version")),
+        f"IF({_field('v')} <> '{VERSION}', 'unsupported_version', NULL)",
         _missing(id_field),
-        _unsigned_problem(field(id_field), id_field),
+        _unsigned_problem(_field(id_field), id_field),
         _missing(ts_field),
-        F.when(rfc3339(field(ts_field)).isNull(), F.lit(f"bad_{ts_field}")),
+        f"IF(({_instant(_field(ts_field))}) IS NULL, 'bad_{ts_field}', NULL)",
+        *more,
     ]
+    return f"coalesce({', '.join(problems)})"
 
 
-def split_packed(text: Column) -> Column:
-    """Split ``user:bytes;user:bytes`` into ``array<struct<user, bytes, whole>>``.
+def rfc3339(text: str) -> Column:
+    """UTC TIMESTAMP_NTZ, cut to milliseconds, of a full RFC 3339 text, else NULL."""
+    return F.expr(_moment(text))
 
-    Empty pairs are skipped and each pair is cut at its first colon; a pair
-    without a colon has NULL ``bytes``.
-    """
-    pairs = F.filter(F.split(text, ";"), lambda p: p != "")
-    return F.transform(
-        pairs,
-        lambda p: F.struct(
-            F.substring_index(p, ":", 1).alias("user"),
-            F.when(p.contains(":"), F.substring(p, F.instr(p, ":") + 1, F.length(p))).alias("bytes"),
-        ),
-    )
+
+def unsigned(text: str) -> Column:
+    """BIGINT of a text made of digits only, NULL otherwise or above 2^63-1."""
+    return F.expr(_unsigned(text))
 
 
-def _first(problems: list[Column]) -> Column:
-    return F.coalesce(*problems, F.lit(None).cast("string")).alias("reason")
+def _split(entries: DataFrame, stream: str) -> tuple[DataFrame, DataFrame]:
+    """Valid messages of a stream and its rejects with their reason."""
+    reason = REASONS[stream]
+    own = entries.filter(F.col("stream") == stream)
+    rejects = own.select("entry_id", "stream", F.expr(reason).alias("reason"), "fields")
+    return own.filter(f"{reason} IS NULL"), rejects.filter(F.col("reason").isNotNull())
 
 
-def _rejects(marked: DataFrame) -> DataFrame:
-    return marked.filter(F.col("reason").isNotNull()).select("entry_id", "stream", "reason", "fields")
+def _pairs(text: str) -> str:
+    return f"filter(split({text}, ';'), p -> p <> '')"
 
 
-def _usage_marked(entries: DataFrame) -> DataFrame:
-    marked = entries.filter(F.col("stream") == USAGE_STREAM).withColumn(
-        "records", split_packed(field("records"))
+def split_packed(text: str) -> Column:
+    """Split ``user:bytes;user:bytes`` into ``array<struct<user, bytes>>``.
+
+    Empty pairs are skipped and each pair is cut at its first colon; a pair
+    without a colon has NULL ``bytes``.
+    """
+    return F.expr(
+        f"""transform({_pairs(text)}, p -> named_struct('user', substring_index(p, ':', 1),
+        'bytes', IF(contains(p, ':'), substring(p, instr(p, ':') + 1), NULL)))"""
     )
-    record_problem = F.get(
-        F.filter(
-            F.transform(
-                F.col("records"),
-                lambda r: F.when(r["bytes"].isNull(), F.lit("malformed_record")).otherwise(
-                    F.coalesce(
-                        _unsigned_problem(r["user"], "record"),
-                        _unsigned_problem(r["bytes"], "record"),
-                    )
-                ),
-            ),
-            lambda problem: problem.isNotNull(),
-        ),
-        F.lit(0),
+
+
+def _records_problem(text: str) -> str:
+    user, amount = "substring_index(p, ':', 1)", "substring(p, instr(p, ':') + 1)"
+    problem = f"""CASE WHEN p RLIKE '^[0-9]{{1,18}}:[0-9]{{1,18}}$' THEN NULL
+        WHEN NOT contains(p, ':') THEN 'malformed_record'
+        ELSE coalesce({_unsigned_problem(user, 'record')}, {_unsigned_problem(amount, 'record')}) END"""
+    return _bind(
+        _pairs(text),
+        "pairs",
+        f"""CASE WHEN size(pairs) = 0 THEN 'empty_records'
+        ELSE get(filter(transform(pairs, p -> {problem}), x -> x IS NOT NULL), 0) END""",
     )
-    problems = _common_problems("nodeId", "ts") + [
-        _missing("records"),
-        F.when(F.size("records") == 0, F.lit("empty_records")),
-        record_problem,
-    ]
-    return marked.withColumn("reason", _first(problems))
 
 
 def decode_user_usage(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Traffic batches: one row per packed ``user:bytes`` record."""
-    marked = _usage_marked(entries)
+    good, rejects = _split(entries, USAGE_STREAM)
     rows = (
-        marked.filter(F.col("reason").isNull())
-        .select(
-            rfc3339(field("ts")).alias("ts"),
-            unsigned(field("nodeId")).alias("node_id"),
-            F.explode("records").alias("r"),
+        good.selectExpr(
+            f"{_moment(_field('ts'))} AS ts",
+            f"{_unsigned(_field('nodeId'))} AS node_id",
+            f"{_field('records')} AS records",
         )
-        .select(
+        .selectExpr("ts", "node_id", f"explode({_pairs('records')}) AS p")
+        .selectExpr(
             "ts", "node_id",
-            unsigned(F.col("r.user")).alias("user_id"),
-            unsigned(F.col("r.bytes")).alias("bytes"),
+            "CAST(substring_index(p, ':', 1) AS BIGINT) AS user_id",
+            "CAST(substring(p, instr(p, ':') + 1) AS BIGINT) AS bytes",
         )
     )
-    return rows, _rejects(marked)
+    return rows, rejects
 
 
-def response_type(panel_spelling: Column, contract_spelling: Column) -> Column:
+def response_type(panel_spelling: str, contract_spelling: str) -> Column:
     """The response type travels under two spellings; the panel's wins if filled."""
-    return first_filled(panel_spelling, contract_spelling)
+    return first_filled(F.expr(panel_spelling), F.expr(contract_spelling))
 
 
 def decode_sub_requests(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Subscription fetches, not yet enriched: one row per message."""
-    marked = entries.filter(F.col("stream") == REQUEST_STREAM).withColumn(
-        "reason", _first(_common_problems("userId", "requestAt"))
-    )
-    rows = marked.filter(F.col("reason").isNull()).select(
-        rfc3339(field("requestAt")).alias("ts"),
-        unsigned(field("userId")).alias("user_id"),
-        field("requestIp").alias("ip"),
-        field("userAgent").alias("user_agent"),
-        response_type(field("ssrResponseType"), field("srrResponseType")).alias("srr_response_type"),
-        field("srrRuleName").alias("srr_rule_name"),
+    good, rejects = _split(entries, REQUEST_STREAM)
+    rows = good.select(
+        rfc3339(_field("requestAt")).alias("ts"),
+        unsigned(_field("userId")).alias("user_id"),
+        F.expr(_field("requestIp")).alias("ip"),
+        F.expr(_field("userAgent")).alias("user_agent"),
+        response_type("fields['ssrResponseType']", "fields['srrResponseType']").alias("srr_response_type"),
+        F.expr(_field("srrRuleName")).alias("srr_rule_name"),
     )
-    return rows, _rejects(marked)
+    return rows, rejects
+
 
+_USERS = "ARRAY<STRUCT<userId: STRING, ips: ARRAY<STRUCT<ip: STRING, lastSeen: STRING>>>>"
 
-def _kind(value: Column) -> Column:
-    """JSON type name of a variant, ``VOID`` for null and for an absent key."""
-    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
+def _snapshot(text: str) -> str:
+    """Users of a snapshot, parsed once.
 
-def _variant(value: Column, path: str, kind: str) -> Column:
-    return F.try_variant_get(value, path, kind)
+    Parsing the text inside an outer object makes trailing garbage malformed.
+    Wrong types end up in ``corrupt``, except that text fields also take other
+    scalars, which ``_odd`` finds.
+    """
+    return (
+        f"from_json(concat('{{\"u\":', {text}, '}}'), 'u {_USERS}, corrupt STRING', "
+        "map('columnNameOfCorruptRecord', 'corrupt'))"
+    )
 
 
-def _connection_users(text: Column) -> Column:
-    """Users of a snapshot as an array of variants, NULL when the text is wrong.
+def _odd(text: str) -> str:
+    """True when a text field holds something that is neither text nor null.
 
-    Parsing the text inside an outer object makes trailing garbage malformed;
-    the closing-bracket test keeps it from closing that object itself.
+    Inside a JSON string the quotes around these names would be escaped, so
+    only real keys match.
     """
-    document = F.try_parse_json(F.concat(F.lit('{"u":'), text, F.lit("}")))
-    users = F.when(
-        F.rtrim(text).endswith("]"), _variant(document, "$.u", "array<variant>")
-    )
-    return F.when(F.trim(text) == "null", F.array().cast("array<variant>")).otherwise(users)
+    return f"""{text} RLIKE r'"(userId|ip|lastSeen)"[ \t\r\n]*:[ \t\r\n]*[^" \t\r\nn]'"""
 
 
-def _user_struct(user: Column) -> Column:
-    ips = _variant(user, "$.ips", "variant")
-    ip_list = F.when(_kind(ips) == "VOID", F.array().cast("array<variant>")).otherwise(
-        _variant(user, "$.ips", "array<variant>")
-    )
-    return F.struct(
-        F.when(
-            _kind(_variant(user, "$.userId", "variant")) == "STRING",
-            _variant(user, "$.userId", "string"),
-        ).alias("user"),
-        F.transform(
-            ip_list,
-            lambda i: F.struct(
-                _kind(i).startswith("OBJECT").alias("ok"),
-                _kind(_variant(i, "$.ip", "variant")).alias("ip_kind"),
-                F.coalesce(_variant(i, "$.ip", "string"), F.lit("")).alias("ip"),
-                F.when(
-                    _kind(_variant(i, "$.lastSeen", "variant")) == "STRING",
-                    _variant(i, "$.lastSeen", "string"),
-                ).alias("seen"),
-            ),
-        ).alias("ips"),
-    )
+def _exact_users(text: str) -> str:
+    """Strict but slower reading, for snapshots the quick one cannot vouch for.
 
+    A user or address that breaks the contract comes out as NULL.
+    """
 
-def _connections_marked(entries: DataFrame) -> DataFrame:
-    marked = (
-        entries.filter(F.col("stream") == CONNECTION_STREAM)
-        .withColumn("raw_users", _connection_users(field("users")))
-        .withColumn("users", F.transform("raw_users", _user_struct))
+    def kind(value: str, path: str) -> str:
+        return f"coalesce(schema_of_variant(try_variant_get({value}, '{path}', 'variant')), 'VOID')"
+
+    def string(value: str, path: str) -> str:
+        return f"IF({kind(value, path)} = 'STRING', try_variant_get({value}, '{path}', 'string'), NULL)"
+
+    sighting = f"""IF({kind('i', '$')} LIKE 'OBJECT%' AND {kind('i', '$.ip')} IN ('STRING', 'VOID'),
+        named_struct('ip', {string('i', '$.ip')}, 'lastSeen', {string('i', '$.lastSeen')}), NULL)"""
+    sightings = f"""CASE WHEN {kind('u', '$.ips')} = 'VOID' THEN CAST(array() AS ARRAY<VARIANT>)
+        ELSE coalesce(try_variant_get(u, '$.ips', 'array<variant>'), array(CAST(NULL AS VARIANT))) END"""
+    user = f"""named_struct('userId', {string('u', '$.userId')}, 'ips', transform({sightings}, i -> {sighting}))"""
+    document = f"try_parse_json(concat('{{\"u\":', {text}, '}}'))"
+    return f"""CASE WHEN trim({text}) = 'null' THEN CAST(array() AS {_USERS})
+        WHEN rtrim({text}) LIKE '%]' THEN transform(try_variant_get({document}, '$.u', 'array<variant>'), u -> {user})
+        END"""
+
+
+def _users(text: str) -> str:
+    """Users of a snapshot as ``array<struct<userId, ips>>``, NULL if unreadable."""
+    return _bind(
+        _snapshot(text),
+        "d",
+        f"""CASE WHEN d.corrupt IS NULL AND d.u IS NOT NULL AND rtrim({text}) LIKE '%]' AND NOT {_odd(text)}
+        THEN d.u ELSE {_exact_users(text)} END""",
     )
 
-    def ip_problem(i: Column) -> Column:
-        return F.when(
-            ~i["ok"] | ~i["ip_kind"].isin("STRING", "VOID"), F.lit("bad_users")
-        ).when(rfc3339(F.coalesce(i["seen"], F.lit(""))).isNull(), F.lit("bad_last_seen"))
-
-    def user_problem(u: Column) -> Column:
-        inner = F.get(
-            F.filter(F.transform(u["ips"], ip_problem), lambda p: p.isNotNull()), F.lit(0)
-        )
-        return F.coalesce(
-            _unsigned_problem(F.coalesce(u["user"], F.lit("")), "users"),
-            F.when(u["ips"].isNull(), F.lit("bad_users")),
-            inner,
-        )
 
-    problems = _common_problems("nodeId", "ts") + [
-        _missing("users"),
-        F.when(F.col("users").isNull(), F.lit("bad_users")),
-        F.get(
-            F.filter(F.transform("users", user_problem), lambda p: p.isNotNull()), F.lit(0)
-        ),
-    ]
-    return marked.withColumn("reason", _first(problems))
+def _users_problem(text: str) -> str:
+    seen = "coalesce(i.lastSeen, '')"
+    sighting = f"""CASE WHEN i IS NULL THEN 'bad_users'
+        WHEN ({_instant(seen)}) IS NULL THEN 'bad_last_seen' END"""
+    user = f"""coalesce({_unsigned_problem("coalesce(u.userId, '')", 'users')},
+        get(filter(transform(u.ips, i -> {sighting}), x -> x IS NOT NULL), 0))"""
+    return _bind(
+        _users(text),
+        "users",
+        f"""CASE WHEN users IS NULL THEN 'bad_users'
+        ELSE get(filter(transform(users, u -> {user}), x -> x IS NOT NULL), 0) END""",
+    )
 
 
 def decode_node_connections(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Node snapshots, not yet enriched: one row per (user, address) pair."""
-    marked = _connections_marked(entries)
+    good, rejects = _split(entries, CONNECTION_STREAM)
     rows = (
-        marked.filter(F.col("reason").isNull())
-        .select(
-            rfc3339(field("ts")).alias("ts"),
-            unsigned(field("nodeId")).alias("node_id"),
-            F.explode("users").alias("u"),
+        good.selectExpr(
+            f"{_moment(_field('ts'))} AS ts",
+            f"{_unsigned(_field('nodeId'))} AS node_id",
+            f"{_field('users')} AS snapshot",
         )
-        .select("ts", "node_id", unsigned(F.col("u.user")).alias("user_id"), F.explode("u.ips").alias("i"))
-        .select(
-            "ts", "node_id", "user_id",
-            F.col("i.ip").alias("ip"),
-            rfc3339(F.col("i.seen")).alias("last_seen"),
+        .selectExpr("ts", "node_id", f"explode({_users('snapshot')}) AS u")
+        .selectExpr("ts", "node_id", "CAST(u.userId AS BIGINT) AS user_id", "explode(u.ips) AS i")
+        .selectExpr(
+            "ts", "node_id", "user_id", "coalesce(i.ip, '') AS ip", f"{_moment('i.lastSeen')} AS last_seen"
         )
     )
-    return rows, _rejects(marked)
+    return rows, rejects
+
+
+# SQL per stream: why a message is rejected (NULL when valid), and how many
+# fact rows a valid message yields.
+REASONS = {
+    USAGE_STREAM: _reason("nodeId", "ts", _missing("records"), _records_problem(_field("records"))),
+    REQUEST_STREAM: _reason("userId", "requestAt"),
+    CONNECTION_STREAM: _reason("nodeId", "ts", _missing("users"), _users_problem(_field("users"))),
+}
+ROWS_PER_MESSAGE = {
+    USAGE_STREAM: f"size({_pairs(_field('records'))})",
+    REQUEST_STREAM: "1",
+    CONNECTION_STREAM: f"aggregate({_users(_field('users'))}, 0, (n, u) -> n + size(u.ips))",
+}
 
 
 @dataclass(frozen=True)

@@ -40,7 +40,7 @@ def load_dim_users(pages: DataFrame, as_of) -> DataFrame:
         or_empty(F.col("tag")).alias("tag"),
         limit.cast("bigint").alias("traffic_limit_bytes"),
         or_zero(F.col("hwidDeviceLimit")).alias("hwid_device_limit"),
-        F.coalesce(rfc3339(F.col("expireAt")), moment(UNSET_TIME)).alias("expire_at"),
+        F.coalesce(rfc3339("expireAt"), moment(UNSET_TIME)).alias("expire_at"),
         moment(as_of).alias("updated_at"),
     )
 
