@@ -9,7 +9,7 @@ from accesslens.functions.values import bucket, in_range, or_zero
 from accesslens.operators.rollups import merged_count
 from accesslens.operators.select import top, top_per_group
 from accesslens.plans.abuse import account_measures, scored_measures
-from accesslens.plans.views import Tables, named_few, with_node_name, with_user
+from accesslens.plans.views import Tables, with_node_name, with_user
 
 
 def _measures(t: Tables, t_from, t_to) -> DataFrame:
@@ -61,7 +61,7 @@ def r_scripted_fetches(t: Tables, t_from, t_to) -> DataFrame:
 def r_abuse_score(t: Tables, t_from, t_to, limit: int = 200, weights=None) -> DataFrame:
     scored = _scored(t, t_from, t_to, weights).filter(F.col("score") > 0)
     best = top(scored, [F.desc("score"), F.asc("user_id")], limit)
-    named = named_few(best, t.dim_users, "status", "tag", "hwid_device_limit")
+    named = with_user(best, t.dim_users, "status", "tag", "hwid_device_limit")
     return named.select(
         "username", "status", "tag", "score", "gigabytes", F.col("prefixes").alias("networks"),
         "countries", "asns", "hosting_ips", "nodes", "ips", "sub_requests", "sub_uas",
@@ -76,7 +76,7 @@ def r_networks_worst10(t: Tables, t_from, t_to, interval_s: int = 300, limit: in
     rows = conn.join(F.broadcast(worst), "user_id", "left_semi").select(
         bucket(F.col("ts5"), interval_s).alias("time"), "user_id", "prefixes"
     )
-    names = named_few(worst, t.dim_users)
+    names = with_user(worst, t.dim_users)
     return (
         rows.join(F.broadcast(names), "user_id")
         .groupBy("time", "username")
@@ -109,14 +109,13 @@ def r_shared_addresses(t: Tables, t_from, t_to, limit: int = 200, names: int = 1
         .filter(F.col("accounts") > 1)
     )
     listed = top(shared, [F.desc("accounts"), F.desc("last_seen"), F.asc("ip")], limit)
-    members = pairs.select("ip", "user_id").join(F.broadcast(listed.select("ip")), "ip", "left_semi")
-    named = with_user(members, t.dim_users).select("ip", "username").distinct()
+    facts = [c for c in listed.columns if c != "ip"]
+    members = pairs.select("ip", "user_id").join(F.broadcast(listed), "ip")
+    named = with_user(members, t.dim_users).select("ip", *facts, "username").distinct()
     few = top_per_group(named, "ip", [F.asc("username")], names)
-    joined = few.groupBy("ip").agg(
-        F.array_join(F.array_sort(F.collect_list("username")), ", ").alias("usernames")
-    )
     return (
-        joined.join(F.broadcast(listed), "ip")
+        few.groupBy("ip", *facts)
+        .agg(F.array_join(F.array_sort(F.collect_list("username")), ", ").alias("usernames"))
         .select("ip", "accounts", "usernames", "country", "as_org", "hosting", "last_seen")
         .orderBy(F.desc("accounts"), F.desc("last_seen"), "ip")
     )

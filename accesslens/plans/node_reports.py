@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from accesslens.functions.values import bucket, in_range, or_zero, ratio, round_even
 from accesslens.operators.rollups import nonzero
 from accesslens.operators.select import quantile_exact, top, top_per_group
-from accesslens.plans.views import Tables, named_few, with_node_name, with_user
+from accesslens.plans.views import Tables, with_node_name, with_user
 
 BUCKET_S = 300
 
@@ -87,7 +87,7 @@ def r_top10_throughput(t: Tables, t_from, t_to, nodes=None, interval_s: int = 30
     rows = _usage(t, t_from, t_to, nodes)
     sums = _per_user(t, t_from, t_to, nodes)
     heaviest = top(sums, [F.desc("b"), F.asc("user_id")], limit).select("user_id")
-    names = named_few(heaviest, t.dim_users)
+    names = with_user(heaviest, t.dim_users)
     return (
         rows.select(bucket(F.col("ts5"), interval_s).alias("time"), "user_id", "bytes")
         .join(F.broadcast(names), "user_id")

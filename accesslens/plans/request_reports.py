@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from accesslens.functions.clients import is_scripted
 from accesslens.functions.values import REFUSALS, bucket, in_range, or_zero, ratio, round_even
 from accesslens.operators.select import top
-from accesslens.plans.views import Tables, named_few, with_user
+from accesslens.plans.views import Tables, with_user
 
 
 def _requests(t: Tables, t_from, t_to) -> DataFrame:
@@ -58,7 +58,7 @@ def r_busiest10(t: Tables, t_from, t_to, interval_s: int = 300, limit: int = 10)
     rows = _requests(t, t_from, t_to).select(bucket(F.col("ts"), interval_s).alias("time"), "user_id")
     busiest = top(_per_user(t, t_from, t_to), [F.desc("c"), F.asc("user_id")], limit).select("user_id")
     return (
-        rows.join(F.broadcast(named_few(busiest, t.dim_users)), "user_id")
+        rows.join(F.broadcast(with_user(busiest, t.dim_users)), "user_id")
         .groupBy("time", "username")
         .agg(F.count(F.lit(1)).alias("requests"))
         .orderBy("time", "username")
@@ -148,10 +148,10 @@ _RECENT = (
 
 
 def r_recent_requests(t: Tables, t_from, t_to, limit: int = 500) -> DataFrame:
-    """Latest requests; names are looked up for those rows only."""
+    """Latest requests; the cut comes first, names are joined to those rows only."""
     rows = _requests(t, t_from, t_to).select("ts", "user_id", *_RECENT)
     order = [F.desc("ts"), F.asc("user_id"), *[F.asc(c) for c in _RECENT]]
-    few = named_few(top(rows, order, limit), t.dim_users)
+    few = with_user(top(rows, order, limit), t.dim_users)
     return few.select("ts", "username", *_RECENT).orderBy(
         F.desc("ts"), "username", *_RECENT
     )

@@ -90,14 +90,3 @@ def v_sub_requests(sub_requests: DataFrame, dim_users: DataFrame) -> DataFrame:
         "as_org", "is_hosting", "user_agent", "ua_family", "ua_kind", "srr_response_type",
         "srr_rule_name", is_blocked(F.col("srr_response_type")).alias("is_blocked"),
     )
-
-
-def named_few(few: DataFrame, dim_users: DataFrame, *extra: str) -> DataFrame:
-    """``with_user`` for a result already cut to a handful of accounts.
-
-    The dimension is first reduced to those accounts, so the name join moves
-    a bounded number of rows whatever the size of the dimension.
-    """
-    wanted = F.broadcast(few.select(F.col("user_id").alias("_wanted")).distinct())
-    cut = dim_users.join(wanted, F.col("user_id") == F.col("_wanted"), "left_semi")
-    return with_user(few, cut, *extra)
