@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslens.functions.values import in_range, or_zero, round_even
-from accesslens.operators.rollups import merged_count, nonzero
+from accesslens.operators.rollups import distinct_state, merged_count, nonzero, state_count
 from accesslens.plans.views import with_user
 
 GIGABYTE = 1073741824.0
@@ -69,13 +69,10 @@ def account_measures(usage: DataFrame, conn: DataFrame, sub: DataFrame, t_from,
         "user_id", "requests", "scripted", "blocked",
         F.col("ips").alias("s_ips"), F.col("uas").alias("s_uas"),
     )
-    # Traffic first collapses to one row per (account, node).
-    u = u.groupBy("user_id", "node_id").agg(F.sum("bytes").alias("bytes")).select(
-        "user_id", "bytes", F.lit(1).cast("bigint").alias("traffic_nodes")
-    )
     stacked = u.unionByName(c, allowMissingColumns=True).unionByName(s, allowMissingColumns=True)
     return stacked.groupBy("user_id").agg(
-        *[or_zero(F.sum(m)).alias(m) for m in (*_SUMS, "traffic_nodes")],
+        *[or_zero(F.sum(m)).alias(m) for m in _SUMS],
+        state_count(distinct_state(F.col("node_id"))).alias("traffic_nodes"),
         *[merged_count(F.col(m)).alias(m) for m in _STATES],
     ).select(
         "user_id", "bytes", "traffic_nodes",

@@ -88,34 +88,32 @@ def r_networks_worst10(t: Tables, t_from, t_to, interval_s: int = 300, limit: in
 def r_shared_addresses(t: Tables, t_from, t_to, limit: int = 200, names: int = 10) -> DataFrame:
     """Addresses used by several accounts, with up to ``names`` display names.
 
-    Names are resolved only for the addresses that made the list, and an
-    address keeps at most ``names`` of them per task before the shuffle.
+    The ranking runs on fixed-width columns only. Places and names are then
+    read for the listed addresses alone, and an address keeps at most
+    ``names`` names per task before the shuffle.
     """
-    pairs = (
-        in_range(t.node_connections, "ts", t_from, t_to)
-        .groupBy("ip", "user_id")
-        .agg(
-            F.max("country").alias("country"), F.max("as_org").alias("as_org"),
-            F.max("is_hosting").alias("hosting"), F.max("last_seen").alias("last_seen"),
-        )
-    )
+    rows = in_range(t.node_connections, "ts", t_from, t_to)
     shared = (
-        pairs.groupBy("ip")
+        rows.groupBy("ip", "user_id")
+        .agg(F.max("is_hosting").alias("hosting"), F.max("last_seen").alias("last_seen"))
+        .groupBy("ip")
         .agg(
             F.count(F.lit(1)).alias("accounts"),
-            F.max("country").alias("country"), F.max("as_org").alias("as_org"),
-            F.max("hosting").alias("hosting"), F.max("last_seen").alias("last_seen"),
+            F.max("hosting").alias("hosting"),
+            F.max("last_seen").alias("last_seen"),
         )
         .filter(F.col("accounts") > 1)
     )
     listed = top(shared, [F.desc("accounts"), F.desc("last_seen"), F.asc("ip")], limit)
-    facts = [c for c in listed.columns if c != "ip"]
-    members = pairs.select("ip", "user_id").join(F.broadcast(listed), "ip")
-    named = with_user(members, t.dim_users).select("ip", *facts, "username").distinct()
+    hits = rows.join(F.broadcast(listed.select("ip")), "ip", "left_semi")
+    place = hits.groupBy("ip").agg(F.max("country").alias("country"), F.max("as_org").alias("as_org"))
+    named = with_user(hits.select("ip", "user_id").distinct(), t.dim_users).select("ip", "username").distinct()
     few = top_per_group(named, "ip", [F.asc("username")], names)
+    joined = few.groupBy("ip").agg(
+        F.array_join(F.array_sort(F.collect_list("username")), ", ").alias("usernames")
+    )
     return (
-        few.groupBy("ip", *facts)
-        .agg(F.array_join(F.array_sort(F.collect_list("username")), ", ").alias("usernames"))
+        listed.join(place, "ip").join(joined, "ip")
         .select("ip", "accounts", "usernames", "country", "as_org", "hosting", "last_seen")
         .orderBy(F.desc("accounts"), F.desc("last_seen"), "ip")
     )

@@ -98,26 +98,34 @@ def r_top10_throughput(t: Tables, t_from, t_to, nodes=None, interval_s: int = 30
 
 
 def r_top_talkers(t: Tables, t_from, t_to, nodes=None, limit: int = 100) -> DataFrame:
+    """Heaviest accounts: total, busiest bucket, nodes at once and share of all traffic.
+
+    Status and tag are text and would turn the big aggregates into sorts, so
+    they are gathered per account and joined to the listed names at the end.
+    """
     rows = _usage(t, t_from, t_to, nodes)
     merged = rows.groupBy("ts5", "user_id", "node_id").agg(F.sum("bytes").alias("bytes"))
-    named = with_node_name(with_user(merged, t.dim_users, "status", "tag"), t.dim_nodes)
+    named = with_node_name(with_user(merged, t.dim_users), t.dim_nodes)
     per_bucket = named.groupBy("ts5", "username").agg(
-        F.max("status").alias("status"), F.max("tag").alias("tag"),
-        F.sum("bytes").alias("bytes"), F.count_distinct("node_name").alias("nodes"),
+        F.sum("bytes").alias("bytes"), F.count_distinct("node_name").alias("nodes")
     )
     per_name = per_bucket.groupBy("username").agg(
-        F.max("status").alias("status"), F.max("tag").alias("tag"),
-        F.sum("bytes").alias("total_bytes"),
-        F.max("bytes").alias("peak"), F.max("nodes").alias("nodes"),
+        F.sum("bytes").alias("total_bytes"), F.max("bytes").alias("peak"), F.max("nodes").alias("nodes")
+    )
+    best = top(per_name, [F.desc("total_bytes"), F.asc("username")], limit)
+    accounts = with_user(rows.select("user_id").distinct(), t.dim_users, "status", "tag")
+    who = (
+        accounts.join(F.broadcast(best), "username")
+        .groupBy(*best.columns)
+        .agg(F.max("status").alias("status"), F.max("tag").alias("tag"))
     )
     total = rows.agg(F.sum("bytes").alias("all_bytes")).scalar()
     peak = (F.col("peak") * 8).cast("double") / F.lit(float(BUCKET_S)) / F.lit(1000000.0)
-    best = top(per_name, [F.desc("total_bytes"), F.asc("username")], limit)
-    return best.select(
+    return who.select(
         "username", "status", "tag", "total_bytes",
         round_even(peak, 2).alias("peak_mbps"), "nodes",
         round_even(ratio(F.col("total_bytes") * 100, total), 2).alias("pct_of_total"),
-    )
+    ).orderBy(F.desc("total_bytes"), "username")
 
 
 def r_traffic_by_node(t: Tables, t_from, t_to, nodes=None) -> DataFrame:

@@ -131,11 +131,15 @@ def r_top_countries(t: Tables, t_from, t_to, limit: int = 15) -> DataFrame:
 
 
 def r_top_networks(t: Tables, t_from, t_to, limit: int = 50) -> DataFrame:
+    """Busiest autonomous systems; requests first collapse per system and account."""
     rows = _requests(t, t_from, t_to).filter(F.col("asn") != 0)
-    per = rows.groupBy("asn").agg(
+    ids = rows.groupBy("asn", "as_org", "user_id").agg(
+        F.max("is_hosting").alias("hosting"), F.count(F.lit(1)).alias("requests")
+    )
+    per = ids.groupBy("asn").agg(
         F.max("as_org").alias("as_org"),
-        F.max("is_hosting").alias("hosting"),
-        F.count(F.lit(1)).alias("requests"),
+        F.max("hosting").alias("hosting"),
+        F.sum("requests").alias("requests"),
         F.count_distinct("user_id").alias("accounts"),
     )
     return top(per, [F.desc("requests"), F.asc("asn")], limit)

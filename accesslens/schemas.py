@@ -70,22 +70,26 @@ _EMPTY_VALUES = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType, *, keep: tuple[str, ...] = ()) -> DataFrame:
+def conform(
+    df: DataFrame, schema: T.StructType, *, late: tuple[str, ...] = (), keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Project ``df`` onto ``schema``; absent columns read as empty values.
 
-    This is how rows written before a column existed stay readable: text comes
-    back as ``''`` and numbers as ``0``, never as NULL.
+    Columns named in ``late`` joined the schema after some rows were written;
+    where they are NULL they read as ``''`` or ``0``. All others pass through
+    untouched, so filters on them still reach the scan.
     """
     have = set(df.columns)
     columns = []
     for field in schema:
-        empty = _EMPTY_VALUES.get(type(field.dataType))
-        if field.name in have:
-            col = F.col(field.name).cast(field.dataType)
-            col = col if empty is None else F.coalesce(col, F.lit(empty).cast(field.dataType))
+        empty = F.lit(_EMPTY_VALUES.get(type(field.dataType))).cast(field.dataType)
+        if field.name not in have:
+            column = empty
+        elif field.name in late:
+            column = F.coalesce(F.col(field.name), empty)
         else:
-            col = F.lit(empty).cast(field.dataType)
-        columns.append(col.alias(field.name))
+            column = F.col(field.name)
+        columns.append(column.alias(field.name))
     return df.select(*columns, *[c for c in keep if c in have])
 
 
@@ -94,4 +98,5 @@ def union_versions(schema: T.StructType, *versions: DataFrame) -> DataFrame:
     merged = versions[0]
     for part in versions[1:]:
         merged = merged.unionByName(part, allowMissingColumns=True)
-    return conform(merged, schema)
+    late = tuple(c for c in schema.names if any(c not in v.columns for v in versions))
+    return conform(merged, schema, late=late)

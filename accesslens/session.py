@@ -16,8 +16,9 @@ SETTINGS = {
     # Do not record a Python call site per expression: building plans gets faster.
     "spark.sql.dataFrameQueryContext.enabled": "false",
     # Rollup aggregates keep sketches per key; stay hash-based for longer than
-    # the default 128 keys, each sketch starts at a few hundred bytes.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # the default 128 keys. A key takes some kilobytes, so this stays in the
+    # tens of megabytes per task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "2048",
 }
 
 

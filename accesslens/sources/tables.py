@@ -27,6 +27,9 @@ LAYOUT: dict[str, tuple[T.StructType, str, str, Sequence[str], int]] = {
     "sub_req_5m": (schemas.SUB_REQ_5M, "ts5", "month", ("user_id", "ts5"), 180),
 }
 
+# Columns that tables written by earlier versions may lack.
+LATE = {"sub_requests": ("srr_response_type", "srr_rule_name"), "sub_req_5m": ("blocked",)}
+
 # Rollup of each fact table: its name, how facts become partials, how partials merge.
 ROLLUP_OF: dict[str, tuple[str, Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]] = {
     "user_usage": ("usage_5m", rollups.usage_5m, rollups.merge_usage),
@@ -74,8 +77,8 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All batches of a table; columns an old batch lacks read as empty values."""
     schema, _, kind, _, _ = LAYOUT[table]
     stored = T.StructType([*schema.fields, T.StructField(kind, T.DateType() if kind == "day" else T.IntegerType())])
-    raw = spark.read.schema(stored).option("recursiveFileLookup", "false").parquet(f"{root}/{table}")
-    return schemas.conform(raw, schema, keep=(kind,))
+    raw = spark.read.schema(stored).parquet(f"{root}/{table}")
+    return schemas.conform(raw, schema, late=LATE.get(table, ()), keep=(kind,))
 
 
 def retain(df: DataFrame, ts: str, days: int, now) -> DataFrame:
