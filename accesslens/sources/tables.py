@@ -61,16 +61,15 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int | str) -> No
     )
 
 
-def write_clustered(df: DataFrame, root: str, table: str, batch_id: int | str, files: int | None = None) -> None:
-    """``write_batch`` after range-partitioning on the table's sort key.
+def write_rebalanced(df: DataFrame, root: str, table: str, batch_id: int | str) -> None:
+    """``write_batch`` into files of even size, for loads of history.
 
-    The key ends in the time column, so even one very busy account is spread
-    over many files; meant for backfills and compaction.
+    Rows gather by partition value; AQE then splits a busy month or day by
+    size and merges small ones, so neither giant nor tiny files appear.
     """
-    _, _, kind, keys, _ = LAYOUT[table]
-    rows = df.withColumn(kind, partition_value(table))
-    spread = rows.repartitionByRange(files, kind, *keys) if files else rows.repartitionByRange(kind, *keys)
-    write_batch(spread.drop(kind), root, table, batch_id)
+    _, _, kind, _, _ = LAYOUT[table]
+    even = df.withColumn(kind, partition_value(table)).hint("rebalance", kind)
+    write_batch(even.drop(kind), root, table, batch_id)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -96,16 +95,20 @@ def apply_retention(spark: SparkSession, root: str, table: str, new_root: str, n
     """Rewrite a table without expired rows under ``new_root``."""
     _, ts, kind, _, days = LAYOUT[table]
     kept = retain(read_table(spark, root, table), ts, days, now).drop(kind)
-    write_clustered(kept, new_root, table, "retained")
+    write_rebalanced(kept, new_root, table, "retained")
 
 
 def backfill(facts: DataFrame, root: str, table: str, batch_id: int | str = "backfill") -> None:
-    """Rebuild the rollup of a fact table from raw facts under ``root``."""
+    """Rebuild the rollup of a fact table from raw facts under ``root``.
+
+    The aggregate has already spread the rows by bucket and account and AQE
+    has sized its partitions, so they are written as they are.
+    """
     rollup, partial, _ = ROLLUP_OF[table]
-    write_clustered(partial(facts), root, rollup, batch_id)
+    write_batch(partial(facts), root, rollup, batch_id)
 
 
 def compact(partials: DataFrame, root: str, table: str, batch_id: int | str = "compact") -> None:
     """Merge the partials of a fact table's rollup into one batch under ``root``."""
     rollup, _, merge = ROLLUP_OF[table]
-    write_clustered(merge(partials), root, rollup, batch_id)
+    write_batch(merge(partials), root, rollup, batch_id)

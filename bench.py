@@ -46,7 +46,7 @@ def timed(action) -> float:
 def store_tables(spark: SparkSession, sf: str, root: str, seconds: dict[str, float]) -> Tables:
     ev, nets = spark.read.parquet(f"{root}/events"), fx.geo_networks(spark, sf)
     for table, rows in facts(ev, nets).items():
-        seconds[f"store_{table}"] = timed(lambda: store.write_clustered(rows, root, table, 0))
+        seconds[f"store_{table}"] = timed(lambda: store.write_rebalanced(rows, root, table, 0))
         rollup = store.ROLLUP_OF[table][0]
         stored = store.read_table(spark, root, table)
         seconds[f"rollup_{rollup}"] = timed(lambda: store.backfill(stored, root, table, 0))
