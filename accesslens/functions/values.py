@@ -35,9 +35,9 @@ def first_filled(*values: Column) -> Column:
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values], F.lit(""))
 
 
-def display_name(name: Column, kind: str, key: Column) -> Column:
-    """``name``, or ``<kind>-<key>`` when it is missing or empty."""
-    return first_filled(name, F.concat(F.lit(f"{kind}-"), key.cast("string")))
+def display_name(name: str, kind: str, key: str) -> Column:
+    """Column ``name``, or ``<kind>-<key>`` when it is missing or empty."""
+    return F.expr(f"coalesce(nullif({name}, ''), concat('{kind}-', {key}))")
 
 
 def is_blocked(response_type: Column) -> Column:
@@ -57,17 +57,17 @@ def in_range(df: DataFrame, column: str, t_from, t_to) -> DataFrame:
     the filter is what prunes directories, the timestamp bounds do the rest.
     """
     lo, hi = _moment(t_from), _moment(t_to)
-    out = df.filter(F.col(column).between(moment(lo), moment(hi)))
+    tests = [f"{column} BETWEEN TIMESTAMP_NTZ '{lo}' AND TIMESTAMP_NTZ '{hi}'"]
     if "month" in df.columns:
-        out = out.filter(F.col("month").between(int(f"{lo:%Y%m}"), int(f"{hi:%Y%m}")))
+        tests.append(f"month BETWEEN {lo:%Y%m} AND {hi:%Y%m}")
     if "day" in df.columns:
-        out = out.filter(F.col("day").between(F.lit(lo.date()), F.lit(hi.date())))
-    return out
+        tests.append(f"day BETWEEN DATE '{lo:%Y-%m-%d}' AND DATE '{hi:%Y-%m-%d}'")
+    return df.filter(" AND ".join(tests))
 
 
 def moment(value) -> Column:
     """A constant TIMESTAMP_NTZ, independent of any time zone setting."""
-    return F.lit(_moment(value).isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{_moment(value)}'")
 
 
 def _moment(value) -> dt.datetime:

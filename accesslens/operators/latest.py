@@ -14,6 +14,4 @@ def latest(df: DataFrame, key: str, version: str = "updated_at") -> DataFrame:
     """
     rest = [c for c in df.columns if c not in (key, version)]
     newest = df.groupBy(key).agg(F.max(F.struct(version, *rest)).alias("_row"))
-    return newest.select(
-        *[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns]
-    )
+    return newest.select(*[c if c == key else f"_row.{c}" for c in df.columns])

@@ -35,36 +35,34 @@ def quantile_exact(df: DataFrame, column: str, level: float, name: str) -> DataF
     the next digit. No task ever sorts the values. Empty input gives 0.
     """
     values = df.select(F.col(column).cast("bigint").alias("_v"))
-    state = values.agg(
-        F.floor(F.lit(float(level)) * F.count(F.lit(1))).cast("bigint").alias("_rank"),
-    ).withColumn("_prefix", F.lit(0).cast("bigint"))
+    state = None
     for depth in range(_LEVELS):
         shift = _DIGIT_BITS * (_LEVELS - 1 - depth)
-        above = F.shiftrightunsigned("_v", shift + _DIGIT_BITS)
-        digit = F.shiftrightunsigned("_v", shift).bitwiseAND(
-            F.lit((1 << _DIGIT_BITS) - 1).cast("bigint")
-        )
-        # One row on the broadcast side; the equality keeps it an ordinary join.
-        counters = (
-            values.withColumn("_above", above)
-            .join(F.broadcast(state), F.col("_above") == F.col("_prefix"))
-            .groupBy("_prefix", "_rank", digit.alias("_digit"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-        running = F.sum("_n").over(
-            Window.partitionBy("_prefix", "_rank").orderBy("_digit").rowsBetween(
-                Window.unboundedPreceding, 0
+        digit = F.expr(f"shiftrightunsigned(_v, {shift}) & {(1 << _DIGIT_BITS) - 1}L").alias("_digit")
+        if state is None:
+            counters = values.groupBy(F.lit(0).cast("bigint").alias("_prefix"), digit).agg(
+                F.count(F.lit(1)).alias("_n")
             )
-        )
-        hit = F.min(
-            F.when(
-                F.col("_through") > F.col("_rank"),
-                F.struct("_digit", "_through", "_n", "_prefix", "_rank"),
+            rank = F.floor(F.lit(float(level)) * F.sum("_n").over(Window.partitionBy("_prefix"))).cast("bigint")
+        else:
+            # One row on the broadcast side; the equality keeps it an ordinary join.
+            same = F.expr(f"shiftrightunsigned(_v, {shift + _DIGIT_BITS}) = _prefix")
+            counters = (
+                values.join(F.broadcast(state), same)
+                .groupBy("_prefix", digit)
+                .agg(F.count(F.lit(1)).alias("_n"), F.max("_rank").alias("_rank"))
             )
+            rank = F.col("_rank")
+        running = F.sum("_n").over(
+            Window.partitionBy("_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
         )
-        found = counters.withColumn("_through", running).agg(hit.alias("_hit"))
-        state = found.select(
-            (F.col("_hit._rank") - (F.col("_hit._through") - F.col("_hit._n"))).alias("_rank"),
-            (F.shiftleft("_hit._prefix", _DIGIT_BITS) + F.col("_hit._digit")).alias("_prefix"),
+        hit = F.expr("min(CASE WHEN _through > _rank THEN struct(_digit, _through - _n AS _before, _prefix, _rank) END)")
+        state = (
+            counters.select("_prefix", "_digit", "_n", rank.alias("_rank"), running.alias("_through"))
+            .agg(hit.alias("_hit"))
+            .selectExpr(
+                "_hit._rank - _hit._before AS _rank",
+                f"shiftleft(_hit._prefix, {_DIGIT_BITS}) + _hit._digit AS _prefix",
+            )
         )
     return state.select(F.coalesce("_prefix", F.lit(0).cast("bigint")).alias(name))

@@ -104,8 +104,7 @@ def r_top_talkers(t: Tables, t_from, t_to, nodes=None, limit: int = 100) -> Data
     they are gathered per account and joined to the listed names at the end.
     """
     rows = _usage(t, t_from, t_to, nodes)
-    merged = rows.groupBy("ts5", "user_id", "node_id").agg(F.sum("bytes").alias("bytes"))
-    named = with_node_name(with_user(merged, t.dim_users), t.dim_nodes)
+    named = with_node_name(with_user(rows.select("ts5", "user_id", "node_id", "bytes"), t.dim_users), t.dim_nodes)
     per_bucket = named.groupBy("ts5", "username").agg(
         F.sum("bytes").alias("bytes"), F.count_distinct("node_name").alias("nodes")
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.functions.values import display_name, is_blocked, or_empty, or_zero
+from accesslens.functions.values import display_name, is_blocked
 from accesslens.operators.latest import latest
 from accesslens.operators.rollups import merge_usage
 
@@ -43,30 +43,27 @@ def with_node_name(df: DataFrame, dim_nodes: DataFrame) -> DataFrame:
     No broadcast is forced: Catalyst and AQE broadcast the dimension while its
     measured size allows and split skewed partitions otherwise.
     """
-    names = v_nodes(dim_nodes).select(F.col("node_id").alias("_key"), F.col("node_name").alias("_name"))
-    return (
-        df.join(names, F.col("node_id") == F.col("_key"), "left")
-        .withColumn("node_name", display_name(F.col("_name"), "node", F.col("node_id")))
-        .drop("_key", "_name")
-    )
+    names = latest(dim_nodes.select("node_id", "updated_at", "name"), "node_id")
+    names = names.select(F.col("node_id").alias("_key"), F.col("name").alias("_name"))
+    name = display_name("_name", "node", "node_id")
+    return df.join(names, F.expr("node_id = _key"), "left").select(*df.columns, name.alias("node_name"))
 
 
 def with_user(df: DataFrame, dim_users: DataFrame, *extra: str) -> DataFrame:
     """Add ``username`` and any of ``status``, ``tag``, ``hwid_device_limit``.
 
     Accounts missing from the dimension get ``user-<id>`` and empty values.
+    Only the columns asked for are read from the dimension.
     """
-    users = v_users(dim_users).select(
-        F.col("user_id").alias("_key"), F.col("username").alias("_name"),
-        *[F.col(c).alias(f"_{c}") for c in extra],
+    users = latest(dim_users.select("user_id", "updated_at", "username", *extra), "user_id").select(
+        F.col("user_id").alias("_key"), F.col("username").alias("_name"), *[F.col(c).alias(f"_{c}") for c in extra]
     )
-    out = df.join(users, F.col("user_id") == F.col("_key"), "left").withColumn(
-        "username", display_name(F.col("_name"), "user", F.col("user_id"))
+    empty = {"hwid_device_limit": "0L"}
+    return df.join(users, F.expr("user_id = _key"), "left").select(
+        *df.columns,
+        display_name("_name", "user", "user_id").alias("username"),
+        *[F.expr(f"coalesce(_{c}, {empty.get(c, repr(''))})").alias(c) for c in extra],
     )
-    for c in extra:
-        fill = or_zero if c == "hwid_device_limit" else or_empty
-        out = out.withColumn(c, fill(F.col(f"_{c}")))
-    return out.drop("_key", "_name", *[f"_{c}" for c in extra])
 
 
 def v_usage(usage_5m: DataFrame, dim_users: DataFrame, dim_nodes: DataFrame) -> DataFrame:
