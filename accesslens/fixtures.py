@@ -82,7 +82,14 @@ _RULE = "IF(event_id % 3 = 0, '', concat('rule-', event_id % 4))"
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events")
+    """The events, spread over all cores when they sit in fewer files than that.
+
+    A lone small file is one task, and all decoding and enrichment would run
+    in it; a table of many files is left as it is.
+    """
+    ev = table(spark, sf, "events")
+    cores = spark.sparkContext.defaultParallelism
+    return ev if len(ev.inputFiles()) >= cores else ev.repartition(cores)
 
 
 def usage_facts(ev: DataFrame) -> DataFrame:
