@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from accesslens.llm.common import stored, text_of
 
 CAPACITY = 16384
-# Slots of the finest histogram: 2^20. A bucket still overfull there keeps its entries as overflow.
-MAX_DEPTH = 20
+# Levels that the histogram reaches below the even split; a bucket still overfull there keeps its entries as overflow.
+SPARE = 4
 
 
 @dataclass
@@ -73,16 +73,17 @@ def chain_entries(docs: DataFrame, carry: list[str] = []) -> DataFrame:
 
 
 def directory(entries: DataFrame, capacity: int) -> tuple[DataFrame, int]:
-    """The slots and the global depth, from a histogram of at most 2^20 rows."""
+    """The slots and the global depth, from a histogram of some 2^SPARE slots per bucket."""
+    finest = (entries.count() // capacity).bit_length() + SPARE
     open_ = stored(
-        entries.groupBy(prefix(F.col("key"), MAX_DEPTH).alias("slot")).agg(F.count(F.lit(1)).alias("n")), "histogram"
+        entries.groupBy(prefix(F.col("key"), finest).alias("slot")).agg(F.count(F.lit(1)).alias("n")), "histogram"
     )
     closed, depth = None, 0
     while True:
-        at = F.shiftrightunsigned(F.col("slot"), MAX_DEPTH - depth).alias("bucket")
+        at = F.shiftrightunsigned(F.col("slot"), finest - depth).alias("bucket")
         counts = stored(open_.groupBy(at).agg(F.sum("n").alias("n")), "buckets")
-        over = counts.filter(F.col("n") > capacity) if depth < MAX_DEPTH else counts.limit(0)
-        full = counts.filter(F.col("n") <= capacity) if depth < MAX_DEPTH else counts
+        over = counts.filter(F.col("n") > capacity) if depth < finest else counts.limit(0)
+        full = counts.filter(F.col("n") <= capacity) if depth < finest else counts
         full = full.select("bucket", F.lit(depth).alias("depth"))
         closed = full if closed is None else closed.unionAll(full)
         if over.isEmpty():
