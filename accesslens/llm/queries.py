@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from accesslens.llm import exact_dedup, mixing
+from accesslens.llm import chat, exact_dedup, mixing, pii, quality, simhash, substring, subword, topk, warc
 from accesslens.llm.common import table
 
 SPACE = r"[^\x20\x09-\x0D]+"
@@ -21,8 +22,60 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(table(spark, sf_dir, "documents"), texts=False)
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With conversation -7, whose two turns hold control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    both = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.read_back(chat.formatted(rows.unionByName(both)))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.encoded(table(spark, sf_dir, "documents"), ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mixing, op6_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_substring,
+        op2_chat,
+        op3_mixing,
+        op4_personal_data,
+        op5_warc,
+        op6_exact_dedup,
+        op7_top_k,
+        op8_simhash,
+        op9_quality,
+        op10_subword,
+    )
 }
 
 ORACLES: dict[str, str] = {}
@@ -82,3 +135,48 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (certain + CASE WHEN more THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM taken
 """
+
+ORACLES["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < original THEN original END AS refers_to
+FROM o
+"""
+
+ORACLES["op7_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+# A text with a control string or an escape code is escaped: one more code point for each of \ < [.
+ORACLES["op2_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (
+  SELECT *, regexp_matches(text, '</?s>|\[/?(SYS|INST|OUT|ROLE)\]|\\[blk]') AS hard FROM t),
+n AS (
+  SELECT *,
+         3 + CASE role WHEN 'system' THEN 5 WHEN 'user' THEN 6 WHEN 'assistant' THEN 5
+                  ELSE 13 + length(role) + length(regexp_replace(role, '[^\\<\[]', '', 'g')) END
+           + length(text) + CASE WHEN hard THEN length(regexp_replace(text, '[^\\<\[]', '', 'g')) ELSE 0 END + 4 AS chars
+  FROM f)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, TRUE AS round_trip
+FROM n GROUP BY conv_id
+"""
