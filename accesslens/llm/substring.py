@@ -32,11 +32,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import compress
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +45,23 @@ from accesslens.llm.common import stored, text_of
 
 WINDOW, GRAM = 35, 10
 BUCKET = 2 << 20
-GROUP = 100_000  # words hashed at once
-CACHED = 500_000
+GROUP = 600_000  # bytes of texts taken together
+SEGMENT = 1 << 18  # bytes hashed at once
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
+BASE = 0xC2B2AE3D27D4EB4F  # odd, so it has an inverse modulo 2^64
+INVERSE = pow(BASE, -1, 1 << 64)
+SPACE = np.zeros(256, np.uint8)
+SPACE[[32, 9, 10, 11, 12, 13]] = 1
 
 
-HASH_OF = WordHashes()
+@cache
+def powers(base: int) -> np.ndarray:
+    """base^0, base^1, ... for one segment."""
+    out = np.full(SEGMENT + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -79,6 +83,32 @@ def windows_of(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]
     return rolling(hashes, window, BASES[1]), rolling(hashes, window, BASES[2])
 
 
+def word_hashes(bytes_: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes between edges 0 and 1, 2 and 3, ...: polynomials modulo 2^64.
+
+    They are differences of one running sum, taken segment by segment, so
+    memory does not depend on how long a text or word is.
+    """
+    sums = np.zeros(len(edges), np.uint64)
+    back = np.ones(len(edges), np.uint64)
+    up, down = powers(BASE), powers(INVERSE)
+    full = (1 << 64) - 1
+    carry, scale, unscale = np.uint64(0), 1, 1
+    for at in range(0, max(1, len(bytes_)), SEGMENT):
+        part = bytes_[at : at + SEGMENT]
+        running = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part + np.uint64(1)) * up[: len(part)], out=running[1:])
+        running = running * np.uint64(scale) + carry
+        last = at + SEGMENT >= len(bytes_)
+        a, b = np.searchsorted(edges, [at, at + len(part) + last])
+        own = edges[a:b] - at
+        sums[a:b] = running[own]
+        back[a:b] = down[own] * np.uint64(unscale)
+        carry = running[-1]
+        scale, unscale = scale * int(up[SEGMENT]) & full, unscale * int(down[SEGMENT]) & full
+    return mixed((sums[1::2] - sums[::2]) * back[::2] + (edges[1::2] - edges[::2]).astype(np.uint64))
+
+
 def leftmost_least(values: np.ndarray, n: int) -> np.ndarray:
     """Place of the first smallest of every n consecutive values, by doubling."""
     at, size = np.arange(len(values)), 1
@@ -91,14 +121,27 @@ def leftmost_least(values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts in a row, with hashes; ``ends[i]`` is where text i ends."""
+    """The words of some texts in a row, as byte ranges and hashes; ``ends[i]`` is where text i ends."""
 
     def __init__(self, texts: list[bytes]):
-        self.of = [t.split() for t in texts]
-        self.lengths = np.fromiter(map(len, self.of), np.int64, len(texts))
-        self.ends = np.cumsum(self.lengths)
-        flat = [w for words in self.of for w in words]
-        self.hashes = np.fromiter(map(HASH_OF.__getitem__, flat), np.uint64, len(flat))
+        self.data = b" ".join(texts)
+        bytes_ = np.frombuffer(self.data, np.uint8)
+        edges = np.flatnonzero(np.diff(SPACE[bytes_], prepend=1, append=1))
+        self.start, self.stop = edges[::2], edges[1::2]
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+        self.ends = np.searchsorted(self.start, begins[1:])
+        self.lengths = np.diff(self.ends, prepend=0)
+        self.hashes = word_hashes(bytes_, edges)
+
+    def slice(self, first: int, last: int) -> bytes:
+        """Words ``first`` to ``last`` - 1, joined by one space."""
+        return b" ".join(self.data[self.start[first] : self.stop[last - 1]].split())
+
+    def runs(self, flags: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Maximal ranges of set flags; a flag is for the window that starts at a word, and no
+        window of a text is followed by one of the next, so ranges stay inside texts."""
+        edges = np.flatnonzero(np.diff(flags.view(np.int8), prepend=0, append=0))
+        yield from zip(edges[::2].tolist(), edges[1::2].tolist())
 
     def valid(self, window: int) -> np.ndarray:
         """Whether the window that starts at a word lies in one text."""
@@ -118,7 +161,7 @@ def batched(texts: list[bytes]) -> Iterator[tuple[int, Words]]:
     """Consecutive texts in groups of a bounded number of bytes, or one longer text."""
     first, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > 6 * GROUP:
+        if size and size + len(t) > GROUP:
             yield first, Words(texts[first:i])
             first, size = i, 0
         size += len(t)
@@ -130,12 +173,6 @@ def texts_in(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Maximal ranges [a, b) of set flags."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-    yield from zip(edges[::2].tolist(), edges[1::2].tolist())
-
-
 def anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """``anchor``, ``bucket``, ``n``: how often an anchor occurs in some texts of a bucket."""
 
@@ -148,7 +185,7 @@ def anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 at, hashes = at[valid], hashes[valid]
                 # Places rise with the window, so equal places are neighbours.
                 new = np.concatenate([[True], at[1:] != at[:-1]]) if len(at) else np.zeros(0, bool)
-                of = np.repeat(np.arange(len(words.of)), words.lengths)
+                of = np.repeat(np.arange(len(words.lengths)), words.lengths)
                 pairs = np.stack([hashes[new].view(np.int64), buckets[first + of[at[new]]].astype(np.int64)], axis=1)
                 rows, n = np.unique(pairs, axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -170,11 +207,7 @@ def candidate_passages(docs: DataFrame, marks: DataFrame, window: int, gram: int
                 _, hashes = words.anchors(window, gram)
                 valid = words.valid(window)
                 hit = np.isin(hashes, marked) & valid
-                start = 0
-                for own, n in zip(words.of, words.lengths.tolist()):
-                    for a, b in runs(hit[start : start + n]):
-                        found.append(b" ".join(own[a : b + window - 1]))
-                    start += n
+                found += [words.slice(a, b + window - 1) for a, b in words.runs(hit)]
         bucket = (left if left.num_rows else right).column("bucket")[0].as_py()
         return pa.table({"bucket": pa.array([bucket] * len(found), pa.int32()), "passage": pa.array(found).cast(pa.string()) if found else pa.array([], pa.string())})
 
@@ -191,7 +224,7 @@ def window_rows(passages: DataFrame, window: int) -> DataFrame:
             for first, words in batched(texts_in(batch.column("passage"))):
                 h1, h2 = windows_of(words.hashes, window)
                 valid = words.valid(window)
-                of = np.repeat(np.arange(len(words.of)), words.lengths)[: len(valid)][valid]
+                of = np.repeat(np.arange(len(words.lengths)), words.lengths)[: len(valid)][valid]
                 keyed = np.empty(len(of), [("a", "<i8"), ("b", "<i8"), ("c", "<i4")])
                 keyed["a"], keyed["b"], keyed["c"] = h1[valid].view(np.int64), h2[valid].view(np.int64), buckets[first + of]
                 order = np.lexsort((keyed["c"], keyed["b"], keyed["a"]))
@@ -235,11 +268,7 @@ def recurring_passages(passages: DataFrame, confirmed: DataFrame, window: int) -
             for _, words in batched(texts_in(left.column("passage"))):
                 h1, h2 = windows_of(words.hashes, window)
                 hit = among(h1, h2, known) & words.valid(window)
-                start = 0
-                for own, n in zip(words.of, words.lengths.tolist()):
-                    for a, b in runs(hit[start : start + n]):
-                        found.add(b" ".join(own[a : b + window - 1]))
-                    start += n
+                found |= {words.slice(a, b + window - 1) for a, b in words.runs(hit)}
         bucket = (left if left.num_rows else right).column("bucket")[0].as_py()
         rows = sorted(found)
         return pa.table({"bucket": pa.array([bucket] * len(rows), pa.int32()), "passage": pa.array(rows).cast(pa.string()) if rows else pa.array([], pa.string())})
@@ -281,7 +310,7 @@ def located(docs: DataFrame, passages: DataFrame, texts: bool) -> DataFrame:
         for text in texts_in(left.column("text")):
             words = text.split()
             gone = automaton.covered(words)
-            stay = b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if gone.any() else b" ".join(words)
+            stay = b" ".join(compress(words, (~gone).tolist()) if gone.any() else words)
             counts.append(len(words))
             removed.append(int(gone.sum()))
             digests.append(hashlib.sha256(stay).hexdigest())
