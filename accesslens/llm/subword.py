@@ -4,13 +4,13 @@ The vocabulary is a merge-type (BPE) SentencePiece model file, given by path and
 read with the sentencepiece library in each task; segmentation is done here.
 White space is a visible mark, and no piece holds a mark after another
 character, so a text splits into chunks (marks, then characters without marks)
-that never merge across. Within a chunk an agenda holds the candidate merges,
+that never merge across; a line break is a chunk. Within a chunk an agenda holds the candidate merges,
 best piece first, leftmost first among equals; a candidate that comes up is
 skipped with probability ``dropout``, decided by a hash keyed by the seed, the
 chunk's variant, the merge and its place. A skipped candidate is gone unless a
-neighbouring merge makes it anew. The variant of a chunk comes from the
-document's id and the chunk's place among ``VARIANTS``, so a frequent word gets
-several segmentations, and as many cached results, in every document.
+neighbouring merge makes it anew. A chunk's variant, one of ``VARIANTS``, comes from the
+document's id and the chunk's place, so a frequent word gets several
+segmentations in every document, and as many cached results.
 
 Decoding joins the pieces' bytes, and is exact for any dropout: unknown
 characters are bytes (the model has byte pieces). With dropout 0 the result
@@ -42,14 +42,36 @@ from accesslens.llm.common import text_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-VARIANTS = 4
-CACHED = 400_000
+VARIANTS = 2
+LONG = 64  # code points of a chunk that is cached and takes the short way
+CACHED = 200_000  # chunks per variant and generation
 MARK = "▁"
-CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+CHUNK = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+
+
+class Segments(dict):
+    """Chunk to piece ids (little-endian 32-bit) for one variant. Bounded: a full
+    generation is set aside, and dropped when the next one is full."""
+
+    def __init__(self, pieces: Pieces, variant: int):
+        super().__init__()
+        self.pieces, self.before = pieces, {}
+        self.drops = pieces.drops(variant)
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.before.get(chunk)
+        if found is None:
+            found = self.pieces.ids(chunk, self.drops)
+        if len(chunk) <= LONG:
+            if len(self) >= CACHED:
+                self.before = dict(self)
+                self.clear()
+            self[chunk] = found
+        return found
 
 
 class Pieces:
-    """A model's pieces and a bounded cache of segmented chunks."""
+    """A model's pieces: the agenda's order is by score, so pieces are known by their rank in it."""
 
     def __init__(self, model: str, dropout: float, seed: int):
         import sentencepiece
@@ -57,10 +79,10 @@ class Pieces:
         processor = sentencepiece.SentencePieceProcessor(model_file=model)
         n = processor.get_piece_size()
         self.limit = int(dropout * 2**32)
-        self.key = xxhash.xxh64_intdigest(str(seed)) & 0xFFFFFFFF
-        self.rank: dict[str, tuple[float, int]] = {}
+        self.seed = seed
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_ids = [0] * 256
+        scores = {}
         for i in range(n):
             piece = processor.id_to_piece(i)
             if processor.is_byte(i):
@@ -68,85 +90,107 @@ class Pieces:
                 self.byte_ids[value] = i
                 self.bytes_of[i] = bytes([value])
             elif not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i)):
-                self.rank[piece] = (-processor.get_score(i), i)
+                scores[piece] = (-processor.get_score(i), i)
                 self.bytes_of[i] = piece.replace(MARK, " ").encode()
-        if any(a != MARK == b for p in self.rank for a, b in zip(p, p[1:])):
+        if any(a != MARK == b for p in scores for a, b in zip(p, p[1:])) or any("\n" in p for p in scores):
             raise ValueError("pieces that go across white space are not supported")
-        self.cache: dict[str, bytes] = {}
-
-    def skipped(self, variant: int, left: int, merged: int) -> bool:
-        """Keyed hash of the merge and its place: a multiply-and-shift mix."""
-        h = (self.key ^ (variant * 0x9E3779B1)) & 0xFFFFFFFF
-        h = ((h ^ merged) * 0x85EBCA6B + left * 0xC2B2AE35) & 0xFFFFFFFF
-        h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-        h = ((h ^ (h >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-        return (h ^ (h >> 15)) < self.limit
-
-    def segment(self, chunk: str, variant: int) -> list[str]:
-        rank = self.rank
+        ordered = sorted(scores, key=scores.get)
+        self.rank = {piece: k for k, piece in enumerate(ordered)}
+        self.none = len(ordered)
+        self.coded = {piece: np.array([i], "<i4").tobytes() for piece, (_, i) in scores.items()}
+        self.segments = [Segments(self, v) for v in range(VARIANTS if self.limit else 1)]
+
+    def drops(self, variant: int) -> list[bytes]:
+        """By place in a chunk and rank of a merge: 1 where it is skipped. A keyed hash, tabulated."""
+        if not self.limit:
+            return []
+        with np.errstate(over="ignore"):
+            ranks = (np.arange(self.none, dtype=np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+            tables = []
+            for place in range(LONG):
+                salt = np.uint32(xxhash.xxh32_intdigest(f"{self.seed}:{variant}:{place}"))
+                h = (ranks ^ salt) * np.uint32(0x85EBCA6B)
+                h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+                h = (h ^ (h >> np.uint32(12))) * np.uint32(0x297A2D39)
+                tables.append((h < self.limit).astype(np.uint8).tobytes())
+        return tables
+
+    def segment(self, chunk: str, drops: list[bytes]) -> list[str]:
+        return self.short(chunk, drops) if len(chunk) <= LONG else self.long(chunk, drops)
+
+    def short(self, chunk: str, drops: list[bytes]) -> list[str]:
+        """The agenda as a list of the ranks of neighbouring pairs."""
+        rank, none = self.rank.get, self.none
+        parts = list(chunk)
+        agenda = [rank(chunk[i : i + 2], none) for i in range(len(chunk) - 1)]
+        agenda.append(none)
+        while (best := min(agenda)) < none:
+            i = agenda.index(best)
+            if drops and drops[i][best]:
+                agenda[i] = none
+                continue
+            whole = parts[i] = parts[i] + parts.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = rank(parts[i - 1] + whole, none)
+            if i + 1 < len(parts):
+                agenda[i] = rank(whole + parts[i + 1], none)
+        return parts
+
+    def long(self, chunk: str, drops: list[bytes]) -> list[str]:
+        """The same for long chunks, the agenda being a heap; places are those in the chunk."""
+        rank, none = self.rank.get, self.none
         parts: list[str | None] = list(chunk)
         n = len(parts)
         after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            found = rank.get(parts[i] + parts[i + 1])
-            if found:
-                agenda.append((found[0], i, i + 1, found[1], len(parts[i]) + len(parts[i + 1])))
+        agenda = [(rank(parts[i] + parts[i + 1], none), i, i + 1, 2) for i in range(n - 1)]
+        agenda = [entry for entry in agenda if entry[0] < none]
         heapq.heapify(agenda)
         while agenda:
-            _, left, right, merged, size = heapq.heappop(agenda)
+            best, left, right, size = heapq.heappop(agenda)
             a, b = parts[left], parts[right]
             if a is None or b is None or after[left] != right or len(a) + len(b) != size:
                 continue
-            if self.limit and self.skipped(variant, left, merged):
+            if drops and drops[left % LONG][best]:
                 continue
             parts[left], parts[right] = (whole := a + b), None
             after[left] = nxt = after[right]
             if nxt < n:
                 ahead[nxt] = left
-                found = rank.get(whole + parts[nxt])
-                if found:
-                    heapq.heappush(agenda, (found[0], left, nxt, found[1], size + len(parts[nxt])))
-            if (prev := ahead[left]) >= 0:
-                found = rank.get(parts[prev] + whole)
-                if found:
-                    heapq.heappush(agenda, (found[0], prev, left, found[1], size + len(parts[prev])))
+                if (found := rank(whole + parts[nxt], none)) < none:
+                    heapq.heappush(agenda, (found, left, nxt, size + len(parts[nxt])))
+            if (prev := ahead[left]) >= 0 and (found := rank(parts[prev] + whole, none)) < none:
+                heapq.heappush(agenda, (found, prev, left, size + len(parts[prev])))
         return [p for p in parts if p is not None]
 
-    def ids(self, chunk: str, variant: int) -> bytes:
-        """Piece ids of a chunk as little-endian 32-bit numbers."""
-        found: list[int] = []
-        for piece in self.segment(chunk, variant):
-            known = self.rank.get(piece)
-            if known:
-                found.append(known[1])
-            else:
-                found.extend(self.byte_ids[b] for b in piece.encode("utf-8", "replace"))
-        return np.array(found, "<i4").tobytes()
+    def ids(self, chunk: str, drops: list[bytes]) -> bytes:
+        coded = self.coded
+        try:
+            return b"".join([coded[p] for p in self.segment(chunk, drops)])
+        except KeyError:  # a character that is no piece: its bytes
+            return b"".join(
+                coded.get(p) or np.array([self.byte_ids[x] for x in p.encode("utf-8", "replace")], "<i4").tobytes()
+                for p in self.segment(chunk, drops)
+            )
 
     def encode(self, text: str, name: int) -> bytes:
+        """Piece ids of a text. Neighbouring chunks take turns in the variants, the name of the document
+        says which is first."""
         if not text:
             return b""
-        chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
-        cache, out = self.cache, []
-        if len(cache) > CACHED:
-            cache.clear()
-        shift = name % VARIANTS
-        # Places count in steps that are not a multiple of the variants, shifted by the document.
-        for place, chunk in enumerate(chunks):
-            variant = (shift + place + place // VARIANTS) % VARIANTS if self.limit else 0
-            key = f"{variant}{chunk}"
-            got = cache.get(key)
-            if got is None:
-                got = self.ids(chunk, variant)
-                if len(chunk) <= 32:
-                    cache[key] = got
-            out.append(got)
+        if "  " in text or text[0] == " " or MARK in text:
+            chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
+        else:  # the same, faster: no two marks meet
+            chunks = (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")
+        out = [b""] * len(chunks)
+        turns = len(self.segments)
+        for k in range(min(turns, len(chunks))):
+            known = self.segments[(name + k) % turns]
+            out[k::turns] = map(known.__getitem__, chunks[k::turns])
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
-        table = self.bytes_of
-        joined = b"".join([table[i] for i in np.frombuffer(ids, "<i4").tolist()])
+        joined = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<i4").tolist()))
         return joined[1:].decode("utf-8", "replace") if joined else ""
 
 
