@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslens import schemas
 from accesslens.functions.values import moment, or_empty, or_zero
 from accesslens.operators.decode import rfc3339
+from accesslens.operators.latest import latest
 
 USERS_PAGE = (
     "response STRUCT<users: ARRAY<STRUCT<id: BIGINT, username: STRING, status: STRING, "
@@ -29,16 +32,16 @@ def load_dim_users(pages: DataFrame, as_of) -> DataFrame:
     """Account rows of all pages, stamped ``updated_at = as_of``.
 
     Missing tag, device limit or expiry become ``''``, 0 and the epoch;
-    negative traffic limits become 0.
+    traffic limits outside 0 … 2^64 become the nearer end.
     """
     u = pages.select(F.explode("response.users").alias("u")).select("u.*")
-    limit = F.greatest(F.coalesce("trafficLimitBytes", F.lit(0.0)), F.lit(0.0))
+    limit = F.least(F.greatest(F.coalesce("trafficLimitBytes", F.lit(0.0)), F.lit(0.0)), F.lit(float(2**64)))
     return u.select(
         or_zero(F.col("id")).alias("user_id"),
         or_empty(F.col("username")).alias("username"),
         or_empty(F.col("status")).alias("status"),
         or_empty(F.col("tag")).alias("tag"),
-        limit.cast("bigint").alias("traffic_limit_bytes"),
+        (limit - limit % 1).cast("decimal(20,0)").alias("traffic_limit_bytes"),
         or_zero(F.col("hwidDeviceLimit")).alias("hwid_device_limit"),
         F.coalesce(rfc3339("expireAt"), moment(UNSET_TIME)).alias("expire_at"),
         moment(as_of).alias("updated_at"),
@@ -52,10 +55,11 @@ def load_dim_nodes(pages: DataFrame, as_of) -> DataFrame:
     attached to nothing.
     """
     n = pages.select(F.explode("response").alias("n")).select("n.*")
-    counts = n.agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("id") > 0).alias("usable")).first()
-    if counts["seen"] and not counts["usable"]:
-        raise ValueError(f"none of the {counts['seen']} nodes has a numeric id")
-    return n.filter(F.col("id") > 0).select(
+    seen, usable = F.count(F.lit(1)), F.count_if(F.col("id") > 0)
+    problem = F.raise_error(F.concat(F.lit("none of the "), seen.cast("string"), F.lit(" nodes has a numeric id")))
+    # Part of the plan, so nothing runs before the result is asked for.
+    sound = n.agg(F.when((seen > 0) & (usable == 0), problem.cast("boolean")).otherwise(True).alias("ok")).scalar()
+    return n.filter((F.col("id") > 0) & sound).select(
         F.col("id").alias("node_id"),
         or_empty(F.col("uuid")).alias("uuid"),
         or_empty(F.col("name")).alias("name"),
@@ -65,9 +69,20 @@ def load_dim_nodes(pages: DataFrame, as_of) -> DataFrame:
 
 
 def append_snapshot(rows: DataFrame, path: str) -> None:
-    """Append a dimension refresh; an empty refresh writes nothing."""
-    if not rows.isEmpty():
-        rows.write.mode("append").parquet(path)
+    """Append a dimension refresh, evaluated once; an empty refresh only leaves an empty file."""
+    rows.write.mode("append").parquet(path)
+
+
+def compact_snapshots(spark: SparkSession, path: str, key: str, schema) -> str:
+    """Write the newest row of every key as a new folder beside the refreshes; returns it.
+
+    Reports that read the folder read one row per key however often the
+    dimension was refreshed; ``append_snapshot`` may go on into it.
+    """
+    target = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    newest = latest(spark.read.schema(schema).parquet(path), key)
+    newest.select(*schema.names).write.parquet(target)
+    return target
 
 
 def empty_users(spark: SparkSession) -> DataFrame:

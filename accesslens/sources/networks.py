@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 CITY_CIDR = "network STRING, country STRING, registered_country STRING, city STRING"
 ASN_CIDR = "network STRING, asn BIGINT, as_org STRING"
+CITY_BLOCKS = "network STRING, geoname_id BIGINT, registered_country_geoname_id BIGINT"
+LOCATIONS = "geoname_id BIGINT, country_iso_code STRING, city_name STRING"
 CITY_RANGES = "start_ip BIGINT, end_ip BIGINT, country STRING, registered_country STRING, city STRING"
 ASN_RANGES = "start_ip BIGINT, end_ip BIGINT, asn BIGINT, as_org STRING"
 

@@ -1,14 +1,25 @@
-"""Partitioned Parquet tables: facts, rollups, retention, backfill.
+"""Partitioned Parquet tables that are maintained where they live.
 
-Layout: ``<root>/batch_id=<id>/month=<yyyyMM>/…`` (``day=<date>`` for node
-connections). A batch owns its directory, so writing it again replaces it and
-a replayed micro-batch changes nothing.
+Layout: ``<root>/<table>/month=<yyyyMM>/batch_id=<id>/…`` (``day=<date>`` for node
+connections). A batch owns its folders, so writing it again replaces it and a
+replayed micro-batch changes nothing.
+
+Compaction, rebuilding a rollup and retention replace batches in place. What
+replaces what is written to ``<root>/_log/<table>`` first: until the new batch
+is committed readers skip it, from then on they skip the old ones, which are
+deleted last. A replacement that broke off is finished or undone by the next
+one. One maintenance job per table at a time; ingest may go on, as batches that
+appear meanwhile are neither read nor replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+import json
+import uuid
+from collections.abc import Callable, Collection, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +27,7 @@ from pyspark.sql import types as T
 from accesslens import schemas
 from accesslens.functions.values import moment
 from accesslens.operators import rollups
+from accesslens.sources import files
 
 # Table -> (schema, time column, partition column, sort keys, days kept).
 LAYOUT: dict[str, tuple[T.StructType, str, str, Sequence[str], int]] = {
@@ -37,6 +49,8 @@ ROLLUP_OF: dict[str, tuple[str, Callable[[DataFrame], DataFrame], Callable[[Data
     "sub_requests": ("sub_req_5m", rollups.sub_req_5m, rollups.merge_sub),
 }
 
+Batch = tuple[str, str]  # partition value as in the folder's name, batch id
+
 
 def partition_value(table: str):
     _, ts, kind, _, _ = LAYOUT[table]
@@ -52,32 +66,198 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int | str) -> No
     row-group statistics can skip; nothing is shuffled.
     """
     schema, _, kind, keys, _ = LAYOUT[table]
-    rows = df.select(*schema.names, partition_value(table))
+    rows = df.select(*schema.names, partition_value(table), F.lit(str(batch_id)).alias("batch_id"))
     (
         rows.sortWithinPartitions(kind, *keys)
         .write.mode("overwrite")
-        .partitionBy(kind)
-        .parquet(f"{root}/{table}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(kind, "batch_id")
+        .parquet(f"{root}/{table}")
     )
 
 
+def rebalanced(df: DataFrame, table: str) -> DataFrame:
+    """Rows gathered by partition value; AQE then splits a busy month or day by
+    size and merges small ones, so neither giant nor tiny files appear."""
+    _, _, kind, _, _ = LAYOUT[table]
+    return df.withColumn(kind, partition_value(table)).hint("rebalance", kind)
+
+
 def write_rebalanced(df: DataFrame, root: str, table: str, batch_id: int | str) -> None:
-    """``write_batch`` into files of even size, for loads of history.
+    """``write_batch`` into files of even size, for loads of history."""
+    write_batch(rebalanced(df, table), root, table, batch_id)
 
-    Rows gather by partition value; AQE then splits a busy month or day by
-    size and merges small ones, so neither giant nor tiny files appear.
-    """
+
+def stored_schema(table: str) -> T.StructType:
+    """Columns as stored; those that old files lack have a default, which the scan fills in,
+    so that filters on them still reach Parquet."""
+    schema, _, kind, _, _ = LAYOUT[table]
+    fields = []
+    for field in schema:
+        late = field.name in LATE.get(table, ())
+        empty = "''" if isinstance(field.dataType, T.StringType) else "0"
+        default = {"EXISTS_DEFAULT": empty, "CURRENT_DEFAULT": empty} if late else None
+        fields.append(T.StructField(field.name, field.dataType, True, default))
+    partition = T.StructField(kind, T.DateType() if kind == "day" else T.IntegerType())
+    return T.StructType([*fields, partition, T.StructField("batch_id", T.StringType())])
+
+
+def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All batches, seen or not."""
+    schema = stored_schema(table)
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/{table}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_table(spark: SparkSession, root: str, table: str, batch_id: int | str | None = None) -> DataFrame:
+    """The rows of a table, or of one batch; columns an old batch lacks read as empty values."""
+    hidden, replaced = _skipped(spark, root, table)
+    rows = _stored(spark, root, table)
+    if hidden:
+        rows = rows.filter(~F.col("batch_id").isin(*hidden))
+    if replaced:
+        rows = rows.filter(~_in_batches(table, replaced))
+    if batch_id is not None:
+        rows = rows.filter(F.col("batch_id") == str(batch_id))
+    return rows.drop("batch_id")
+
+
+def _in_batches(table: str, batches: Collection[Batch]):
     _, _, kind, _, _ = LAYOUT[table]
-    even = df.withColumn(kind, partition_value(table)).hint("rebalance", kind)
-    write_batch(even.drop(kind), root, table, batch_id)
+    name = F.concat_ws("/", F.col(kind).cast("string"), F.col("batch_id"))
+    return name.isin(*[f"{value}/{batch}" for value, batch in batches])
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All batches of a table; columns an old batch lacks read as empty values."""
-    schema, _, kind, _, _ = LAYOUT[table]
-    stored = T.StructType([*schema.fields, T.StructField(kind, T.DateType() if kind == "day" else T.IntegerType())])
-    raw = spark.read.schema(stored).parquet(f"{root}/{table}")
-    return schemas.conform(raw, schema, late=LATE.get(table, ()), keep=(kind,))
+# --- replacing batches ---------------------------------------------------------
+
+
+def _log(root: str, table: str) -> str:
+    return f"{root}/_log/{table}"
+
+
+def _entries(spark: SparkSession, root: str, table: str) -> dict[str, list[Batch] | None]:
+    """Open replacements: new batch id -> batches it replaces, None while it is being written."""
+    names = files.children(spark, _log(root, table))
+    found: dict[str, list[Batch] | None] = {n.removesuffix(".writing"): None for n in names if n.endswith(".writing")}
+    for name in names:
+        if name.endswith(".done"):
+            old = json.loads(files.read_text(spark, f"{_log(root, table)}/{name}"))
+            found[name.removesuffix(".done")] = [tuple(b) for b in old]
+    return found
+
+
+def _skipped(spark: SparkSession, root: str, table: str) -> tuple[list[str], list[Batch]]:
+    entries = _entries(spark, root, table)
+    return [n for n, old in entries.items() if old is None], [b for old in entries.values() for b in old or ()]
+
+
+def batches(spark: SparkSession, root: str, table: str) -> list[Batch]:
+    """Partition value and id of every batch that readers see."""
+    _, _, kind, _, _ = LAYOUT[table]
+    hidden, replaced = _skipped(spark, root, table)
+    found = []
+    for folder in files.children(spark, f"{root}/{table}"):
+        if folder.startswith(f"{kind}="):
+            for batch in files.children(spark, f"{root}/{table}/{folder}"):
+                pair = (folder.split("=", 1)[1], batch.removeprefix("batch_id="))
+                if batch.startswith("batch_id=") and pair[1] not in hidden and pair not in replaced:
+                    found.append(pair)
+    return found
+
+
+def recover(spark: SparkSession, root: str, table: str) -> None:
+    """Finish replacements that were committed, undo those that were not."""
+    _, _, kind, _, _ = LAYOUT[table]
+    log = _log(root, table)
+    for new, old in _entries(spark, root, table).items():
+        if old is None:
+            for folder in files.children(spark, f"{root}/{table}"):
+                files.delete(spark, f"{root}/{table}/{folder}/batch_id={new}")
+        for value, batch in old or ():
+            files.delete(spark, f"{root}/{table}/{kind}={value}/batch_id={batch}")
+        files.delete(spark, f"{log}/{new}.writing")
+        files.delete(spark, f"{log}/{new}.done")
+
+
+def replace(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    old: Sequence[Batch],
+    build: Callable[[DataFrame], DataFrame | None],
+    *,
+    clean: bool = True,
+) -> str:
+    """Replace the batches ``old`` by one that ``build`` makes of their rows (None: by nothing).
+
+    ``clean=False`` leaves the old files, unseen, to the next ``recover``, for
+    readers that still work on them.
+    """
+    log, new = _log(root, table), f"r{uuid.uuid4().hex}"
+    files.write_text(spark, f"{log}/{new}.writing", "")
+    rows = _stored(spark, root, table)
+    rows = rows.filter(_in_batches(table, old)) if old else rows.limit(0)
+    made = build(rows.drop("batch_id"))
+    if made is not None:
+        write_batch(made, root, table, new)
+    files.write_text(spark, f"{log}/{new}.done", json.dumps(old))
+    if clean:
+        recover(spark, root, table)
+    return new
+
+
+def compact(spark: SparkSession, root: str, table: str, values: Collection[str] | None = None) -> list[str]:
+    """Merge the batches of a table, per partition value, into one; returns the values rewritten.
+
+    Rollup partials merge into one row per key, facts are only gathered into
+    files of even size. A partition that is one batch already is left alone.
+    """
+    recover(spark, root, table)
+    merges = {rollup: merge for rollup, _, merge in ROLLUP_OF.values()}
+    seen = batches(spark, root, table)
+    many = sorted({v for v, _ in seen if sum(x == v for x, _ in seen) > 1 and (values is None or v in values)})
+
+    def merged(rows: DataFrame) -> DataFrame:
+        return merges[table](rows) if table in merges else rebalanced(rows, table)
+
+    if many:
+        replace(spark, root, table, [b for b in seen if b[0] in many], merged)
+    return many
+
+
+def backfill(spark: SparkSession, root: str, table: str) -> None:
+    """Rebuild the rollup of a fact table from its raw facts, in place.
+
+    Rollup rows before the first raw fact stay as they are: raw facts are
+    dropped earlier than rollups. Run it while the table's ingest is stopped.
+    The aggregate has already spread the rows by bucket and account and AQE has
+    sized its partitions, so they are written as they are.
+    """
+    rollup, partial, _ = ROLLUP_OF[table]
+    _, ts, _, _, _ = LAYOUT[table]
+    recover(spark, root, rollup)
+    facts = read_table(spark, root, table)
+    first, last = facts.agg(
+        F.date_format(F.min(ts), "yyyyMM"), F.date_format(F.max(ts), "yyyyMM")
+    ).first()
+    if first is None:
+        return
+    rebuilt = partial(facts)
+    start = rebuilt.agg(F.min("ts5").alias("start")).scalar()
+    old = [b for b in batches(spark, root, rollup) if first <= b[0] <= last]
+
+    def build(rows: DataFrame) -> DataFrame:
+        kept = rows.drop("month").filter(F.col("ts5") < start)
+        return rebuilt.unionByName(kept)
+
+    replace(spark, root, rollup, old, build)
+
+
+# --- retention -----------------------------------------------------------------
 
 
 def retain(df: DataFrame, ts: str, days: int, now) -> DataFrame:
@@ -91,24 +271,18 @@ def retain(df: DataFrame, ts: str, days: int, now) -> DataFrame:
     return out
 
 
-def apply_retention(spark: SparkSession, root: str, table: str, new_root: str, now) -> None:
-    """Rewrite a table without expired rows under ``new_root``."""
-    _, ts, kind, _, days = LAYOUT[table]
-    kept = retain(read_table(spark, root, table), ts, days, now).drop(kind)
-    write_rebalanced(kept, new_root, table, "retained")
-
-
-def backfill(facts: DataFrame, root: str, table: str, batch_id: int | str = "backfill") -> None:
-    """Rebuild the rollup of a fact table from raw facts under ``root``.
-
-    The aggregate has already spread the rows by bucket and account and AQE
-    has sized its partitions, so they are written as they are.
-    """
-    rollup, partial, _ = ROLLUP_OF[table]
-    write_batch(partial(facts), root, rollup, batch_id)
-
-
-def compact(partials: DataFrame, root: str, table: str, batch_id: int | str = "compact") -> None:
-    """Merge the partials of a fact table's rollup into one batch under ``root``."""
-    rollup, _, merge = ROLLUP_OF[table]
-    write_batch(merge(partials), root, rollup, batch_id)
+def apply_retention(spark: SparkSession, root: str, table: str, now, days: int | None = None) -> None:
+    """Drop expired partitions and rewrite only the one the cutoff falls into."""
+    _, ts, kind, _, kept_days = LAYOUT[table]
+    now = now if isinstance(now, dt.datetime) else dt.datetime.fromisoformat(str(now))
+    days = kept_days if days is None else days
+    cutoff = now - dt.timedelta(days=days)
+    edge = f"{cutoff:%Y-%m-%d}" if kind == "day" else f"{cutoff:%Y%m}"
+    recover(spark, root, table)
+    seen = batches(spark, root, table)
+    if expired := [b for b in seen if b[0] < edge]:
+        replace(spark, root, table, expired, lambda rows: None)
+    if cut := [b for b in seen if b[0] == edge]:
+        outdated = read_table(spark, root, table).filter(F.col(kind).cast("string") == edge)
+        if not outdated.filter(F.col(ts) < moment(cutoff)).isEmpty():
+            replace(spark, root, table, cut, lambda rows: rebalanced(retain(rows, ts, days, now), table))
