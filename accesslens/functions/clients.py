@@ -7,68 +7,64 @@ from pyspark.sql import functions as F
 
 from accesslens.functions.addresses import trimmed
 
-# Token | family | kind. The first token found wins.
-_RULE_TEXT = """
-happ            | Happ                 | client
-streisand       | Streisand            | client
-hiddify         | Hiddify              | client
-v2rayng         | v2rayNG              | client
-v2raytun        | v2RayTun             | client
-v2rayn          | v2rayN               | client
-nekobox         | NekoBox              | client
-nekoray         | NekoRay              | client
-shadowrocket    | Shadowrocket         | client
-stash           | Stash                | client
-loon            | Loon                 | client
-quantumult      | Quantumult           | client
-surge           | Surge                | client
-clash-verge     | Clash Verge          | client
-clashx          | ClashX               | client
-clash           | Clash                | client
-mihomo          | Mihomo               | client
-sing-box        | sing-box             | client
-singbox         | sing-box             | client
-foxray          | FoXray               | client
-karing          | Karing               | client
-throne          | Throne               | client
-husi            | Husi                 | client
-exclave         | Exclave              | client
-matsuri         | Matsuri              | client
-v2box           | V2Box                | client
-sfa             | sing-box for Android | client
-sfi             | sing-box for iOS     | client
-sfm             | sing-box for macOS   | client
-curl            | curl                 | script
-wget            | wget                 | script
-python-requests | python-requests      | script
-python-urllib   | python-urllib        | script
-aiohttp         | aiohttp              | script
-httpx           | httpx                | script
-go-http-client  | Go-http-client       | script
-okhttp          | OkHttp               | script
-axios           | axios                | script
-node-fetch      | node-fetch           | script
-powershell      | PowerShell           | script
-java/           | Java                 | script
-libwww-perl     | libwww-perl          | script
-postman         | Postman              | script
-insomnia        | Insomnia             | script
-telegrambot     | TelegramBot          | bot
-crawler         | Crawler              | bot
-spider          | Spider               | bot
-bot             | Bot                  | bot
-edg/            | Edge                 | browser
-opr/            | Opera                | browser
-yabrowser       | Yandex Browser       | browser
-firefox         | Firefox              | browser
-chrome          | Chrome               | browser
-safari          | Safari               | browser
-mozilla         | Browser              | browser
-"""
-
-CLIENT_RULES: list[tuple[str, str, str]] = [
-    tuple(cell.strip() for cell in line.split("|")) for line in _RULE_TEXT.strip().splitlines()
-]
+# Token, family, kind. The first token found wins.
+CLIENT_RULES: tuple[tuple[str, str, str], ...] = (
+    ("happ", "Happ", "client"),
+    ("streisand", "Streisand", "client"),
+    ("hiddify", "Hiddify", "client"),
+    ("v2rayng", "v2rayNG", "client"),
+    ("v2raytun", "v2RayTun", "client"),
+    ("v2rayn", "v2rayN", "client"),
+    ("nekobox", "NekoBox", "client"),
+    ("nekoray", "NekoRay", "client"),
+    ("shadowrocket", "Shadowrocket", "client"),
+    ("stash", "Stash", "client"),
+    ("loon", "Loon", "client"),
+    ("quantumult", "Quantumult", "client"),
+    ("surge", "Surge", "client"),
+    ("clash-verge", "Clash Verge", "client"),
+    ("clashx", "ClashX", "client"),
+    ("clash", "Clash", "client"),
+    ("mihomo", "Mihomo", "client"),
+    ("sing-box", "sing-box", "client"),
+    ("singbox", "sing-box", "client"),
+    ("foxray", "FoXray", "client"),
+    ("karing", "Karing", "client"),
+    ("throne", "Throne", "client"),
+    ("husi", "Husi", "client"),
+    ("exclave", "Exclave", "client"),
+    ("matsuri", "Matsuri", "client"),
+    ("v2box", "V2Box", "client"),
+    ("sfa", "sing-box for Android", "client"),
+    ("sfi", "sing-box for iOS", "client"),
+    ("sfm", "sing-box for macOS", "client"),
+    ("curl", "curl", "script"),
+    ("wget", "wget", "script"),
+    ("python-requests", "python-requests", "script"),
+    ("python-urllib", "python-urllib", "script"),
+    ("aiohttp", "aiohttp", "script"),
+    ("httpx", "httpx", "script"),
+    ("go-http-client", "Go-http-client", "script"),
+    ("okhttp", "OkHttp", "script"),
+    ("axios", "axios", "script"),
+    ("node-fetch", "node-fetch", "script"),
+    ("powershell", "PowerShell", "script"),
+    ("java/", "Java", "script"),
+    ("libwww-perl", "libwww-perl", "script"),
+    ("postman", "Postman", "script"),
+    ("insomnia", "Insomnia", "script"),
+    ("telegrambot", "TelegramBot", "bot"),
+    ("crawler", "Crawler", "bot"),
+    ("spider", "Spider", "bot"),
+    ("bot", "Bot", "bot"),
+    ("edg/", "Edge", "browser"),
+    ("opr/", "Opera", "browser"),
+    ("yabrowser", "Yandex Browser", "browser"),
+    ("firefox", "Firefox", "browser"),
+    ("chrome", "Chrome", "browser"),
+    ("safari", "Safari", "browser"),
+    ("mozilla", "Browser", "browser"),
+)
 EMPTY_FAMILY, OTHER_FAMILY, UNKNOWN_KIND = "(empty)", "Other", "unknown"
 
 

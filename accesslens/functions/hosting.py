@@ -8,14 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that mark an operator as a data centre.
-HOSTING_KEYWORDS = tuple(
-    """
-    hosting, host, datacenter, data center, dedicated, server, cloud, vps, colo, ovh,
-    hetzner, digitalocean, linode, vultr, contabo, scaleway, leaseweb, m247, choopa,
-    amazon, aws, google llc, microsoft, azure, oracle, alibaba, tencent, packet, equinix,
-    cogent, netcup, aeza, vdsina, timeweb, selectel, firstbyte, ihor, serverius,
-    worldstream, clouvider
-    """.replace("\n    ", " ").strip().split(", ")
+HOSTING_KEYWORDS = (
+    "hosting", "host", "datacenter", "data center", "dedicated", "server", "cloud", "vps", "colo", "ovh",
+    "hetzner", "digitalocean", "linode", "vultr", "contabo", "scaleway", "leaseweb", "m247", "choopa", "amazon",
+    "aws", "google llc", "microsoft", "azure", "oracle", "alibaba", "tencent", "packet", "equinix", "cogent",
+    "netcup", "aeza", "vdsina", "timeweb", "selectel", "firstbyte", "ihor", "serverius", "worldstream",
+    "clouvider",
 )
 
 

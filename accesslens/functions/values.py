@@ -35,9 +35,29 @@ def first_filled(*values: Column) -> Column:
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values], F.lit(""))
 
 
+def unsigned_text(key: str) -> str:
+    """SQL text of a 64-bit id. Ids are unsigned; from 2^63 on their BIGINT is negative."""
+    return f"IF({key} < 0, CAST(CAST({key} AS DECIMAL(20,0)) + 18446744073709551616 AS STRING), CAST({key} AS STRING))"
+
+
 def display_name(name: str, kind: str, key: str) -> Column:
     """Column ``name``, or ``<kind>-<key>`` when it is missing or empty."""
-    return F.expr(f"coalesce(nullif({name}, ''), concat('{kind}-', {key}))")
+    return F.expr(f"coalesce(nullif({name}, ''), concat('{kind}-', {unsigned_text(key)}))")
+
+
+def total(column: str) -> Column:
+    """Aggregate: exact sum of byte counts; no sum of 64-bit values overflows it."""
+    return F.sum(F.col(column).cast("decimal(38,0)"))
+
+
+def as_bigint(value: Column) -> Column:
+    """A sum as reports show it: BIGINT, larger values as the largest BIGINT."""
+    most = F.lit(2**63 - 1)
+    return F.when(value > most, most).otherwise(value.cast("bigint"))
+
+
+def total_bigint(column: str) -> Column:
+    return as_bigint(total(column))
 
 
 def is_blocked(response_type: Column) -> Column:

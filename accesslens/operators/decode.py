@@ -1,9 +1,12 @@
 """Decoders from stream entries to fact rows.
 
-A message is valid as a whole or not at all, so each decoder first adds a
-``reason`` column (NULL for a valid message) and only then explodes. Nothing
-here shuffles: a decoder is one projection, one filter and a generator, and
-the same plan runs in batch and in streaming.
+A message is valid as a whole or not at all. ``judged`` parses each message
+once and adds ``reason`` (NULL for a valid message) and the number of rows it
+yields; the decoders then turn valid messages into rows. Nothing here shuffles,
+and the same plan runs in batch and in streaming.
+
+Ids are unsigned 64-bit numbers held in the 64 bits of a BIGINT, byte counts are
+decimals, so no legal value is refused and no sum overflows.
 """
 
 from __future__ import annotations
@@ -50,14 +53,23 @@ def _field(name: str) -> str:
     return f"coalesce(fields['{name}'], '')"
 
 
+_MOST = "18446744073709551615"
+
+
 def _unsigned(text: str) -> str:
-    return f"CASE WHEN {text} RLIKE '^[0-9]+$' THEN try_cast({text} AS BIGINT) END"
+    """The 64 bits of a number made of digits only; from 2^63 on the BIGINT is negative."""
+    wide = f"try_cast({text} AS DECIMAL(38,0))"
+    return (
+        f"CASE WHEN {text} RLIKE '^[0-9]{{1,18}}$' THEN CAST({text} AS BIGINT) "
+        f"WHEN {text} RLIKE '^[0-9]+$' AND {wide} <= {_MOST} "
+        f"THEN CAST(IF({wide} > 9223372036854775807, {wide} - {_MOST} - 1, {wide}) AS BIGINT) END"
+    )
 
 
 def _unsigned_problem(text: str, what: str) -> str:
     return (
         f"CASE WHEN {text} RLIKE '^[0-9]{{1,18}}$' THEN NULL WHEN NOT {text} RLIKE '^[0-9]+$' THEN 'bad_{what}' "
-        f"WHEN try_cast({text} AS BIGINT) IS NULL THEN 'uint64_out_of_range' END"
+        f"WHEN coalesce(try_cast({text} AS DECIMAL(38,0)) > {_MOST}, TRUE) THEN 'uint64_out_of_range' END"
     )
 
 
@@ -85,18 +97,10 @@ def rfc3339(text: str) -> Column:
 
 
 def unsigned(text: str) -> Column:
-    """BIGINT of a text made of digits only, NULL otherwise or above 2^63-1."""
+    """The 64 bits of a text made of digits only, NULL otherwise or above 2^64-1."""
     return F.expr(_unsigned(text))
 
 
-def _split(entries: DataFrame, stream: str) -> tuple[DataFrame, DataFrame]:
-    """Valid messages of a stream and its rejects with their reason."""
-    reason = REASONS[stream]
-    own = entries.filter(F.col("stream") == stream)
-    rejects = own.select("entry_id", "stream", F.expr(reason).alias("reason"), "fields")
-    return own.filter(f"{reason} IS NULL"), rejects.filter(F.col("reason").isNotNull())
-
-
 def _pairs(text: str) -> str:
     return f"filter(split({text}, ';'), p -> p <> '')"
 
@@ -126,23 +130,18 @@ def _records_problem(text: str) -> str:
     )
 
 
-def decode_user_usage(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+def usage_rows(good: DataFrame) -> DataFrame:
     """Traffic batches: one row per packed ``user:bytes`` record."""
-    good, rejects = _split(entries, USAGE_STREAM)
-    rows = (
+    user, amount = "substring_index(p, ':', 1)", "substring(p, instr(p, ':') + 1)"
+    return (
         good.selectExpr(
             f"{_moment(_field('ts'))} AS ts",
             f"{_unsigned(_field('nodeId'))} AS node_id",
             f"{_field('records')} AS records",
         )
         .selectExpr("ts", "node_id", f"explode({_pairs('records')}) AS p")
-        .selectExpr(
-            "ts", "node_id",
-            "CAST(substring_index(p, ':', 1) AS BIGINT) AS user_id",
-            "CAST(substring(p, instr(p, ':') + 1) AS BIGINT) AS bytes",
-        )
+        .selectExpr("ts", "node_id", f"{_unsigned(user)} AS user_id", f"CAST({amount} AS DECIMAL(20,0)) AS bytes")
     )
-    return rows, rejects
 
 
 def response_type(panel_spelling: str, contract_spelling: str) -> Column:
@@ -150,10 +149,9 @@ def response_type(panel_spelling: str, contract_spelling: str) -> Column:
     return first_filled(F.expr(panel_spelling), F.expr(contract_spelling))
 
 
-def decode_sub_requests(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+def request_rows(good: DataFrame) -> DataFrame:
     """Subscription fetches, not yet enriched: one row per message."""
-    good, rejects = _split(entries, REQUEST_STREAM)
-    rows = good.select(
+    return good.select(
         rfc3339(_field("requestAt")).alias("ts"),
         unsigned(_field("userId")).alias("user_id"),
         F.expr(_field("requestIp")).alias("ip"),
@@ -161,7 +159,6 @@ def decode_sub_requests(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
         response_type("fields['ssrResponseType']", "fields['srrResponseType']").alias("srr_response_type"),
         F.expr(_field("srrRuleName")).alias("srr_rule_name"),
     )
-    return rows, rejects
 
 
 _USERS = "ARRAY<STRUCT<userId: STRING, ips: ARRAY<STRUCT<ip: STRING, lastSeen: STRING>>>>"
@@ -222,75 +219,105 @@ def _users(text: str) -> str:
     )
 
 
-def _users_problem(text: str) -> str:
+def _users_problem(users: str) -> str:
     seen = "coalesce(i.lastSeen, '')"
     sighting = f"""CASE WHEN i IS NULL THEN 'bad_users'
         WHEN ({_instant(seen)}) IS NULL THEN 'bad_last_seen' END"""
     user = f"""coalesce({_unsigned_problem("coalesce(u.userId, '')", 'users')},
         get(filter(transform(u.ips, i -> {sighting}), x -> x IS NOT NULL), 0))"""
-    return _bind(
-        _users(text),
-        "users",
-        f"""CASE WHEN users IS NULL THEN 'bad_users'
-        ELSE get(filter(transform(users, u -> {user}), x -> x IS NOT NULL), 0) END""",
-    )
+    return f"""CASE WHEN {users} IS NULL THEN 'bad_users'
+        ELSE get(filter(transform({users}, u -> {user}), x -> x IS NOT NULL), 0) END"""
 
 
-def decode_node_connections(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+def connection_rows(good: DataFrame) -> DataFrame:
     """Node snapshots, not yet enriched: one row per (user, address) pair."""
-    good, rejects = _split(entries, CONNECTION_STREAM)
-    rows = (
+    return (
         good.selectExpr(
             f"{_moment(_field('ts'))} AS ts",
             f"{_unsigned(_field('nodeId'))} AS node_id",
-            f"{_field('users')} AS snapshot",
+            "explode(parsed.users) AS u",
         )
-        .selectExpr("ts", "node_id", f"explode({_users('snapshot')}) AS u")
-        .selectExpr("ts", "node_id", "CAST(u.userId AS BIGINT) AS user_id", "explode(u.ips) AS i")
+        .selectExpr("ts", "node_id", f"{_unsigned('u.userId')} AS user_id", "explode(u.ips) AS i")
         .selectExpr(
             "ts", "node_id", "user_id", "coalesce(i.ip, '') AS ip", f"{_moment('i.lastSeen')} AS last_seen"
         )
     )
-    return rows, rejects
 
 
-# SQL per stream: why a message is rejected (NULL when valid), and how many
-# fact rows a valid message yields.
+# SQL per stream over ``fields`` and what was parsed of them: why a message is
+# rejected (NULL when valid), and how many fact rows a valid message yields.
 REASONS = {
     USAGE_STREAM: _reason("nodeId", "ts", _missing("records"), _records_problem(_field("records"))),
     REQUEST_STREAM: _reason("userId", "requestAt"),
-    CONNECTION_STREAM: _reason("nodeId", "ts", _missing("users"), _users_problem(_field("users"))),
+    CONNECTION_STREAM: _reason("nodeId", "ts", _missing("users"), _users_problem("parsed.users")),
 }
 ROWS_PER_MESSAGE = {
     USAGE_STREAM: f"size({_pairs(_field('records'))})",
     REQUEST_STREAM: "1",
-    CONNECTION_STREAM: f"aggregate({_users(_field('users'))}, 0, (n, u) -> n + size(u.ips))",
+    CONNECTION_STREAM: "aggregate(parsed.users, 0, (n, u) -> n + size(u.ips))",
 }
 
 
+def judged(entries: DataFrame) -> DataFrame:
+    """Entries with ``parsed``, ``reason`` and ``rows`` (what a valid message yields).
+
+    The generator keeps parsing apart: what filters or reads the parsed column
+    does not parse again. Entries of no known stream and unreadable ones are
+    rejects too.
+    """
+
+    def per_stream(sql: dict[str, str], other: str) -> str:
+        return "CASE stream " + " ".join(f"WHEN '{s}' THEN {x}" for s, x in sql.items()) + f" ELSE {other} END"
+
+    raw = "raw" if "raw" in entries.columns else "CAST(NULL AS STRING) AS raw"
+    users = f"CASE WHEN stream = '{CONNECTION_STREAM}' AND {_field('users')} <> '' THEN {_users(_field('users'))} END"
+    known = "IF(raw IS NULL, 'unknown_stream', 'unreadable_entry')"
+    reason = f"IF(raw IS NOT NULL, 'unreadable_entry', {per_stream(REASONS, known)})"
+    parsed = entries.selectExpr("entry_id", "stream", "fields", raw).selectExpr(
+        "*", f"explode(array(named_struct('users', {users}))) AS parsed"
+    )
+    return parsed.selectExpr("*", f"{reason} AS reason").selectExpr(
+        "*", f"IF(reason IS NULL, {per_stream(ROWS_PER_MESSAGE, '0')}, 0) AS rows"
+    )
+
+
+def rejects(marked: DataFrame) -> DataFrame:
+    return marked.filter("reason IS NOT NULL").select(*schemas.QUARANTINE.names)
+
+
 @dataclass(frozen=True)
 class StreamSpec:
     """One export stream: where its rows go and how a message becomes rows.
 
-    ``decode`` turns entries into (rows, rejects); ``enrich`` gets the decoded
-    rows plus the network tables and returns rows in ``schema``.
+    ``messages`` turns valid judged entries into rows; ``enrich`` gets these
+    plus the network tables and returns rows in ``schema``.
     """
 
     stream: str
     table: str
     schema: T.StructType
-    decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+    messages: Callable[[DataFrame], DataFrame]
     enrich: Callable[..., DataFrame]
 
-    def rows(self, entries: DataFrame, city_nets=None, asn_nets=None) -> tuple[DataFrame, DataFrame]:
-        decoded, rejects = self.decode(entries)
-        out = self.enrich(decoded, city_nets, asn_nets).select(*self.schema.names)
+    def stored_rows(self, marked: DataFrame, city_nets=None, asn_nets=None) -> DataFrame:
+        """Fact rows of the stream's valid messages among judged entries."""
+        good = marked.filter((F.col("stream") == self.stream) & F.col("reason").isNull())
+        out = self.enrich(self.messages(good), city_nets, asn_nets).select(*self.schema.names)
         if out.schema.simpleString() != self.schema.simpleString():
             raise TypeError(
                 f"{self.table}: rows are {out.schema.simpleString()}, "
                 f"declared {self.schema.simpleString()}"
             )
-        return out, rejects
+        return out
+
+    def decode(self, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Decoded rows, not enriched, and rejects of the stream's entries."""
+        marked = judged(entries.filter(F.col("stream") == self.stream))
+        return self.messages(marked.filter("reason IS NULL")), rejects(marked)
+
+    def rows(self, entries: DataFrame, city_nets=None, asn_nets=None) -> tuple[DataFrame, DataFrame]:
+        marked = judged(entries.filter(F.col("stream") == self.stream))
+        return self.stored_rows(marked, city_nets, asn_nets), rejects(marked)
 
 
 def _registry() -> dict[str, StreamSpec]:
@@ -298,17 +325,28 @@ def _registry() -> dict[str, StreamSpec]:
 
     return {
         USAGE_STREAM: StreamSpec(
-            USAGE_STREAM, "user_usage", schemas.USER_USAGE, decode_user_usage,
+            USAGE_STREAM, "user_usage", schemas.USER_USAGE, usage_rows,
             lambda rows, city_nets, asn_nets: rows,
         ),
         REQUEST_STREAM: StreamSpec(
-            REQUEST_STREAM, "sub_requests", schemas.SUB_REQUESTS, decode_sub_requests, enrich_requests,
+            REQUEST_STREAM, "sub_requests", schemas.SUB_REQUESTS, request_rows, enrich_requests,
         ),
         CONNECTION_STREAM: StreamSpec(
-            CONNECTION_STREAM, "node_connections", schemas.NODE_CONNECTIONS,
-            decode_node_connections, enrich_connections,
+            CONNECTION_STREAM, "node_connections", schemas.NODE_CONNECTIONS, connection_rows, enrich_connections,
         ),
     }
 
 
 STREAMS: dict[str, StreamSpec] = _registry()
+
+
+def decode_user_usage(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return STREAMS[USAGE_STREAM].decode(entries)
+
+
+def decode_sub_requests(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return STREAMS[REQUEST_STREAM].decode(entries)
+
+
+def decode_node_connections(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return STREAMS[CONNECTION_STREAM].decode(entries)

@@ -1,26 +1,27 @@
 """Address and client enrichment of fact rows.
 
-Network tables come in two shapes and each has its own exact lookup:
-
-* ranges (``start_ip``, ``end_ip``; IPv4 numbers, disjoint) are cut into blocks
-  at three granularities, so a lookup is an equi-join on the block plus a
-  bounded comparison inside it;
-* CIDR text (``network``; both families, nesting allowed) is an equi-join on
-  (prefix length, masked address) and the longest match wins.
-
-When the network tables are small enough to broadcast, range lookups run
-straight on the facts and no fact row is shuffled. Otherwise only distinct
-addresses are looked up and the result is joined back.
+Network tables come as IPv4 ranges (``start_ip``, ``end_ip``) or as CIDR text
+(``network``, both families). Either way ``index_networks`` turns them into one
+index: ranges of 128-bit numbers cut at the blocks of a few grids, one row per
+block with the ranges in it. A lookup is an equi-join on the block per grid and
+a choice among the ranges of that row: the smallest that holds the address. So
+networks may nest, overlap or repeat, and a fact row never multiplies.
+
+When the index is measured to be small it is broadcast and no fact row is
+shuffled. Otherwise distinct addresses are looked up and the result is joined
+back; addresses that cannot match take no part in that join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.functions.addresses import address, masked, prefix_of, routable
+from accesslens import session
+from accesslens.functions.addresses import address, prefix_of, routable
 from accesslens.functions.clients import ua_classify
 from accesslens.functions.hosting import hosting_flag
 from accesslens.functions.values import first_filled
@@ -28,27 +29,16 @@ from accesslens.functions.values import first_filled
 CITY_COLUMNS = ("country", "city")
 ASN_COLUMNS = ("asn", "as_org", "is_hosting")
 
-# Block sizes, in address bits, of the three range grids.
-_GRIDS = (16, 12, 8)
+# Prefix lengths of the grids; a range goes to the coarsest grid it fills a block of,
+# so it has at most 257 pieces and a block at most as many disjoint ranges.
+GRIDS = {4: (8, 16, 24), 6: (16, 24, 32, 40, 48, 56, 64)}
+WIDTH = {4: 32, 6: 64}  # bits of ``hi``, which holds a whole IPv4 number
 
-# Networks are a registry, not event data; this bounds what a lookup may send
-# to every executor, measured by Catalyst's estimate of the table's size.
+# What a lookup may send to every executor, all grids together, as rows of the
+# index count: see ``NetworkIndex.bytes``.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; costs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def _is_ranges(nets: DataFrame) -> bool:
-    return "start_ip" in nets.columns
-
-
-def _network_columns(nets: DataFrame) -> list[str]:
-    return ["start_ip", "end_ip"] if _is_ranges(nets) else ["network"]
-
-
 def network_table(nets: DataFrame, columns: Sequence[str], keywords: Iterable[str] | None = None) -> DataFrame:
     """Network columns plus the looked-up ``columns``, empty values filled in.
 
@@ -63,121 +53,160 @@ def network_table(nets: DataFrame, columns: Sequence[str], keywords: Iterable[st
         "as_org": lambda: F.expr("coalesce(as_org, '')"),
         "is_hosting": lambda: hosting_flag("coalesce(as_org, '')", keywords),
     }
-    return nets.select(*_network_columns(nets), *[values[c]().alias(c) for c in columns])
+    where = ("start_ip", "end_ip") if "start_ip" in nets.columns else ("network",)
+    return nets.select(*where, *[values[c]().alias(c) for c in columns])
 
 
-def range_lookup(
-    df: DataFrame, probe: str, nets: DataFrame, columns: Sequence[str], *, small: bool, tag: str = ""
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Left-join disjoint IPv4 ranges onto ``df`` by the number in ``probe``.
+def _mask(bits: str) -> str:
+    """SQL of a BIGINT with the lowest ``bits`` bits set."""
+    return f"CASE WHEN {bits} >= 64 THEN -1L WHEN {bits} <= 0 THEN 0L ELSE ~shiftleft(-1L, {bits}) END"
 
-    A range goes to the coarsest grid it fills at least one block of, so it is
-    cut into few pieces (at most 65,536 for the whole address space, 17 per
-    range below that) and at most a handful of pieces share a block. Returns
-    the joined frame and the expression of each looked-up column.
-    """
-    hits = []
-    for i, bits in enumerate(_GRIDS):
-        least = 1 if bits == _GRIDS[-1] else 1 << bits
-        below = 1 << (_GRIDS[i - 1] if i else 33)
-        name = f"_{tag}{bits}"
-        grid = nets.filter(f"end_ip - start_ip + 1 BETWEEN {least} AND {below - 1}").select(
-            F.expr(f"explode(sequence(start_ip >> {bits}, end_ip >> {bits}))").alias(f"{name}_block"),
-            F.col("start_ip").alias(f"{name}_lo"),
-            F.col("end_ip").alias(f"{name}_hi"),
-            F.struct(*columns).alias(f"{name}_hit"),
-        )
-        inside = F.expr(
-            f"{probe} >> {bits} = {name}_block AND {probe} BETWEEN {name}_lo AND {name}_hi"
-        )
-        df = df.join(F.broadcast(grid) if small else grid, inside, "left")
-        hits.append(f"{name}_hit")
-    return df, {c: F.expr(f"coalesce({', '.join(hits)}).{c}") for c in columns}
 
+def _ranges(nets: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``family``, first and last address as (hi, lo), the looked-up values."""
+    hit = F.struct(*columns).alias("hit")
+    if "start_ip" in nets.columns:
+        return nets.select(
+            F.lit(4).alias("family"), F.col("start_ip").alias("s_hi"), F.lit(0).cast("bigint").alias("s_lo"),
+            F.col("end_ip").alias("e_hi"), F.lit(0).cast("bigint").alias("e_lo"), hit,
+        ).filter("s_hi <= e_hi")
+    parsed = nets.select(
+        address("substring_index(network, '/', 1)").alias("a"),
+        F.expr("try_cast(substring_index(network, '/', -1) AS INT)").alias("len"),
+        hit,
+    ).filter("a.family > 0 AND len BETWEEN 0 AND IF(a.family = 4, 32, 128)")
+    hi, lo = _mask("IF(a.family = 4, 32 - len, 64 - len)"), f"IF(a.family = 4, 0L, {_mask('128 - len')})"
+    return parsed.selectExpr("a.family AS family", "a.hi AS hi", "a.lo AS lo", f"{hi} AS h", f"{lo} AS l", "hit").selectExpr(
+        "family", "hi & ~h AS s_hi", "lo & ~l AS s_lo", "hi | h AS e_hi", "lo | l AS e_lo", "hit"
+    )
 
-def prefix_lookup(
-    addresses: DataFrame, nets: DataFrame, columns: Sequence[str], tag: str = ""
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Longest-prefix match of distinct addresses against CIDR networks.
 
-    ``addresses`` has one row per ``ip`` with its parsed ``_addr``. Each is
-    tried only at the prefix lengths that occur for its family (at most
-    33 + 129 values, hence the broadcast); every try is an equi-join.
-    """
-    parsed = nets.select(
-        address("substring_index(network, '/', 1)").alias("_net"),
-        F.expr("CAST(substring_index(network, '/', -1) AS INT)").alias("_len"),
-        F.struct(*columns).alias("_hit"),
-    ).select("_net.family", "_len", masked("_net", "_len").alias("_masked"), "_hit")
-    lengths = parsed.select(F.col("family").alias("_lf"), F.col("_len").alias("_try")).distinct()
-    tries = (
-        addresses.filter(routable("_addr"))
-        .join(F.broadcast(lengths), F.expr("_addr.family = _lf"))
-        .select(F.col("ip").alias(f"_{tag}ip"), "_lf", "_try", masked("_addr", "_try").alias("_m"))
+def _ordered(value: str) -> str:
+    """SQL of a BIGINT that orders as ``value`` does as an unsigned number."""
+    return f"({value} ^ shiftleft(1L, 63))"
+
+
+@dataclass(frozen=True)
+class NetworkIndex:
+    """``blocks``: family, grid, block and its ranges, smallest first. ``bytes`` is what they take, by a
+    count of the index itself; ``families`` those that occur."""
+
+    blocks: DataFrame
+    values: tuple[str, ...]
+    bytes: int
+    families: tuple[int, ...]
+
+
+def index_networks(nets: DataFrame, values: Sequence[str], keywords: Iterable[str] | None = None) -> NetworkIndex:
+    """Build, store and measure the index: a job, to be run once per refresh of the networks."""
+    spark = nets.sparkSession
+    span = "(e_hi - s_hi)"  # addresses of IPv4, /64 networks of IPv6, less one; below 0 from 2^63 on
+    tests = [
+        f"WHEN family = {family} AND ({span} < 0 OR {span} >= {(1 << (WIDTH[family] - grid)) - 1}L) THEN {grid}"
+        for family, grids in GRIDS.items()
+        for grid in grids[:-1]
+    ]
+    grid = f"CASE {' '.join(tests)} WHEN family = 4 THEN {GRIDS[4][-1]} ELSE {GRIDS[6][-1]} END"
+    shift = f"IF(family = 4, {WIDTH[4]}, {WIDTH[6]}) - grid"
+    first, last = (f"shiftrightunsigned({end}, {shift})" for end in ("s_hi", "e_hi"))
+    one = ", ".join(f"'{c}', {_ordered(c)}" for c in ("s_hi", "s_lo", "e_hi", "e_lo"))
+    sizes = f"'span', {_ordered('(e_hi - s_hi)')}, 'below', {_ordered('(e_lo - s_lo)')}"
+    pieces = (
+        _ranges(network_table(nets, values, keywords), values)
+        .selectExpr("*", f"{grid} AS grid")
+        .selectExpr("family", "grid", f"explode(sequence({first}, {last})) AS block", f"named_struct({sizes}, {one}, 'hit', hit) AS r")
     )
-    best = (
-        tries.join(
-            parsed,
-            F.expr("_lf = family AND _try = _len AND _m.hi = _masked.hi AND _m.lo = _masked.lo"),
+    blocks = pieces.groupBy("family", "grid", "block").agg(F.sort_array(F.collect_set("r")).alias("ranges"))
+    path = session.scratch(spark, "networks")
+    blocks.write.parquet(path)
+    blocks = spark.read.schema(blocks.schema).parquet(path)
+    # Text length, four times over for objects and the hash table around them.
+    size, families = blocks.agg(
+        F.coalesce(F.sum(F.octet_length(F.col("ranges").cast("string"))), F.lit(0)), F.collect_set("family")
+    ).first()
+    return NetworkIndex(blocks, tuple(values), 4 * size, tuple(sorted(families)))
+
+
+def lookup(df: DataFrame, index: NetworkIndex, *, small: bool, tag: str = "") -> tuple[DataFrame, dict[str, Column]]:
+    """Look the routable address in ``_addr`` up: one equi-join per grid, at most one row each.
+
+    Returns the joined frame and the expression of each looked-up column.
+    Ranges of a finer grid are smaller than those of a coarser one.
+    """
+    hits = []
+    hi, lo = _ordered("_addr.hi"), _ordered("_addr.lo")
+    inside = f"""(r.s_hi < {hi} OR r.s_hi = {hi} AND r.s_lo <= {lo}) AND ({hi} < r.e_hi OR {hi} = r.e_hi AND {lo} <= r.e_lo)"""
+    for level in range(max((len(GRIDS[f]) for f in index.families), default=0)):
+        name = f"_{tag}g{level}"
+        grids = {f: GRIDS[f][level] for f in index.families if level < len(GRIDS[f])}
+        wanted = " OR ".join(f"family = {f} AND grid = {g}" for f, g in grids.items())
+        blocks = index.blocks.filter(wanted).selectExpr(
+            f"family AS {name}_f", f"block AS {name}_b", f"ranges AS {name}_r"
         )
-        .groupBy(f"_{tag}ip")
-        .agg(F.max(F.struct("_len", "_hit")).alias(f"_{tag}best"))
-    )
-    joined = addresses.join(best, F.col("ip") == F.col(f"_{tag}ip"), "left")
-    return joined, {c: F.col(f"_{tag}best")["_hit"][c] for c in columns}
+        own = " ".join(f"WHEN {f} THEN shiftrightunsigned(_addr.hi, {WIDTH[f] - g})" for f, g in grids.items())
+        on = f"IF(_routable, _addr.family, NULL) = {name}_f AND CASE _addr.family {own} END = {name}_b"
+        df = df.join(F.broadcast(blocks) if small else blocks, F.expr(on), "left")
+        hits.append(f"get(filter({name}_r, r -> {inside}), 0).hit")
+    if not hits:
+        return df, {c: F.lit(None) for c in index.values}
+    best = f"coalesce({', '.join(reversed(hits))})"
+    return df, {c: F.expr(f"{best}.{c}") for c in index.values}
 
 
-def _lookup(df: DataFrame, tables: Sequence[tuple[DataFrame, Sequence[str]]], *, small: bool):
-    """Look every table up; returns the joined frame and the found columns."""
-    found: dict[str, Column] = {}
-    for i, (nets, columns) in enumerate(tables):
-        if _is_ranges(nets):
-            df, hit = range_lookup(df, "_probe", nets, columns, small=small, tag=f"t{i}")
-        else:
-            df, hit = prefix_lookup(df, nets, columns, tag=f"t{i}")
-        found.update(hit)
-    return df, found
+def parsed_addresses(df: DataFrame, ip_col: str) -> DataFrame:
+    """``df`` with the parsed address and whether it can be looked up."""
+    return df.select("*", address(ip_col).alias("_addr")).select("*", routable("_addr").alias("_routable"))
 
 
-def parsed_addresses(df: DataFrame, ip_col: str) -> DataFrame:
-    """``df`` with the parsed address and the number of a routable IPv4 address."""
-    return df.select("*", address(ip_col).alias("_addr")).select(
-        "*", F.when(routable("_addr") & (F.col("_addr.family") == 4), F.col("_addr.hi")).alias("_probe")
-    )
+Networks = DataFrame | NetworkIndex
+
+
+def _index(nets: Networks, values: Sequence[str], keywords: Iterable[str] | None) -> NetworkIndex:
+    return nets if isinstance(nets, NetworkIndex) else index_networks(nets, values, keywords)
 
 
 def geo_enrich(
     df: DataFrame,
     ip_col: str,
-    city_nets: DataFrame | None,
-    asn_nets: DataFrame | None,
+    city_nets: Networks | None,
+    asn_nets: Networks | None,
     keywords: Iterable[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``ip_prefix``, ``country``, ``city``, ``asn``, ``as_org``, ``is_hosting``.
 
     Either network table may be None; its columns then stay empty. One table
-    passed for both is looked up once. Text that is no address leaves
-    everything empty, a private address only has a prefix.
+    passed for both is looked up once. Tables may be indexed beforehand with
+    ``index_networks``. Text that is no address leaves everything empty, a
+    private address only has a prefix.
     """
     if city_nets is not None and city_nets is asn_nets:
         wanted = [(city_nets, CITY_COLUMNS + ASN_COLUMNS)]
     else:
         wanted = [(n, c) for n, c in ((city_nets, CITY_COLUMNS), (asn_nets, ASN_COLUMNS)) if n is not None]
-    tables = [(network_table(nets, columns, keywords), columns) for nets, columns in wanted]
-    direct = all(
-        _is_ranges(nets) and estimated_bytes(nets) <= broadcast_bytes for nets, _ in tables
-    )
-    if direct:
-        joined, found = _lookup(parsed_addresses(df, ip_col), tables, small=True)
+    indexes = [_index(nets, columns, keywords) for nets, columns in wanted]
+    small = sum(index.bytes for index in indexes) <= broadcast_bytes
+
+    def looked_up(addresses: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+        found: dict[str, Column] = {}
+        for i, index in enumerate(indexes):
+            addresses, hit = lookup(addresses, index, small=small, tag=f"t{i}")
+            found.update(hit)
+        return addresses, found
+
+    parsed = parsed_addresses(df, ip_col)
+    if small:
+        joined, found = looked_up(parsed)
     else:
-        distinct = parsed_addresses(df.select(F.col(ip_col).alias("ip")).distinct(), "ip").filter(routable("_addr"))
-        looked_up, hit = _lookup(distinct, tables, small=False)
-        known = looked_up.select(F.col("ip").alias("_known_ip"), *[v.alias(f"_{c}") for c, v in hit.items()])
+        distinct = parsed.filter("_routable").select(F.col(ip_col).alias("_ip"), "_addr", "_routable")
+        known, hit = looked_up(distinct.dropDuplicates(["_ip"]))
+        known = known.select(F.col("_ip").alias("_known_ip"), *[v.alias(f"_{c}") for c, v in hit.items()])
         # One hot address may hold a large share of the rows; AQE splits its
         # partition on the fact side, the other side has one row per address.
-        parsed = df.select("*", address(ip_col).alias("_addr"))
-        joined = parsed.join(known, F.col(ip_col) == F.col("_known_ip"), "left")
+        # What cannot match is spread instead of meeting under one key.
+        other = F.concat(F.lit("!"), F.xxhash64(*[df[c] for c in df.columns]).cast("string"))
+        key = F.when(F.col("_routable"), F.col(ip_col)).otherwise(other)
+        joined = parsed.withColumn("_key", key).join(known, F.col("_key") == F.col("_known_ip"), "left")
         found = {c: F.col(f"_{c}") for c in hit}
     empty = {"asn": F.lit(0).cast("bigint"), "is_hosting": F.lit(0)}
     return joined.select(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslens.functions.clients import is_scripted
-from accesslens.functions.values import bucket, is_blocked
+from accesslens.functions.values import bucket, is_blocked, total
 
 SKETCH_LG_ENTRIES = 16
 
@@ -53,7 +53,7 @@ def merged_count(state: Column) -> Column:
 
 def usage_5m(facts: DataFrame) -> DataFrame:
     return facts.groupBy(bucket(F.col("ts")).alias("ts5"), "node_id", "user_id").agg(
-        F.sum("bytes").alias("bytes")
+        total("bytes").alias("bytes")
     )
 
 
@@ -108,7 +108,9 @@ def sub_req_5m(facts: DataFrame) -> DataFrame:
 def merge_usage(partials: DataFrame, keep_zero: bool = False) -> DataFrame:
     """One row per (bucket, node, account); summed zeros vanish by default."""
     rows = partials if keep_zero else nonzero(partials)
-    return rows.groupBy("ts5", "node_id", "user_id").agg(F.sum("bytes").alias("bytes"))
+    # The partition follows from the bucket; as a key it stays there to filter on.
+    month = [c for c in ("month",) if c in partials.columns]
+    return rows.groupBy("ts5", "node_id", "user_id", *month).agg(total("bytes").alias("bytes"))
 
 
 def nonzero(partials: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ _TYPES = {
     "INT": T.IntegerType(),
     "STRING": T.StringType(),
     "BINARY": T.BinaryType(),
+    "DECIMAL(20,0)": T.DecimalType(20, 0),
+    "DECIMAL(38,0)": T.DecimalType(38, 0),
     "MAP<STRING,STRING>": T.MapType(T.StringType(), T.StringType()),
 }
 
@@ -24,7 +26,8 @@ def _schema(text: str) -> T.StructType:
 
 ENTRY = _schema("entry_id STRING, stream STRING, fields MAP<STRING,STRING>")
 
-USER_USAGE = _schema("ts TIMESTAMP_NTZ, node_id BIGINT, user_id BIGINT, bytes BIGINT")
+# Ids are unsigned 64-bit numbers, held in the same 64 bits as BIGINT; byte counts are exact decimals.
+USER_USAGE = _schema("ts TIMESTAMP_NTZ, node_id BIGINT, user_id BIGINT, bytes DECIMAL(20,0)")
 
 SUB_REQUESTS = _schema(
     "ts TIMESTAMP_NTZ, user_id BIGINT, ip STRING, ip_prefix STRING, country STRING, city STRING, "
@@ -39,7 +42,7 @@ NODE_CONNECTIONS = _schema(
 )
 
 DIM_USERS = _schema(
-    "user_id BIGINT, username STRING, status STRING, tag STRING, traffic_limit_bytes BIGINT, "
+    "user_id BIGINT, username STRING, status STRING, tag STRING, traffic_limit_bytes DECIMAL(20,0), "
     "hwid_device_limit BIGINT, expire_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ"
 )
 
@@ -48,10 +51,10 @@ DIM_NODES = _schema(
 )
 
 QUARANTINE = _schema(
-    "entry_id STRING, stream STRING, reason STRING, fields MAP<STRING,STRING>"
+    "entry_id STRING, stream STRING, reason STRING, fields MAP<STRING,STRING>, raw STRING"
 )
 
-USAGE_5M = _schema("ts5 TIMESTAMP_NTZ, node_id BIGINT, user_id BIGINT, bytes BIGINT")
+USAGE_5M = _schema("ts5 TIMESTAMP_NTZ, node_id BIGINT, user_id BIGINT, bytes DECIMAL(38,0)")
 
 USER_CONN_5M = _schema(
     "ts5 TIMESTAMP_NTZ, user_id BIGINT, ips BINARY, prefixes BINARY, asns BINARY, "
@@ -66,6 +69,7 @@ SUB_REQ_5M = _schema(
 _EMPTY_VALUES = {
     T.StringType: "",
     T.LongType: 0,
+    T.DecimalType: 0,
     T.IntegerType: 0,
 }
 

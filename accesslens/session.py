@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -15,10 +18,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Do not record a Python call site per expression: building plans gets faster.
     "spark.sql.dataFrameQueryContext.enabled": "false",
-    # Rollup aggregates keep sketches per key; stay hash-based for longer than
-    # the default 128 keys. A key takes some kilobytes, so this stays in the
-    # tens of megabytes per task.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "2048",
 }
 
 
@@ -49,9 +48,10 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="accesslens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
