@@ -9,7 +9,7 @@ from accesslens.functions.values import bucket, in_range, or_zero
 from accesslens.operators.rollups import merged_count
 from accesslens.operators.select import top, top_per_group
 from accesslens.plans.abuse import account_measures, scored_measures
-from accesslens.plans.views import Tables, with_node_name, with_user
+from accesslens.plans.views import Tables, with_node_name, with_user, named_users, with_node_key, with_user_key
 
 
 def _measures(t: Tables, t_from, t_to) -> DataFrame:
@@ -147,11 +147,13 @@ def r_account_geography(t: Tables, t_from, t_to, limit: int = 500) -> DataFrame:
         .groupBy("user_id", "country", "as_org", "ip", "node_id")
         .agg(F.max("last_seen").alias("last_seen"))
     )
-    named = with_node_name(with_user(ids, t.dim_users), t.dim_nodes)
-    per = named.groupBy("username", "country", "as_org").agg(
-        F.count_distinct("ip").alias("addresses"),
-        F.count_distinct("node_name").alias("nodes"),
+    # Numbers stand for names until everything is counted.
+    keyed = with_node_key(with_user_key(ids, t.dim_users), t.dim_nodes)
+    per = keyed.groupBy("user_key", "country", "as_org").agg(
+        F.count_distinct(F.xxhash64("ip"), F.xxhash64(F.lit(7), "ip")).alias("addresses"),
+        F.count_distinct("node_key").alias("nodes"),
         F.max("last_seen").alias("last_seen"),
     )
     order = [F.asc("username"), F.desc("addresses"), F.asc("country"), F.asc("as_org")]
-    return top(per, order, limit)
+    named = named_users(per, t.dim_users)
+    return top(named.select("username", "country", "as_org", "addresses", "nodes", "last_seen"), order, limit)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from accesslens.functions.clients import is_scripted
 from accesslens.functions.values import REFUSALS, bucket, in_range, or_zero, ratio, round_even
-from accesslens.operators.select import top
-from accesslens.plans.views import Tables, with_user
+from accesslens.operators.select import at_least, top
+from accesslens.plans.views import Tables, named_users, with_user, with_user_key
 
 
 def _requests(t: Tables, t_from, t_to) -> DataFrame:
@@ -89,34 +89,47 @@ def r_refused_by_rule(t: Tables, t_from, t_to, limit: int = 100) -> DataFrame:
 def r_fetch_offenders(t: Tables, t_from, t_to, limit: int = 200) -> DataFrame:
     """Heaviest fetchers by display name and status.
 
-    Requests first collapse per account and identity, so names are resolved
-    and distinct values counted on far fewer rows; unlike in the rollup an
-    unknown country counts as one here.
+    Sums collapse per account, and identities to narrow distinct rows of
+    account and hash, before both are added up per name; names are looked up
+    for the candidates only. Unlike in the rollup an unknown country counts as
+    one here.
     """
-    ids = (
-        _requests(t, t_from, t_to)
-        .groupBy("user_id", "ip", "ip_prefix", "country", "user_agent")
-        .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.count_if(is_scripted(F.col("ua_kind"))).alias("scripted"),
-            F.count_if(F.col("is_hosting") == 1).alias("from_hosting"),
-            F.count_if(F.col("srr_response_type").isin(*REFUSALS)).alias("refused"),
-            F.max("ts").alias("last_seen"),
-        )
+    rows = _requests(t, t_from, t_to)
+    sums = rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if(is_scripted(F.col("ua_kind"))).alias("scripted"),
+        F.count_if(F.col("is_hosting") == 1).alias("from_hosting"),
+        F.count_if(F.col("srr_response_type").isin(*REFUSALS)).alias("refused"),
+        F.max("ts").alias("last_seen"),
     )
-    named = with_user(ids, t.dim_users, "status")
-    grouped = named.groupBy("username", "status").agg(
+    kinds = {"ips": "ip", "networks": "ip_prefix", "countries": "country", "user_agents": "user_agent"}
+    # Two hashes are 128 bits: fixed width, whatever the text.
+    values = [
+        F.struct(F.lit(k).alias("kind"), F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(7), c).alias("h2"))
+        for k, c in enumerate(kinds.values())
+    ]
+    seen = rows.select("user_id", F.inline(F.array(*values))).distinct()
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return with_user_key(with_user(df, t.dim_users, "status").drop("username"), t.dim_users)
+
+    counted = keyed(seen).select("user_key", "status", "kind", "h1", "h2").distinct().groupBy("user_key", "status").agg(
+        *[F.count_if(F.col("kind") == k).alias(name) for k, name in enumerate(kinds)]
+    )
+    added = keyed(sums).groupBy("user_key", "status").agg(
         F.sum("requests").alias("requests"),
-        F.count_distinct("ip").alias("ips"),
-        F.count_distinct("ip_prefix").alias("networks"),
-        F.count_distinct("country").alias("countries"),
-        F.count_distinct("user_agent").alias("user_agents"),
         F.sum("scripted").alias("scripted"),
         F.sum("from_hosting").alias("from_hosting"),
         F.sum("refused").alias("refused"),
         F.max("last_seen").alias("last_seen"),
     )
-    return top(grouped, [F.desc("requests"), F.asc("username"), F.asc("status")], limit)
+    few = at_least(added, "requests", limit, "user_key").join(counted, ["user_key", "status"])
+    return top(
+        named_users(few, t.dim_users).select(
+            "username", "status", "requests", *kinds, "scripted", "from_hosting", "refused", "last_seen"
+        ),
+        [F.desc("requests"), F.asc("username"), F.asc("status")], limit,
+    )
 
 
 def r_client_families(t: Tables, t_from, t_to, limit: int = 15) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.functions.values import display_name, is_blocked
+from accesslens.functions.values import as_bigint, display_name, is_blocked
 from accesslens.operators.latest import latest
 from accesslens.operators.rollups import merge_usage
 
@@ -66,10 +68,65 @@ def with_user(df: DataFrame, dim_users: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def _keys(dim: DataFrame, key: str, name: str, kind: str) -> DataFrame:
+    """``_id`` -> ``_key``: the smallest id that shows under the same display name.
+
+    Ids that are not listed are their own key. A row named ``<kind>-<id>`` shares
+    its name with that id if the id has no usable name itself.
+    """
+    named = latest(dim.select(key, "updated_at", name), key).select(F.col(key).alias("_id"), F.col(name).alias("_name"))
+    named = named.filter("_name <> ''")
+    borrowed = named.filter(F.col("_name").rlike(f"^{kind}-(0|[1-9][0-9]{{0,17}})$"))
+    strangers = borrowed.select(
+        F.substring("_name", len(kind) + 2, 20).cast("bigint").alias("_id"), "_name"
+    ).join(named.select("_id"), "_id", "anti")
+    members = named.unionByName(strangers)
+    smallest = members.groupBy("_name").agg(F.min("_id").alias("_key"))
+    return members.join(smallest, "_name").select("_id", "_key")
+
+
+def with_user_key(df: DataFrame, dim_users: DataFrame) -> DataFrame:
+    """Add ``user_key``, a number that stands for the display name of the account.
+
+    Aggregates run on it; ``with_user`` on the key gives the name of what is left.
+    """
+    joined = df.join(_keys(dim_users, "user_id", "username", "user"), F.expr("user_id = _id"), "left")
+    return joined.select(*df.columns, F.coalesce("_key", "user_id").alias("user_key"))
+
+
+def with_node_key(df: DataFrame, dim_nodes: DataFrame) -> DataFrame:
+    """Add ``node_key``, a number that stands for the display name of the node."""
+    joined = df.join(_keys(dim_nodes, "node_id", "name", "node"), F.expr("node_id = _id"), "left")
+    return joined.select(*df.columns, F.coalesce("_key", "node_id").alias("node_key"))
+
+
+def nodes_named(dim_nodes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``node_id`` of the nodes that show under one of the names."""
+    known = latest(dim_nodes.select("node_id", "updated_at", "name"), "node_id")
+    shown = known.filter(display_name("name", "node", "node_id").isin(*names)).select("node_id")
+    ids = sorted({int(n[5:]) for n in names if re.fullmatch(r"node-(0|[1-9][0-9]{0,17})", n)})
+    if not ids:
+        return shown
+    listed = dim_nodes.sparkSession.range(1).select(F.explode(F.array(*[F.lit(i).cast("bigint") for i in ids])).alias("node_id"))
+    return shown.unionByName(listed.join(known.select("node_id"), "node_id", "anti"))
+
+
+def named_users(df: DataFrame, dim_users: DataFrame, keep: bool = False) -> DataFrame:
+    """Replace ``user_key`` by ``username``, or add it."""
+    named = with_user(df.withColumn("user_id", F.col("user_key")), dim_users).drop("user_id")
+    return named if keep else named.drop("user_key")
+
+
+def partition_of(df: DataFrame) -> list[str]:
+    """The partition column of a stored table, which the views pass on: SQL that filters on it reads less."""
+    return [c for c in ("month", "day") if c in df.columns]
+
+
 def v_usage(usage_5m: DataFrame, dim_users: DataFrame, dim_nodes: DataFrame) -> DataFrame:
     named = with_user(merge_usage(usage_5m), dim_users, "status", "tag")
     return with_node_name(named, dim_nodes).select(
-        "ts5", "node_id", "node_name", "user_id", "username", "status", "tag", "bytes"
+        "ts5", "node_id", "node_name", "user_id", "username", "status", "tag",
+        as_bigint(F.col("bytes")).alias("bytes"), *partition_of(usage_5m),
     )
 
 
@@ -78,6 +135,7 @@ def v_connections(node_connections: DataFrame, dim_users: DataFrame, dim_nodes:
     return with_node_name(named, dim_nodes).select(
         "ts", "node_id", "node_name", "user_id", "username", "status", "hwid_device_limit",
         "ip", "ip_prefix", "last_seen", "country", "city", "asn", "as_org", "is_hosting",
+        *partition_of(node_connections),
     )
 
 
@@ -86,4 +144,5 @@ def v_sub_requests(sub_requests: DataFrame, dim_users: DataFrame) -> DataFrame:
         "ts", "user_id", "username", "status", "ip", "ip_prefix", "country", "city", "asn",
         "as_org", "is_hosting", "user_agent", "ua_family", "ua_kind", "srr_response_type",
         "srr_rule_name", is_blocked(F.col("srr_response_type")).alias("is_blocked"),
+        *partition_of(sub_requests),
     )
