@@ -13,23 +13,30 @@ from accesslens import schemas, session
 from accesslens.functions.addresses import ip_family, ip_is_routable, ip_prefix
 from accesslens.functions.clients import ua_classify
 from accesslens.functions.hosting import hosting_flag
-from accesslens.functions.values import in_range
+from accesslens.functions.values import as_bigint, in_range, total, total_bigint, unsigned_text
 from accesslens.operators import rollups
 from accesslens.operators.decode import (
     REQUEST_STREAM, STREAMS, USAGE_STREAM, CONNECTION_STREAM, response_type, split_packed,
 )
-from accesslens.operators.enrich import geo_enrich, parsed_addresses, prefix_lookup, range_lookup
+from accesslens.operators.enrich import (
+    ASN_COLUMNS, CITY_COLUMNS, geo_enrich, index_networks, lookup, parsed_addresses,
+)
 from accesslens.plans import abuse_reports, node_reports, request_reports
-from accesslens.plans.abuse import active_universe, user_abuse
+from accesslens.plans.abuse import active_universe, exact_abuse, user_abuse
 from accesslens.plans.severity import report_bands, stat_band
-from accesslens.plans.views import v_connections, v_sub_requests, v_usage, v_users, with_node_name, with_user
+from accesslens.plans.sql import register
+from accesslens.plans.views import (
+    Tables, v_connections, v_nodes, v_sub_requests, v_usage, v_users, with_node_name, with_user,
+)
+from accesslens.sources import files
 from accesslens.sources import tables as store
 from accesslens.sources.dimensions import load_dim_nodes, load_dim_users
 from accesslens.sources.entries import dedup_entries, read_entry_files
+from accesslens.sources.networks import ASN_CIDR, CITY_BLOCKS, LOCATIONS, city_networks, read_networks
 from accesslens.streaming.ingest import (
-    read_quarantine, start_ingest, start_usage_rollup, start_watermark_rollup,
+    read_quarantine, read_watermark_rollup, start_ingest, start_usage_rollup, start_watermark_rollup,
 )
-from accesslens.streaming.quality import ingest_quality, table_sizes
+from accesslens.streaming.quality import ingest_quality, read_measures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,13 +44,18 @@ NODE_LIST = ("edge-1", "edge-2", "node-3", "node-7")
 _NOW = {"availableNow": True}
 
 
+def shown(df: DataFrame) -> DataFrame:
+    """Exact byte counts as BIGINT, as reports show them."""
+    return df.withColumn("bytes", as_bigint(F.col("bytes")))
+
+
 # --- sources and sinks --------------------------------------------------------
 
 
 def fact_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     root = session.scratch(spark, "facts")
     store.write_batch(fx.usage_facts(fx.events(spark, sf)), root, "user_usage", 0)
-    return store.read_table(spark, root, "user_usage")
+    return shown(store.read_table(spark, root, "user_usage"))
 
 
 def retention_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,13 +68,51 @@ def schema_evolution_union(spark: SparkSession, sf: str) -> DataFrame:
     return schemas.union_versions(schemas.SUB_REQUESTS, old, new)
 
 
+def _thirds(facts: DataFrame, *columns: str) -> list[DataFrame]:
+    part = F.pmod(F.xxhash64(*columns), F.lit(3))
+    return [facts.filter(part == i) for i in range(3)]
+
+
 def backfill_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup built from stored raw facts where there is none yet."""
     root = session.scratch(spark, "backfill")
-    store.backfill(fx.sub_requests(spark, sf), root, "sub_requests")
+    store.write_batch(fx.sub_requests(spark, sf), root, "sub_requests", 0)
+    store.backfill(spark, root, "sub_requests")
     rollup = store.read_table(spark, root, "sub_req_5m").drop("month")
     return rollups.counts(rollup, rollups.SUB_STATES)
 
 
+def backfill_live(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts and partials ingested in three batches, the rollup rebuilt twice in the same folder."""
+    root = session.scratch(spark, "backfill-live")
+    for i, part in enumerate(_thirds(fx.sub_requests(spark, sf), "ts", "user_id", "ip")):
+        store.write_batch(part, root, "sub_requests", i)
+        store.write_batch(rollups.sub_req_5m(part), root, "sub_req_5m", i)
+    for _ in range(2):
+        store.backfill(spark, root, "sub_requests")
+    rollup = store.read_table(spark, root, "sub_req_5m").drop("month")
+    return rollups.counts(rollup, rollups.SUB_STATES)
+
+
+def compact_live(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches of partials, merged twice in the same folder: one row per key is left."""
+    root = session.scratch(spark, "compact-live")
+    for i, part in enumerate(_thirds(fx.usage_facts(fx.events(spark, sf)), "ts", "user_id", "bytes")):
+        store.write_batch(rollups.usage_5m(part), root, "usage_5m", i)
+    for _ in range(2):
+        store.compact(spark, root, "usage_5m")
+    return shown(store.read_table(spark, root, "usage_5m").drop("month"))
+
+
+def retention_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """Expired days dropped, the edge day cut, in the same folder, twice."""
+    root = session.scratch(spark, "retention")
+    store.write_batch(fx.node_connections(spark, sf), root, "node_connections", 0)
+    for _ in range(2):
+        store.apply_retention(spark, root, "node_connections", "2024-02-05 12:00:00")
+    return store.read_table(spark, root, "node_connections").drop("day")
+
+
 # --- decoding -----------------------------------------------------------------
 
 
@@ -70,7 +120,7 @@ def _decode(stream: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         nets = fx.geo_networks(spark, sf)
         rows, _ = STREAMS[stream].rows(fx.messages(fx.events(spark, sf)), nets, nets)
-        return rows
+        return shown(rows) if "bytes" in rows.columns else rows
 
     return run
 
@@ -98,6 +148,24 @@ def quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def uint64_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids and byte counts at the upper end of what is legal."""
+    rows, _ = STREAMS[USAGE_STREAM].decode(fx.large_messages(fx.events(spark, sf)))
+    return rows.selectExpr(
+        "ts", f"{unsigned_text('node_id')} AS node_id", f"{unsigned_text('user_id')} AS user_id", "CAST(bytes AS STRING) AS bytes"
+    )
+
+
+def poison_message(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte counts whose sums leave 64 bits, through facts and rollup."""
+    root = session.scratch(spark, "poison")
+    rows, _ = STREAMS[USAGE_STREAM].decode(fx.large_messages(fx.events(spark, sf)))
+    store.write_batch(rows, root, "user_usage", 0)
+    store.backfill(spark, root, "user_usage")
+    sums = store.read_table(spark, root, "usage_5m").groupBy("node_id").agg(total("bytes").alias("bytes"))
+    return sums.selectExpr(f"{unsigned_text('node_id')} AS node_id", "CAST(bytes AS STRING) AS bytes")
+
+
 # --- enrichment ---------------------------------------------------------------
 
 
@@ -134,15 +202,50 @@ def _network_result(joined: DataFrame, found: dict) -> DataFrame:
 
 
 def geo_range_join(spark: SparkSession, sf: str) -> DataFrame:
-    nets = fx.fine_networks(spark, sf)
-    return _network_result(
-        *range_lookup(_addresses(spark, sf), "_probe", nets, ("asn", "as_org"), small=False)
-    )
+    index = index_networks(fx.fine_networks(spark, sf), ("asn", "as_org"))
+    return _network_result(*lookup(_addresses(spark, sf), index, small=False))
 
 
 def geo_prefix_join(spark: SparkSession, sf: str) -> DataFrame:
+    index = index_networks(fx.cidr_networks(spark, sf), ("asn", "as_org"))
+    return _network_result(*lookup(_addresses(spark, sf), index, small=False))
+
+
+def geo_v6(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested networks of both families, looked up on the facts."""
     nets = fx.cidr_networks(spark, sf)
-    return _network_result(*prefix_lookup(_addresses(spark, sf), nets, ("asn", "as_org")))
+    rows = fx.connection_rows(fx.events(spark, sf))
+    return geo_enrich(rows, "ip", None, nets).select("ip", "asn", "as_org")
+
+
+def geo_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated and overlapping ranges: the smallest counts and no fact row multiplies."""
+    nets = fx.overlapping_networks(spark, sf)
+    rows = fx.connection_rows(fx.events(spark, sf))
+    return geo_enrich(rows, "ip", None, nets).select("ip", "asn", "as_org")
+
+
+def _published(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """City and ASN networks through CSV files in the published layout."""
+    root = session.scratch(spark, "networks-csv")
+    blocks, locations, asns = fx.published_networks(spark, sf)
+    for name, df in (("blocks", blocks), ("locations", locations), ("asns", asns)):
+        df.write.option("header", True).csv(f"{root}/{name}")
+    found = [read_networks(spark, f"{root}/{name}", schema) for name, schema in (
+        ("blocks", CITY_BLOCKS), ("locations", LOCATIONS), ("asns", ASN_CIDR),
+    )]
+    return city_networks(found[0], found[1]), found[2]
+
+
+def read_networks_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return _published(spark, sf)[0]
+
+
+def geo_two_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """City and ASN tables apart, the country falling back to the registered one."""
+    city, asn = _published(spark, sf)
+    rows = fx.connection_rows(fx.events(spark, sf))
+    return geo_enrich(rows, "ip", city, asn).select("ip", "country", "city", "asn", "as_org")
 
 
 def hosting_flag_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,19 +313,50 @@ def _universe(spark: SparkSession, sf: str) -> DataFrame:
 
 def time_range_edges(spark: SparkSession, sf: str) -> DataFrame:
     usage = rollups.merge_usage(_tables(spark, sf).usage_5m)
-    return in_range(usage, "ts5", fx.EDGE_FROM, fx.EDGE_TO)
+    return shown(in_range(usage, "ts5", fx.EDGE_FROM, fx.EDGE_TO))
 
 
 # --- reports ------------------------------------------------------------------
 
 
-def report(function, **options) -> Query:
+def _exact_abuse(spark: SparkSession, sf: str) -> DataFrame:
+    t = _tables(spark, sf)
+    usage = fx.usage_facts(fx.events(spark, sf))
+    return exact_abuse(usage, t.node_connections, t.sub_requests, t.dim_users, fx.T_FROM, fx.T_TO)
+
+
+def weighted_abuse(spark: SparkSession, sf: str) -> DataFrame:
+    """Own weights and allowances."""
+    t = _tables(spark, sf)
+    weights, free = {"country": 7, "request": 0.25}, {"network": 0, "request": 3}
+    scored = user_abuse(t.usage_5m, t.user_conn_5m, t.sub_req_5m, t.dim_users, fx.T_FROM, fx.T_TO, weights, free)
+    return scored.select("user_id", "score")
+
+
+def sql_user_abuse(spark: SparkSession, sf: str) -> DataFrame:
+    """The table function, over stored rollups."""
+    root = session.scratch(spark, "sql")
+    t = _tables(spark, sf)
+    for name in ("usage_5m", "user_conn_5m", "sub_req_5m"):
+        store.write_batch(getattr(t, name), root, name, 0)
+    stored = {name: store.read_table(spark, root, name) for name in ("usage_5m", "user_conn_5m", "sub_req_5m")}
+    register(spark, Tables(
+        **stored, sub_requests=t.sub_requests, node_connections=t.node_connections,
+        dim_users=t.dim_users, dim_nodes=t.dim_nodes,
+    ))
+    return spark.sql(f"SELECT * FROM v_user_abuse(TIMESTAMP_NTZ '{fx.T_FROM}', TIMESTAMP_NTZ '{fx.T_TO}')")
+
+
+def report(function, *, window: tuple[str, str] = (fx.T_FROM, fx.T_TO), **options) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return function(_tables(spark, sf), fx.T_FROM, fx.T_TO, **options)
+        return function(_tables(spark, sf), *window, **options)
 
     return run
 
 
+EDGES = (fx.EDGE_FROM, fx.EDGE_TO)
+
+
 REPORTS = {
     name: getattr(module, name)
     for module in (abuse_reports, node_reports, request_reports)
@@ -254,16 +388,30 @@ def stat_bands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = fx.events(spark, sf).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events as a stream; a stream reads folders, so a table that is one file is picked from its folder."""
+    reader = spark.readStream.schema(fx.events(spark, sf).schema)
+    if files.is_folder(spark, f"{sf}/events.parquet"):
+        return reader.parquet(f"{sf}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def stream_usage_5m(spark: SparkSession, sf: str) -> DataFrame:
     root = session.scratch(spark, "stream-usage")
     facts = fx.usage_facts(_event_stream(spark, sf))
     start_usage_rollup(facts, f"{root}/out", f"{root}/checkpoint", _NOW).awaitTermination()
-    partials = store.read_table(spark, f"{root}/out", "usage_5m")
-    return rollups.merge_usage(partials)
+    partials = store.read_table(spark, f"{root}/out", "usage_5m").drop("month")
+    return shown(rollups.merge_usage(partials))
+
+
+def restart_new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """Two queries of their own checkpoints into one folder: both are stored."""
+    root = session.scratch(spark, "stream-twice")
+    facts = fx.usage_facts(_event_stream(spark, sf))
+    for i in range(2):
+        for _ in range(2):  # the second start of each finds nothing new
+            start_usage_rollup(facts, f"{root}/out", f"{root}/checkpoint-{i}", _NOW).awaitTermination()
+    partials = store.read_table(spark, f"{root}/out", "usage_5m").drop("month")
+    return shown(rollups.merge_usage(partials))
 
 
 def stream_watermark_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,22 +419,102 @@ def stream_watermark_rollup(spark: SparkSession, sf: str) -> DataFrame:
     facts = fx.usage_facts(_event_stream(spark, sf))
     out, checkpoint = f"{root}/out", f"{root}/checkpoint"
     start_watermark_rollup(facts, "10 minutes", out, checkpoint, _NOW).awaitTermination()
-    return spark.read.schema(schemas.USAGE_5M).parquet(out)
+    return shown(read_watermark_rollup(spark, out))
 
 
-def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Land all messages as files, ingest the three streams, count what is stored."""
-    root = session.scratch(spark, "stream-ingest")
+def _ingested(spark: SparkSession, sf: str, name: str, stream: str | None = None) -> str:
+    """The folder into which all messages were ingested, in one pass over their files."""
+    root = session.scratch(spark, name)
     fx.messages(fx.events(spark, sf)).write.json(f"{root}/landing")
-    nets = fx.geo_networks(spark, sf)
-    for stream in STREAMS:
-        source = read_entry_files(spark, f"{root}/landing", streaming=True)
-        start_ingest(
-            spark, source, stream, f"{root}/out", f"{root}/checkpoint", _NOW, lambda: (nets, nets)
-        ).awaitTermination()
-    stored = {name: store.read_table(spark, f"{root}/out", name) for name in store.LAYOUT}
-    stored["quarantine"] = read_quarantine(spark, f"{root}/out")
-    return table_sizes(stored)
+    nets = index_networks(fx.geo_networks(spark, sf), CITY_COLUMNS + ASN_COLUMNS)
+    source = read_entry_files(spark, f"{root}/landing", streaming=True)
+    start_ingest(
+        spark, source, stream, f"{root}/out", f"{root}/checkpoint", _NOW, lambda: (nets, nets)
+    ).awaitTermination()
+    return f"{root}/out"
+
+
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and a sum over the values of every stored table after ingest."""
+    out = _ingested(spark, sf, "stream-ingest")
+    t = {name: store.read_table(spark, out, name) for name in store.LAYOUT}
+    t["user_conn_5m"] = rollups.counts(t["user_conn_5m"], rollups.CONN_STATES)
+    t["sub_req_5m"] = rollups.counts(t["sub_req_5m"], rollups.SUB_STATES)
+    t["quarantine"] = read_quarantine(spark, out)
+    values = {
+        "user_usage": "bytes + user_id + node_id",
+        "sub_requests": "asn + is_hosting + length(ip) + length(user_agent) + length(srr_response_type)",
+        "node_connections": "asn + is_hosting + length(ip) + node_id",
+        "usage_5m": "bytes + user_id + node_id",
+        "user_conn_5m": "ips + prefixes + asns + countries + nodes + hosting_ips",
+        "sub_req_5m": "requests + scripted + blocked + ips + prefixes + asns + countries + uas",
+        "quarantine": "length(reason)",
+    }
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr(values[name])).cast("bigint").alias("amount")).select(
+            F.lit(name).alias("table"), "rows", "amount"
+        )
+        for name, df in t.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The measures that ingest stored, added up per stream."""
+    measures = read_measures(spark, _ingested(spark, sf, "stream-quality"))
+    sums = [F.sum(c).alias(c) for c in ("messages", "failed", "rows")]
+    return measures.groupBy("stream").agg(*sums)
+
+
+def unreadable_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that are no entries, and entries of unknown streams, among good and faulty messages."""
+    root = session.scratch(spark, "unreadable")
+    ev = fx.events(spark, sf)
+    good = fx.messages(ev).select(F.to_json(F.struct("entry_id", "stream", "fields")).alias("value"))
+    bad = ev.selectExpr(
+        "explode(array(concat('{not json ', event_id), concat('[', event_id, ']'), "
+        """concat('{"entry_id":"x-', event_id, '","stream":"other","fields":{}}'))) AS value"""
+    )
+    good.unionByName(bad).write.text(f"{root}/landing")
+    source = read_entry_files(spark, f"{root}/landing", streaming=True)
+    start_ingest(spark, source, None, f"{root}/out", f"{root}/checkpoint", _NOW).awaitTermination()
+    kept = F.count_if(F.col("raw").isNotNull() | F.col("fields").isNotNull())
+    return read_quarantine(spark, f"{root}/out").groupBy("stream", "reason").agg(
+        F.count(F.lit(1)).alias("n"), kept.alias("with_payload")
+    )
+
+
+def _usage_per_user(spark: SparkSession, out: str) -> DataFrame:
+    stored = rollups.merge_usage(store.read_table(spark, out, "usage_5m").drop("month"), keep_zero=True)
+    return stored.groupBy("user_id").agg(total_bigint("bytes").alias("bytes"))
+
+
+def resume_from_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Started for new files only; what lands while the query is stopped is read at the restart."""
+    root = session.scratch(spark, "resume")
+    messages = fx.usage_messages(fx.events(spark, sf))
+    messages.write.json(f"{root}/landing/before")
+
+    def run() -> None:
+        source = read_entry_files(
+            spark, f"{root}/landing/*", streaming=True, from_beginning=False, checkpoint=f"{root}/checkpoint"
+        )
+        start_ingest(spark, source, USAGE_STREAM, f"{root}/out", f"{root}/checkpoint", _NOW).awaitTermination()
+
+    run()
+    messages.withColumn("entry_id", F.concat(F.lit("later-"), "entry_id")).write.json(f"{root}/landing/after")
+    run()
+    return _usage_per_user(spark, f"{root}/out")
+
+
+def stream_dedup_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same entries in two files, read as two batches: stored once."""
+    root = session.scratch(spark, "redelivered")
+    for name in ("first", "again"):
+        fx.usage_messages(fx.events(spark, sf)).coalesce(1).write.json(f"{root}/landing/{name}")
+    source = read_entry_files(spark, f"{root}/landing/*", streaming=True, max_files_per_trigger=1)
+    start_ingest(spark, source, USAGE_STREAM, f"{root}/out", f"{root}/checkpoint", _NOW).awaitTermination()
+    return _usage_per_user(spark, f"{root}/out")
 
 
 def dedup_entries_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -303,17 +531,24 @@ def queries() -> dict[str, Query]:
     t = _tables
     return {
         "fact_roundtrip": fact_roundtrip,
-        "load_dim_users": lambda s, d: load_dim_users(fx.user_pages(s, d), fx.AS_OF),
+        "load_dim_users": lambda s, d: load_dim_users(fx.user_pages(s, d), fx.AS_OF).withColumn(
+            "traffic_limit_bytes", as_bigint(F.col("traffic_limit_bytes"))
+        ),
         "load_dim_nodes": lambda s, d: load_dim_nodes(fx.node_pages(s, d), fx.AS_OF),
         "retention_filter": retention_filter,
         "schema_evolution_union": schema_evolution_union,
         "backfill_rollup": backfill_rollup,
+        "backfill_live": backfill_live,
+        "compact_live": compact_live,
+        "retention_drop": retention_drop,
         "decode_user_usage": _decode(USAGE_STREAM),
         "decode_sub_requests": _decode(REQUEST_STREAM),
         "decode_node_connections": _decode(CONNECTION_STREAM),
         "response_type_coalesce": response_type_coalesce,
         "split_packed_records": split_packed_records,
         "quarantine_counts": quarantine_counts,
+        "uint64_values": uint64_values,
+        "poison_message": poison_message,
         "ip_family": _address_query("family", ip_family),
         "ip_prefix": _address_query("ip_prefix", ip_prefix),
         "ip_is_routable": _address_query("routable", ip_is_routable),
@@ -321,10 +556,14 @@ def queries() -> dict[str, Query]:
         "geo_enrich_shuffled": _geo_query(broadcast_bytes=0),
         "geo_range_join": geo_range_join,
         "geo_prefix_join": geo_prefix_join,
+        "geo_v6": geo_v6,
+        "geo_overlap": geo_overlap,
+        "read_networks_csv": read_networks_csv,
+        "geo_two_tables": geo_two_tables,
         "hosting_flag": hosting_flag_query,
         "ua_classify": ua_classify_query,
         "name_fallback": name_fallback,
-        "usage_5m": lambda s, d: t(s, d).usage_5m,
+        "usage_5m": lambda s, d: shown(t(s, d).usage_5m),
         "user_conn_5m": user_conn_5m,
         "sub_req_5m": sub_req_5m,
         "distinct_state_merge": distinct_state_merge,
@@ -337,6 +576,10 @@ def queries() -> dict[str, Query]:
         "v_sub_requests": lambda s, d: v_sub_requests(t(s, d).sub_requests, fx.dim_users(s, d)),
         "active_universe": _universe,
         "user_abuse": _abuse,
+        "exact_abuse": _exact_abuse,
+        "weighted_abuse": weighted_abuse,
+        "sql_user_abuse": sql_user_abuse,
+        "v_nodes": lambda s, d: v_nodes(fx.dim_nodes(s, d)),
         "time_range_edges": time_range_edges,
         "node_filter": report(node_reports.r_top5_per_node, nodes=NODE_LIST),
         "score_bands": _banded(abuse_reports.r_abuse_score, "abuse_score"),
@@ -347,7 +590,22 @@ def queries() -> dict[str, Query]:
         "network_bands": _banded(request_reports.r_top_networks, "top_networks"),
         "stat_bands": stat_bands,
         **{name: report(function) for name, function in REPORTS.items()},
+        "edge_abuse_score": report(abuse_reports.r_abuse_score, window=EDGES),
+        "edge_top_talkers": report(node_reports.r_top_talkers, window=EDGES),
+        "edge_fetch_offenders": report(request_reports.r_fetch_offenders, window=EDGES),
+        "edge_account_geography": report(abuse_reports.r_account_geography, window=EDGES),
+        "cut_abuse_score": report(abuse_reports.r_abuse_score, limit=20),
+        "cut_top_talkers": report(node_reports.r_top_talkers, limit=9),
+        "cut_fetch_offenders": report(request_reports.r_fetch_offenders, limit=20),
+        "cut_refused_by_rule": report(request_reports.r_refused_by_rule, limit=4),
+        "cut_top_networks": report(request_reports.r_top_networks, limit=7),
+        "cut_client_families": report(request_reports.r_client_families, limit=3),
         "stream_usage_5m": stream_usage_5m,
+        "restart_new_checkpoint": restart_new_checkpoint,
+        "resume_from_now": resume_from_now,
+        "stream_dedup_two_batches": stream_dedup_two_batches,
+        "unreadable_entries": unreadable_entries,
+        "stream_quality": stream_quality,
         "stream_watermark_rollup": stream_watermark_rollup,
         "stream_ingest": stream_ingest,
         "dedup_entries": dedup_entries_query,

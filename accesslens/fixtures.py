@@ -20,17 +20,19 @@ from accesslens.sources.dimensions import NODES_PAGE, USERS_PAGE
 T_FROM, T_TO = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 # A range with both edges inside the data.
 EDGE_FROM, EDGE_TO = "2024-01-05 00:00:00", "2024-01-25 00:00:00"
+# Accounts up to this id are in the facts but in no dimension.
+USER_SHIFT = 25
 AS_OF, EARLIER = "2024-02-01 00:00:00", "2024-01-31 00:00:00"
 
 USER_AGENTS = (
-    "Happ/1.24.0 (iOS)",
-    "curl/8.5.0",
-    "python-requests/2.31.0",
-    "Mozilla/5.0 Streisand/1.6.7",
-    "Mozilla/5.0 (Windows NT 10.0) Chrome/120.0",
-    "TelegramBot (like TwitterBot)",
+    "Happ/3.11 Android 14",
+    "curl/7.81",
+    "python-requests/2.19",
+    "iPhone15,2 Streisand/2.0.1",
+    "Mozilla/5.0 (X11; Linux x86_64) Chrome/131.0.0.0 Safari/537.36",
+    "Some TelegramBot 1.0",
     "",
-    "totally-made-up/1",
+    "nothing known 0.1",
 )
 RESPONSES = {"error": "BLOCK", "signup": "STATUS_CODE_404", "click": "XRAY_JSON", "view": "SINGBOX"}
 
@@ -82,14 +84,7 @@ _RULE = "IF(event_id % 3 = 0, '', concat('rule-', event_id % 4))"
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    """The events, spread over all cores when they sit in fewer files than that.
-
-    A lone small file is one task, and all decoding and enrichment would run
-    in it; a table of many files is left as it is.
-    """
-    ev = table(spark, sf, "events")
-    cores = spark.sparkContext.defaultParallelism
-    return ev if len(ev.inputFiles()) >= cores else ev.repartition(cores)
+    return table(spark, sf, "events")
 
 
 def usage_facts(ev: DataFrame) -> DataFrame:
@@ -108,15 +103,15 @@ def connection_rows(ev: DataFrame) -> DataFrame:
 
 
 def geo_networks(spark: SparkSession, sf: str) -> DataFrame:
-    """One /8 range per nation; one region is left out so addresses stay unknown."""
+    """One /8 range per nation; the ranges start above the lowest addresses, which stay unknown."""
     org = _case(
         "n_nationkey % 4",
         {0: "'Example Hosting Ltd'", 1: "'Residential Telecom'", 2: "'Sample Cloud Inc'"},
         "'Mobile Networks'",
     )
-    return table(spark, sf, "nation").filter("n_regionkey <> 3").selectExpr(
-        "(n_nationkey + 20L) * 16777216 AS start_ip",
-        "(n_nationkey + 21L) * 16777216 - 1 AS end_ip",
+    return table(spark, sf, "nation").selectExpr(
+        "(n_nationkey + 24L) * 16777216 AS start_ip",
+        "(n_nationkey + 25L) * 16777216 - 1 AS end_ip",
         "n_name AS country",
         "concat('City_', n_nationkey) AS city",
         "n_nationkey + 1000L AS asn",
@@ -153,10 +148,38 @@ def cidr_networks(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).selectExpr("*", "CAST(length(as_org) AS BIGINT) AS asn")
 
 
+def overlapping_networks(spark: SparkSession, sf: str) -> DataFrame:
+    """The /8 ranges twice, and a range per supplier inside or across them."""
+    wide = geo_networks(spark, sf).select("start_ip", "end_ip", "asn", "as_org")
+    narrow = table(spark, sf, "supplier").selectExpr(
+        "(s_suppkey % 25 + 20L) * 16777216 + s_suppkey % 190 * 65536 AS start_ip",
+        "(s_suppkey % 25 + 20L) * 16777216 + (s_suppkey % 190 + 1 + s_suppkey % 3) * 65536 - 1 AS end_ip",
+        "s_suppkey + 5000L AS asn", "concat('narrow-', s_suppkey) AS as_org",
+    )
+    return wide.unionByName(wide).unionByName(narrow)
+
+
+def published_networks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """City blocks, locations and ASN networks in the published layout; every fifth nation has no
+    country of its own, so the registered one, that of the next nation, stands in."""
+    nation = table(spark, sf, "nation")
+    blocks = nation.selectExpr(
+        "explode(array(concat(n_nationkey + 24, '.0.0.0/8'), concat('2a02:6ea0:', n_nationkey, '::/48'))) AS network",
+        "CAST(n_nationkey AS BIGINT) AS geoname_id", "CAST((n_nationkey + 1) % 25 AS BIGINT) AS registered_country_geoname_id",
+    )
+    locations = nation.selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS geoname_id", "IF(n_nationkey % 5 = 0, NULL, n_name) AS country_iso_code",
+        "concat('City_', n_nationkey) AS city_name",
+    )
+    return blocks, locations, nation.selectExpr(
+        "concat(n_nationkey + 22, '.0.0.0/8') AS network", "n_nationkey + 300L AS asn", "concat('AS of ', n_name) AS as_org"
+    )
+
+
 def dim_users(spark: SparkSession, sf: str) -> DataFrame:
-    """Accounts from customers; one segment is missing and some names are empty."""
-    return table(spark, sf, "customer").filter("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
-        "c_custkey AS user_id",
+    """Accounts from customers; ids are shifted, so the lowest have no row, and some names are empty."""
+    return table(spark, sf, "customer").selectExpr(
+        f"c_custkey + {USER_SHIFT} AS user_id",
         "IF(c_custkey % 9 = 0, '', c_name) AS username",
         "IF(c_acctbal < 0, 'DISABLED', 'ACTIVE') AS status",
         "c_mktsegment AS tag",
@@ -179,9 +202,9 @@ def dim_users_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    """Nodes from suppliers; node 3 has no name and node 7 no row."""
-    return table(spark, sf, "supplier").filter("s_suppkey <> 7").selectExpr(
-        "s_suppkey AS node_id",
+    """Nodes from suppliers; node 3 has no name and node 7 no row, as ids from 7 on are one higher."""
+    return table(spark, sf, "supplier").selectExpr(
+        "IF(s_suppkey < 7, s_suppkey, s_suppkey + 1) AS node_id",
         "concat('uuid-', s_suppkey) AS uuid",
         "IF(s_suppkey = 3, '', concat('edge-', s_suppkey)) AS name",
         "CAST(s_nationkey AS STRING) AS country_code",
@@ -300,7 +323,7 @@ def _broken_messages() -> tuple[str, str, str]:
     ts, one, pair = _STAMP, "'1'", "'1:2'"
     usage = {
         "v": cycle("'2'", *[one] * 7),
-        "nodeId": cycle(one, "NULL", "'+5'", "'18446744073709551615'", *[one] * 4),
+        "nodeId": cycle(one, "NULL", "'+5'", "'18446744073709551616'", *[one] * 4),
         "ts": cycle(ts, ts, ts, ts, "'yesterday'", ts, ts, ts),
         "records": cycle(*[pair] * 5, "'1:2;1-2'", "';;'", "'1:2:3'"),
     }
@@ -325,6 +348,13 @@ def _broken_messages() -> tuple[str, str, str]:
     )
 
 
+def large_messages(ev: DataFrame) -> DataFrame:
+    """Usage messages with node ids and byte counts up to 2^64-1."""
+    node = "CAST(18446744073709551615 - event_id % 7 AS STRING)"
+    records = "concat(user_id, ':18446744073709551615;', user_id, ':9223372036854775807;9223372036854775808:', event_id)"
+    return _entries(ev, _message("l", USAGE_STREAM, {"v": "1", "nodeId": node, "ts": _STAMP, "records": records}))
+
+
 def usage_messages(ev: DataFrame) -> DataFrame:
     return _entries(ev, _usage_message())
 

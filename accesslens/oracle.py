@@ -7,13 +7,77 @@ sketches and plain joins instead of the engine's operators.
 
 from __future__ import annotations
 
-from accesslens.fixtures import EDGE_FROM, EDGE_TO, RESPONSES, T_FROM, T_TO, USER_AGENTS
-from accesslens.functions.clients import CLIENT_RULES
-from accesslens.functions.hosting import HOSTING_KEYWORDS
-from accesslens.functions.values import REFUSALS
+from accesslens.fixtures import EDGE_FROM, EDGE_TO, RESPONSES, T_FROM, T_TO, USER_AGENTS, USER_SHIFT
 from accesslens.operators.decode import CONNECTION_STREAM, REQUEST_STREAM, USAGE_STREAM
 from accesslens.plans.severity import BANDS, STAT_BANDS, STAT_BASE, STAT_LIKE, TABLE_BASE
 
+# What is expected, written out once more so that a wrong rule in the engine shows.
+REFUSALS = ("BLOCK", "STATUS_CODE_404", "STATUS_CODE_451", "SOCKET_DROP")
+CLIENT_RULES = (
+    ("happ", "Happ", "client"),
+    ("streisand", "Streisand", "client"),
+    ("hiddify", "Hiddify", "client"),
+    ("v2rayng", "v2rayNG", "client"),
+    ("v2raytun", "v2RayTun", "client"),
+    ("v2rayn", "v2rayN", "client"),
+    ("nekobox", "NekoBox", "client"),
+    ("nekoray", "NekoRay", "client"),
+    ("shadowrocket", "Shadowrocket", "client"),
+    ("stash", "Stash", "client"),
+    ("loon", "Loon", "client"),
+    ("quantumult", "Quantumult", "client"),
+    ("surge", "Surge", "client"),
+    ("clash-verge", "Clash Verge", "client"),
+    ("clashx", "ClashX", "client"),
+    ("clash", "Clash", "client"),
+    ("mihomo", "Mihomo", "client"),
+    ("sing-box", "sing-box", "client"),
+    ("singbox", "sing-box", "client"),
+    ("foxray", "FoXray", "client"),
+    ("karing", "Karing", "client"),
+    ("throne", "Throne", "client"),
+    ("husi", "Husi", "client"),
+    ("exclave", "Exclave", "client"),
+    ("matsuri", "Matsuri", "client"),
+    ("v2box", "V2Box", "client"),
+    ("sfa", "sing-box for Android", "client"),
+    ("sfi", "sing-box for iOS", "client"),
+    ("sfm", "sing-box for macOS", "client"),
+    ("curl", "curl", "script"),
+    ("wget", "wget", "script"),
+    ("python-requests", "python-requests", "script"),
+    ("python-urllib", "python-urllib", "script"),
+    ("aiohttp", "aiohttp", "script"),
+    ("httpx", "httpx", "script"),
+    ("go-http-client", "Go-http-client", "script"),
+    ("okhttp", "OkHttp", "script"),
+    ("axios", "axios", "script"),
+    ("node-fetch", "node-fetch", "script"),
+    ("powershell", "PowerShell", "script"),
+    ("java/", "Java", "script"),
+    ("libwww-perl", "libwww-perl", "script"),
+    ("postman", "Postman", "script"),
+    ("insomnia", "Insomnia", "script"),
+    ("telegrambot", "TelegramBot", "bot"),
+    ("crawler", "Crawler", "bot"),
+    ("spider", "Spider", "bot"),
+    ("bot", "Bot", "bot"),
+    ("edg/", "Edge", "browser"),
+    ("opr/", "Opera", "browser"),
+    ("yabrowser", "Yandex Browser", "browser"),
+    ("firefox", "Firefox", "browser"),
+    ("chrome", "Chrome", "browser"),
+    ("safari", "Safari", "browser"),
+    ("mozilla", "Browser", "browser"),
+)
+HOSTING_KEYWORDS = (
+    "hosting", "host", "datacenter", "data center", "dedicated", "server", "cloud", "vps", "colo", "ovh",
+    "hetzner", "digitalocean", "linode", "vultr", "contabo", "scaleway", "leaseweb", "m247", "choopa", "amazon",
+    "aws", "google llc", "microsoft", "azure", "oracle", "alibaba", "tencent", "packet", "equinix", "cogent",
+    "netcup", "aeza", "vdsina", "timeweb", "selectel", "firstbyte", "ihor", "serverius", "worldstream",
+    "clouvider",
+)
+
 
 def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
@@ -81,11 +145,11 @@ _CTES = {
         {_RESPONSE} AS srr_response_type, {_RULE} AS srr_rule_name FROM k3""",
     "conn0": f"""SELECT tk AS ts, 1 + event_id % 7 AS node_id, user_id, {_ip()} AS ip,
         date_trunc('millisecond', ts) AS last_seen FROM k3""",
-    "geo": f"""SELECT CAST(20 + n_nationkey AS BIGINT) * 16777216 AS start_ip,
-        CAST(20 + n_nationkey AS BIGINT) * 16777216 + 16777215 AS end_ip, n_name AS country,
+    "geo": f"""SELECT CAST(24 + n_nationkey AS BIGINT) * 16777216 AS start_ip,
+        CAST(24 + n_nationkey AS BIGINT) * 16777216 + 16777215 AS end_ip, n_name AS country,
         'City_' || n_nationkey AS city, CAST(1000 + n_nationkey AS BIGINT) AS asn,
         {_ORG.format(n='n_nationkey')} AS as_org,
-        CAST(n_nationkey % 4 IN (0, 2) AS INTEGER) AS is_hosting FROM nation WHERE n_regionkey <> 3""",
+        CAST(n_nationkey % 4 IN (0, 2) AS INTEGER) AS is_hosting FROM nation""",
     "req": f"""SELECT r.ts, r.user_id, r.ip, r.ip_prefix, {_GEO}, r.user_agent,
         {_ua_case('r.user_agent', 1)} AS ua_family, {_ua_case('r.user_agent', 2)} AS ua_kind,
         r.srr_response_type, r.srr_rule_name
@@ -94,13 +158,12 @@ _CTES = {
     "conn": f"""SELECT r.ts, r.node_id, r.user_id, r.ip, r.ip_prefix, r.last_seen, {_GEO}
         FROM (SELECT *, {_NUMBER} AS n, {_PREFIX} AS ip_prefix FROM conn0) r
         LEFT JOIN geo g ON r.n BETWEEN g.start_ip AND g.end_ip""",
-    "users": """SELECT c_custkey AS user_id, CASE WHEN c_custkey % 9 = 0 THEN '' ELSE c_name END AS username,
+    "users": f"""SELECT c_custkey + {USER_SHIFT} AS user_id, CASE WHEN c_custkey % 9 = 0 THEN '' ELSE c_name END AS username,
         CASE WHEN c_acctbal < 0 THEN 'DISABLED' ELSE 'ACTIVE' END AS status, c_mktsegment AS tag,
         CAST(0 AS BIGINT) AS traffic_limit_bytes, c_custkey % 4 AS hwid_device_limit,
-        TIMESTAMP '2025-01-01 00:00:00' AS expire_at FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""",
-    "nodes": """SELECT CAST(s_suppkey AS BIGINT) AS node_id,
-        CASE WHEN s_suppkey = 3 THEN '' ELSE 'edge-' || s_suppkey END AS node_name
-        FROM supplier WHERE s_suppkey <> 7""",
+        TIMESTAMP '2025-01-01 00:00:00' AS expire_at FROM customer""",
+    "nodes": """SELECT CAST(CASE WHEN s_suppkey < 7 THEN s_suppkey ELSE s_suppkey + 1 END AS BIGINT) AS node_id,
+        CASE WHEN s_suppkey = 3 THEN '' ELSE 'edge-' || s_suppkey END AS node_name FROM supplier""",
     "u5": f"""SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes
         FROM usage GROUP BY ALL HAVING sum(bytes) <> 0""",
     "c5": f"""SELECT {_B5} AS ts5, * FROM conn""",
@@ -338,6 +401,62 @@ def _top_series(source: str, time: str, measure: str, order: str, limit: int = 1
     GROUP BY ALL"""
 
 
+_USAGE_U5 = f"""SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes
+    FROM ({_USAGE_RECORDS}) AS records GROUP BY ALL"""
+_USER_SUMS = f"SELECT user_id, CAST(sum(bytes) AS BIGINT) AS bytes FROM ({_USAGE_RECORDS}) AS records GROUP BY user_id"
+_SUM = "CAST(sum({0}) AS BIGINT)"
+_UNSIGNED = "CAST(18446744073709551615 AS HUGEINT)"
+_LARGE = f"""SELECT date_trunc('millisecond', ts) AS ts, CAST({_UNSIGNED} - event_id % 7 AS VARCHAR) AS node_id,
+    CASE k WHEN 2 THEN '9223372036854775808' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+    CASE k WHEN 0 THEN {_UNSIGNED} WHEN 1 THEN CAST(9223372036854775807 AS HUGEINT) ELSE CAST(event_id AS HUGEINT) END AS bytes
+    FROM events CROSS JOIN (VALUES (0), (1), (2)) AS r(k)"""
+_MEASURES = " UNION ALL ".join(
+    f"SELECT '{stream}' AS stream, CAST(2 * count(*) AS BIGINT) AS messages, count(*) AS failed, "
+    f"CAST({per} * count(*) AS BIGINT) AS \"rows\" FROM events"
+    for stream, per in ((USAGE_STREAM, 4), (REQUEST_STREAM, 1), (CONNECTION_STREAM, 3))
+)
+# The smallest range that holds the address.
+_OVERLAP = f"""SELECT c.ip, coalesce(b.hit.asn, 0) AS asn, coalesce(b.hit.as_org, '') AS as_org FROM conn c LEFT JOIN
+    (SELECT d.ip, min({{'size': r.end_ip - r.start_ip, 'asn': r.asn, 'as_org': r.as_org}}) AS hit FROM
+        (SELECT ip, {_NUMBER} AS n FROM (SELECT DISTINCT ip FROM conn WHERE ip NOT LIKE '10.%') AS ips) d JOIN
+        (SELECT start_ip, end_ip, asn, as_org FROM geo UNION ALL
+         SELECT CAST((s_suppkey % 25 + 20) * 16777216 + s_suppkey % 190 * 65536 AS BIGINT),
+             CAST((s_suppkey % 25 + 20) * 16777216 + (s_suppkey % 190 + 1 + s_suppkey % 3) * 65536 - 1 AS BIGINT),
+             CAST(s_suppkey + 5000 AS BIGINT), 'narrow-' || s_suppkey FROM supplier) r
+        ON d.n BETWEEN r.start_ip AND r.end_ip GROUP BY d.ip) b ON b.ip = c.ip"""
+_CODE = "CASE WHEN {0} % 5 = 0 THEN NULL ELSE n_name END"
+_PUBLISHED = f"""SELECT c.ip, coalesce(nullif(p.country, ''), p.registered, '') AS country, coalesce(p.city, '') AS city,
+    coalesce(a.asn, 0) AS asn, coalesce(a.as_org, '') AS as_org FROM
+    (SELECT ip, {_NUMBER} AS n, CASE WHEN contains(ip, ':') THEN CAST(split_part(ip, ':', 3) AS INTEGER) END AS site FROM conn) c
+    LEFT JOIN (SELECT n.n_nationkey AS id, {_CODE.format('n.n_nationkey').replace('n_name', 'n.n_name')} AS country,
+        {_CODE.format('r.n_nationkey').replace('n_name', 'r.n_name')} AS registered, 'City_' || n.n_nationkey AS city
+        FROM nation n JOIN nation r ON r.n_nationkey = (n.n_nationkey + 1) % 25) p
+        ON p.id = coalesce(c.n // 16777216 - 24, c.site)
+    LEFT JOIN (SELECT n_nationkey + 22 AS first, CAST(n_nationkey + 300 AS BIGINT) AS asn, 'AS of ' || n_name AS as_org FROM nation) a
+        ON a.first = c.n // 16777216"""
+_BLOCKS = f"""SELECT b.network, {_CODE.format('n.n_nationkey').replace('n_name', 'n.n_name')} AS country,
+    {_CODE.format('r.n_nationkey').replace('n_name', 'r.n_name')} AS registered_country, 'City_' || n.n_nationkey AS city FROM
+    (SELECT n_nationkey AS id, (n_nationkey + 24) || '.0.0.0/8' AS network FROM nation UNION ALL
+     SELECT n_nationkey, '2a02:6ea0:' || n_nationkey || '::/48' FROM nation) b
+    JOIN nation n ON n.n_nationkey = b.id JOIN nation r ON r.n_nationkey = (b.id + 1) % 25"""
+_WEIGHTED = f"""SELECT user_id, {_even('''bytes / 1073741824.0::DOUBLE
+    + greatest(prefixes - 0, 0)::DOUBLE * 2.0::DOUBLE + greatest(countries - 1, 0)::DOUBLE * 7.0::DOUBLE
+    + greatest(asns - 2, 0)::DOUBLE * 2.0::DOUBLE + hosting_ips::DOUBLE * 4.0::DOUBLE
+    + greatest(sub_uas - 2, 0)::DOUBLE * 2.0::DOUBLE + greatest(sub_requests - 3, 0)::DOUBLE * 0.25::DOUBLE
+    + sub_scripted::DOUBLE * 0.5::DOUBLE + greatest(sub_blocked - 5, 0)::DOUBLE * 0.5::DOUBLE''', 1)} AS score FROM abuse_m"""
+_STREAMED = f"""SELECT 'user_usage' AS "table", count(*) AS "rows", {_SUM.format('bytes + user_id + node_id')} AS amount FROM ({_USAGE_RECORDS}) AS a
+    UNION ALL SELECT 'sub_requests', count(*), {_SUM.format('asn + is_hosting + length(ip) + length(user_agent) + length(srr_response_type)')}
+        FROM ({_MESSAGE_ROWS}) AS b
+    UNION ALL SELECT 'node_connections', count(*), {_SUM.format('asn + is_hosting + length(ip) + node_id')} FROM ({_SNAPSHOT_ROWS}) AS c
+    UNION ALL SELECT 'quarantine', count(*), {_SUM.format('length(reason)')} FROM
+        ({' UNION ALL '.join(f"SELECT {_fault_case(s)} AS reason FROM events" for s in _FAULTS)}) AS d
+    UNION ALL SELECT 'usage_5m', count(*), {_SUM.format('bytes + user_id + node_id')} FROM ({_USAGE_U5}) AS e
+    UNION ALL SELECT 'user_conn_5m', count(*), {_SUM.format('ips + prefixes + asns + countries + nodes + hosting_ips')} FROM
+        (SELECT {_B5} AS ts5, user_id, {_CONN_COUNTS} FROM ({_SNAPSHOT_ROWS}) AS f GROUP BY ALL) AS g
+    UNION ALL SELECT 'sub_req_5m', count(*), {_SUM.format('requests + scripted + blocked + ips + prefixes + asns + countries + uas')} FROM
+        (SELECT {_B5} AS ts5, user_id, {_SUB_COUNTS} FROM ({_MESSAGE_ROWS}) AS h GROUP BY ALL) AS i"""
+
+
 def _statements() -> dict[str, str]:
     stats = " UNION ALL ".join(
         f"SELECT '{r}' AS report, CAST({_STAT_COLUMN.get(r, 'c')} AS DOUBLE) AS value, "
@@ -359,6 +478,9 @@ def _statements() -> dict[str, str]:
         "schema_evolution_union": """SELECT * FROM req UNION ALL
             SELECT * REPLACE ('' AS srr_response_type, '' AS srr_rule_name) FROM req""",
         "backfill_rollup": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
+        "backfill_live": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
+        "compact_live": "SELECT * FROM u5",
+        "retention_drop": "SELECT * FROM conn WHERE ts >= TIMESTAMP '2024-02-05 12:00:00' - INTERVAL 30 DAY",
         # decoding
         "decode_user_usage": _USAGE_RECORDS,
         "decode_sub_requests": _MESSAGE_ROWS,
@@ -369,6 +491,8 @@ def _statements() -> dict[str, str]:
         + """ AS VARCHAR) AS bytes FROM k3 UNION ALL
             SELECT 'u-' || event_id, CAST(user_id + 1 AS VARCHAR), '0' FROM events""",
         "quarantine_counts": _QUARANTINE,
+        "uint64_values": f"SELECT ts, node_id, user_id, CAST(bytes AS VARCHAR) AS bytes FROM ({_LARGE}) AS l",
+        "poison_message": f"SELECT node_id, CAST(sum(bytes) AS VARCHAR) AS bytes FROM ({_LARGE}) AS l GROUP BY node_id",
         # enrichment
         "ip_family": f"SELECT ip, CAST({_FAMILY} AS INTEGER) AS family FROM conn",
         "ip_prefix": "SELECT ip, ip_prefix FROM conn",
@@ -379,6 +503,10 @@ def _statements() -> dict[str, str]:
             (SELECT ip, {_NUMBER} AS n FROM (SELECT DISTINCT ip FROM conn) AS ips) d
             LEFT JOIN ({_FINE}) f ON d.n BETWEEN f.start_ip AND f.end_ip""",
         "geo_prefix_join": _PREFIX_JOIN,
+        "geo_v6": f"SELECT c.ip, p.asn, p.as_org FROM conn c JOIN ({_PREFIX_JOIN}) p ON p.ip = c.ip",
+        "geo_overlap": _OVERLAP,
+        "read_networks_csv": _BLOCKS,
+        "geo_two_tables": _PUBLISHED,
         "hosting_flag": f"""SELECT doc_id, {_hosting('text')} AS is_hosting FROM documents UNION ALL
             SELECT s_suppkey, {_hosting('s_name')} FROM supplier""",
         "ua_classify": f"""SELECT user_agent, {_ua_case('user_agent', 1)} AS ua_family, {_ua_case('user_agent', 2)} AS ua_kind
@@ -396,6 +524,12 @@ def _statements() -> dict[str, str]:
         "v_sub_requests": "SELECT * FROM vr",
         "active_universe": "SELECT user_id FROM everyone",
         "user_abuse": "SELECT * FROM abuse",
+        "exact_abuse": "SELECT * FROM abuse",
+        "weighted_abuse": _WEIGHTED,
+        "sql_user_abuse": "SELECT * FROM abuse",
+        "v_nodes": """SELECT CAST(CASE WHEN s_suppkey < 7 THEN s_suppkey ELSE s_suppkey + 1 END AS BIGINT) AS node_id,
+            CASE WHEN s_suppkey = 3 THEN '' ELSE 'edge-' || s_suppkey END AS node_name,
+            CAST(s_nationkey AS VARCHAR) AS country_code FROM supplier""",
         "time_range_edges": f"SELECT * FROM u5 WHERE ts5 BETWEEN TIMESTAMP '{EDGE_FROM}' AND TIMESTAMP '{EDGE_TO}'",
         "node_filter": _top5(f"(SELECT * FROM wu WHERE node_name IN {_NODE_LIST}) AS chosen"),
         # severity
@@ -463,16 +597,16 @@ def _statements() -> dict[str, str]:
             srr_response_type, srr_rule_name, user_agent LIMIT 500""",
         # streaming
         "stream_usage_5m": "SELECT * FROM u5",
-        "stream_watermark_rollup": f"""SELECT ts5, node_id, user_id, bytes FROM
-            (SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes FROM usage GROUP BY ALL) AS per
-            WHERE ts5 + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM usage)""",
-        "stream_ingest": f"""SELECT 'user_usage' AS "table", count(*) AS "rows" FROM ({_USAGE_RECORDS}) AS a
-            UNION ALL SELECT 'sub_requests', count(*) FROM events
-            UNION ALL SELECT 'node_connections', count(*) FROM k3
-            UNION ALL SELECT 'quarantine', CAST(3 * count(*) AS BIGINT) FROM events
-            UNION ALL SELECT 'usage_5m', count(*) FROM (SELECT DISTINCT {_B5}, node_id, user_id FROM ({_USAGE_RECORDS}) AS b) AS c
-            UNION ALL SELECT 'user_conn_5m', count(*) FROM (SELECT DISTINCT {_B5}, user_id FROM events) AS d
-            UNION ALL SELECT 'sub_req_5m', count(*) FROM (SELECT DISTINCT {_B5}, user_id FROM events) AS e""",
+        "restart_new_checkpoint": "SELECT ts5, node_id, user_id, CAST(2 * bytes AS BIGINT) AS bytes FROM u5",
+        "resume_from_now": _USER_SUMS,
+        "stream_dedup_two_batches": _USER_SUMS,
+        "unreadable_entries": f"""SELECT stream, reason, n, n AS with_payload FROM ({_QUARANTINE}) AS q
+            UNION ALL SELECT '', 'unreadable_entry', CAST(2 * count(*) AS BIGINT), CAST(2 * count(*) AS BIGINT) FROM events
+            UNION ALL SELECT 'other', 'unknown_stream', count(*), count(*) FROM events""",
+        "stream_quality": _MEASURES,
+        "stream_watermark_rollup": f"""SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes
+            FROM usage GROUP BY ALL""",
+        "stream_ingest": _STREAMED,
         "dedup_entries": " UNION ALL ".join(
             f"SELECT '{prefix}-' || event_id AS entry_id, '{stream}' AS stream FROM events"
             for prefix, stream in (
@@ -480,13 +614,31 @@ def _statements() -> dict[str, str]:
                 ("bu", USAGE_STREAM), ("br", REQUEST_STREAM), ("bc", CONNECTION_STREAM),
             )
         ),
-        "ingest_quality": " UNION ALL ".join(
-            f"SELECT '{stream}' AS stream, CAST(2 * count(*) AS BIGINT) AS messages, count(*) AS failed, "
-            f"CAST({per} * count(*) AS BIGINT) AS \"rows\" FROM events"
-            for stream, per in ((USAGE_STREAM, 4), (REQUEST_STREAM, 1), (CONNECTION_STREAM, 3))
-        ),
+        "ingest_quality": _MEASURES,
     }
 
 
+# Reports over a window with both edges inside the data, and with limits that cut.
+_EDGED = {
+    "edge_abuse_score": "r_abuse_score",
+    "edge_top_talkers": "r_top_talkers",
+    "edge_fetch_offenders": "r_fetch_offenders",
+    "edge_account_geography": "r_account_geography",
+}
+_CUT = {
+    "cut_abuse_score": ("r_abuse_score", 200, 20),
+    "cut_top_talkers": ("r_top_talkers", 100, 9),
+    "cut_fetch_offenders": ("r_fetch_offenders", 200, 20),
+    "cut_refused_by_rule": ("r_refused_by_rule", 100, 4),
+    "cut_top_networks": ("r_top_networks", 50, 7),
+    "cut_client_families": ("r_client_families", 15, 3),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _sql(body) for name, body in _statements().items()}
+    found = {name: _sql(body) for name, body in _statements().items()}
+    for name, whole in _EDGED.items():
+        found[name] = found[whole].replace(f"'{T_FROM}'", f"'{EDGE_FROM}'").replace(f"'{T_TO}'", f"'{EDGE_TO}'")
+    for name, (whole, limit, less) in _CUT.items():
+        found[name] = found[whole].replace(f"LIMIT {limit}", f"LIMIT {less}")
+    return found

@@ -48,8 +48,7 @@ def store_tables(spark: SparkSession, sf: str, root: str, seconds: dict[str, flo
     for table, rows in facts(ev, nets).items():
         seconds[f"store_{table}"] = timed(lambda: store.write_rebalanced(rows, root, table, 0))
         rollup = store.ROLLUP_OF[table][0]
-        stored = store.read_table(spark, root, table)
-        seconds[f"rollup_{rollup}"] = timed(lambda: store.backfill(stored, root, table, 0))
+        seconds[f"rollup_{rollup}"] = timed(lambda: store.backfill(spark, root, table))
     for name, rows in (("dim_users", fx.dim_users(spark, sf)), ("dim_nodes", fx.dim_nodes(spark, sf))):
         rows.write.parquet(f"{root}/{name}")
     return Tables(
