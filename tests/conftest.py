@@ -15,8 +15,6 @@ def spark(tmp_path_factory):
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
-            # Inputs are tiny: compiling a stage would take longer than running it.
-            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accesslens.operators.enrich import (
-    enrich_requests, geo_enrich, network_table, parsed_addresses, prefix_lookup, range_lookup,
+    ASN_COLUMNS, CITY_COLUMNS, enrich_requests, geo_enrich, index_networks, lookup, network_table, parsed_addresses,
 )
 
 COLUMNS = ("country", "city", "asn", "as_org", "is_hosting")
@@ -31,8 +31,9 @@ def test_range_lookup_matches_brute_force(spark):
     probes |= {rng.randrange(ranges[0][0], ranges[-1][1] + 100) for _ in range(300)}
     ips = spark.createDataFrame([(str(ipaddress.ip_address(p)),) for p in probes], "ip string")
     nets = spark.createDataFrame(ranges, "start_ip bigint, end_ip bigint, asn bigint, as_org string")
+    index = index_networks(nets, ("asn",))
     for small in (True, False):
-        joined, found = range_lookup(parsed_addresses(ips, "ip"), "_probe", nets, ("asn",), small=small)
+        joined, found = lookup(parsed_addresses(ips, "ip"), index, small=small)
         rows = joined.select("ip", found["asn"].alias("asn")).collect()
         assert len(rows) == len(probes)
         for row in rows:
@@ -40,30 +41,52 @@ def test_range_lookup_matches_brute_force(spark):
             assert row.asn == next((a for lo, hi, a, _ in ranges if lo <= n <= hi), None), row.ip
 
 
-def test_range_lookup_is_an_equi_join(spark):
+def test_overlapping_and_repeated_ranges(spark):
+    """The smallest range counts; rows never multiply."""
+    rng = random.Random(11)
+    ranges = []
+    for i in range(150):
+        start = int(ipaddress.ip_address("30.0.0.0")) + rng.randrange(1 << 20)
+        ranges.append((start, start + rng.choice([0, 5, 300, 5000, 70000, 1 << 20]), i + 1))
+    ranges.append((int(ipaddress.ip_address("0.0.0.0")), int(ipaddress.ip_address("255.255.255.255")), 999))
+    probes = {p for lo, hi, _ in ranges for p in (lo, hi, (lo + hi) // 2)} | {5}
+    ips = spark.createDataFrame([(str(ipaddress.ip_address(p)),) for p in probes], "ip string")
+    nets = spark.createDataFrame(ranges * 2, "start_ip bigint, end_ip bigint, asn bigint")
+    joined, found = lookup(parsed_addresses(ips, "ip"), index_networks(nets, ("asn",)), small=True)
+    rows = joined.select("ip", found["asn"].alias("asn")).collect()
+    assert len(rows) == len(probes)
+    for row in rows:
+        n = int(ipaddress.ip_address(row.ip))
+        if not ipaddress.ip_address(row.ip).is_private:
+            assert row.asn == min((hi - lo, lo, a) for lo, hi, a in ranges if lo <= n <= hi)[2], row.ip
+
+
+def test_lookup_is_an_equi_join(spark):
     ips = spark.range(10).selectExpr("concat('20.0.0.', id) AS ip")
-    nets = spark.createDataFrame([(1, 2, 3)], "start_ip bigint, end_ip bigint, asn bigint")
-    joined, _ = range_lookup(parsed_addresses(ips, "ip"), "_probe", nets, ("asn",), small=False)
+    nets = spark.createDataFrame([("20.0.0.0/30", 3), ("2a00::/20", 4)], "network string, asn bigint")
+    joined, _ = lookup(parsed_addresses(ips, "ip"), index_networks(nets, ("asn",)), small=False)
     plan = joined._jdf.queryExecution().toString()
-    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "Generate" not in plan
 
 
 def test_longest_prefix_wins(spark):
     rng = random.Random(7)
-    nets = [("0.0.0.0/0", 1), ("20.0.0.0/8", 2), ("2a02::/16", 3), ("2a02:6ea0::/32", 4), ("::/0", 5)]
+    nets = [("0.0.0.0/0", 1), ("20.0.0.0/8", 2), ("2a02::/16", 3), ("2a02:6ea0::/32", 4), ("::/0", 5), ("8000::/1", 6)]
     for i in range(80):
         length = rng.choice([9, 12, 16, 20, 24, 30, 32])
         nets.append((str(ipaddress.ip_network((20 << 24 | rng.getrandbits(24), length), strict=False)), 100 + i))
-        length = rng.choice([33, 40, 48, 64, 65, 100, 128])
+        length = rng.choice([33, 40, 48, 64, 65, 100, 127, 128])
         nets.append(
             (str(ipaddress.ip_network(((0x2A026EA0 << 96) | rng.getrandbits(96), length), strict=False)), 300 + i)
         )
     nets = list(dict(nets).items())
     parsed = [(ipaddress.ip_network(n), v) for n, v in nets]
     ips = {str(n.network_address + rng.randrange(min(n.num_addresses, 1 << 60))) for n, _ in parsed for _ in range(3)}
-    ips |= {"8.8.8.8", "2001:db8::1", "10.0.0.1", "junk", "::ffff:20.1.2.3"}
+    ips |= {"8.8.8.8", "2001:db8::1", "f000::1", "10.0.0.1", "junk", "::ffff:20.1.2.3"}
     df = parsed_addresses(spark.createDataFrame([(i,) for i in ips], "ip string"), "ip")
-    joined, found = prefix_lookup(df, spark.createDataFrame(nets, "network string, asn bigint"), ("asn",))
+    junk = [("20.0.0.0/40", 7), ("20.0.0.0/x", 8), ("junk/8", 9)]
+    index = index_networks(spark.createDataFrame(nets + junk, "network string, asn bigint"), ("asn",))
+    joined, found = lookup(df, index, small=True)
 
     def want(text):
         try:
@@ -95,13 +118,13 @@ EXPECTED = {
     "77.1.2.3": ("77.1.2.0/24", "RU", "", 12389, "Rostelecom", 0),
     "10.0.0.7": ("10.0.0.0/24", "", "", 0, "", 0),
     "9.9.9.9": ("9.9.9.0/24", "", "", 0, "", 0),
-    "2a02:6ea0:c700::1": ("2a02:6ea0:c700::/48", "", "", 0, "", 0),
+    "2a0b:41:9::1": ("2a0b:41:9::/48", "", "", 0, "", 0),
     "not-an-ip": ("", "", "", 0, "", 0),
     "": ("", "", "", 0, "", 0),
 }
 
 
-@pytest.mark.parametrize("shape", ["ranges", "shuffled", "cidr", "two tables", "mixed"])
+@pytest.mark.parametrize("shape", ["ranges", "shuffled", "cidr", "two tables", "mixed", "indexed"])
 def test_geo_enrich(spark, shape):
     nets = spark.createDataFrame(RANGES, SCHEMA)
     cidr = spark.createDataFrame(
@@ -114,6 +137,7 @@ def test_geo_enrich(spark, shape):
         "cidr": (cidr, cidr, {}),
         "two tables": (nets, nets.select("*"), {}),
         "mixed": (nets, cidr, {}),
+        "indexed": (index_networks(cidr, CITY_COLUMNS + ASN_COLUMNS),) * 2 + ({},),
     }[shape]
     df = spark.createDataFrame([(i,) for i in EXPECTED], "ip string")
     out = geo_enrich(df.union(df), "ip", city, asn, **options)
@@ -123,6 +147,13 @@ def test_geo_enrich(spark, shape):
         assert tuple(row)[1:] == EXPECTED[row.ip], row.ip
 
 
+def test_empty_network_table(spark):
+    df = spark.createDataFrame([("8.8.8.8",)], "ip string")
+    nets = spark.createDataFrame([], SCHEMA)
+    row = geo_enrich(df, "ip", nets, nets).select("ip_prefix", *COLUMNS).first()
+    assert tuple(row) == ("8.8.8.0/24", "", "", 0, "", 0)
+
+
 def test_missing_network_tables(spark):
     df = spark.createDataFrame([("8.8.8.8",), ("not-an-ip",)], "ip string")
     rows = geo_enrich(df, "ip", None, None).select("ip_prefix", *COLUMNS).collect()

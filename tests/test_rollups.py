@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+from decimal import Decimal
 from functools import reduce
 
 import pytest
@@ -15,7 +16,11 @@ from accesslens.functions.values import bucket, first_filled, in_range, round_ev
 from accesslens.operators import rollups
 from accesslens.operators.latest import latest
 from accesslens.operators.select import quantile_exact, top_per_group
+from accesslens.catalogue import REPORTS
+from accesslens.plans.sql import register
+from accesslens.plans.views import Tables
 from accesslens.sources import tables as store
+from accesslens.sources.dimensions import append_snapshot, compact_snapshots
 
 AT = dt.datetime(2024, 1, 1, 10, 3)
 
@@ -62,7 +67,7 @@ def test_states_are_exact_to_fifty_thousand(spark):
 
 def test_zero_sums_vanish_only_when_all_partials_are_zero(spark):
     partials = spark.createDataFrame(
-        [(AT, 1, 1, 0), (AT, 1, 1, 0), (AT, 1, 2, 0), (AT, 1, 2, 5)], schemas.USAGE_5M
+        [(AT, 1, 1, Decimal(0)), (AT, 1, 1, Decimal(0)), (AT, 1, 2, Decimal(0)), (AT, 1, 2, Decimal(5))], schemas.USAGE_5M
     )
     assert [tuple(r)[2:] for r in rollups.merge_usage(partials).collect()] == [(2, 5)]
     assert rows(rollups.merge_usage(partials, keep_zero=True).select("user_id", "bytes")) == [(1, 0), (2, 5)]
@@ -133,22 +138,115 @@ def test_table_round_trip_retention_and_compaction(spark, sf, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and january.count() == 0
     for i in range(2):
         store.write_batch(rollups.usage_5m(facts.filter(odd if i else ~odd)), root, "usage_5m", i)
-    store.compact(store.read_table(spark, root, "usage_5m").drop("month"), f"{root}/compact", "user_usage")
-    compacted = store.read_table(spark, f"{root}/compact", "usage_5m").drop("month")
+    assert store.compact(spark, root, "usage_5m") == ["202401"]
+    assert store.compact(spark, root, "usage_5m") == []
+    compacted = store.read_table(spark, root, "usage_5m").drop("month")
     assert rows(compacted) == rows(rollups.merge_usage(rollups.usage_5m(facts)))
-    store.apply_retention(spark, root, "user_usage", f"{root}/kept", "2024-04-10 00:00:00")
-    kept = store.read_table(spark, f"{root}/kept", "user_usage").drop("month")
+    assert store.compact(spark, root, "user_usage") == ["202401"]
+    assert rows(store.read_table(spark, root, "user_usage").drop("month")) == rows(facts)
+    for _ in range(2):
+        store.apply_retention(spark, root, "user_usage", "2024-04-10 00:00:00")
+    kept = store.read_table(spark, root, "user_usage").drop("month")
     assert rows(kept) == rows(facts.filter("ts >= TIMESTAMP_NTZ '2024-01-11 00:00:00'"))
+    store.apply_retention(spark, root, "user_usage", "2024-08-01 00:00:00")
+    assert store.batches(spark, root, "user_usage") == [] and store.read_table(spark, root, "user_usage").count() == 0
+
+
+def test_backfill_keeps_what_raw_facts_no_longer_cover(spark, sf, tmp_path):
+    root = str(tmp_path)
+    facts = fx.usage_facts(fx.events(spark, sf))
+    store.write_batch(rollups.usage_5m(facts), root, "usage_5m", 0)
+    late = facts.filter("ts >= TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    store.write_batch(late, root, "user_usage", 0)
+    for _ in range(2):
+        store.backfill(spark, root, "user_usage")
+        assert rows(store.read_table(spark, root, "usage_5m").drop("month")) == rows(rollups.usage_5m(facts))
+    store.backfill(spark, root, "node_connections")  # no facts: nothing to do
+    assert store.read_table(spark, root, "user_conn_5m").count() == 0
+
+
+def test_broken_off_replacements_are_undone_or_finished(spark, sf, tmp_path):
+    root = str(tmp_path)
+    usage = rollups.usage_5m(fx.usage_facts(fx.events(spark, sf)))
+    store.write_batch(usage, root, "usage_5m", "a")
+    want = rows(usage)
+
+    def seen():
+        return rows(store.read_table(spark, root, "usage_5m").drop("month"))
+
+    def fail(old):
+        store.write_batch(old, root, "usage_5m", next(iter(store._entries(spark, root, "usage_5m"))))
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        store.replace(spark, root, "usage_5m", store.batches(spark, root, "usage_5m"), fail)
+    assert seen() == want  # the half-written batch is there, but not seen
+    store.recover(spark, root, "usage_5m")
+    assert seen() == want and store.batches(spark, root, "usage_5m") == [("202401", "a")]
+    new = store.replace(spark, root, "usage_5m", [("202401", "a")], lambda old: old, clean=False)
+    assert seen() == want  # the old files are there, but not seen
+    store.recover(spark, root, "usage_5m")
+    assert seen() == want and store.batches(spark, root, "usage_5m") == [("202401", new)]
 
 
 def test_filters_reach_the_scan(spark, sf, tmp_path):
     root = str(tmp_path)
-    store.backfill(fx.usage_facts(fx.events(spark, sf)), root, "user_usage")
+    store.write_batch(fx.usage_facts(fx.events(spark, sf)), root, "user_usage", 0)
+    store.backfill(spark, root, "user_usage")
     usage = store.read_table(spark, root, "usage_5m")
     plan = in_range(rollups.nonzero(usage), "ts5", fx.EDGE_FROM, fx.EDGE_TO).agg(F.sum("bytes"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(bytes,0)" in text and "GreaterThanOrEqual(ts5" in text
-    assert "ReadSchema: struct<ts5:timestamp_ntz,bytes:bigint>" in text
+    assert "ReadSchema: struct<ts5:timestamp_ntz,bytes:decimal(38,0)>" in text
+
+
+def test_type_filters_reach_the_scan_of_late_columns(spark, sf, tmp_path):
+    root = str(tmp_path)
+    requests = fx.sub_requests(spark, sf)
+    store.write_batch(requests, root, "sub_requests", "new")
+    old = requests.drop("srr_response_type", "srr_rule_name", "month")
+    old.withColumn("month", F.lit(202401)).withColumn("batch_id", F.lit("old")).write.mode("append").partitionBy(
+        "month", "batch_id"
+    ).parquet(f"{root}/sub_requests")
+    stored = store.read_table(spark, root, "sub_requests")
+    assert stored.filter("srr_response_type IS NULL").count() == 0 and stored.count() == 2 * requests.count()
+    t = Tables(sub_requests=stored)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for name in ("r_response_types", "r_refused_by_rule"):
+        text = REPORTS[name](t, fx.T_FROM, fx.T_TO)._jdf.queryExecution().executedPlan().toString()
+        pushed = [line for line in text.splitlines() if "PushedFilters" in line]
+        assert any("srr_response_type" in line.split("PushedFilters")[1].split("ReadSchema")[0] for line in pushed), name
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_sql_views_and_function_are_pruned(spark, sf, tmp_path):
+    root, t = str(tmp_path), fx.DerivedTables(spark, sf)
+    names = ("usage_5m", "user_conn_5m", "sub_req_5m", "sub_requests", "node_connections")
+    for name in names:
+        store.write_batch(getattr(t, name), root, name, 0)
+    stored = Tables(**{n: store.read_table(spark, root, n) for n in names}, dim_users=t.dim_users, dim_nodes=t.dim_nodes)
+    register(spark, stored)
+    from_, to = "TIMESTAMP_NTZ '2024-01-05 00:00:00'", "TIMESTAMP_NTZ '2024-01-05 23:00:00'"
+    queries = [
+        f"SELECT * FROM v_user_abuse({from_}, {to})",
+        f"SELECT * FROM v_usage WHERE ts5 BETWEEN {from_} AND {to} AND month = 202401",
+        f"SELECT * FROM v_connections WHERE ts BETWEEN {from_} AND {to} AND day = DATE '2024-01-05'",
+        f"SELECT * FROM v_sub_requests WHERE ts BETWEEN {from_} AND {to} AND month = 202401",
+    ]
+    for query in queries:
+        plan = spark.sql(query)._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.splitlines() if "FileScan" in x and str(tmp_path) in x]
+        assert scans and all("PartitionFilters: []" not in x for x in scans), query
+
+
+def test_dimension_snapshots_compact_to_the_newest_rows(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    for day, name in ((1, "old"), (2, "new")):
+        rows_ = [(i, f"u{i}", f"{name}{i}", "", dt.datetime(2024, 1, day)) for i in range(5)]
+        append_snapshot(spark.createDataFrame(rows_, schemas.DIM_NODES), path)
+    target = compact_snapshots(spark, path, "node_id", schemas.DIM_NODES)
+    assert {r.name for r in spark.read.parquet(target).collect()} == {f"new{i}" for i in range(5)}
+    assert spark.read.parquet(target).count() == 5
 
 
 def test_rows_from_an_older_schema_read_as_empty(spark, sf):
