@@ -49,14 +49,15 @@ def prefix(key: Column, depth: int) -> Column:
 
 
 def chain_entries(docs: DataFrame, carry: list[str] = []) -> DataFrame:
-    """One row per distinct text, bytes compared, with the largest ``doc_id`` and, of
-    the row that has it, the columns to carry."""
+    """One row per distinct text, bytes compared, with the largest ``doc_id`` and, where columns
+    are carried, the text and these columns of the row that has it."""
     text = text_of(docs)
+    best = F.struct("doc_id", docs["text"].isNull().alias("no_text"), F.struct(*carry).alias("row"))
     rows = docs.select(
         hash_key(text).alias("key"),
         text.alias("body"),
         F.col("doc_id").alias("id"),
-        *([F.struct("doc_id", F.struct("text", *carry).alias("row")).alias("best")] if carry else []),
+        *([best.alias("best")] if carry else []),
     )
     groups = rows.groupBy("key", "body").agg(
         F.max("id").alias("keep_id"),
@@ -68,7 +69,7 @@ def chain_entries(docs: DataFrame, carry: list[str] = []) -> DataFrame:
         F.sha2(F.col("body").cast("binary"), 256).alias("text_sha256"),
         "keep_id",
         "group_size",
-        *(["best.row"] if carry else []),
+        *([F.when(~F.col("best.no_text"), F.col("body")).alias("text"), "best.row"] if carry else []),
     )
 
 
@@ -134,4 +135,4 @@ def keep_one(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The documents that stay, with all columns of ``docs``."""
     carry = [c for c in docs.columns if c != "text"]
     index = build_index(docs, carry=carry, capacity=capacity)
-    return index.entries.select("row.*").select(*docs.columns)
+    return index.entries.select("text", "row.*").select(*docs.columns)

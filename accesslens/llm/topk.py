@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm.common import stored
+from accesslens.operators.select import top_per_group
 
 SHARD = 4096  # vectors per shard, on average
 LEAF = 64
@@ -181,13 +182,11 @@ def searched(rows: DataFrame, k: int) -> DataFrame:
 
 
 def merged(found: DataFrame, k: int) -> DataFrame:
-    """The k best per query, by an aggregate that cuts in each task."""
-    entry = F.struct("score", (-F.col("vec_id")).alias("back"))
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry), False), 1, k).alias("best"))
-    ranked = best.select("query_id", F.posexplode("best").alias("at", "e"))
-    return ranked.select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), (-F.col("e.back")).alias("vec_id"), F.col("e.score").alias("score")
-    )
+    """The k best per query; every task cuts to k before anything moves."""
+    order = [F.desc("score"), F.asc("vec_id")]
+    best = top_per_group(found, "query_id", order, k)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
+    return best.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score")
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -> DataFrame:
