@@ -62,7 +62,7 @@ def test_base_spans_equal_plain_expressions(make_docs):
 def test_contexts_of_seeds_find_unseen_identifiers(make_docs):
     rows = [(i, f"intro {i} please call me at +1 (2{i % 10}0) 555-{1000 + i} soon") for i in range(40)]
     rows += [(100, "you can call me at (0211) 555 or so"), (101, "Call me at 030-5557788!"), (102, "call me at 9 today")]
-    rows += [(103, "they met 030-5557799 times"), (104, "write to me at 030-5557788")]
+    rows += [(103, "they met 030-5557799 times"), (104, "write to us via 030-5557788")]
     got = {r.doc_id: r for r in pii.personal_data(make_docs(rows)).collect()}
     assert got[101].spans == "phone:11:22" and got[101].n_phone == 0
     assert [got[i].spans for i in (100, 102, 103, 104)] == [""] * 4
