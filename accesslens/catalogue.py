@@ -19,7 +19,7 @@ from accesslens.operators.decode import (
     REQUEST_STREAM, STREAMS, USAGE_STREAM, CONNECTION_STREAM, response_type, split_packed,
 )
 from accesslens.operators.enrich import (
-    ASN_COLUMNS, CITY_COLUMNS, geo_enrich, index_networks, lookup, parsed_addresses,
+    ASN_COLUMNS, CITY_COLUMNS, enrich_requests, geo_enrich, index_networks, lookup, parsed_addresses,
 )
 from accesslens.plans import abuse_reports, node_reports, request_reports
 from accesslens.plans.abuse import active_universe, exact_abuse, user_abuse
@@ -113,6 +113,14 @@ def retention_drop(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_table(spark, root, "node_connections").drop("day")
 
 
+def pruned_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Three days of a stored table; the range names the day partitions."""
+    root = session.scratch(spark, "pruned")
+    store.write_batch(fx.node_connections(spark, sf), root, "node_connections", 0)
+    stored = store.read_table(spark, root, "node_connections")
+    return in_range(stored, "ts", "2024-01-10 06:00:00", "2024-01-12 18:00:00").drop("day")
+
+
 # --- decoding -----------------------------------------------------------------
 
 
@@ -225,6 +233,13 @@ def geo_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return geo_enrich(rows, "ip", None, nets).select("ip", "asn", "as_org")
 
 
+def custom_hosting(spark: SparkSession, sf: str) -> DataFrame:
+    """Hosting by own words instead of the list."""
+    nets = fx.geo_networks(spark, sf)
+    rows = enrich_requests(fx.request_rows(fx.events(spark, sf)), nets, nets, keywords=["TELECOM", "sample"])
+    return rows.select("ip", "as_org", "is_hosting")
+
+
 def _published(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """City and ASN networks through CSV files in the published layout."""
     root = session.scratch(spark, "networks-csv")
@@ -507,6 +522,33 @@ def resume_from_now(spark: SparkSession, sf: str) -> DataFrame:
     return _usage_per_user(spark, f"{root}/out")
 
 
+def stream_small_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Four files, one per batch."""
+    root = session.scratch(spark, "small-batches")
+    fx.usage_messages(fx.events(spark, sf)).repartition(4, "entry_id").write.json(f"{root}/landing")
+    source = read_entry_files(spark, f"{root}/landing", streaming=True, max_files_per_trigger=1)
+    start_ingest(spark, source, None, f"{root}/out", f"{root}/checkpoint", _NOW).awaitTermination()
+    sums = [F.sum(c).alias(c) for c in ("messages", "failed", "rows")]
+    return read_measures(spark, f"{root}/out").groupBy("stream").agg(F.count(F.lit(1)).alias("batches"), *sums)
+
+
+def refreshed_networks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same requests in two batches, the network tables replaced between them."""
+    root = session.scratch(spark, "refreshed")
+    first = fx.geo_networks(spark, sf)
+    later = first.withColumn("country", F.concat("country", F.lit(" 2")))
+    messages = fx.request_messages(fx.events(spark, sf))
+    for name, nets in (("a", first), ("b", later)):
+        again = messages.withColumn("entry_id", F.concat(F.lit(f"{name}-"), "entry_id"))
+        again.coalesce(1).write.json(f"{root}/landing/{name}")
+        source = read_entry_files(spark, f"{root}/landing/*", streaming=True)
+        start_ingest(
+            spark, source, REQUEST_STREAM, f"{root}/out", f"{root}/checkpoint", _NOW, lambda nets=nets: (nets, nets)
+        ).awaitTermination()
+    stored = store.read_table(spark, f"{root}/out", "sub_requests")
+    return stored.groupBy("country").agg(F.count(F.lit(1)).alias("requests"))
+
+
 def stream_dedup_two_batches(spark: SparkSession, sf: str) -> DataFrame:
     """The same entries in two files, read as two batches: stored once."""
     root = session.scratch(spark, "redelivered")
@@ -541,6 +583,7 @@ def queries() -> dict[str, Query]:
         "backfill_live": backfill_live,
         "compact_live": compact_live,
         "retention_drop": retention_drop,
+        "pruned_range": pruned_range,
         "decode_user_usage": _decode(USAGE_STREAM),
         "decode_sub_requests": _decode(REQUEST_STREAM),
         "decode_node_connections": _decode(CONNECTION_STREAM),
@@ -560,6 +603,7 @@ def queries() -> dict[str, Query]:
         "geo_overlap": geo_overlap,
         "read_networks_csv": read_networks_csv,
         "geo_two_tables": geo_two_tables,
+        "custom_hosting": custom_hosting,
         "hosting_flag": hosting_flag_query,
         "ua_classify": ua_classify_query,
         "name_fallback": name_fallback,
@@ -604,6 +648,8 @@ def queries() -> dict[str, Query]:
         "restart_new_checkpoint": restart_new_checkpoint,
         "resume_from_now": resume_from_now,
         "stream_dedup_two_batches": stream_dedup_two_batches,
+        "stream_small_batches": stream_small_batches,
+        "refreshed_networks": refreshed_networks,
         "unreadable_entries": unreadable_entries,
         "stream_quality": stream_quality,
         "stream_watermark_rollup": stream_watermark_rollup,

@@ -481,6 +481,8 @@ def _statements() -> dict[str, str]:
         "backfill_live": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
         "compact_live": "SELECT * FROM u5",
         "retention_drop": "SELECT * FROM conn WHERE ts >= TIMESTAMP '2024-02-05 12:00:00' - INTERVAL 30 DAY",
+        "pruned_range": """SELECT * FROM conn
+            WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'""",
         # decoding
         "decode_user_usage": _USAGE_RECORDS,
         "decode_sub_requests": _MESSAGE_ROWS,
@@ -507,6 +509,8 @@ def _statements() -> dict[str, str]:
         "geo_overlap": _OVERLAP,
         "read_networks_csv": _BLOCKS,
         "geo_two_tables": _PUBLISHED,
+        "custom_hosting": """SELECT ip, as_org,
+            CAST(contains(lower(as_org), 'telecom') OR contains(lower(as_org), 'sample') AS INTEGER) AS is_hosting FROM req""",
         "hosting_flag": f"""SELECT doc_id, {_hosting('text')} AS is_hosting FROM documents UNION ALL
             SELECT s_suppkey, {_hosting('s_name')} FROM supplier""",
         "ua_classify": f"""SELECT user_agent, {_ua_case('user_agent', 1)} AS ua_family, {_ua_case('user_agent', 2)} AS ua_kind
@@ -599,6 +603,11 @@ def _statements() -> dict[str, str]:
         "stream_usage_5m": "SELECT * FROM u5",
         "restart_new_checkpoint": "SELECT ts5, node_id, user_id, CAST(2 * bytes AS BIGINT) AS bytes FROM u5",
         "resume_from_now": _USER_SUMS,
+        "stream_small_batches": f"""SELECT '{USAGE_STREAM}' AS stream, CAST(4 AS BIGINT) AS batches, count(*) AS messages,
+            CAST(0 AS BIGINT) AS failed, CAST(4 * count(*) AS BIGINT) AS "rows" FROM events""",
+        "refreshed_networks": f"""SELECT country, count(*) AS requests FROM
+            (SELECT country FROM ({_MESSAGE_ROWS}) AS a UNION ALL
+             SELECT CASE WHEN country = '' THEN '' ELSE country || ' 2' END FROM ({_MESSAGE_ROWS}) AS b) AS both_ GROUP BY country""",
         "stream_dedup_two_batches": _USER_SUMS,
         "unreadable_entries": f"""SELECT stream, reason, n, n AS with_payload FROM ({_QUARANTINE}) AS q
             UNION ALL SELECT '', 'unreadable_entry', CAST(2 * count(*) AS BIGINT), CAST(2 * count(*) AS BIGINT) FROM events

@@ -56,6 +56,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in the part that belongs to this application."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote to ``scratch`` paths; nothing may read it afterwards."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
