@@ -6,13 +6,13 @@ text. One weight per hashed feature is shared by all thresholds:
 gets its expected grade and the tail probability ``P(grade >= 2)``; selection
 keeps those whose tail probability reaches ``KEEP``.
 
-Features of the whole text, hashed to 2^18 places: its distinct words without
-surrounding punctuation, in lower case; the punctuation that surrounds words,
+Features of the whole text, hashed to 2^22 places: its distinct words without
+surrounding punctuation, in lower case, and their beginnings; the punctuation that surrounds words,
 by share of words; capitals, repeats and length by share or size class.
 
 The fit uses at most ``SAMPLE`` labelled documents, those whose ids have the
-smallest hashes; that bound also bounds the one task which fits (full-batch
-AdaGrad, fixed steps, rows in id order: reruns agree).
+smallest hashes; that bound also bounds the one task which fits (L-BFGS
+from zero, rows in id order: reruns agree).
 
 Defined cases: a null text is empty; an empty text has only its length class;
 labels without quality are ignored, toxic null is 0, several labels of one
@@ -34,25 +34,29 @@ from pyspark.sql import functions as F
 
 from accesslens.llm.common import stored, text_of
 
-PLACES = 1 << 18
+PLACES = 1 << 22
+BEGINNINGS = (4, 5)  # code points
 SAMPLE = 20_000
-STEPS = 60
-RATE = 0.3
-PENALTY = 2e-5
-KEEP = 0.5
+ROUNDS = 150
+# Labelled documents that must have a feature, and how surely and strongly it must tell grades apart.
+LEAST, Z, STRONG = 3, 5.0, 0.3
+PENALTY = 1e-5
+KEEP = 0.9
 TOP = 2
-CACHED = 500_000
+CACHED = 300_000
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class Places(dict):
-    """Word to (place of its core, its surrounding punctuation, all capitals); bounded."""
+    """Word to (places of its core and beginnings, its surrounding punctuation, all capitals); bounded."""
 
-    def __missing__(self, word: str) -> tuple[int, str, bool]:
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], str, bool]:
         core = word.strip(EDGE)
         start = word.find(core) if core else len(word)
         edge = word[:start] + "_" + word[start + len(core) :] if core else word
-        found = (place(f"w:{core.lower()}") if core else -1, edge, len(core) > 1 and core.isupper())
+        low = core.lower()
+        names = [f"w:{low}", *(f"b:{low[:n]}" for n in BEGINNINGS if len(low) > n)] if core else []
+        found = (tuple(map(place, names)), edge, len(core) > 1 and core.isupper())
         if len(self) >= CACHED:
             self.clear()
         self[word] = found
@@ -64,34 +68,36 @@ def place(name: str) -> int:
 
 
 PLACES_OF = Places()
+SHARES = ("capitals", "repeats", "edges")
+GENERAL = [place(f"s:{s}") for s in SHARES] + [place(f"s:{s}:{k}") for s in SHARES for k in range(11)]
+GENERAL += [place(f"n:{k}") for k in range(64)]
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places (distinct, ascending) and values."""
+    """Places (distinct) and values."""
     words = text.split()
     n = len(words)
     times = Counter(words)
-    found = dict.fromkeys((p for p, _, _ in map(PLACES_OF.__getitem__, times) if p >= 0), 1.0)
+    found: dict[int, float] = {}
     edges: Counter[str] = Counter()
     capitals = 0
-    for word, k in times.items():
-        _, edge, upper = PLACES_OF[word]
-        capitals += k * upper
+    for (own, edge, upper), k in zip(map(PLACES_OF.__getitem__, times), times.values()):
+        for at in own:
+            found[at] = 1.0
+        if upper:
+            capitals += k
         if edge != "_":
             edges[edge] += k
     for edge, k in edges.items():
         at = place(f"e:{edge}")
         found[at] = found.get(at, 0.0) + 4 * k / n
     if n:
-        for name, share in (("capitals", capitals / n), ("repeats", 1 - len(times) / n), ("edges", edges.total() / n)):
-            at = place(f"s:{name}:{int(share * 10)}")
-            found[at] = found.get(at, 0.0) + 1.0
+        for name, share in zip(SHARES, (capitals / n, 1 - len(times) / n, edges.total() / n)):
+            for at, value in ((place(f"s:{name}:{int(share * 10)}"), 1.0), (place(f"s:{name}"), 4 * share)):
+                found[at] = found.get(at, 0.0) + value
     at = place(f"n:{n.bit_length()}")
     found[at] = found.get(at, 0.0) + 1.0
-    places = np.fromiter(found, np.int32, len(found))
-    values = np.fromiter(found.values(), np.float32, len(found))
-    order = np.argsort(places)
-    return places[order], values[order]
+    return np.fromiter(found, np.int32, len(found)), np.fromiter(found.values(), np.float32, len(found))
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -108,43 +114,103 @@ class Model:
         return sigmoid(scores[:, None] - self.thresholds[None, :])
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], top: int = TOP, steps: int = STEPS) -> Model:
-    """Maximum likelihood of ``P(y = k) = P(y >= k) - P(y >= k + 1)``, by AdaGrad.
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], top: int = TOP) -> Model:
+    """Maximum likelihood of ``P(y = k) = P(y >= k) - P(y >= k + 1)`` with a quadratic penalty.
 
     The thresholds are a first one and gaps of exp(g), so they stay ordered.
+    Features that do not go along with a grade keep weight 0: rare words would only learn the sample by heart.
     """
-    weights, first, gaps = np.zeros(PLACES), 0.0, np.zeros(top - 1)
+    weights = np.zeros(PLACES)
     grades = np.array([g for _, _, g in rows], np.int64)
     if len(set(grades.tolist())) < 2:
         return Model(weights, np.full(top, -1e9 if not rows or grades[0] == top else 1e9))
     places = np.concatenate([p for p, _, _ in rows])
     values = np.concatenate([v for _, v, _ in rows]).astype(np.float64)
     of = np.repeat(np.arange(len(rows)), [len(p) for p, _, _ in rows])
-    squares, square_t = np.full(PLACES, 1e-8), np.full(top, 1e-8)
-    for _ in range(steps):
+    n, here = len(rows), np.arange(len(rows))
+    telling = correlated(places, values, of, grades, top)
+    used = np.flatnonzero(telling)
+    kept = telling[places]
+    values, of, column = values[kept], of[kept], np.searchsorted(used, places[kept])
+    m = len(used)
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        w, first, gaps = x[:m], x[m], x[m + 1 :]
         thresholds = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        scores = np.bincount(of, weights[places] * values, len(rows))
+        scores = np.bincount(of, w[column] * values, n)
         tails = sigmoid(scores[:, None] - thresholds[None, :])
-        edged = np.concatenate([np.ones((len(rows), 1)), tails, np.zeros((len(rows), 1))], axis=1)
-        here = np.arange(len(rows))
+        edged = np.concatenate([np.ones((n, 1)), tails, np.zeros((n, 1))], axis=1)
         upper, lower = edged[here, grades], edged[here, grades + 1]
-        # d log P / d score = 1 - upper - lower for logistic links.
-        slope = 1 - upper - lower
-        grad = np.bincount(places, (slope / len(rows))[of] * values, PLACES) - PENALTY * weights
         likely = np.maximum(upper - lower, 1e-12)
+        # For logistic links d log P / d score is 1 - upper - lower.
+        d_w = np.bincount(column, ((upper + lower - 1) / n)[of] * values, m) + PENALTY * w
         steep = tails * (1 - tails)
-        d_theta = np.zeros(top)
-        for k in range(top):
-            d_theta[k] = (np.where(grades == k, 1, 0) - np.where(grades == k + 1, 1, 0)) @ (steep[:, k] / likely)
-        d_theta /= len(rows)
-        d_gaps = np.array([d_theta[k + 1 :].sum() * np.exp(gaps[k]) for k in range(top - 1)])
-        grad_t = np.concatenate([[d_theta.sum()], d_gaps])
-        squares += grad**2
-        square_t += grad_t**2
-        weights += RATE * grad / np.sqrt(squares)
-        step_t = RATE * grad_t / np.sqrt(square_t)
-        first, gaps = first + step_t[0], gaps + step_t[1:]
-    return Model(weights, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
+        d_theta = np.array(
+            [((grades == k + 1).astype(float) - (grades == k)) @ (steep[:, k] / likely) for k in range(top)]
+        ) / n
+        d_gaps = [d_theta[k + 1 :].sum() * np.exp(gaps[k]) for k in range(top - 1)]
+        value = -np.log(likely).mean() + PENALTY / 2 * (w @ w)
+        return value, np.concatenate([d_w, [d_theta.sum()], d_gaps])
+
+    x = minimum(loss, np.zeros(m + top))
+    weights[used] = x[:m]
+    return Model(weights, x[m] + np.concatenate([[0.0], np.cumsum(np.exp(x[m + 1 :]))]))
+
+
+def correlated(places: np.ndarray, values: np.ndarray, of: np.ndarray, grades: np.ndarray, top: int) -> np.ndarray:
+    """Places that tell some ``grade >= k`` apart: their correlation is ``Z`` standard errors from
+    none, and among the texts that have them the share of such grades is off by ``STRONG``.
+
+    Common words that hardly tell are so left out: long texts have most of them, and their sum would
+    drown the few words that do. Shares and sizes are kept on the first test alone.
+    """
+    n = len(grades)
+    often = np.bincount(places, minlength=PLACES)
+    mean = np.bincount(places, values, PLACES) / n
+    spread = np.sqrt(np.maximum(np.bincount(places, values**2, PLACES) / n - mean**2, 1e-12))
+    general = np.zeros(PLACES, bool)
+    general[GENERAL] = True
+    telling = np.zeros(PLACES, bool)
+    for k in range(1, top + 1):
+        y = (grades >= k).astype(float)
+        if 0 < y.mean() < 1:
+            along = np.bincount(places, values * y[of], PLACES) / n - mean * y.mean()
+            sure = np.abs(along) / (spread * y.std()) * np.sqrt(n) >= Z
+            share = np.bincount(places, y[of], PLACES) / np.maximum(often, 1)
+            telling |= sure & (general | (np.abs(share - y.mean()) >= STRONG))
+    return telling & (often >= LEAST)
+
+
+def minimum(loss, x: np.ndarray, rounds: int = ROUNDS, memory: int = 8) -> np.ndarray:
+    """L-BFGS with step halving."""
+    value, grad = loss(x)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        way, scales = -grad, []
+        for s, y in reversed(pairs):
+            scales.append((s @ way) / (s @ y))
+            way = way - scales[-1] * y
+        if pairs:
+            s, y = pairs[-1]
+            way = way * ((s @ y) / (y @ y))
+        for (s, y), scale in zip(pairs, reversed(scales)):
+            way = way + (scale - (y @ way) / (s @ y)) * s
+        slope, step = grad @ way, 1.0
+        while step > 1e-8:
+            there, grad_there = loss(x + step * way)
+            if there <= value + 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        s, y = step * way, grad_there - grad
+        if s @ y > 1e-12:
+            pairs = [*pairs[1 - memory :], (s, y)]
+        done = value - there < 1e-7
+        x, value, grad = x + s, there, grad_there
+        if done:
+            break
+    return x
 
 
 def graded(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
@@ -200,7 +266,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
 def scored(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``expected_grade``, ``tail``, ``kept``."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # 1 MB
+    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # 16 MB
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, thresholds = shared.value

@@ -14,7 +14,7 @@ from accesslens.llm.common import stored, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose tail probability of the best grade is at least one half."""
+    """Documents whose tail probability of the best grade is at least nine tenths."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 

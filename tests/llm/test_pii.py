@@ -70,10 +70,11 @@ def test_contexts_of_seeds_find_unseen_identifiers(make_docs):
 
 
 def test_second_round_learns_from_what_was_found(make_docs):
-    """Identifiers found by a seed pattern make another pattern trusted, if seeds support it too."""
+    """Identifiers found by a seed pattern make another pattern trusted: 16 of 21 are not enough, with
+    four more found before they are."""
     rows = [(i, f"x{i} reach me at +1 (200) 555-{1000 + i} ok") for i in range(30)]
-    rows += [(200 + i, f"reach me at 040-55501{i:02d} ok. my number: 040-55501{i:02d} ok") for i in range(30)]
-    rows += [(300 + i, f"my number: +1 (300) 555-{1000 + i} ok") for i in range(8)]
+    rows += [(200 + i, f"reach me at 040-55501{i:02d} ok. my number: 040-55501{i:02d} ok") for i in range(4)]
+    rows += [(300 + i, f"my number: +1 (300) 555-{1000 + i} ok") for i in range(16)]
     rows += [(400, "my number: 040-5559999 ok")]
     got = {r.doc_id: r.spans for r in pii.personal_data(make_docs(rows)).collect()}
     assert got[200] == "phone:12:23,phone:39:50" and got[400] == "phone:11:22"
