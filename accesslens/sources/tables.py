@@ -102,11 +102,12 @@ def stored_schema(table: str) -> T.StructType:
     return T.StructType([*fields, partition, T.StructField("batch_id", T.StringType())])
 
 
-def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All batches, seen or not."""
+def _stored(spark: SparkSession, root: str, table: str, batch_id: int | str | None = None) -> DataFrame:
+    """All batches, seen or not, or one, for which only its own folders are listed."""
     schema = stored_schema(table)
+    path = f"{root}/{table}" + ("" if batch_id is None else f"/*/batch_id={batch_id}")
     try:
-        return spark.read.schema(schema).parquet(f"{root}/{table}")
+        return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -116,13 +117,11 @@ def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
 def read_table(spark: SparkSession, root: str, table: str, batch_id: int | str | None = None) -> DataFrame:
     """The rows of a table, or of one batch; columns an old batch lacks read as empty values."""
     hidden, replaced = _skipped(spark, root, table)
-    rows = _stored(spark, root, table)
+    rows = _stored(spark, root, table, batch_id)
     if hidden:
         rows = rows.filter(~F.col("batch_id").isin(*hidden))
     if replaced:
         rows = rows.filter(~_in_batches(table, replaced))
-    if batch_id is not None:
-        rows = rows.filter(F.col("batch_id") == str(batch_id))
     return rows.drop("batch_id")
 
 
