@@ -110,13 +110,14 @@ def index_networks(nets: DataFrame, values: Sequence[str], keywords: Iterable[st
     shift = f"IF(family = 4, {WIDTH[4]}, {WIDTH[6]}) - grid"
     first, last = (f"shiftrightunsigned({end}, {shift})" for end in ("s_hi", "e_hi"))
     one = ", ".join(f"'{c}', {_ordered(c)}" for c in ("s_hi", "s_lo", "e_hi", "e_lo"))
-    sizes = f"'span', {_ordered('(e_hi - s_hi)')}, 'below', {_ordered('(e_lo - s_lo)')}"
+    # Inverted sizes, so that the largest entry is the smallest range; equal ranges give the largest values.
+    sizes = f"'span', {_ordered('~(e_hi - s_hi)')}, 'below', {_ordered('~(e_lo - s_lo)')}"
     pieces = (
         _ranges(network_table(nets, values, keywords), values)
         .selectExpr("*", f"{grid} AS grid")
         .selectExpr("family", "grid", f"explode(sequence({first}, {last})) AS block", f"named_struct({sizes}, {one}, 'hit', hit) AS r")
     )
-    blocks = pieces.groupBy("family", "grid", "block").agg(F.sort_array(F.collect_set("r")).alias("ranges"))
+    blocks = pieces.groupBy("family", "grid", "block").agg(F.sort_array(F.collect_set("r"), False).alias("ranges"))
     path = session.scratch(spark, "networks")
     blocks.write.parquet(path)
     blocks = spark.read.schema(blocks.schema).parquet(path)

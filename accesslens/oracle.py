@@ -415,9 +415,9 @@ _MEASURES = " UNION ALL ".join(
     f"CAST({per} * count(*) AS BIGINT) AS \"rows\" FROM events"
     for stream, per in ((USAGE_STREAM, 4), (REQUEST_STREAM, 1), (CONNECTION_STREAM, 3))
 )
-# The smallest range that holds the address.
+# The smallest range that holds the address, of equal ones the last.
 _OVERLAP = f"""SELECT c.ip, coalesce(b.hit.asn, 0) AS asn, coalesce(b.hit.as_org, '') AS as_org FROM conn c LEFT JOIN
-    (SELECT d.ip, min({{'size': r.end_ip - r.start_ip, 'asn': r.asn, 'as_org': r.as_org}}) AS hit FROM
+    (SELECT d.ip, max({{'size': r.start_ip - r.end_ip, 'start': r.start_ip, 'asn': r.asn, 'as_org': r.as_org}}) AS hit FROM
         (SELECT ip, {_NUMBER} AS n FROM (SELECT DISTINCT ip FROM conn WHERE ip NOT LIKE '10.%') AS ips) d JOIN
         (SELECT start_ip, end_ip, asn, as_org FROM geo UNION ALL
          SELECT CAST((s_suppkey % 25 + 20) * 16777216 + s_suppkey % 190 * 65536 AS BIGINT),

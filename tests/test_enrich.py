@@ -58,7 +58,7 @@ def test_overlapping_and_repeated_ranges(spark):
     for row in rows:
         n = int(ipaddress.ip_address(row.ip))
         if not ipaddress.ip_address(row.ip).is_private:
-            assert row.asn == min((hi - lo, lo, a) for lo, hi, a in ranges if lo <= n <= hi)[2], row.ip
+            assert row.asn == max((lo - hi, lo, a) for lo, hi, a in ranges if lo <= n <= hi)[2], row.ip
 
 
 def test_lookup_is_an_equi_join(spark):
