@@ -36,14 +36,14 @@ from accesslens.llm.common import stored, text_of
 
 PLACES = 1 << 22
 BEGINNINGS = (4, 5)  # code points
-SAMPLE = 20_000
+SAMPLE = 10_000
 ROUNDS = 150
 # Labelled documents that must have a feature, and how surely and strongly it must tell grades apart.
 LEAST, Z, STRONG = 3, 5.0, 0.3
 PENALTY = 1e-5
 KEEP = 0.9
 TOP = 2
-CACHED = 300_000
+CACHED = 150_000
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -124,14 +124,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], top: int = TOP) -> Model
     grades = np.array([g for _, _, g in rows], np.int64)
     if len(set(grades.tolist())) < 2:
         return Model(weights, np.full(top, -1e9 if not rows or grades[0] == top else 1e9))
-    places = np.concatenate([p for p, _, _ in rows])
-    values = np.concatenate([v for _, v, _ in rows]).astype(np.float64)
-    of = np.repeat(np.arange(len(rows)), [len(p) for p, _, _ in rows])
+    places, column = np.unique(np.concatenate([p for p, _, _ in rows]), return_inverse=True)
+    values = np.concatenate([v for _, v, _ in rows])
+    of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(p) for p, _, _ in rows])
     n, here = len(rows), np.arange(len(rows))
-    telling = correlated(places, values, of, grades, top)
-    used = np.flatnonzero(telling)
-    kept = telling[places]
-    values, of, column = values[kept], of[kept], np.searchsorted(used, places[kept])
+    telling = correlated(column, values, of, grades, np.isin(places, GENERAL), top)
+    used, kept = places[telling], telling[column]
+    column, values, of = (np.cumsum(telling) - 1)[column[kept]], values[kept].astype(np.float64), of[kept]
     m = len(used)
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
@@ -157,26 +156,26 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], top: int = TOP) -> Model
     return Model(weights, x[m] + np.concatenate([[0.0], np.cumsum(np.exp(x[m + 1 :]))]))
 
 
-def correlated(places: np.ndarray, values: np.ndarray, of: np.ndarray, grades: np.ndarray, top: int) -> np.ndarray:
-    """Places that tell some ``grade >= k`` apart: their correlation is ``Z`` standard errors from
+def correlated(
+    column: np.ndarray, values: np.ndarray, of: np.ndarray, grades: np.ndarray, general: np.ndarray, top: int
+) -> np.ndarray:
+    """Columns that tell some ``grade >= k`` apart: their correlation is ``Z`` standard errors from
     none, and among the texts that have them the share of such grades is off by ``STRONG``.
 
     Common words that hardly tell are so left out: long texts have most of them, and their sum would
-    drown the few words that do. Shares and sizes are kept on the first test alone.
+    drown the few words that do. Shares and sizes (``general``) need the first test alone.
     """
-    n = len(grades)
-    often = np.bincount(places, minlength=PLACES)
-    mean = np.bincount(places, values, PLACES) / n
-    spread = np.sqrt(np.maximum(np.bincount(places, values**2, PLACES) / n - mean**2, 1e-12))
-    general = np.zeros(PLACES, bool)
-    general[GENERAL] = True
-    telling = np.zeros(PLACES, bool)
+    n, m = len(grades), len(general)
+    often = np.bincount(column, minlength=m)
+    mean = np.bincount(column, values, m) / n
+    spread = np.sqrt(np.maximum(np.bincount(column, values**2, m) / n - mean**2, 1e-12))
+    telling = np.zeros(m, bool)
     for k in range(1, top + 1):
-        y = (grades >= k).astype(float)
+        y = (grades >= k).astype(np.float32)
         if 0 < y.mean() < 1:
-            along = np.bincount(places, values * y[of], PLACES) / n - mean * y.mean()
+            along = np.bincount(column, values * y[of], m) / n - mean * y.mean()
             sure = np.abs(along) / (spread * y.std()) * np.sqrt(n) >= Z
-            share = np.bincount(places, y[of], PLACES) / np.maximum(often, 1)
+            share = np.bincount(column, y[of], m) / often
             telling |= sure & (general | (np.abs(share - y.mean()) >= STRONG))
     return telling & (often >= LEAST)
 
@@ -240,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [
-            (np.asarray(p.values, np.int64), np.asarray(v.values, np.float32), g.as_py())
+            (np.array(p.values, np.int32), np.array(v.values, np.float32), g.as_py())
             for batch in batches
             for p, v, g in zip(batch.column("places"), batch.column("values"), batch.column("grade"))
         ]
@@ -265,23 +264,26 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
 
 def scored(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``expected_grade``, ``tail``, ``kept``."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # 16 MB
+    used = np.flatnonzero(model.weights)
+    shared = docs.sparkSession.sparkContext.broadcast((used, model.weights[used], model.thresholds))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, thresholds = shared.value
+        used, own, thresholds = shared.value
+        weights = np.zeros(PLACES, np.float32)
+        weights[used] = own
         for batch in batches:
+            row = batch.column("row")
             scores = np.zeros(batch.num_rows)
-            for k, t in enumerate(batch.column("_text")):
-                places, values = features(t.as_py())
-                scores[k] = float(weights[places].astype(np.float64) @ values)
+            for k, t in enumerate(row.field("text")):
+                places, values = features(t.as_py() or "")
+                scores[k] = weights[places] @ values
             tails = sigmoid(scores[:, None] - thresholds[None, :])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= keep)],
+                [row, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= keep)],
                 ["row", "expected_grade", "tail", "kept"],
             )
 
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_of(docs).alias("_text"))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     schema = packed.select("row", F.lit(0.0).alias("expected_grade"), F.lit(0.0).alias("tail"), F.lit(True).alias("kept")).schema
     return packed.mapInArrow(score, schema)
 

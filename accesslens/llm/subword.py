@@ -44,7 +44,7 @@ DROPOUT = 0.1
 SEED = 7
 VARIANTS = 2
 LONG = 64  # code points of a chunk that is cached and takes the short way
-CACHED = 200_000  # chunks per variant and generation
+CACHED = 100_000  # chunks per variant and generation
 MARK = "▁"
 CHUNK = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
