@@ -150,8 +150,9 @@ def lookup(df: DataFrame, index: NetworkIndex, *, small: bool, tag: str = "") ->
         hits.append(f"get(filter({name}_r, r -> {inside}), 0).hit")
     if not hits:
         return df, {c: F.lit(None) for c in index.values}
-    best = f"coalesce({', '.join(reversed(hits))})"
-    return df, {c: F.expr(f"{best}.{c}") for c in index.values}
+    # A column of its own, so that the choice is made once for all values.
+    df = df.withColumn(f"_{tag}best", F.expr(f"coalesce({', '.join(reversed(hits))})"))
+    return df, {c: F.col(f"_{tag}best")[c] for c in index.values}
 
 
 def parsed_addresses(df: DataFrame, ip_col: str) -> DataFrame:

@@ -26,15 +26,6 @@ def top_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int) ->
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def at_least(df: DataFrame, measure: str, n: int, key: str) -> DataFrame:
-    """The rows whose ``measure`` reaches the n-th largest: the n largest and all ties.
-
-    For a cut whose ties are broken by what is only looked up afterwards.
-    """
-    largest = df.select(measure, key).orderBy(F.desc(measure), key).limit(n)
-    return df.filter(F.col(measure) >= largest.agg(F.min(measure)).scalar())
-
-
 def quantile_exact(df: DataFrame, column: str, level: float, name: str) -> DataFrame:
     """One row with element ``floor(level * n)`` (0-based) of the sorted values.
 

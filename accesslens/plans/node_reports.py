@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from accesslens.functions.values import as_bigint, bucket, in_range, or_zero, ratio, round_even, total, total_bigint
 from accesslens.operators.rollups import nonzero
-from accesslens.operators.select import at_least, quantile_exact, top, top_per_group
+from accesslens.operators.select import quantile_exact, top, top_per_group
 from accesslens.plans.views import (
     Tables, named_users, nodes_named, with_node_key, with_node_name, with_user, with_user_key,
 )
@@ -103,8 +103,8 @@ def r_top10_throughput(t: Tables, t_from, t_to, nodes=None, interval_s: int = 30
 def r_top_talkers(t: Tables, t_from, t_to, nodes=None, limit: int = 100) -> DataFrame:
     """Heaviest accounts: total, busiest bucket, nodes at once and share of all traffic.
 
-    Aggregates run on numbers that stand for display names; names, status and
-    tag are looked up for what is listed.
+    Aggregates run on numbers that stand for display names; names join the one
+    row per account that is left, status and tag what is listed.
     """
     rows = _usage(t, t_from, t_to, nodes).select("ts5", "user_id", "node_id", "bytes")
     keyed = with_node_key(with_user_key(rows, t.dim_users), t.dim_nodes)
@@ -115,9 +115,8 @@ def r_top_talkers(t: Tables, t_from, t_to, nodes=None, limit: int = 100) -> Data
     per_name = per_bucket.groupBy("user_key").agg(
         total("bytes").alias("total_bytes"), F.max("bytes").alias("peak"), F.max("nodes").alias("nodes")
     )
-    every = per_name.agg(total("total_bytes").alias("all_bytes")).scalar()
-    best = top(named_users(at_least(per_name, "total_bytes", limit, "user_key"), t.dim_users, keep=True),
-               [F.desc("total_bytes"), F.asc("username")], limit)
+    every = rows.agg(total("bytes").alias("all_bytes")).scalar()
+    best = top(named_users(per_name, t.dim_users, keep=True), [F.desc("total_bytes"), F.asc("username")], limit)
     # The accounts behind the listed names that have traffic in the window.
     listed = with_user_key(rows.select("user_id"), t.dim_users).join(
         F.broadcast(best.select("user_key")), "user_key", "semi"

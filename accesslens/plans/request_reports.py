@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from accesslens.functions.clients import is_scripted
 from accesslens.functions.values import REFUSALS, bucket, in_range, or_zero, ratio, round_even
-from accesslens.operators.select import at_least, top
+from accesslens.operators.select import top
 from accesslens.plans.views import Tables, named_users, with_user, with_user_key
 
 
@@ -90,8 +90,8 @@ def r_fetch_offenders(t: Tables, t_from, t_to, limit: int = 200) -> DataFrame:
     """Heaviest fetchers by display name and status.
 
     Sums collapse per account, and identities to narrow distinct rows of
-    account and hash, before both are added up per name; names are looked up
-    for the candidates only. Unlike in the rollup an unknown country counts as
+    account and hash, before both are added up per name; names join the one row
+    per account that is left. Unlike in the rollup an unknown country counts as
     one here.
     """
     rows = _requests(t, t_from, t_to)
@@ -123,9 +123,8 @@ def r_fetch_offenders(t: Tables, t_from, t_to, limit: int = 200) -> DataFrame:
         F.sum("refused").alias("refused"),
         F.max("last_seen").alias("last_seen"),
     )
-    few = at_least(added, "requests", limit, "user_key").join(counted, ["user_key", "status"])
     return top(
-        named_users(few, t.dim_users).select(
+        named_users(added.join(counted, ["user_key", "status"]), t.dim_users).select(
             "username", "status", "requests", *kinds, "scripted", "from_hosting", "refused", "last_seen"
         ),
         [F.desc("requests"), F.asc("username"), F.asc("status")], limit,

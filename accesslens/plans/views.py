@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.functions.values import as_bigint, display_name, is_blocked
@@ -74,15 +74,18 @@ def _keys(dim: DataFrame, key: str, name: str, kind: str) -> DataFrame:
     Ids that are not listed are their own key. A row named ``<kind>-<id>`` shares
     its name with that id if the id has no usable name itself.
     """
-    named = latest(dim.select(key, "updated_at", name), key).select(F.col(key).alias("_id"), F.col(name).alias("_name"))
-    named = named.filter("_name <> ''")
-    borrowed = named.filter(F.col("_name").rlike(f"^{kind}-(0|[1-9][0-9]{{0,17}})$"))
-    strangers = borrowed.select(
-        F.substring("_name", len(kind) + 2, 20).cast("bigint").alias("_id"), "_name"
-    ).join(named.select("_id"), "_id", "anti")
-    members = named.unionByName(strangers)
-    smallest = members.groupBy("_name").agg(F.min("_id").alias("_key"))
-    return members.join(smallest, "_name").select("_id", "_key")
+    named = latest(dim.select(key, "updated_at", name), key).filter(F.col(name) != "")
+    borrowed = F.when(
+        F.col(name).rlike(f"^{kind}-(0|[1-9][0-9]{{0,17}})$"), F.substring(name, len(kind) + 2, 20).cast("bigint")
+    )
+    # Own names win over borrowed ones.
+    both = F.array(
+        F.struct(F.col(key).alias("_id"), F.lit(1).alias("own"), F.col(name).alias("_name")),
+        F.struct(borrowed.alias("_id"), F.lit(0).alias("own"), F.col(name).alias("_name")),
+    )
+    members = named.select(F.inline(both)).filter("_id IS NOT NULL")
+    members = members.groupBy("_id").agg(F.max(F.struct("own", "_name")).alias("m")).select("_id", "m._name")
+    return members.select("_id", F.min("_id").over(Window.partitionBy("_name")).alias("_key"))
 
 
 def with_user_key(df: DataFrame, dim_users: DataFrame) -> DataFrame:
