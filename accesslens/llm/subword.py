@@ -7,10 +7,12 @@ character, so a text splits into chunks (marks, then characters without marks)
 that never merge across; a line break is a chunk. Within a chunk an agenda holds the candidate merges,
 best piece first, leftmost first among equals; a candidate that comes up is
 skipped with probability ``dropout``, decided by a hash keyed by the seed, the
-chunk's variant, the merge and its place. A skipped candidate is gone unless a
-neighbouring merge makes it anew. A chunk's variant, one of ``VARIANTS``, comes from the
-document's id and the chunk's place, so a frequent word gets several
-segmentations in every document, and as many cached results.
+document's id, the chunk's place in the document and the candidate's turn in the
+agenda. A skipped candidate is gone unless a neighbouring merge makes it anew. So
+every occurrence of a word is segmented by itself. The hash is drawn as the
+number of candidates up to the next skipped one, which has the same
+distribution; a chunk and the turns that are skipped in it say what comes out,
+so results are cached under these without any effect on them.
 
 Decoding joins the pieces' bytes, and is exact for any dropout: unknown
 characters are bytes (the model has byte pieces). With dropout 0 the result
@@ -25,11 +27,12 @@ library, and counts as not lossless; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,34 +45,83 @@ from accesslens.llm.common import text_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-VARIANTS = 2
+VARIANTS = 2  # documents whose skips ``Pieces.segments`` shows; in use, every document has its own
 LONG = 64  # code points of a chunk that is cached and takes the short way
-CACHED = 100_000  # chunks per variant and generation
+CACHED = 200_000  # entries per generation, of chunks and of chunks with skips
+TURNS = 255  # the most candidates between two skips that one draw tells apart; longer ways take more draws
+MIX, WORD = 0x9E3779B97F4A7C15, 2**64 - 1
 MARK = "▁"
 CHUNK = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
 
-class Segments(dict):
-    """Chunk to piece ids (little-endian 32-bit) for one variant. Bounded: a full
-    generation is set aside, and dropped when the next one is full."""
+class Generations(dict):
+    """Results by key. Bounded: a full generation is set aside, and dropped when the next one is full."""
 
-    def __init__(self, pieces: Pieces, variant: int):
+    def __init__(self, make):
         super().__init__()
-        self.pieces, self.before = pieces, {}
-        self.drops = pieces.drops(variant)
+        self.make, self.before = make, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.before.get(chunk)
+    def __missing__(self, key):
+        found = self.before.get(key)
         if found is None:
-            found = self.pieces.ids(chunk, self.drops)
-        if len(chunk) <= LONG:
-            if len(self) >= CACHED:
-                self.before = dict(self)
-                self.clear()
-            self[chunk] = found
+            found = self.make(key)
+        if len(self) >= CACHED:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
         return found
 
 
+def mixed(x):
+    """The finaliser of SplitMix64, of numpy's numbers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+class Skips:
+    """The skips of one document: by a chunk's place, the candidates that are kept before each skipped one."""
+
+    def __init__(self, pieces: Pieces, name: int):
+        self.pieces = pieces
+        self.key = np.uint64(xxhash.xxh64_intdigest(f"{pieces.seed}:{name}"))
+
+    def keys(self, n: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed(self.key + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(MIX))
+
+    def gaps(self, key: int) -> Iterator[int]:
+        """All gaps of the chunk with this key; two come from each hash, a gap of ``TURNS`` goes on with the next."""
+        levels, n, run = self.pieces.levels, self.pieces.turns, 0
+        while True:
+            for half in (key & 0xFFFFFFFF, key >> 32):
+                gap = n - bisect.bisect_right(levels, half)
+                run += gap
+                if gap < n or not n:
+                    yield run
+                    run = 0
+            key = xxhash.xxh64_intdigest(key.to_bytes(8, "little"), self.pieces.seed & WORD)
+
+    def first(self, keys: np.ndarray) -> np.ndarray:
+        """The first gap of each key, at most ``TURNS``."""
+        at = np.searchsorted(self.pieces.level_array, keys & np.uint64(0xFFFFFFFF), "right")
+        return (self.pieces.turns - at).astype(np.uint64)
+
+    @cached_property
+    def drops(self) -> list[bytes]:
+        """By place of a chunk and turn of a candidate: 1 where it is skipped. For looking at them."""
+        if not self.pieces.limit:
+            return []
+        rows = []
+        for key in self.keys(LONG).tolist():
+            row, at, gaps = bytearray(2048), -1, self.gaps(key)
+            while (at := at + 1 + next(gaps)) < len(row):
+                row[at] = 1
+            rows.append(bytes(row))
+        return rows
+
+
 class Pieces:
     """A model's pieces: the agenda's order is by score, so pieces are known by their rank in it."""
 
@@ -98,37 +150,49 @@ class Pieces:
         self.rank = {piece: k for k, piece in enumerate(ordered)}
         self.none = len(ordered)
         self.coded = {piece: np.array([i], "<i4").tobytes() for piece, (_, i) in scores.items()}
-        self.segments = [Segments(self, v) for v in range(VARIANTS if self.limit else 1)]
+        # A 32-bit hash below the j-th level from above: j candidates and more are kept before a skipped one.
+        levels = [int((1 - dropout) ** j * 2**32) for j in range(TURNS, 0, -1)]
+        self.levels = [x for x in levels if x]
+        self.level_array = np.array(self.levels, np.uint64)
+        self.turns = len(self.levels)
+        self.plain, self.skipped = Generations(self.whole), Generations(self.after)
+        self.segments = [Skips(self, v) for v in range(VARIANTS if self.limit else 1)]
 
-    def drops(self, variant: int) -> list[bytes]:
-        """By place in a chunk and rank of a merge: 1 where it is skipped. A keyed hash, tabulated."""
-        if not self.limit:
-            return []
-        with np.errstate(over="ignore"):
-            ranks = (np.arange(self.none, dtype=np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
-            tables = []
-            for place in range(LONG):
-                salt = np.uint32(xxhash.xxh32_intdigest(f"{self.seed}:{variant}:{place}"))
-                h = (ranks ^ salt) * np.uint32(0x85EBCA6B)
-                h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-                h = (h ^ (h >> np.uint32(12))) * np.uint32(0x297A2D39)
-                tables.append((h < self.limit).astype(np.uint8).tobytes())
-        return tables
-
-    def segment(self, chunk: str, drops: list[bytes]) -> list[str]:
-        return self.short(chunk, drops) if len(chunk) <= LONG else self.long(chunk, drops)
-
-    def short(self, chunk: str, drops: list[bytes]) -> list[str]:
-        """The agenda as a list of the ranks of neighbouring pairs."""
+    def whole(self, chunk: str) -> tuple[int, bytes]:
+        """Without skips: the candidates that come up, and the ids."""
+        return self.after((chunk,))
+
+    def after(self, key: tuple) -> tuple[int, bytes]:
+        """A chunk with the gaps before its skips: the candidates that come up after the last one, and the ids."""
+        chunk, *gaps = key
+        parts = self.short(chunk, gaps)
+        return len(chunk) - len(parts) - sum(gaps), self.coded_parts(parts)
+
+    def skipping(self, chunk: str, gaps: Iterator[int]) -> bytes:
+        """Ids of one occurrence of a chunk."""
+        if len(chunk) > LONG:
+            return self.coded_parts(self.long(chunk, gaps))
+        key, (left, found) = (chunk,), self.plain[chunk]
+        while (gap := next(gaps)) < left:
+            key += (gap,)
+            left, found = self.skipped[key] if len(key) < 4 else self.after(key)
+        return found
+
+    def short(self, chunk: str, gaps: Iterable[int]) -> list[str]:
+        """The agenda as a list of the ranks of neighbouring pairs. ``gaps``: the candidates that are
+        kept before each skipped one."""
+        gaps = iter(gaps)
+        keep = next(gaps, -1)
         rank, none = self.rank.get, self.none
         parts = list(chunk)
         agenda = [rank(chunk[i : i + 2], none) for i in range(len(chunk) - 1)]
         agenda.append(none)
         while (best := min(agenda)) < none:
             i = agenda.index(best)
-            if drops and drops[i][best]:
-                agenda[i] = none
+            if not keep:
+                agenda[i], keep = none, next(gaps, -1)
                 continue
+            keep -= 1
             whole = parts[i] = parts[i] + parts.pop(i + 1)
             del agenda[i]
             if i:
@@ -137,8 +201,10 @@ class Pieces:
                 agenda[i] = rank(whole + parts[i + 1], none)
         return parts
 
-    def long(self, chunk: str, drops: list[bytes]) -> list[str]:
-        """The same for long chunks, the agenda being a heap; places are those in the chunk."""
+    def long(self, chunk: str, gaps: Iterable[int]) -> list[str]:
+        """The same for long chunks, the agenda being a heap."""
+        gaps = iter(gaps)
+        keep = next(gaps, -1)
         rank, none = self.rank.get, self.none
         parts: list[str | None] = list(chunk)
         n = len(parts)
@@ -151,8 +217,10 @@ class Pieces:
             a, b = parts[left], parts[right]
             if a is None or b is None or after[left] != right or len(a) + len(b) != size:
                 continue
-            if drops and drops[left % LONG][best]:
+            if not keep:
+                keep = next(gaps, -1)
                 continue
+            keep -= 1
             parts[left], parts[right] = (whole := a + b), None
             after[left] = nxt = after[right]
             if nxt < n:
@@ -163,30 +231,39 @@ class Pieces:
                 heapq.heappush(agenda, (found, prev, left, size + len(parts[prev])))
         return [p for p in parts if p is not None]
 
-    def ids(self, chunk: str, drops: list[bytes]) -> bytes:
+    def coded_parts(self, parts: list[str]) -> bytes:
         coded = self.coded
         try:
-            return b"".join([coded[p] for p in self.segment(chunk, drops)])
+            return b"".join([coded[p] for p in parts])
         except KeyError:  # a character that is no piece: its bytes
             return b"".join(
                 coded.get(p) or np.array([self.byte_ids[x] for x in p.encode("utf-8", "replace")], "<i4").tobytes()
-                for p in self.segment(chunk, drops)
+                for p in parts
             )
 
     def encode(self, text: str, name: int) -> bytes:
-        """Piece ids of a text. Neighbouring chunks take turns in the variants, the name of the document
-        says which is first."""
+        """Piece ids of a text. The name of the document and a chunk's place say which candidates are skipped."""
         if not text:
             return b""
         if "  " in text or text[0] == " " or MARK in text:
             chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
         else:  # the same, faster: no two marks meet
             chunks = (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")
-        out = [b""] * len(chunks)
-        turns = len(self.segments)
-        for k in range(min(turns, len(chunks))):
-            known = self.segments[(name + k) % turns]
-            out[k::turns] = map(known.__getitem__, chunks[k::turns])
+        plain = self.plain
+        if max(map(len, chunks)) <= LONG:
+            known = map(plain.__getitem__, chunks)
+        else:
+            known = (plain[c] if len(c) <= LONG else (WORD, b"") for c in chunks)
+        left, out = map(list, zip(*known))
+        if self.limit:
+            own = Skips(self, name)
+            keys = own.keys(len(chunks))
+            hit = np.flatnonzero(own.first(keys) < np.array(left, np.uint64))
+            for k, key in zip(hit.tolist(), keys[hit].tolist()):
+                out[k] = self.skipping(chunks[k], own.gaps(key))
+        else:
+            for k in [k for k, n in enumerate(left) if n == WORD]:
+                out[k] = self.coded_parts(self.long(chunks[k], ()))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

@@ -57,6 +57,31 @@ def test_long_and_short_agendas_agree_without_dropout():
         assert own.short(chunk, []) == own.long(chunk, [])
 
 
+def test_every_occurrence_is_segmented_by_itself():
+    """One word, 20,000 documents: every way to skip comes up, as often as if each candidate were decided anew."""
+    own = subword.pieces(subword.MODEL, 0.3, 1)
+    found = [own.encode("information", name) for name in range(20_000)]
+    assert len(set(found)) > 100
+    one = subword.Pieces(subword.MODEL, 0.3, 1)
+    assert [one.encode("information", n) for n in range(500, 0, -1)] == found[500:0:-1]  # whatever is cached
+    rng = np.random.default_rng(1)
+    wanted = [own.coded_parts(own.short("▁information", iter(lambda: int(rng.geometric(0.3)) - 1, -1))) for _ in found]
+    plain = subword.pieces(subword.MODEL, 0.0, 1).encode("information", 0)
+    for coded in {plain, max(set(found), key=found.count)}:
+        assert abs(found.count(coded) - wanted.count(coded)) < 300
+    assert abs(np.mean([len(c) for c in found]) - np.mean([len(c) for c in wanted])) < 0.3
+
+
+def test_long_and_short_agendas_agree_with_skips():
+    own = subword.pieces(subword.MODEL, 0.2, 1)
+    skips = subword.Skips(own, 3)
+    for key in skips.keys(300).tolist():
+        for chunk in ["▁information", "▁internationalization", "aaaaaaaaaaaaa", "▁thhaining"]:
+            parts = own.short(chunk, skips.gaps(key))
+            assert parts == own.long(chunk, skips.gaps(key))
+            assert own.coded_parts(parts) == own.skipping(chunk, skips.gaps(key))
+
+
 def test_rows(make_docs):
     rows = list(enumerate(TEXTS)) + [(None, "x y"), (50, None), (3, TEXTS[3]), (60, "▁mark"), (61, "long words " * 20_000)]
     got = subword.encoded(make_docs(rows)).collect()
