@@ -8,7 +8,8 @@ text; a match that fails its check is dropped.
 Bootstrap: base matches are the seed entities. The two words before an
 identifier (digits as 0) are its lexical pattern. Patterns and identifiers form
 a graph of distinct pairs, over all documents; other tokens that hold a digit or
-an @ are candidates. In each round a pattern's confidence for a kind is the sum
+an @ are candidates; numbers written in groups with single blanks between them are
+one. In each round a pattern's confidence for a kind is the sum
 of its identifiers' scores over their number plus ``SMOOTH``, and a candidate's
 score is the best confidence among its patterns, once that reaches ``TRUST`` with
 at least ``SUPPORT`` seeds, and if its shape fits the kind. After ``ROUNDS``
@@ -41,8 +42,14 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 SPACE = r"\x20\x09-\x0D"
-# A token with a digit or an @, tried at its start only; surrounding punctuation is cut off later.
-TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+# A number in groups: up to ten tokens of digits and signs, the first too short to be an identifier by itself.
+# A run is tried at its first token only; addresses, and tokens with a letter, end it.
+APART = rf"(?=[^{SPACE}\p{{L}}\p{{N}}@]*+(?:[{SPACE}]|\z))"
+PART = r"(?![0-9]++\.[0-9]++\.[0-9]++\.[0-9])[(]?(?:[()./-]*+[0-9]){1,%d}+[()./-]*+" + APART
+GROUPS = rf"(?<![0-9)]\x20)[+]?{PART % 6}(?:\x20{PART % 12}){{1,9}}+(?!\x20{PART % 12})"
+# Such a number, or a token with a digit or an @, tried at its start only; surrounding punctuation is cut off later.
+TOKEN = rf"(?<![^{SPACE}])(?:{GROUPS}|[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+)"
+FIRST = rf"^[{SPACE}]*([^{SPACE}]+)[{SPACE}]+$"
 CONTEXT = rf"([^{SPACE}]+)[{SPACE}]+([^{SPACE}]+)[{SPACE}]*$"
 REACH = 80  # code points before an identifier in which its two words must lie
 LONGEST = 200  # code points of an unseen identifier, base ones have no bound
@@ -114,7 +121,7 @@ def base_spans(text: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Other tokens with a digit or an @, without the punctuation around them, kind -1."""
+    """Other tokens with a digit or an @, and numbers in groups, without the punctuation around them, kind -1."""
     core = r"(?s)^[^\p{L}\p{N}(+]*(.*?)[^\p{L}\p{N})]*$"
 
     def trimmed(m: Column) -> Column:
@@ -134,10 +141,13 @@ def candidates(text: Column, base: Column) -> Column:
 
 
 def pattern_before(text: Column, start: Column) -> Column:
-    """The two words before a place, in lower case, digits as 0; empty if there are none."""
+    """The two words before a place, or the only one at the start of a text, in lower case, digits as 0; empty
+    if there are none."""
     first = F.greatest(start - REACH, F.lit(0))
     before = F.substring(text, first + 1, start - first)
     words = F.concat_ws(" ", F.regexp_extract(before, CONTEXT, 1), F.regexp_extract(before, CONTEXT, 2))
+    only = F.when(first == 0, F.regexp_extract(before, FIRST, 1)).otherwise("")
+    words = F.when(F.trim(words) == "", only).otherwise(words)
     return F.trim(F.regexp_replace(F.lower(words), "[0-9]", "0"))
 
 
@@ -161,7 +171,8 @@ def shape_fits(kind: Column, instance: Column) -> Column:
     email = instance.rlike(r"^[^@]+@[^@]+$")
     ip = instance.rlike(r"^[0-9A-Fa-f:.]{7,}$") & (n >= 4)
     card = instance.rlike(r"^[0-9. -]+$") & (n >= 12) & (n <= 19)
-    phone = instance.rlike(r"^[+(]?[0-9][0-9() ./-]*$") & (n >= 7) & (n <= 15)
+    # Groups have an area code, so more digits.
+    phone = instance.rlike(r"^[+(]?[0-9][0-9() ./-]*$") & (n >= F.when(instance.contains(" "), 8).otherwise(7)) & (n <= 15)
     return F.when(kind == 0, email).when(kind == 1, ip).when(kind == 2, card).otherwise(phone)
 
 

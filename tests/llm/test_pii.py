@@ -69,6 +69,22 @@ def test_contexts_of_seeds_find_unseen_identifiers(make_docs):
     assert all(got[i].spans == base(rows[i][1]) for i in range(40))
 
 
+def test_unseen_identifiers_in_groups_and_after_one_word(make_docs):
+    rows = [(i, f"Phone +1 (2{i % 10}0) 555-{1000 + i} and call me at +1 (200) 555-{1000 + i} ok") for i in range(40)]
+    for i in range(30):
+        first = f"41111111111{i:04d}"
+        odd = sum(int(x) if k % 2 else sum(divmod(2 * int(x), 10)) for k, x in enumerate(first))
+        rows.append((50 + i, f"my card is {first}{-odd % 10}"))
+    late = {
+        100: ("you call me at (0211) 555 0123, or so", "phone:15:30"), 101: ("call me at 0211 555 0123", "phone:11:24"),
+        102: ("call me at 0211 5550123 5th floor", "phone:11:23"), 103: ("call me at 2115550123 2 times", "phone:11:21"),
+        104: ("my card is 4111 1111 1111 1112.", "card:11:30"), 105: ("phone 0211 555 0123", "phone:6:19"),
+        106: ("my phone 0211 555 0123", ""), 107: ("call me at " + "12 " * 30, ""), 108: ("call me at 9 30 or 10.0.0.1 5", "ip:19:27"),
+    }
+    got = {r.doc_id: r.spans for r in pii.personal_data(make_docs(rows + [(i, t) for i, (t, _) in late.items()])).collect()}
+    assert {i: got[i] for i in late} == {i: spans for i, (_, spans) in late.items()}
+
+
 def test_second_round_learns_from_what_was_found(make_docs):
     """Identifiers found by a seed pattern make another pattern trusted: 16 of 21 are not enough, with
     four more found before they are."""
