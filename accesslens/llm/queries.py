@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.llm import chat, exact_dedup, mixing, pii, quality, simhash, substring, subword, topk, warc
+from accesslens.llm import (
+    chat, exact_dedup, licenses, mixing, negatives, pii, quality, ranked, simhash, substring, subword, topk, warc,
+)
 from accesslens.llm.common import table
 
 SPACE = r"[^\x20\x09-\x0D]+"
@@ -62,6 +64,18 @@ def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.encoded(table(spark, sf_dir, "documents"), ids=False)
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), spans=False)
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), k=5, every=100)
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_quality,
         op10_subword,
+        op11_licenses,
+        op12_negatives,
+        op13_ranked,
     )
 }
 
@@ -180,3 +197,57 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(chars) AS BIGINT) AS formatted_chars, TRUE AS round_trip
 FROM n GROUP BY conv_id
 """
+
+# Terms are words of digits, letters and characters beyond ASCII; only A-Z are lower-cased.
+ORACLES["op13_ranked"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+total AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS terms FROM d WHERE len(terms) > 0),
+tf AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY row, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL),
+weighed AS (
+  SELECT item_id, term,
+         CAST(floor(1000 * ln(CAST(2 * total.docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM asked JOIN df USING (term), total),
+long_ AS (
+  SELECT doc_id, row, 50 + (50 * len(d.terms) * total.docs) // total.terms AS m FROM d, total WHERE len(d.terms) > 0),
+scored AS (
+  SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term) JOIN long_ USING (row) GROUP BY item_id, doc_id, row),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLES["op12_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.e) = len(a.e) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+  WHERE place <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
