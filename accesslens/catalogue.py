@@ -31,7 +31,7 @@ from accesslens.plans.views import (
 from accesslens.sources import files
 from accesslens.sources import tables as store
 from accesslens.sources.dimensions import load_dim_nodes, load_dim_users
-from accesslens.sources.entries import dedup_entries, read_entry_files
+from accesslens.sources.entries import dedup_entries, first_deliveries, read_entry_files
 from accesslens.sources.networks import ASN_CIDR, CITY_BLOCKS, LOCATIONS, city_networks, read_networks
 from accesslens.streaming.ingest import (
     read_quarantine, read_watermark_rollup, start_ingest, start_usage_rollup, start_watermark_rollup,
@@ -104,6 +104,29 @@ def compact_live(spark: SparkSession, sf: str) -> DataFrame:
     return shown(store.read_table(spark, root, "usage_5m").drop("month"))
 
 
+def backfill_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of several months, the rollup built; then January gets a batch more: only January is rebuilt."""
+    root = session.scratch(spark, "backfill-changed")
+    facts = fx.usage_facts(fx.events(spark, sf))
+    spread = facts.withColumn("ts", F.expr("ts + make_dt_interval(31 * int(user_id % 3))"))
+    for i, part in enumerate(_thirds(spread, "ts", "user_id", "bytes")):
+        store.write_batch(part, root, "user_usage", i)
+    store.backfill(spark, root, "user_usage")
+    store.write_batch(facts.filter("user_id % 3 = 0"), root, "user_usage", "more")
+    rebuilt = store.backfill(spark, root, "user_usage") + store.backfill(spark, root, "user_usage")
+    rollup = shown(store.read_table(spark, root, "usage_5m").drop("month"))
+    return rollup.withColumn("rebuilt", F.lit(",".join(rebuilt)))
+
+
+def clustered_account(spark: SparkSession, sf: str) -> DataFrame:
+    """Three accounts' rows of a fact table that compaction has clustered."""
+    root = session.scratch(spark, "clustered")
+    for i, part in enumerate(_thirds(fx.usage_facts(fx.events(spark, sf)), "ts", "user_id", "bytes")):
+        store.write_batch(part, root, "user_usage", i)
+    store.compact(spark, root, "user_usage")
+    return shown(store.read_table(spark, root, "user_usage").drop("month").filter(F.col("user_id").isin(1, 5, 77)))
+
+
 def retention_drop(spark: SparkSession, sf: str) -> DataFrame:
     """Expired days dropped, the edge day cut, in the same folder, twice."""
     root = session.scratch(spark, "retention")
@@ -571,6 +594,51 @@ def stream_dedup_two_batches(spark: SparkSession, sf: str) -> DataFrame:
     return _usage_per_user(spark, f"{root}/out")
 
 
+def replay_after_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """A query that stops before it commits its last batch, maintenance, and the restart that replays the batch:
+    after facts and rollup are compacted, and again after the rollup is rebuilt."""
+    root = session.scratch(spark, "replayed")
+    fx.usage_messages(fx.events(spark, sf)).repartition(3, "entry_id").write.json(f"{root}/landing")
+    out, checkpoint = f"{root}/out", f"{root}/checkpoint"
+
+    def ingest() -> None:
+        source = read_entry_files(spark, f"{root}/landing", streaming=True, max_files_per_trigger=1)
+        start_ingest(spark, source, USAGE_STREAM, out, checkpoint, _NOW).awaitTermination()
+
+    def replay() -> None:
+        commits = f"{checkpoint}/user_usage/commits"
+        last = max(int(name) for name in files.children(spark, commits) if name.isdigit())
+        files.delete(spark, f"{commits}/{last}")
+        ingest()
+
+    ingest()
+    for table in ("user_usage", "usage_5m"):
+        store.compact(spark, out, table)
+    replay()
+    store.backfill(spark, out, "user_usage")
+    replay()
+    facts = store.read_table(spark, out, "user_usage").groupBy("user_id").agg(F.count(F.lit(1)).alias("facts"))
+    return _usage_per_user(spark, out).join(facts, "user_id")
+
+
+def dedup_many_days(spark: SparkSession, sf: str) -> DataFrame:
+    """A file per day, each with copies of all entries of the day before: one batch per file, stored once."""
+    root = session.scratch(spark, "many-days")
+    entries = fx.usage_messages(fx.events(spark, sf)).withColumn("day", F.to_date(F.expr("fields['ts']")))
+    again = entries.withColumn("day", F.date_add("day", 1))
+    entries.unionByName(again).repartition("day").write.partitionBy("day").json(f"{root}/landing")
+    source = read_entry_files(spark, f"{root}/landing/*", streaming=True, max_files_per_trigger=1)
+
+    def store_batch(batch: DataFrame, number: int) -> None:
+        batch.select("entry_id", "fields").write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+
+    once = first_deliveries(source, "1 day")
+    once.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(**_NOW).foreachBatch(store_batch).start().awaitTermination()
+    kept = spark.read.schema("entry_id STRING, fields MAP<STRING,STRING>, batch INT").parquet(f"{root}/out")
+    per = kept.groupBy(F.substring(F.expr("fields['ts']"), 1, 10).alias("day"))
+    return per.agg(F.count(F.lit(1)).alias("entries"), F.count_distinct("entry_id").alias("ids"))
+
+
 def dedup_entries_query(spark: SparkSession, sf: str) -> DataFrame:
     """Every entry delivered twice, kept once."""
     entries = fx.messages(fx.events(spark, sf))
@@ -593,7 +661,9 @@ def queries() -> dict[str, Query]:
         "schema_evolution_union": schema_evolution_union,
         "backfill_rollup": backfill_rollup,
         "backfill_live": backfill_live,
+        "backfill_changed": backfill_changed,
         "compact_live": compact_live,
+        "clustered_account": clustered_account,
         "retention_drop": retention_drop,
         "pruned_range": pruned_range,
         "decode_user_usage": _decode(USAGE_STREAM),
@@ -660,6 +730,8 @@ def queries() -> dict[str, Query]:
         "restart_new_checkpoint": _streamed(restart_new_checkpoint),
         "resume_from_now": _streamed(resume_from_now),
         "stream_dedup_two_batches": _streamed(stream_dedup_two_batches),
+        "replay_after_compact": _streamed(replay_after_compact),
+        "dedup_many_days": _streamed(dedup_many_days),
         "stream_small_batches": _streamed(stream_small_batches),
         "refreshed_networks": _streamed(refreshed_networks),
         "unreadable_entries": _streamed(unreadable_entries),

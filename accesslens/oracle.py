@@ -479,7 +479,11 @@ def _statements() -> dict[str, str]:
             SELECT * REPLACE ('' AS srr_response_type, '' AS srr_rule_name) FROM req""",
         "backfill_rollup": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
         "backfill_live": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
+        "backfill_changed": f"""SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes, '202401' AS rebuilt FROM
+            (SELECT ts + INTERVAL 31 DAY * (user_id % 3) AS ts, node_id, user_id, bytes FROM usage
+             UNION ALL SELECT ts, node_id, user_id, bytes FROM usage WHERE user_id % 3 = 0) GROUP BY ALL""",
         "compact_live": "SELECT * FROM u5",
+        "clustered_account": "SELECT ts, node_id, user_id, CAST(bytes AS BIGINT) AS bytes FROM usage WHERE user_id IN (1, 5, 77)",
         "retention_drop": "SELECT * FROM conn WHERE ts >= TIMESTAMP '2024-02-05 12:00:00' - INTERVAL 30 DAY",
         "pruned_range": """SELECT * FROM conn
             WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'""",
@@ -609,6 +613,9 @@ def _statements() -> dict[str, str]:
             (SELECT country FROM ({_MESSAGE_ROWS}) AS a UNION ALL
              SELECT CASE WHEN country = '' THEN '' ELSE country || ' 2' END FROM ({_MESSAGE_ROWS}) AS b) AS both_ GROUP BY country""",
         "stream_dedup_two_batches": _USER_SUMS,
+        "replay_after_compact": f"""SELECT user_id, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS facts
+            FROM ({_USAGE_RECORDS}) AS records GROUP BY user_id""",
+        "dedup_many_days": "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS entries, count(*) AS ids FROM events GROUP BY 1",
         "unreadable_entries": f"""SELECT stream, reason, n, n AS with_payload FROM ({_QUARANTINE}) AS q
             UNION ALL SELECT '', 'unreadable_entry', CAST(2 * count(*) AS BIGINT), CAST(2 * count(*) AS BIGINT) FROM events
             UNION ALL SELECT 'other', 'unknown_stream', count(*), count(*) FROM events""",
