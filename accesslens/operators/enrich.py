@@ -1,11 +1,8 @@
 """Address and client enrichment of fact rows.
 
 Network tables come as IPv4 ranges (``start_ip``, ``end_ip``) or as CIDR text
-(``network``, both families). Either way ``index_networks`` turns them into one
-index: ranges of 128-bit numbers cut at the blocks of a few grids, one row per
-block with the ranges in it. A lookup is an equi-join on the block per grid and
-a choice among the ranges of that row: the smallest that holds the address. So
-networks may nest, overlap or repeat, and a fact row never multiplies.
+(``network``, both families); ``index_networks`` flattens either into disjoint
+intervals, and a lookup is one equi-join that never multiplies a fact row.
 
 When the index is measured to be small it is broadcast and no fact row is
 shuffled. Otherwise distinct addresses are looked up and the result is joined
@@ -15,146 +12,22 @@ back; addresses that cannot match take no part in that join.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslens import session
 from accesslens.functions.addresses import address, prefix_of, routable
 from accesslens.functions.clients import ua_classify
-from accesslens.functions.hosting import hosting_flag
-from accesslens.functions.values import first_filled
+from accesslens.operators.networks import NetworkIndex, index_networks, lookup
 
 CITY_COLUMNS = ("country", "city")
 ASN_COLUMNS = ("asn", "as_org", "is_hosting")
 
-# Prefix lengths of the grids; a range goes to the coarsest grid it fills a block of,
-# so it has at most 257 pieces and a block at most as many disjoint ranges.
-GRIDS = {4: (8, 16, 24), 6: (16, 24, 32, 40, 48, 56, 64)}
-WIDTH = {4: 32, 6: 64}  # bits of ``hi``, which holds a whole IPv4 number
-
 # What a lookup may send to every executor, all grids together, as rows of the
 # index count: see ``NetworkIndex.bytes``.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def network_table(nets: DataFrame, columns: Sequence[str], keywords: Iterable[str] | None = None) -> DataFrame:
-    """Network columns plus the looked-up ``columns``, empty values filled in.
-
-    The country falls back to the registered one. The hosting keywords are
-    tested once per network, not once per event.
-    """
-    registered = F.col("registered_country") if "registered_country" in nets.columns else F.lit("")
-    values = {
-        "country": lambda: first_filled(F.col("country"), registered),
-        "city": lambda: F.expr("coalesce(city, '')"),
-        "asn": lambda: F.expr("coalesce(CAST(asn AS BIGINT), 0L)"),
-        "as_org": lambda: F.expr("coalesce(as_org, '')"),
-        "is_hosting": lambda: hosting_flag("coalesce(as_org, '')", keywords),
-    }
-    where = ("start_ip", "end_ip") if "start_ip" in nets.columns else ("network",)
-    return nets.select(*where, *[values[c]().alias(c) for c in columns])
-
-
-def _mask(bits: str) -> str:
-    """SQL of a BIGINT with the lowest ``bits`` bits set."""
-    return f"CASE WHEN {bits} >= 64 THEN -1L WHEN {bits} <= 0 THEN 0L ELSE ~shiftleft(-1L, {bits}) END"
-
-
-def _ranges(nets: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``family``, first and last address as (hi, lo), the looked-up values."""
-    hit = F.struct(*columns).alias("hit")
-    if "start_ip" in nets.columns:
-        return nets.select(
-            F.lit(4).alias("family"), F.col("start_ip").alias("s_hi"), F.lit(0).cast("bigint").alias("s_lo"),
-            F.col("end_ip").alias("e_hi"), F.lit(0).cast("bigint").alias("e_lo"), hit,
-        ).filter("s_hi <= e_hi")
-    parsed = nets.select(
-        address("substring_index(network, '/', 1)").alias("a"),
-        F.expr("try_cast(substring_index(network, '/', -1) AS INT)").alias("len"),
-        hit,
-    ).filter("a.family > 0 AND len BETWEEN 0 AND IF(a.family = 4, 32, 128)")
-    hi, lo = _mask("IF(a.family = 4, 32 - len, 64 - len)"), f"IF(a.family = 4, 0L, {_mask('128 - len')})"
-    return parsed.selectExpr("a.family AS family", "a.hi AS hi", "a.lo AS lo", f"{hi} AS h", f"{lo} AS l", "hit").selectExpr(
-        "family", "hi & ~h AS s_hi", "lo & ~l AS s_lo", "hi | h AS e_hi", "lo | l AS e_lo", "hit"
-    )
-
-
-def _ordered(value: str) -> str:
-    """SQL of a BIGINT that orders as ``value`` does as an unsigned number."""
-    return f"({value} ^ shiftleft(1L, 63))"
-
-
-@dataclass(frozen=True)
-class NetworkIndex:
-    """``blocks``: family, grid, block and its ranges, smallest first. ``bytes`` is what they take, by a
-    count of the index itself; ``families`` those that occur."""
-
-    blocks: DataFrame
-    values: tuple[str, ...]
-    bytes: int
-    families: tuple[int, ...]
-
-
-def index_networks(nets: DataFrame, values: Sequence[str], keywords: Iterable[str] | None = None) -> NetworkIndex:
-    """Build, store and measure the index: a job, to be run once per refresh of the networks."""
-    spark = nets.sparkSession
-    span = "(e_hi - s_hi)"  # addresses of IPv4, /64 networks of IPv6, less one; below 0 from 2^63 on
-    tests = [
-        f"WHEN family = {family} AND ({span} < 0 OR {span} >= {(1 << (WIDTH[family] - grid)) - 1}L) THEN {grid}"
-        for family, grids in GRIDS.items()
-        for grid in grids[:-1]
-    ]
-    grid = f"CASE {' '.join(tests)} WHEN family = 4 THEN {GRIDS[4][-1]} ELSE {GRIDS[6][-1]} END"
-    shift = f"IF(family = 4, {WIDTH[4]}, {WIDTH[6]}) - grid"
-    first, last = (f"shiftrightunsigned({end}, {shift})" for end in ("s_hi", "e_hi"))
-    one = ", ".join(f"'{c}', {_ordered(c)}" for c in ("s_hi", "s_lo", "e_hi", "e_lo"))
-    # Inverted sizes, so that the largest entry is the smallest range; equal ranges give the largest values.
-    sizes = f"'span', {_ordered('~(e_hi - s_hi)')}, 'below', {_ordered('~(e_lo - s_lo)')}"
-    pieces = (
-        _ranges(network_table(nets, values, keywords), values)
-        .selectExpr("*", f"{grid} AS grid")
-        .selectExpr("family", "grid", f"explode(sequence({first}, {last})) AS block", f"named_struct({sizes}, {one}, 'hit', hit) AS r")
-    )
-    blocks = pieces.groupBy("family", "grid", "block").agg(F.sort_array(F.collect_set("r"), False).alias("ranges"))
-    path = session.scratch(spark, "networks")
-    blocks.write.parquet(path)
-    blocks = spark.read.schema(blocks.schema).parquet(path)
-    # Text length, four times over for objects and the hash table around them.
-    size, families = blocks.agg(
-        F.coalesce(F.sum(F.octet_length(F.col("ranges").cast("string"))), F.lit(0)), F.collect_set("family")
-    ).first()
-    return NetworkIndex(blocks, tuple(values), 4 * size, tuple(sorted(families)))
-
-
-def lookup(df: DataFrame, index: NetworkIndex, *, small: bool, tag: str = "") -> tuple[DataFrame, dict[str, Column]]:
-    """Look the routable address in ``_addr`` up: one equi-join per grid, at most one row each.
-
-    Returns the joined frame and the expression of each looked-up column.
-    Ranges of a finer grid are smaller than those of a coarser one.
-    """
-    hits = []
-    hi, lo = _ordered("_addr.hi"), _ordered("_addr.lo")
-    inside = f"""(r.s_hi < {hi} OR r.s_hi = {hi} AND r.s_lo <= {lo}) AND ({hi} < r.e_hi OR {hi} = r.e_hi AND {lo} <= r.e_lo)"""
-    for level in range(max((len(GRIDS[f]) for f in index.families), default=0)):
-        name = f"_{tag}g{level}"
-        grids = {f: GRIDS[f][level] for f in index.families if level < len(GRIDS[f])}
-        wanted = " OR ".join(f"family = {f} AND grid = {g}" for f, g in grids.items())
-        blocks = index.blocks.filter(wanted).selectExpr(
-            f"family AS {name}_f", f"block AS {name}_b", f"ranges AS {name}_r"
-        )
-        own = " ".join(f"WHEN {f} THEN shiftrightunsigned(_addr.hi, {WIDTH[f] - g})" for f, g in grids.items())
-        on = f"IF(_routable, _addr.family, NULL) = {name}_f AND CASE _addr.family {own} END = {name}_b"
-        df = df.join(F.broadcast(blocks) if small else blocks, F.expr(on), "left")
-        hits.append(f"get(filter({name}_r, r -> {inside}), 0).hit")
-    if not hits:
-        return df, {c: F.lit(None) for c in index.values}
-    # A column of its own, so that the choice is made once for all values.
-    df = df.withColumn(f"_{tag}best", F.expr(f"coalesce({', '.join(reversed(hits))})"))
-    return df, {c: F.col(f"_{tag}best")[c] for c in index.values}
-
-
 def parsed_addresses(df: DataFrame, ip_col: str) -> DataFrame:
     """``df`` with the parsed address and whether it can be looked up."""
     return df.select("*", address(ip_col).alias("_addr")).select("*", routable("_addr").alias("_routable"))

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from accesslens import catalogue, session
 from accesslens import fixtures as fx
 from accesslens.operators.decode import STREAMS
-from accesslens.operators.enrich import enrich_connections, enrich_requests
+from accesslens.operators.enrich import ASN_COLUMNS, CITY_COLUMNS, enrich_connections, enrich_requests
+from accesslens.operators.networks import NetworkIndex, index_networks
 from accesslens.plans.abuse import exact_abuse, user_abuse
 from accesslens.plans.views import Tables
 from accesslens.sources import tables as store
@@ -29,7 +30,7 @@ from accesslens.streaming.quality import ingest_quality
 
 DENSE = 20
 
-def facts(ev: DataFrame, nets: DataFrame) -> dict[str, DataFrame]:
+def facts(ev: DataFrame, nets: NetworkIndex) -> dict[str, DataFrame]:
     return {
         "user_usage": fx.usage_facts(ev),
         "sub_requests": enrich_requests(fx.request_rows(ev), nets, nets),
@@ -47,8 +48,8 @@ def timed(action) -> float:
     return round(time.perf_counter() - start, 3)
 
 
-def store_tables(spark: SparkSession, sf: str, root: str, seconds: dict[str, float]) -> Tables:
-    ev, nets = spark.read.parquet(f"{root}/events"), fx.geo_networks(spark, sf)
+def store_tables(spark: SparkSession, sf: str, nets: NetworkIndex, root: str, seconds: dict[str, float]) -> Tables:
+    ev = spark.read.parquet(f"{root}/events")
     for table, rows in facts(ev, nets).items():
         seconds[f"store_{table}"] = timed(lambda: store.write_rebalanced(rows, root, table, 0))
         rollup = store.ROLLUP_OF[table][0]
@@ -79,9 +80,9 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
 
 
-def dense(spark: SparkSession, sf: str, root: str, seconds: dict[str, float]) -> dict[str, dict[str, int]]:
+def dense(spark: SparkSession, nets: NetworkIndex, root: str, seconds: dict[str, float]) -> dict[str, dict[str, int]]:
     """Many snapshots per account and bucket: what rollups are for."""
-    ev, nets = spark.read.parquet(f"{root}/events"), fx.geo_networks(spark, sf)
+    ev = spark.read.parquet(f"{root}/events")
     where = f"{root}/dense"
     for table, rows in facts(ev, nets).items():
         often = rows.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(DENSE - 1))))
@@ -121,10 +122,14 @@ def main() -> None:
     # Inputs as a stored table would hold them: several files, not one.
     fx.events(spark, sf).repartition(int(cpus)).write.parquet(f"{root}/events")
     fx.messages(spark.read.parquet(f"{root}/events")).write.parquet(f"{root}/messages")
-    entries, nets = spark.read.parquet(f"{root}/messages"), fx.geo_networks(spark, sf)
+    entries, indexed = spark.read.parquet(f"{root}/messages"), []
+    # Once for all steps, as a refresh of the networks does.
+    build = lambda: indexed.append(index_networks(fx.geo_networks(spark, sf), CITY_COLUMNS + ASN_COLUMNS))
+    seconds["index_networks"] = timed(build)
+    (nets,) = indexed
     for stream, spec in STREAMS.items():
         seconds[f"decode_{spec.table}"] = timed(lambda: run(spec.rows(entries, nets, nets)[0]))
-    t = store_tables(spark, sf, root, seconds)
+    t = store_tables(spark, sf, nets, root, seconds)
     window = (fx.T_FROM, fx.T_TO)
 
     def abuse() -> DataFrame:
@@ -137,7 +142,7 @@ def main() -> None:
     seconds["ingest_quality"] = timed(lambda: run(ingest_quality(entries)))
     # Not part of the total, which stays comparable with earlier rounds.
     extra: dict[str, float] = {}
-    sizes = dense(spark, sf, root, extra)
+    sizes = dense(spark, nets, root, extra)
     print(
         json.dumps(
             {

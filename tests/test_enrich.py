@@ -6,9 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from accesslens.operators.enrich import (
-    ASN_COLUMNS, CITY_COLUMNS, enrich_requests, geo_enrich, index_networks, lookup, network_table, parsed_addresses,
-)
+from accesslens.operators import networks
+from accesslens.operators.enrich import ASN_COLUMNS, CITY_COLUMNS, enrich_requests, geo_enrich, parsed_addresses
+from accesslens.operators.networks import index_networks, lookup, network_table
 
 COLUMNS = ("country", "city", "asn", "as_org", "is_hosting")
 
@@ -69,6 +69,58 @@ def test_lookup_is_an_equi_join(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "Generate" not in plan
 
 
+def test_the_sweep_leaves_disjoint_intervals_with_the_smallest_range_on_top():
+    rng = random.Random(3)
+    for _ in range(50):
+        ranges = [(a, b, b - a, a) for a, b in (sorted((rng.randrange(60), rng.randrange(60))) for _ in range(rng.randrange(1, 30)))]
+        found = networks.sweep(ranges)
+        assert all(a[1] < b[0] for a, b in zip(found, found[1:])) and all(a <= b for a, b, _ in found)
+        for n in range(61):
+            holds = [(size, -begin) for first, last, size, begin in ranges if first <= n <= last]
+            top = [ranges[i][2:] for a, b, i in found if a <= n <= b]
+            assert [(size, -begin) for size, begin in top] == ([min(holds)] if holds else [])
+
+
+def test_ten_thousand_ranges_inside_one_subnet_and_the_widest_around(spark):
+    """Blocks stay bounded whatever the networks: all of IPv6, nested ones, and many within one /64."""
+    inner = [(str(ipaddress.ip_network(((0x2A02 << 112) + (i << 20), 112 + i % 16), strict=False)), i) for i in range(10_000)]
+    wide = [("::/0", -1), ("2a00::/11", -2), ("2a02::/16", -3), ("2a02::/60", -4), ("0.0.0.0/0", -5)]
+    nets = spark.createDataFrame(inner + wide + inner[:50], "network string, asn bigint")
+    index = index_networks(nets, ("asn",))
+    assert index.blocks.agg(F.max(F.size("starts"))).first()[0] <= networks.BLOCK
+    intervals = index.blocks.agg(F.sum(F.size("starts"))).first()[0]
+    assert intervals <= 2 * (len(inner) + len(wide))
+    parsed = [(ipaddress.ip_network(n), v) for n, v in inner[::97] + wide]
+    probes = {str(n.network_address + 1) for n, _ in parsed if n.version == 6} | {"2a02:0:0:1::5", "2a02:1::", "2a1f::1", "f000::1", "8.8.8.8"}
+    joined, found = lookup(parsed_addresses(spark.createDataFrame([(p,) for p in probes], "ip string"), "ip"), index, small=True)
+    every = [(ipaddress.ip_network(n), v) for n, v in inner + wide]
+    for row in joined.select("ip", found["asn"].alias("asn")).collect():
+        ip = ipaddress.ip_address(row.ip)
+        want = max(((n.prefixlen, v) for n, v in every if n.version == ip.version and ip in n), default=(0, None))[1]
+        assert row.asn == (None if ip == ipaddress.ip_address("::1") else want), row.ip
+
+
+def test_many_cells_give_the_same_index(spark, monkeypatch):
+    rng = random.Random(9)
+    ranges = []
+    for i in range(400):
+        start = rng.randrange(1 << 32)
+        ranges.append((start, min((1 << 32) - 1, start + rng.choice([0, 9, 1 << 10, 1 << 20, 1 << 28, 1 << 31])), i))
+    ips = spark.createDataFrame([(str(ipaddress.ip_address(p)),) for lo, hi, _ in ranges for p in (lo, hi, (lo + hi) // 2)], "ip string")
+    nets = spark.createDataFrame(ranges, "start_ip bigint, end_ip bigint, asn bigint").repartition(3)
+
+    def answers():
+        joined, found = lookup(parsed_addresses(ips, "ip"), index_networks(nets, ("asn",)), small=True)
+        return sorted((r.ip, r.asn if r.asn is not None else -1) for r in joined.select("ip", found["asn"].alias("asn")).collect())
+
+    want = answers()
+    monkeypatch.setattr(networks, "CELL", 16)
+    monkeypatch.setattr(networks, "BLOCK", 4)
+    assert answers() == want
+    celled = networks._celled(networks._ranges(nets, ("asn",)).selectExpr("family AS f", "s_hi", "s_lo", "e_hi", "e_lo", "hit"), [networks._number(4, i << 24, 0) for i in range(1, 250)])
+    assert celled.count() <= 2 * 400 + 250 * 3 * 2
+
+
 def test_longest_prefix_wins(spark):
     rng = random.Random(7)
     nets = [("0.0.0.0/0", 1), ("20.0.0.0/8", 2), ("2a02::/16", 3), ("2a02:6ea0::/32", 4), ("::/0", 5), ("8000::/1", 6)]
