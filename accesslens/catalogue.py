@@ -30,13 +30,17 @@ from accesslens.plans.views import (
 )
 from accesslens.sources import files
 from accesslens.sources import tables as store
-from accesslens.sources.dimensions import load_dim_nodes, load_dim_users
+from accesslens.sources.dimensions import (
+    compact_dimension, load_dim_nodes, load_dim_users, read_dimension, refresh_dimension,
+)
 from accesslens.sources.entries import dedup_entries, first_deliveries, read_entry_files
 from accesslens.sources.networks import ASN_CIDR, CITY_BLOCKS, LOCATIONS, city_networks, read_networks
 from accesslens.streaming.ingest import (
     read_quarantine, read_watermark_rollup, start_ingest, start_usage_rollup, start_watermark_rollup,
 )
-from accesslens.streaming.quality import ingest_quality, read_measures
+from accesslens.streaming.quality import (
+    files_read, ingest_quality, landed, read_measures, read_pending, store_pending, table_sizes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +66,22 @@ def retention_filter(spark: SparkSession, sf: str) -> DataFrame:
     return store.retain(fx.node_connections(spark, sf), "ts", 30, "2024-02-05 12:00:00")
 
 
+def dim_refresh_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Four refreshes of the accounts: new, equal, with some renamed, and equal again after compaction. ``written``
+    has the versions each of them stored."""
+    root = session.scratch(spark, "dimension")
+    users = fx.dim_users(spark, sf).withColumn("traffic_limit_bytes", F.col("traffic_limit_bytes").cast("decimal(20,0)"))
+    later = users.withColumn("updated_at", F.expr("updated_at + INTERVAL '5' MINUTE"))
+    renamed = later.withColumn("username", F.expr("IF(user_id % 10 = 0, concat('renamed-', user_id), username)"))
+    written = [refresh_dimension(rows, root, "dim_users") for rows in (users, later, renamed)]
+    compact_dimension(spark, root, "dim_users")
+    written.append(refresh_dimension(renamed, root, "dim_users"))
+    stored = v_users(read_dimension(spark, root, "dim_users"))
+    return stored.withColumn("traffic_limit_bytes", as_bigint(F.col("traffic_limit_bytes"))).withColumn(
+        "written", F.lit(" ".join(map(str, written)))
+    )
+
+
 def schema_evolution_union(spark: SparkSession, sf: str) -> DataFrame:
     new = fx.sub_requests(spark, sf)
     old = new.drop("srr_response_type", "srr_rule_name")
@@ -567,6 +587,51 @@ def stream_small_batches(spark: SparkSession, sf: str) -> DataFrame:
     return read_measures(spark, f"{root}/out").groupBy("stream").agg(F.count(F.lit(1)).alias("batches"), *sums)
 
 
+def stream_byte_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Six files, cut into batches of at most two and a half times the largest file's bytes."""
+    root = session.scratch(spark, "byte-batches")
+    landing, checkpoint = f"{root}/landing", f"{root}/checkpoint"
+    fx.usage_messages(fx.events(spark, sf)).repartition(6, "entry_id").write.json(landing)
+    limit = landed(spark, landing).agg(F.max("bytes")).first()[0] * 5 // 2
+    source = read_entry_files(spark, landing, streaming=True, max_bytes_per_trigger=limit)
+    start_ingest(spark, source, None, f"{root}/out", checkpoint, _NOW).awaitTermination()
+    sums = [F.sum(c).alias(c) for c in ("messages", "failed", "rows")]
+    measures = read_measures(spark, f"{root}/out").groupBy("stream").agg(*sums)
+    per = landed(spark, landing).join(files_read(spark, f"{checkpoint}/all"), "path").groupBy("batch").agg(F.sum("bytes").alias("bytes"))
+    cut = per.agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("most")).first()
+    return measures.withColumn("cut", F.lit(cut["n"] > 1 and cut["most"] <= limit))
+
+
+def stream_pending(spark: SparkSession, sf: str) -> DataFrame:
+    """What waits to be read before a stream starts, after it has caught up, and when more files have landed."""
+    root = session.scratch(spark, "pending")
+    landing, checkpoint, out = f"{root}/landing", f"{root}/checkpoint", f"{root}/out"
+    messages = fx.usage_messages(fx.events(spark, sf))
+    even = F.pmod(F.substring("entry_id", 3, 20).cast("long"), F.lit(2)) == 0
+
+    def measure(minute: int) -> None:
+        store_pending(spark, f"{landing}/*", f"{checkpoint}/user_usage", out, f"2024-01-01 00:0{minute}:00")
+
+    messages.filter(even).coalesce(2).write.json(f"{landing}/first")
+    measure(0)
+    source = read_entry_files(spark, f"{landing}/*", streaming=True)
+    start_ingest(spark, source, USAGE_STREAM, out, checkpoint, _NOW).awaitTermination()
+    measure(1)
+    messages.filter(~even).coalesce(1).write.json(f"{landing}/later")
+    measure(2)
+    return read_pending(spark, out).select("at", "entries", (F.col("bytes") > 0).alias("waiting"))
+
+
+def table_sizes_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of stored facts, rollup and dimensions."""
+    root = session.scratch(spark, "sizes")
+    store.write_batch(fx.usage_facts(fx.events(spark, sf)), root, "user_usage", 0)
+    store.backfill(spark, root, "user_usage")
+    refresh_dimension(fx.dim_nodes(spark, sf), root, "dim_nodes")
+    stored = {name: store.read_table(spark, root, name) for name in ("user_usage", "usage_5m")}
+    return table_sizes({**stored, "dim_nodes": read_dimension(spark, root, "dim_nodes")})
+
+
 def refreshed_networks(spark: SparkSession, sf: str) -> DataFrame:
     """The same requests in two batches, the network tables replaced between them."""
     root = session.scratch(spark, "refreshed")
@@ -657,6 +722,7 @@ def queries() -> dict[str, Query]:
             "traffic_limit_bytes", as_bigint(F.col("traffic_limit_bytes"))
         ),
         "load_dim_nodes": lambda s, d: load_dim_nodes(fx.node_pages(s, d), fx.AS_OF),
+        "dim_refresh_changes": dim_refresh_changes,
         "retention_filter": retention_filter,
         "schema_evolution_union": schema_evolution_union,
         "backfill_rollup": backfill_rollup,
@@ -733,6 +799,9 @@ def queries() -> dict[str, Query]:
         "replay_after_compact": _streamed(replay_after_compact),
         "dedup_many_days": _streamed(dedup_many_days),
         "stream_small_batches": _streamed(stream_small_batches),
+        "stream_byte_batches": _streamed(stream_byte_batches),
+        "stream_pending": _streamed(stream_pending),
+        "table_sizes": table_sizes_query,
         "refreshed_networks": _streamed(refreshed_networks),
         "unreadable_entries": _streamed(unreadable_entries),
         "stream_quality": _streamed(stream_quality),

@@ -479,6 +479,9 @@ def _statements() -> dict[str, str]:
             SELECT * REPLACE ('' AS srr_response_type, '' AS srr_rule_name) FROM req""",
         "backfill_rollup": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
         "backfill_live": f"SELECT ts5, user_id, {_SUB_COUNTS} FROM s5 GROUP BY ts5, user_id",
+        "dim_refresh_changes": """SELECT user_id, CASE WHEN user_id % 10 = 0 THEN 'renamed-' || user_id ELSE username END AS username,
+            status, tag, traffic_limit_bytes, hwid_device_limit, expire_at, (SELECT count(*) || ' 0 ' ||
+            count(*) FILTER (user_id % 10 = 0) || ' 0' FROM users) AS written FROM users""",
         "backfill_changed": f"""SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes, '202401' AS rebuilt FROM
             (SELECT ts + INTERVAL 31 DAY * (user_id % 3) AS ts, node_id, user_id, bytes FROM usage
              UNION ALL SELECT ts, node_id, user_id, bytes FROM usage WHERE user_id % 3 = 0) GROUP BY ALL""",
@@ -609,6 +612,14 @@ def _statements() -> dict[str, str]:
         "resume_from_now": _USER_SUMS,
         "stream_small_batches": f"""SELECT '{USAGE_STREAM}' AS stream, CAST(4 AS BIGINT) AS batches, count(*) AS messages,
             CAST(0 AS BIGINT) AS failed, CAST(4 * count(*) AS BIGINT) AS "rows" FROM events""",
+        "stream_byte_batches": f"""SELECT '{USAGE_STREAM}' AS stream, count(*) AS messages, CAST(0 AS BIGINT) AS failed,
+            CAST(4 * count(*) AS BIGINT) AS "rows", true AS cut FROM events""",
+        "stream_pending": """SELECT TIMESTAMP '2024-01-01 00:00:00' AS at, count(*) AS entries, true AS waiting FROM events WHERE event_id % 2 = 0
+            UNION ALL SELECT TIMESTAMP '2024-01-01 00:01:00', CAST(0 AS BIGINT), false
+            UNION ALL SELECT TIMESTAMP '2024-01-01 00:02:00', count(*), true FROM events WHERE event_id % 2 = 1""",
+        "table_sizes": f"""SELECT 'user_usage' AS "table", count(*) AS "rows" FROM usage
+            UNION ALL SELECT 'usage_5m', count(*) FROM (SELECT DISTINCT {_B5}, node_id, user_id FROM usage)
+            UNION ALL SELECT 'dim_nodes', count(*) FROM supplier""",
         "refreshed_networks": f"""SELECT country, count(*) AS requests FROM
             (SELECT country FROM ({_MESSAGE_ROWS}) AS a UNION ALL
              SELECT CASE WHEN country = '' THEN '' ELSE country || ' 2' END FROM ({_MESSAGE_ROWS}) AS b) AS both_ GROUP BY country""",

@@ -1,4 +1,11 @@
-"""Account and node dimensions from dumped API pages."""
+"""Account and node dimensions from dumped API pages.
+
+A dimension is stored as versions: a refresh adds the rows that are new or differ
+from the newest version of their key, so equal refreshes write nothing. Layout:
+``<root>/<name>/<generation>/refresh=<id>/…``; a pointer in ``<root>/_log/<name>``
+names the generation that readers use. Compaction writes the newest version of
+every key as a new generation and then switches the pointer. One writer at a time.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +14,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens import schemas
+from accesslens import schemas, session
 from accesslens.functions.values import moment, or_empty, or_zero
 from accesslens.operators.decode import rfc3339
 from accesslens.operators.latest import latest
+from accesslens.sources import files
 
 USERS_PAGE = (
     "response STRUCT<users: ARRAY<STRUCT<id: BIGINT, username: STRING, status: STRING, "
@@ -85,6 +93,75 @@ def compact_snapshots(spark: SparkSession, path: str, key: str, schema) -> str:
     return target
 
 
+# Name -> columns and key of each stored dimension.
+DIMENSIONS = {"dim_users": (schemas.DIM_USERS, "user_id"), "dim_nodes": (schemas.DIM_NODES, "node_id")}
+
+
+def _pointers(spark: SparkSession, root: str, name: str) -> list[str]:
+    return [n for n in files.children(spark, f"{root}/_log/{name}") if n.startswith("current-") and n[8:].isdigit()]
+
+
+def _generation(spark: SparkSession, root: str, name: str) -> str | None:
+    names = _pointers(spark, root, name)
+    return files.read_text(spark, f"{root}/_log/{name}/{names[-1]}") if names else None
+
+
+def _switch(spark: SparkSession, root: str, name: str, generation: str) -> None:
+    """Point to a generation. The one before stays for who still reads it, older ones go."""
+    log, names = f"{root}/_log/{name}", _pointers(spark, root, name)
+    number = int(names[-1][8:]) + 1 if names else 0
+    files.write_text(spark, f"{log}/current-{number:012d}", generation)
+    for old in names[:-1]:
+        files.delete(spark, f"{root}/{name}/{files.read_text(spark, f'{log}/{old}')}")
+        files.delete(spark, f"{log}/{old}")
+
+
+def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """All stored versions of the generation in use; views take the newest of each key."""
+    schema, _ = DIMENSIONS[name]
+    generation = _generation(spark, root, name)
+    folder = f"{root}/{name}/{generation}"
+    if generation is None or not files.children(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def refresh_dimension(rows: DataFrame, root: str, name: str) -> int:
+    """Store what a refresh changed; returns how many versions that were.
+
+    ``rows`` is evaluated once. ``updated_at`` says when a row was read and is no
+    change by itself; keys that a refresh does not name stay as they are.
+    """
+    spark = rows.sparkSession
+    schema, key = DIMENSIONS[name]
+    read = session.scratch(spark, name)
+    rows.select(*schema.names).write.parquet(read)
+    fresh = latest(spark.read.schema(schema).parquet(read), key)
+    generation = _generation(spark, root, name)
+    if generation is None:
+        generation = uuid.uuid4().hex
+        _switch(spark, root, name, generation)
+    content = F.struct(*[c for c in schema.names if c not in (key, "updated_at")])
+    known = latest(read_dimension(spark, root, name), key).select(F.col(key).alias("_key"), content.alias("_content"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & content.eqNullSafe(F.col("_content"))
+    target = f"{root}/{name}/{generation}/refresh={uuid.uuid4().hex}"
+    fresh.join(known, same, "left_anti").write.parquet(target)
+    written = spark.read.schema(schema).parquet(target).count()
+    if not written:
+        files.delete(spark, target)
+    files.delete(spark, read)
+    return written
+
+
+def compact_dimension(spark: SparkSession, root: str, name: str) -> None:
+    """The newest version of every key as a new generation, which readers use from then on."""
+    schema, key = DIMENSIONS[name]
+    generation = uuid.uuid4().hex
+    newest = latest(read_dimension(spark, root, name), key).select(*schema.names)
+    newest.write.parquet(f"{root}/{name}/{generation}/refresh={uuid.uuid4().hex}")
+    _switch(spark, root, name, generation)
+
+
 def empty_users(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.DIM_USERS)
 

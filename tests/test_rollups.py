@@ -20,7 +20,9 @@ from accesslens.catalogue import REPORTS
 from accesslens.plans.sql import register
 from accesslens.plans.views import Tables
 from accesslens.sources import tables as store
-from accesslens.sources.dimensions import append_snapshot, compact_snapshots
+from accesslens.sources.dimensions import (
+    append_snapshot, compact_dimension, compact_snapshots, read_dimension, refresh_dimension,
+)
 
 AT = dt.datetime(2024, 1, 1, 10, 3)
 
@@ -318,6 +320,36 @@ def test_dimension_snapshots_compact_to_the_newest_rows(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
 
 
+def test_a_refresh_stores_only_what_changed(spark, tmp_path):
+    root = str(tmp_path)
+
+    def nodes(day, **names):
+        given = [(i, f"u{i}", names.get(f"n{i}", f"node{i}"), "", dt.datetime(2024, 1, day)) for i in range(5)]
+        return spark.createDataFrame(given, schemas.DIM_NODES)
+
+    def shown():
+        return sorted((r.node_id, r.name, r.updated_at.day) for r in latest(read_dimension(spark, root, "dim_nodes"), "node_id").collect())
+
+    def folders():
+        return sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "dim_nodes").glob("*/refresh=*"))
+
+    assert read_dimension(spark, root, "dim_nodes").count() == 0
+    assert refresh_dimension(nodes(1), root, "dim_nodes") == 5
+    before = folders()
+    assert refresh_dimension(nodes(2), root, "dim_nodes") == 0 and folders() == before
+    assert refresh_dimension(nodes(3, n1="other"), root, "dim_nodes") == 1
+    assert refresh_dimension(nodes(4), root, "dim_nodes") == 1  # back to the first name
+    assert refresh_dimension(nodes(5).filter("node_id = 2").unionByName(nodes(6).filter("node_id = 2")), root, "dim_nodes") == 0
+    want = [(i, f"node{i}", 4 if i == 1 else 1) for i in range(5)]
+    assert shown() == want and read_dimension(spark, root, "dim_nodes").count() == 7
+    held = read_dimension(spark, root, "dim_nodes")
+    compact_dimension(spark, root, "dim_nodes")
+    assert shown() == want and read_dimension(spark, root, "dim_nodes").count() == 5
+    assert held.count() == 7  # a reader of the generation before
+    compact_dimension(spark, root, "dim_nodes")
+    assert shown() == want and len({f.split("/")[1] for f in folders()}) == 2
+
+
 def test_rows_from_an_older_schema_read_as_empty(spark, sf):
     new = fx.sub_requests(spark, sf)
     old = new.drop("srr_response_type", "srr_rule_name")
