@@ -89,8 +89,8 @@ def r_shared_addresses(t: Tables, t_from, t_to, limit: int = 200, names: int = 1
     """Addresses used by several accounts, with up to ``names`` display names.
 
     The ranking runs on fixed-width columns only. Places and names are then
-    read for the listed addresses alone, and an address keeps at most
-    ``names`` names per task before the shuffle.
+    read together, for the listed addresses alone, and an address keeps at most
+    ``names`` of them per task before the shuffle.
     """
     rows = in_range(t.node_connections, "ts", t_from, t_to)
     shared = (
@@ -106,14 +106,19 @@ def r_shared_addresses(t: Tables, t_from, t_to, limit: int = 200, names: int = 1
     )
     listed = top(shared, [F.desc("accounts"), F.desc("last_seen"), F.asc("ip")], limit)
     hits = rows.join(F.broadcast(listed.select("ip")), "ip", "left_semi")
-    place = hits.groupBy("ip").agg(F.max("country").alias("country"), F.max("as_org").alias("as_org"))
-    named = with_user(hits.select("ip", "user_id").distinct(), t.dim_users).select("ip", "username").distinct()
-    few = top_per_group(named, "ip", [F.asc("username")], names)
-    joined = few.groupBy("ip").agg(
-        F.array_join(F.array_sort(F.collect_list("username")), ", ").alias("usernames")
-    )
+    named = with_user(hits.select("ip", "user_id", "country", "as_org").distinct(), t.dim_users)
+    # Names and places in one list: of names the first ones count, of places the largest value.
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in enumerate(("username", "country", "as_org"))])
+    values = named.select("ip", F.inline(kinds)).distinct().withColumn("slot", F.struct("ip", "kind"))
+    up, down = (F.when((F.col("kind") == 0) == first, F.col("value")) for first in (True, False))
+    few = top_per_group(values, "slot", [F.asc(up), F.desc(down)], names)
+    of = [F.when(F.col("kind") == k, F.col("value")) for k in range(3)]
+    found = few.groupBy("ip").agg(
+        F.array_join(F.array_sort(F.collect_list(of[0])), ", ").alias("usernames"),
+        F.max(of[1]).alias("country"), F.max(of[2]).alias("as_org"),
+    )
     return (
-        listed.join(place, "ip").join(joined, "ip")
+        listed.join(found, "ip")
         .select("ip", "accounts", "usernames", "country", "as_org", "hosting", "last_seen")
         .orderBy(F.desc("accounts"), F.desc("last_seen"), "ip")
     )

@@ -89,42 +89,40 @@ def r_refused_by_rule(t: Tables, t_from, t_to, limit: int = 100) -> DataFrame:
 def r_fetch_offenders(t: Tables, t_from, t_to, limit: int = 200) -> DataFrame:
     """Heaviest fetchers by display name and status.
 
-    Sums collapse per account, and identities to narrow distinct rows of
-    account and hash, before both are added up per name; names join the one row
-    per account that is left. Unlike in the rollup an unknown country counts as
+    Requests collapse to one row per account and seen value, sums beside it,
+    before both are added up per name; names join the one row per account that
+    is left. Unlike in the rollup an unknown country counts as
     one here.
     """
     rows = _requests(t, t_from, t_to)
-    sums = rows.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.count_if(is_scripted(F.col("ua_kind"))).alias("scripted"),
-        F.count_if(F.col("is_hosting") == 1).alias("from_hosting"),
-        F.count_if(F.col("srr_response_type").isin(*REFUSALS)).alias("refused"),
-        F.max("ts").alias("last_seen"),
-    )
+    sums = {
+        "requests": F.count(F.lit(1)),
+        "scripted": F.count_if(is_scripted(F.col("ua_kind"))),
+        "from_hosting": F.count_if(F.col("is_hosting") == 1),
+        "refused": F.count_if(F.col("srr_response_type").isin(*REFUSALS)),
+        "last_seen": F.max("ts"),
+    }
     kinds = {"ips": "ip", "networks": "ip_prefix", "countries": "country", "user_agents": "user_agent"}
     # Two hashes are 128 bits: fixed width, whatever the text.
     values = [
         F.struct(F.lit(k).alias("kind"), F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(7), c).alias("h2"))
         for k, c in enumerate(kinds.values())
     ]
-    seen = rows.select("user_id", F.inline(F.array(*values))).distinct()
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return with_user_key(with_user(df, t.dim_users, "status").drop("username"), t.dim_users)
-
-    counted = keyed(seen).select("user_key", "status", "kind", "h1", "h2").distinct().groupBy("user_key", "status").agg(
-        *[F.count_if(F.col("kind") == k).alias(name) for k, name in enumerate(kinds)]
-    )
-    added = keyed(sums).groupBy("user_key", "status").agg(
-        F.sum("requests").alias("requests"),
-        F.sum("scripted").alias("scripted"),
-        F.sum("from_hosting").alias("from_hosting"),
-        F.sum("refused").alias("refused"),
+    # One read for both: every request counts with its first kind, the others only say what was seen.
+    counted = ["ua_kind", "is_hosting", "srr_response_type", "ts"]
+    seen = rows.select("user_id", *counted, F.inline(F.array(*values)))
+    per = seen.groupBy("user_id", "kind", "h1", "h2").agg(*[a.alias(n) for n, a in sums.items()])
+    keyed = with_user_key(with_user(per, t.dim_users, "status").drop("username"), t.dim_users)
+    added = [F.max(n) if n == "last_seen" else F.sum(n) for n in sums]
+    first = F.col("kind") == 0
+    per_value = keyed.groupBy("user_key", "status", "kind", "h1", "h2").agg(*[a.alias(n) for n, a in zip(sums, added)])
+    per_name = per_value.groupBy("user_key", "status").agg(
+        *[F.count_if(F.col("kind") == k).alias(name) for k, name in enumerate(kinds)],
+        *[F.sum(F.when(first, F.col(n))).alias(n) for n in sums if n != "last_seen"],
         F.max("last_seen").alias("last_seen"),
     )
     return top(
-        named_users(added.join(counted, ["user_key", "status"]), t.dim_users).select(
+        named_users(per_name, t.dim_users).select(
             "username", "status", "requests", *kinds, "scripted", "from_hosting", "refused", "last_seen"
         ),
         [F.desc("requests"), F.asc("username"), F.asc("status")], limit,

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accesslens.functions.values import as_bigint, display_name, is_blocked
@@ -71,7 +71,9 @@ def with_user(df: DataFrame, dim_users: DataFrame, *extra: str) -> DataFrame:
 def _keys(dim: DataFrame, key: str, name: str, kind: str) -> DataFrame:
     """``_id`` -> ``_key``: the smallest id that shows under the same display name.
 
-    Ids that are not listed are their own key. A row named ``<kind>-<id>`` shares
+    Ids that are not listed are their own key; only those that are not are listed, so
+    where names differ the table is empty. Names are counted before they meet, and the
+    join back leaves a name that many ids share to AQE's split. A row named ``<kind>-<id>`` shares
     its name with that id if the id has no usable name itself.
     """
     named = latest(dim.select(key, "updated_at", name), key).filter(F.col(name) != "")
@@ -85,7 +87,8 @@ def _keys(dim: DataFrame, key: str, name: str, kind: str) -> DataFrame:
     )
     members = named.select(F.inline(both)).filter("_id IS NOT NULL")
     members = members.groupBy("_id").agg(F.max(F.struct("own", "_name")).alias("m")).select("_id", "m._name")
-    return members.select("_id", F.min("_id").over(Window.partitionBy("_name")).alias("_key"))
+    shared = members.groupBy("_name").agg(F.min("_id").alias("_key"), F.max("_id").alias("_last")).filter("_last > _key")
+    return members.join(shared, "_name").filter("_id > _key").select("_id", "_key")
 
 
 def with_user_key(df: DataFrame, dim_users: DataFrame) -> DataFrame:
