@@ -36,7 +36,8 @@ from accesslens.sources.dimensions import (
 from accesslens.sources.entries import dedup_entries, first_deliveries, read_entry_files
 from accesslens.sources.networks import ASN_CIDR, CITY_BLOCKS, LOCATIONS, city_networks, read_networks
 from accesslens.streaming.ingest import (
-    read_quarantine, read_watermark_rollup, start_ingest, start_usage_rollup, start_watermark_rollup,
+    read_quarantine, read_watermark_rollup, start_corrected_rollup, start_ingest, start_usage_rollup,
+    start_watermark_rollup,
 )
 from accesslens.streaming.quality import (
     files_read, ingest_quality, landed, read_measures, read_pending, store_pending, table_sizes,
@@ -299,6 +300,23 @@ def read_networks_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _published(spark, sf)[0]
 
 
+def read_networks_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """City blocks of both families and their locations from CSV, one block per customer."""
+    folder = session.scratch(spark, "networks-csv")
+    network = "concat(30 + c_custkey div 62500 % 60, '.', c_custkey div 250 % 250, '.', c_custkey % 250, '.0/24')"
+    blocks = fx.table(spark, sf, "customer").selectExpr(
+        f"IF(c_custkey % 3 = 0, concat('2a02:', lower(hex(c_custkey % 65536)), ':', lower(hex(c_custkey div 65536)), '::/48'), {network}) AS network",
+        "c_nationkey AS geoname_id", "(c_nationkey + 7) % 25 AS registered_country_geoname_id",
+    )
+    places = fx.table(spark, sf, "nation").selectExpr(
+        "n_nationkey AS geoname_id", "IF(n_nationkey % 5 = 0, NULL, n_name) AS country_iso_code", "concat('City_', n_nationkey) AS city_name"
+    )
+    for name, rows in (("blocks", blocks), ("places", places)):
+        rows.write.option("header", True).csv(f"{folder}/{name}")
+    nets = city_networks(read_networks(spark, f"{folder}/blocks", CITY_BLOCKS), read_networks(spark, f"{folder}/places", LOCATIONS))
+    return nets.select("network", "country", "registered_country", "city")
+
+
 def geo_two_tables(spark: SparkSession, sf: str) -> DataFrame:
     """City and ASN tables apart, the country falling back to the registered one."""
     city, asn = _published(spark, sf)
@@ -492,6 +510,23 @@ def stream_watermark_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return shown(read_watermark_rollup(spark, out))
 
 
+def stream_late_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of later days, then one of earlier days: sums of open buckets and corrections of closed ones."""
+    root = session.scratch(spark, "corrections")
+    facts = fx.usage_facts(fx.events(spark, sf))
+    later = F.col("ts") >= F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'")
+    out, checkpoint = f"{root}/out", f"{root}/checkpoint"
+    for name, rows in (("a", facts.filter(later)), ("b", facts.filter(~later))):
+        rows.write.parquet(f"{root}/facts/{name}")
+        stream = spark.readStream.schema(facts.schema).parquet(f"{root}/facts/*")
+        start_corrected_rollup(stream, "1 hour", out, checkpoint, _NOW).awaitTermination()
+    parts = [
+        rollups.merge_usage(store.read_table(spark, where, "usage_5m").drop("month")).withColumn("corrected", F.lit(late))
+        for where, late in ((out, False), (f"{out}/late", True))
+    ]
+    return shown(parts[0].unionByName(parts[1]))
+
+
 def _ingested(spark: SparkSession, sf: str, name: str, stream: str | None = None) -> str:
     """The folder into which all messages were ingested, in one pass over their files."""
     root = session.scratch(spark, name)
@@ -750,6 +785,7 @@ def queries() -> dict[str, Query]:
         "geo_v6": geo_v6,
         "geo_overlap": geo_overlap,
         "read_networks_csv": read_networks_csv,
+        "read_networks_accounts": read_networks_accounts,
         "geo_two_tables": geo_two_tables,
         "custom_hosting": custom_hosting,
         "hosting_flag": hosting_flag_query,
@@ -806,6 +842,7 @@ def queries() -> dict[str, Query]:
         "unreadable_entries": _streamed(unreadable_entries),
         "stream_quality": _streamed(stream_quality),
         "stream_watermark_rollup": _streamed(stream_watermark_rollup),
+        "stream_late_corrections": _streamed(stream_late_corrections),
         "stream_ingest": _streamed(stream_ingest),
         "dedup_entries": dedup_entries_query,
         "ingest_quality": ingest_quality_query,

@@ -617,6 +617,12 @@ def _statements() -> dict[str, str]:
         "stream_pending": """SELECT TIMESTAMP '2024-01-01 00:00:00' AS at, count(*) AS entries, true AS waiting FROM events WHERE event_id % 2 = 0
             UNION ALL SELECT TIMESTAMP '2024-01-01 00:01:00', CAST(0 AS BIGINT), false
             UNION ALL SELECT TIMESTAMP '2024-01-01 00:02:00', count(*), true FROM events WHERE event_id % 2 = 1""",
+        "read_networks_accounts": f"""SELECT CASE WHEN c_custkey % 3 = 0
+            THEN '2a02:' || lower(to_hex(c_custkey % 65536)) || ':' || lower(to_hex(c_custkey // 65536)) || '::/48'
+            ELSE (30 + c_custkey // 62500 % 60) || '.' || (c_custkey // 250 % 250) || '.' || (c_custkey % 250) || '.0/24' END AS network,
+            {_CODE.format('n.n_nationkey').replace('n_name', 'n.n_name')} AS country,
+            {_CODE.format('r.n_nationkey').replace('n_name', 'r.n_name')} AS registered_country, 'City_' || n.n_nationkey AS city
+            FROM customer JOIN nation n ON n.n_nationkey = c_nationkey JOIN nation r ON r.n_nationkey = (c_nationkey + 7) % 25""",
         "table_sizes": f"""SELECT 'user_usage' AS "table", count(*) AS "rows" FROM usage
             UNION ALL SELECT 'usage_5m', count(*) FROM (SELECT DISTINCT {_B5}, node_id, user_id FROM usage)
             UNION ALL SELECT 'dim_nodes', count(*) FROM supplier""",
@@ -633,6 +639,7 @@ def _statements() -> dict[str, str]:
         "stream_quality": _MEASURES,
         "stream_watermark_rollup": f"""SELECT {_B5} AS ts5, node_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes
             FROM usage GROUP BY ALL""",
+        "stream_late_corrections": "SELECT *, ts5 < TIMESTAMP '2024-01-10 00:00:00' AS corrected FROM u5",
         "stream_ingest": _STREAMED,
         "dedup_entries": " UNION ALL ".join(
             f"SELECT '{prefix}-' || event_id AS entry_id, '{stream}' AS stream FROM events"

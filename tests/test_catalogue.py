@@ -16,7 +16,7 @@ CHECKED = (
     "backfill_live", "compact_live", "restart_new_checkpoint", "retention_drop", "uint64_values", "poison_message",
     "unreadable_entries", "resume_from_now", "stream_dedup_two_batches", "stream_ingest", "stream_quality",
     "geo_v6", "geo_overlap", "geo_two_tables", "sql_user_abuse", "exact_abuse", "edge_top_talkers", "cut_fetch_offenders",
-    "dim_refresh_changes", "stream_byte_batches", "stream_pending", "replay_after_compact", "dedup_many_days", "backfill_changed", "clustered_account",
+    "read_networks_accounts", "stream_late_corrections", "dim_refresh_changes", "stream_byte_batches", "stream_pending", "replay_after_compact", "dedup_many_days", "backfill_changed", "clustered_account",
 )
 
 
