@@ -42,6 +42,37 @@ def test_directory_doubles_and_covers_every_slot(make_docs):
     check(rows, exact_dedup.report(make_docs(rows), capacity=16).collect())
 
 
+def test_the_result_comes_through_the_directory(make_docs, monkeypatch):
+    """Without the right directory rows find no entry."""
+    rows = [(i, f"text {i % 150}") for i in range(400)]
+    real = exact_dedup.directory
+
+    def wrong(keys, capacity):
+        slots, depth = real(keys, capacity)
+        return slots.filter("slot < 3"), depth
+
+    monkeypatch.setattr(exact_dedup, "directory", wrong)
+    assert 0 < exact_dedup.report(make_docs(rows), capacity=8).count() < 400
+    monkeypatch.setattr(exact_dedup, "directory", lambda keys, capacity: (real(keys, capacity)[0].limit(1).withColumn("slot", F.lit(0).cast("long")), real(keys, capacity)[1]))
+    assert exact_dedup.report(make_docs(rows), capacity=8).count() < 400
+
+
+def test_a_third_of_all_rows_alike(make_docs):
+    rows = [(i, f"text {i}") for i in range(2000)] + [(7, "same")] * 600 + [(5000 + i, "same") for i in range(600)] + [(None, "x")] * 300
+    check(rows, exact_dedup.report(make_docs(rows), capacity=64).collect())
+    assert exact_dedup.keep_one(make_docs(rows)).count() == 2002
+
+
+def test_hot_keys_are_dealt_over_owners(make_docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HOT", 10)
+    rows = [(i, f"text {i % 50}") for i in range(300)] + [(1000 + i, "hot") for i in range(200)] + [(2000 + i, "") for i in range(100)]
+    seen = []
+    real = exact_dedup.chains
+    monkeypatch.setattr(exact_dedup, "chains", lambda docs, shared, hot: seen.append(len(hot)) or real(docs, shared, hot))
+    check(rows, exact_dedup.report(make_docs(rows), capacity=16).collect())
+    assert seen == [2]
+
+
 def test_colliding_keys_form_a_chain(make_docs, monkeypatch):
     monkeypatch.setattr(exact_dedup, "hash_key", lambda text: F.length(text).cast("long"))
     rows = [(i, t) for i, t in enumerate(["ab", "cd", "ef", "ab", "x", "cd", "", None])]
