@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from accesslens.llm import pii
 
@@ -85,6 +87,94 @@ def test_unseen_identifiers_in_groups_and_after_one_word(make_docs):
     assert {i: got[i] for i in late} == {i: spans for i, (_, spans) in late.items()}
 
 
+def pattern(text, start):
+    words = re.split(r"[\x20\x09-\x0D]+", text[:start].strip(" \t\n\x0b\x0c\r"))[-2:]
+    return re.sub("[0-9]", "0", " ".join(words).lower())
+
+
+def test_pieces_keep_places_and_contexts(make_docs, monkeypatch):
+    """Cut into many pieces, words longer than the near window among them, everything is as in the whole text."""
+    monkeypatch.setattr(pii, "PIECE", 40)
+    monkeypatch.setattr(pii, "PIECES", pii.PIECES.replace("{1024}", "{40}"))
+    monkeypatch.setattr(pii, "NEAR", 16)
+    monkeypatch.setattr(pii, "CHUNK", 2)
+    rows = [(i, t) for i, t in enumerate(TEXTS[:12])]
+    rows.append((50, " ".join(f"word{'x' * (i % 30)} mail{i}@host.org, call\n+1 (200) 555-{1000 + i} é tok{i}" for i in range(60))))
+    rows.append((51, "4111 1111 1111 1111 " * 20 + "end " + "1.2.3.4 " * 30))
+    found = pii.found_in(make_docs(rows)).collect()
+    text = dict(rows)
+    for i, t in rows:
+        spans = sorted(tuple(b) for r in found if r.doc_id == i for b in r.base)
+        assert ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans) == base(t)
+    for r in found:
+        for e in r.seen:
+            assert text[r.doc_id][e.start : e.end] == e.instance
+            assert e.pattern == pattern(text[r.doc_id], e.start), (r.doc_id, e)
+
+
+def test_longer_tokens_count_against_a_pattern(make_docs):
+    rows = [(i, f"write to user{i}@mail.example.org now") for i in range(20)] + [(100, "write to someone@localhost now")]
+    long = [(200 + i, f"write to {i}{'x' * 400}@{'y' * 10} now") for i in range(20)]
+    for extra, want in (([], "email:9:26"), (long, "")):
+        got = {r.doc_id: r.spans for r in pii.personal_data(make_docs(rows + extra)).collect()}
+        assert got[100] == want and all(got[i] == "" for i, _ in extra)
+
+
+def bootstrapped(texts):
+    """The discovery half, by hand: tokens by white space, no punctuation, one kind (phone) and no groups."""
+    pairs = {}
+    for t in texts:
+        for m in re.finditer(r"(?<!\S)\S*[0-9]\S*", t):
+            seed = bool(re.fullmatch(r"\+[0-9]{10,15}", m[0]))
+            pairs.setdefault((pattern(t, m.start()), m[0]), seed)
+    scores = {i: 1.0 for (_, i), seed in pairs.items() if seed}
+    while True:
+        trusted = {}
+        for p in {p for p, _ in pairs if p}:
+            own = [(i, seed) for (q, i), seed in pairs.items() if q == p]
+            if sum(seed for _, seed in own) >= pii.SUPPORT:
+                score = sum(scores.get(i, 0) for i, _ in own) / (len(own) + pii.SMOOTH)
+                if score >= pii.TRUST:
+                    trusted[p] = score
+        new = {i: 1.0 for (_, i), seed in pairs.items() if seed}
+        for (p, i), seed in pairs.items():
+            if not seed and p in trusted and re.fullmatch(r"[0-9-]{7,}", i) and 7 <= len(re.sub("-", "", i)) <= 15:
+                new[i] = max(new.get(i, 0), trusted[p])
+        if new == scores:
+            return {(k, m.start(), m.end()) for k, t in enumerate(texts) for m in re.finditer(r"(?<!\S)\S*[0-9]\S*", t)
+                    if pattern(t, m.start()) in trusted and not m[0].startswith("+") and m[0] in new}
+        scores = new
+
+
+def test_discovery_equals_brute_force(make_docs):
+    rng = random.Random(4)
+    lead = ["call me", "ring us", "see page", "phone no", "my cell", "room nr"]
+    texts = []
+    for _ in range(260):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            kind = rng.choices(range(6), [6, 5, 2, 5, 4, 2])[0]
+            seed = rng.random() < (0.9, 0.85, 0.1, 0.8, 0.75, 0.0)[kind]
+            number = f"+1200555{rng.randrange(1000, 1400)}" if seed else f"040-555{rng.randrange(1000, 1014)}"
+            words.append(f"so {lead[kind]} {number} ok")
+        texts.append(" and ".join(words))
+    got = {r.doc_id: r for r in pii.personal_data(make_docs(list(enumerate(texts)))).collect()}
+    found = set()
+    for k in got:
+        for span in filter(None, got[k].spans.split(",")):
+            _, a, b = span.split(":")
+            if not texts[k][int(a) : int(b)].startswith("+"):
+                found.add((k, int(a), int(b)))
+    assert found == bootstrapped(texts) and found
+
+
+def test_time_grows_with_the_text_however_many_matches_it_holds(make_docs):
+    texts = [" ".join(f"tok{i}" for i in range(16_000)), " ".join(f"a{i}@x.org" for i in range(4_000))]
+    start = time.time()
+    got = {r.doc_id: r for r in pii.personal_data(make_docs(list(enumerate(texts)))).collect()}
+    assert time.time() - start < 30 and got[1].n_email == 4_000 and got[0].spans == ""
+
+
 def test_second_round_learns_from_what_was_found(make_docs):
     """Identifiers found by a seed pattern make another pattern trusted: 16 of 21 are not enough, with
     four more found before they are."""
