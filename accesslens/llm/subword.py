@@ -1,7 +1,7 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 The vocabulary is a merge-type (BPE) SentencePiece model file, given by path and
-read with the sentencepiece library in each task; segmentation is done here.
+read with the sentencepiece library in each task; segmentation with skips is done here.
 White space is a visible mark, and no piece holds a mark after another
 character, so a text splits into chunks (marks, then characters without marks)
 that never merge across; a line break is a chunk. Within a chunk an agenda holds the candidate merges,
@@ -15,14 +15,14 @@ distribution; a chunk and the turns that are skipped in it say what comes out,
 so results are cached under these without any effect on them.
 
 Decoding joins the pieces' bytes, and is exact for any dropout: unknown
-characters are bytes (the model has byte pieces). With dropout 0 the result
-equals the library's own.
+characters are bytes (the model has byte pieces), and so is the mark U+2581 where a text
+itself holds it. With dropout 0 the result equals the library's own for texts that
+its normaliser leaves as they are and that do not hold the mark.
 
 Defined cases: a null text is encoded as the empty text, which has no pieces; a
 null id is a key of its own; repeated rows get equal results; an empty table
 gives an empty result; characters that the model's normaliser would change are
-left as they are, the mark U+2581 in a text decodes as a space, as in the
-library, and counts as not lossless; other columns are ignored.
+left as they are; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,10 +47,11 @@ DROPOUT = 0.1
 SEED = 7
 VARIANTS = 2  # documents whose skips ``Pieces.segments`` shows; in use, every document has its own
 LONG = 64  # code points of a chunk that is cached and takes the short way
-CACHED = 200_000  # entries per generation, of chunks and of chunks with skips
+CACHED = 300_000  # entries per generation, of chunks and of chunks with skips
 TURNS = 255  # the most candidates between two skips that one draw tells apart; longer ways take more draws
 MIX, WORD = 0x9E3779B97F4A7C15, 2**64 - 1
 MARK = "▁"
+OWN_MARK = "\udc81"  # stands for a mark in the text itself; no text holds it, as it is half a character
 CHUNK = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
 
@@ -63,14 +64,22 @@ class Generations(dict):
 
     def __missing__(self, key):
         found = self.before.get(key)
-        if found is None:
-            found = self.make(key)
+        return self.put(key, self.make(key) if found is None else found)
+
+    def put(self, key, found):
         if len(self) >= CACHED:
             self.before = dict(self)
             self.clear()
         self[key] = found
         return found
 
+    def known(self, key):
+        """What is kept under a key, or None."""
+        found = self.get(key)
+        if found is None and (found := self.before.get(key)) is not None:
+            self.put(key, found)
+        return found
+
 
 def mixed(x):
     """The finaliser of SplitMix64, of numpy's numbers."""
@@ -128,13 +137,13 @@ class Pieces:
     def __init__(self, model: str, dropout: float, seed: int):
         import sentencepiece
 
-        processor = sentencepiece.SentencePieceProcessor(model_file=model)
+        processor = self.library = sentencepiece.SentencePieceProcessor(model_file=model)
         n = processor.get_piece_size()
         self.limit = int(dropout * 2**32)
         self.seed = seed
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_ids = [0] * 256
-        scores = {}
+        scores: dict[str, tuple[float, int]] = {}
         for i in range(n):
             piece = processor.id_to_piece(i)
             if processor.is_byte(i):
@@ -144,6 +153,8 @@ class Pieces:
             elif not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i)):
                 scores[piece] = (-processor.get_score(i), i)
                 self.bytes_of[i] = piece.replace(MARK, " ").encode()
+        self.bytes = set(self.byte_ids)
+        self.starting = np.array([processor.id_to_piece(i).startswith(MARK) for i in range(n)])
         if any(a != MARK == b for p in scores for a, b in zip(p, p[1:])) or any("\n" in p for p in scores):
             raise ValueError("pieces that go across white space are not supported")
         ordered = sorted(scores, key=scores.get)
@@ -169,13 +180,33 @@ class Pieces:
         return len(chunk) - len(parts) - sum(gaps), self.coded_parts(parts)
 
     def skipping(self, chunk: str, gaps: Iterator[int]) -> bytes:
-        """Ids of one occurrence of a chunk."""
+        """Ids of one occurrence of a chunk: what is known of its gaps, or one run of the agenda."""
         if len(chunk) > LONG:
             return self.coded_parts(self.long(chunk, gaps))
         key, (left, found) = (chunk,), self.plain[chunk]
         while (gap := next(gaps)) < left:
             key += (gap,)
-            left, found = self.skipped[key] if len(key) < 4 else self.after(key)
+            known = self.skipped.known(key)
+            if known is None:
+                return self.run(key, gaps)
+            left, found = known
+        return found
+
+    def run(self, key: tuple, gaps: Iterator[int]) -> bytes:
+        """A chunk with the gaps of ``key`` and then those of ``gaps``; what came out is kept under all that were used."""
+        chunk, *drawn = key
+
+        def each() -> Iterator[int]:
+            yield from key[1:]
+            for gap in gaps:
+                drawn.append(gap)
+                yield gap
+
+        parts = self.short(chunk, each())
+        used = drawn[:-1]  # the last one was not reached
+        found = self.coded_parts(parts)
+        if len(used) < 3:
+            self.skipped.put((chunk, *used), (len(chunk) - len(parts) - sum(used), found))
         return found
 
     def short(self, chunk: str, gaps: Iterable[int]) -> list[str]:
@@ -237,19 +268,38 @@ class Pieces:
             return b"".join([coded[p] for p in parts])
         except KeyError:  # a character that is no piece: its bytes
             return b"".join(
-                coded.get(p) or np.array([self.byte_ids[x] for x in p.encode("utf-8", "replace")], "<i4").tobytes()
+                coded.get(p) or np.array([self.byte_ids[x] for x in self.spelled(p)], "<i4").tobytes()
                 for p in parts
             )
 
+    def learn(self, chunks: list[str]) -> None:
+        """What chunks give without skips: the library's own segmentation, where it leaves the text as it is and needs no
+        byte pieces. Other chunks take the agenda here when they are met."""
+        words = [c for c in chunks if c and c[0] == MARK != c[-1] and len(c) <= LONG and OWN_MARK not in c and MARK not in c[1:]]
+        ids = np.array(self.library.encode(" ".join([c[1:] for c in words])), "<i4")
+        firsts = np.flatnonzero(self.starting[ids]).tolist() if len(ids) else []
+        if len(firsts) != len(words):
+            return
+        for chunk, a, b in zip(words, firsts, [*firsts[1:], len(ids)]):
+            own = ids[a:b].tolist()
+            if b"".join([self.bytes_of[i] for i in own])[1:] == chunk[1:].encode() and self.bytes.isdisjoint(own):
+                self.plain.put(chunk, (len(chunk) - len(own), ids[a:b].tobytes()))
+
+    def spelled(self, character: str) -> bytes:
+        return (MARK if character == OWN_MARK else character).encode("utf-8", "replace")
+
     def encode(self, text: str, name: int) -> bytes:
         """Piece ids of a text. The name of the document and a chunk's place say which candidates are skipped."""
         if not text:
             return b""
-        if "  " in text or text[0] == " " or MARK in text:
+        if MARK in text:
+            text = text.replace(MARK, OWN_MARK)
+        if "  " in text or text[0] == " ":
             chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
         else:  # the same, faster: no two marks meet
             chunks = (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")
         plain = self.plain
+        self.learn([c for c in set(chunks) if c not in plain])
         if max(map(len, chunks)) <= LONG:
             known = map(plain.__getitem__, chunks)
         else:
