@@ -6,8 +6,10 @@ source, the excess goes to the others by weight. A target of r times the source
 gives every document floor(r) certain copies. One more copy goes to documents
 in Pareto order: random odds divided by inclusion odds, ``(u / (1 - u)) /
 (f / (1 - f))`` with f the rest of r; the sample ends where its words come
-nearest to the rest of the target. u comes from a digest of the seed and
-``doc_id``, so reruns agree.
+nearest to the rest of the target. u comes from a digest of the seed, ``doc_id``
+and the text, so reruns agree, and texts are told apart where ids are null or repeated.
+Inclusion odds are the same for all documents of a source, so that a mix does not lean to
+long or short ones; the order among sources' documents is that of the odds.
 
 No source is sorted: the cut is found digit by digit in histograms of
 2^12 counters per source and level, combined in each task before they move.
@@ -15,7 +17,7 @@ One row per source is ranked in one task, so sources are meant to number
 millions at most.
 
 Defined cases: a null text has no words; null is a source of its own; ranks are
-36 bits, rows of equal rank (repeated rows above all) are taken or left
+36 bits, rows of equal rank (rows alike in id and text above all) are taken or left
 together; sources without words have target 0 and take none; an empty table
 gives an empty result; other columns are ignored, ``mixed`` carries them along.
 """
@@ -33,9 +35,9 @@ DIGIT, LEVELS = 12, 3
 BITS = DIGIT * LEVELS
 
 
-def uniform(doc_id: Column, seed: str = SEED) -> Column:
+def uniform(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     """52 bits of a digest, strictly between 0 and 1."""
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(text.cast("binary")))
     digits = F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double")
     return (digits + 0.5) / F.lit(float(2**52))
 
@@ -91,7 +93,7 @@ def same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFr
 
 def cuts(sizes: DataFrame, per: DataFrame) -> DataFrame:
     """``per`` with ``cut``: ranks up to it get the extra copy."""
-    rank = pareto_rank(uniform(F.col("doc_id")), F.col("part"))
+    rank = pareto_rank(F.col("u"), F.col("part"))
     ranked = same_source(sizes, per.select("source", "part").filter((F.col("part") > 0) & (F.col("part") < 1)))
     ranked = ranked.select("source", "size", rank.alias("rank"))
     state = per.filter((F.col("part") > 0) & (F.col("part") < 1)).select(
@@ -128,13 +130,15 @@ def cuts(sizes: DataFrame, per: DataFrame) -> DataFrame:
 
 def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(sizes, per source)``, both stored."""
-    sizes = stored(docs.select("doc_id", "source", word_count(text_of(docs)).alias("size")), "sizes")
+    text = text_of(docs)
+    sizes = docs.select("doc_id", "source", word_count(text).alias("size"), uniform(F.col("doc_id"), text).alias("u"))
+    sizes = stored(sizes, "sizes")
     per = stored(targets(sizes), "targets")
     return sizes, cuts(sizes, per)
 
 
 def copies() -> Column:
-    rank = pareto_rank(uniform(F.col("doc_id")), F.col("part"))
+    rank = pareto_rank(F.col("u"), F.col("part"))
     return F.col("certain") + F.coalesce(rank <= F.col("cut"), F.lit(False)).cast("long")
 
 
@@ -151,6 +155,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``.
     A document without words is taken as often as its source's documents are for certain."""
     _, per = plan(docs)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "source")
+    u = uniform(F.col("doc_id"), text_of(docs)).alias("u")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "source", u)
     rows = same_source(rows, per)
     return rows.select(F.explode(F.array_repeat("row", copies().cast("int"))).alias("row")).select("row.*")

@@ -106,7 +106,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 # Caps in rising order of cap over weight; the extra copy by rank, cut where the words come nearest.
 ORACLES["op3_mixing"] = r"""
 WITH sizes AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(text, '')) AS digest
   FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -133,7 +134,7 @@ parts AS (
   FROM split),
 drawn AS (
   SELECT s.doc_id, s.size, p.*,
-         (CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE)
+         (CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null') || ':' || s.digest), 1, 13) AS BIGINT) AS DOUBLE)
           + 0.5) / 4503599627370496.0 AS u
   FROM sizes s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source),
 odds AS (

@@ -88,3 +88,18 @@ def test_unequal_odds_order():
     df = spark.createDataFrame([(0.5, 0.1), (0.5, 0.9), (0.2, 0.1), (0.5, 0.0)], "u double, part double")
     ranks = [r[0] for r in df.select(mixing.pareto_rank(F.col("u"), F.col("part"))).collect()]
     assert ranks[1] < ranks[0] and ranks[2] < ranks[0] and ranks[3] is None
+
+
+def test_texts_under_null_or_equal_ids_are_drawn_apart(make_docs):
+    rows = [(None if i % 2 else 7, f"text {i} " + "w " * (i % 40), "s" if i < 500 else "t") for i in range(1000)]
+    rows += [(5000, "v " * 200_000, "u")]  # a very long text
+    got = mixing.mix(make_docs(rows)).collect()
+    taken, goal = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        goal[r.source] = r.target
+    assert all(abs(taken[s] - goal[s]) <= 21 for s in ("s", "t")) and taken["u"] in (0, 200_000, 400_000, 600_000)
+    kept = defaultdict(int)
+    for r in mixing.mixed(make_docs(rows)).collect():
+        kept[r.source] += len(r.text.split())
+    assert {s: kept[s] for s in "st"} == {s: taken[s] for s in "st"}
