@@ -74,4 +74,4 @@ def test_no_documents(spark, tmp_path):
 
 def test_one_query_per_operator():
     numbers = [name.split("_")[0] for name in queries.QUERIES]
-    assert numbers == [f"op{n}" for n in range(1, 11)]
+    assert numbers == [f"op{n}" for n in range(1, 14)]
