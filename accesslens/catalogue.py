@@ -21,8 +21,9 @@ from accesslens.operators.decode import (
 from accesslens.operators.enrich import (
     ASN_COLUMNS, CITY_COLUMNS, enrich_requests, geo_enrich, index_networks, lookup, parsed_addresses,
 )
+from accesslens.operators.exact_states import bit_counts, large_accounts
 from accesslens.plans import abuse_reports, node_reports, request_reports
-from accesslens.plans.abuse import active_universe, exact_abuse, user_abuse
+from accesslens.plans.abuse import active_universe, exact_abuse, exact_rolled_abuse, user_abuse
 from accesslens.plans.severity import report_bands, stat_band
 from accesslens.plans.sql import register
 from accesslens.plans.views import (
@@ -34,6 +35,7 @@ from accesslens.sources.dimensions import (
     compact_dimension, load_dim_nodes, load_dim_users, read_dimension, refresh_dimension,
 )
 from accesslens.sources.entries import dedup_entries, first_deliveries, read_entry_files
+from accesslens.sources.exact import read_states, store_exact_batch
 from accesslens.sources.networks import ASN_CIDR, CITY_BLOCKS, LOCATIONS, city_networks, read_networks
 from accesslens.streaming.ingest import (
     read_quarantine, read_watermark_rollup, start_corrected_rollup, start_ingest, start_usage_rollup,
@@ -401,6 +403,42 @@ def _exact_abuse(spark: SparkSession, sf: str) -> DataFrame:
     return exact_abuse(usage, t.node_connections, t.sub_requests, t.dim_users, fx.T_FROM, fx.T_TO)
 
 
+def exact_rolled(spark: SparkSession, sf: str) -> DataFrame:
+    """The score from rollups and bit states, which three batches brought; the last one came twice. The limit is low
+    so that most accounts of the test tables count as large."""
+    t, root = _tables(spark, sf), session.scratch(spark, "exact")
+    store.write_batch(t.node_connections, root, "node_connections", 0)
+    store.write_batch(t.sub_requests, root, "sub_requests", 0)
+    connections, requests = (store.read_table(spark, root, f) for f in ("node_connections", "sub_requests"))
+    conn, sub = rollups.user_conn_5m(connections), rollups.sub_req_5m(requests)
+    large_accounts(conn, sub, limit=2).write.parquet(f"{root}/large")
+    large = spark.read.parquet(f"{root}/large")
+    for batch in (0, 1, 2, 2):
+        part = F.pmod(F.xxhash64("ts", "user_id"), F.lit(3)) == batch
+        store_exact_batch(spark, root, batch, connections.filter(part), requests.filter(part), large)
+    return exact_rolled_abuse(t.usage_5m, conn, sub, read_states(spark, root), t.dim_users, fx.T_FROM, fx.T_TO)
+
+
+def distinct_beyond_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses per account, one of which has most lines of all orders, each with four: 200,000 at sf0.01."""
+    lines = fx.table(spark, sf, "lineitem").withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    rows = lines.select(
+        F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00' + make_dt_interval(0, l_orderkey % 24, s * 5)").alias("ts"),
+        F.expr("CAST(IF(l_linenumber <= 5, 1, l_linenumber) AS BIGINT)").alias("user_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "s").alias("ip"),
+    )
+    facts = schemas.conform(rows, schemas.NODE_CONNECTIONS)
+    root = session.scratch(spark, "beyond")
+    requests = spark.createDataFrame([], schemas.SUB_REQUESTS)
+    large = large_accounts(rollups.user_conn_5m(facts), rollups.sub_req_5m(requests))
+    # Lines come with one half of their addresses, then with all of them.
+    for batch, some in enumerate((facts.filter("minute(ts) < 10"), facts)):
+        store_exact_batch(spark, root, batch, some, requests, large)
+    small = rollups.merge_conn(rollups.user_conn_5m(facts), ["user_id"]).join(large, "user_id", "left_anti")
+    few = rollups.counts(small, rollups.CONN_STATES).select("user_id", "ips")
+    return few.unionByName(bit_counts(read_states(spark, root)).select("user_id", "ips"))
+
+
 def weighted_abuse(spark: SparkSession, sf: str) -> DataFrame:
     """Own weights and allowances."""
     t = _tables(spark, sf)
@@ -805,6 +843,8 @@ def queries() -> dict[str, Query]:
         "active_universe": _universe,
         "user_abuse": _abuse,
         "exact_abuse": _exact_abuse,
+        "exact_rolled_abuse": exact_rolled,
+        "distinct_beyond_sketch": distinct_beyond_sketch,
         "weighted_abuse": weighted_abuse,
         "sql_user_abuse": sql_user_abuse,
         "v_nodes": lambda s, d: v_nodes(fx.dim_nodes(s, d)),

@@ -536,6 +536,10 @@ def _statements() -> dict[str, str]:
         "active_universe": "SELECT user_id FROM everyone",
         "user_abuse": "SELECT * FROM abuse",
         "exact_abuse": "SELECT * FROM abuse",
+        "exact_rolled_abuse": "SELECT * FROM abuse",
+        "distinct_beyond_sketch": """SELECT CAST(CASE WHEN l_linenumber <= 5 THEN 1 ELSE l_linenumber END AS BIGINT) AS user_id,
+            count(DISTINCT l_orderkey || '-' || l_linenumber || '-' || s) AS ips
+            FROM lineitem, (SELECT unnest([0, 1, 2, 3]) AS s) GROUP BY ALL""",
         "weighted_abuse": _WEIGHTED,
         "sql_user_abuse": "SELECT * FROM abuse",
         "v_nodes": """SELECT CAST(CASE WHEN s_suppkey < 7 THEN s_suppkey ELSE s_suppkey + 1 END AS BIGINT) AS node_id,

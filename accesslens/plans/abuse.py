@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from accesslens.functions.clients import is_scripted
 from accesslens.functions.values import bucket, in_range, is_blocked, or_zero, total, total_bigint
+from accesslens.operators.exact_states import KINDS, bit_counts
 from accesslens.operators.rollups import distinct_state, merged_count, nonzero, state_count, usage_5m
 from accesslens.plans.views import with_user
 
@@ -193,6 +194,23 @@ def exact_measures(usage: DataFrame, connections: DataFrame, requests: DataFrame
     return joined.select(F.coalesce("user_id", "_user").alias("user_id"), *zero)
 
 
+def exact_rolled_abuse(
+    usage: DataFrame, conn: DataFrame, sub: DataFrame, states: DataFrame, dim_users: DataFrame, t_from, t_to,
+    weights: Mapping[str, float] | None = None, free: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """``user_abuse`` from rollups, exact at any number of distinct values.
+
+    ``states`` are the bit states of large accounts; all others have so few values
+    that their sketches hold them all. Nodes with traffic are fewer than that for anyone.
+    """
+    measures = account_measures(usage, conn, sub, t_from, t_to)
+    counted = bit_counts(in_range(states, "ts5", t_from, t_to)).withColumnsRenamed({k: f"_{k}" for k in KINDS})
+    joined = measures.join(counted.withColumnRenamed("user_id", "_user"), F.col("user_id") == F.col("_user"), "left")
+    measures = joined.withColumns({k: F.coalesce(f"_{k}", k) for k in KINDS}).select(measures.columns)
+    scored = measures.withColumns({"gigabytes": F.expr(GIGABYTES_SQL), "score": score(weights, free)})
+    return named_scores(scored, dim_users)
+
+
 def exact_abuse(usage, connections, requests, dim_users, t_from, t_to, weights=None, free=None) -> DataFrame:
     """``user_abuse`` from raw facts, exact at any number of distinct values."""
     measures = exact_measures(usage, connections, requests, t_from, t_to)
