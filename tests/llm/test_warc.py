@@ -1,6 +1,8 @@
 import gzip
 import hashlib
 
+import pytest
+
 from accesslens import session
 from accesslens.llm import warc
 
@@ -48,14 +50,48 @@ def test_archives_are_framed_records_without_repeats(spark):
     assert len(found) == len(ROWS)
     assert sum(block.endswith(BIG.encode()) for _, block in found) == 1
     revisits = [h for h, _ in found if h["WARC-Type"] == "revisit"]
+    responses = {h["WARC-Record-ID"]: h for h, _ in found if h["WARC-Type"] == "response"}
+    # Only the two rows alike with id 15 share a record id.
+    assert len({h["WARC-Record-ID"] for h, _ in found}) == len(found) - 1
+    for h in revisits:
+        of = responses[h["WARC-Refers-To"]]
+        assert (of["WARC-Target-URI"], of["WARC-Date"]) == (h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"])
+        assert of["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and of["X-Page-ID"] != h.get("X-Page-ID")
     assert all(h["WARC-Profile"].endswith("identical-payload-digest") and h["WARC-Refers-To"] for h in revisits)
     assert any(h["WARC-Target-URI"] == "http://b/%0D%0AX: y" for h, _ in found)
 
 
-def test_many_records_per_file_are_cut(spark, monkeypatch):
-    monkeypatch.setattr(warc, "RECORDS", 3)
-    rows = [(i, "u", f"page {i}") for i in range(20)]
-    assert warc.round_trip(pages(spark, rows).coalesce(1)).count() == 20
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE", 30_000)
+    monkeypatch.setattr(warc, "CLASSES", (1000, 6000))
+    sizes = [0, 10, 999, 1000, 1001, 3000, 6000, 6001, 50_000] * 9
+    rows = [(i, "u", str(i).rjust(size, "x")[-size:] if size else None) for i, size in enumerate(sizes)]
+    path = session.scratch(spark, "warc-bytes")
+    warc.write_archives(pages(spark, rows).coalesce(1), path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+    lengths = [[len(block) for _, block in warc.Reader(bytes(f.content))] for f in files]
+    assert sum(map(len, lengths)) == len(rows)
+    # A payload is some 100 bytes shorter than its block; long ones are alone.
+    assert all(sum(found) < 30_000 + 100 * len(found) or len(found) == 1 for found in lengths)
+    got = warc.resolved(warc.read_archives(spark, path)).collect()
+    assert sorted(str((r.id, r.bytes, r.digest, r.kind, r.refers_to)) for r in got) == want(rows)
+
+
+def test_each_writing_has_headers_of_its_own(spark):
+    ids = []
+    for name in ("once", "again"):
+        path = session.scratch(spark, name)
+        warc.write_archives(pages(spark, ROWS), path)
+        ids += [r.record for r in warc.read_archives(spark, path).select("record").distinct().collect()]
+    assert len(set(ids)) == 2 * (len(ROWS) - 1)
+
+
+def test_a_broken_archive_is_told():
+    record = b"WARC/1.1\r\nWARC-Record-ID: <a>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    assert [block for _, block in warc.Reader(gzip.compress(record * 2))] == [b"hello"] * 2
+    for bad in (record[:-1], record[:30], b"x" + record, record.replace(b": 5", b": 4")):
+        with pytest.raises(ValueError):
+            list(warc.Reader(bad))
 
 
 def test_empty_table(spark):
