@@ -21,7 +21,9 @@ What moves: one number per anchor, the texts twice (to their bucket), and the
 windows of candidate passages as hashes. Nothing is collected by anchor, window
 or passage, so a passage that a third of all documents share costs no task more
 than others; buckets are bounded by their size in bytes (a longer text is a
-bucket of its own kind) as rows are dealt by a hash of id and text.
+bucket of its own kind) as rows are dealt by a hash of id and text. Rows alike in both, which
+would all be dealt to one bucket, go through the stages as two rows, enough to repeat
+each other, and their results are multiplied at the end.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Defined cases: a null text has no words; texts
 shorter than a window lose nothing; rows alike in id and text are repeats of
@@ -47,6 +49,7 @@ WINDOW, GRAM = 35, 10
 BUCKET = 2 << 20
 GROUP = 600_000  # bytes of texts taken together
 SEGMENT = 1 << 18  # bytes hashed at once
+TIMES = 1 << 16  # rows alike written by one task at a time
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
@@ -302,7 +305,7 @@ class Automaton:
 
 
 def located(docs: DataFrame, passages: DataFrame, texts: bool) -> DataFrame:
-    """Every text of a bucket through the bucket's automaton."""
+    """Every text of a bucket through the bucket's automaton; ``docs`` (doc_id, text, times, bucket)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         automaton = Automaton(texts_in(right.column("passage")))
@@ -318,6 +321,7 @@ def located(docs: DataFrame, passages: DataFrame, texts: bool) -> DataFrame:
                 kept.append(stay)
         columns = {
             "doc_id": left.column("doc_id"),
+            "times": left.column("times"),
             "n_words": pa.array(counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
             "kept_sha256": pa.array(digests, pa.string()),
@@ -326,18 +330,46 @@ def located(docs: DataFrame, passages: DataFrame, texts: bool) -> DataFrame:
             columns["kept"] = pa.array(kept, pa.binary()).cast(pa.string())
         return pa.table(columns)
 
-    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, times long, n_words long, n_removed long, kept_sha256 string"
     both = docs.groupBy("bucket").cogroup(passages.groupBy("bucket"))
     return both.applyInArrow(run, kind + (", kept string" if texts else ""))
 
 
+def rows_once(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc_id``, ``text``, ``times``, and whether any rows are alike: of rows alike in id and text two are
+    left, the second standing for all but one of them."""
+    text = text_of(docs)
+    rows = docs.select("doc_id", text.alias("text"), F.lit(1).cast("long").alias("times"))
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"))
+    several = keyed.groupBy("doc_id", "h", "size").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = stored(several.select(F.col("doc_id").alias("d"), "h", "size"), "several")
+    if several.isEmpty():
+        return rows, False
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h")) & (F.octet_length("text") == F.col("size"))
+    # Combined in each task first, so a text moves once per task however many rows have it.
+    found = rows.join(several, same, "left_semi").groupBy("doc_id", "text").agg(F.sum("times").alias("n"))
+    # Texts that only share a hash are counted apart here, and may turn out to be single.
+    times = F.when(F.col("n") > 1, F.array(F.lit(1).cast("long"), F.col("n") - 1)).otherwise(F.array("n"))
+    found = stored(found.select("doc_id", "text", F.explode(times).alias("times")), "alike")
+    return rows.join(several, same, "left_anti").unionAll(found), True
+
+
+def multiplied(found: DataFrame) -> DataFrame:
+    """Every row as often as ``times`` says, in pieces of ``TIMES`` rows spread over the tasks."""
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {TIMES}"))).alias("piece")
+    many = found.filter("times > 1").select("*", pieces).repartition("doc_id", "kept_sha256", "piece")
+    last = F.least(F.lit(TIMES).cast("long"), F.col("times") - F.col("piece") * TIMES)
+    many = many.select("*", F.explode(F.sequence(F.lit(1).cast("long"), last)).alias("one"))
+    return found.filter("times = 1").unionAll(many.select(found.columns))
+
+
 def deduplicate(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, texts: bool = True) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and, if asked
     for, ``kept``: the words that stay, joined by one space."""
-    text = text_of(docs)
-    size = docs.select(F.sum(F.octet_length(text))).first()[0] or 0
+    rows, alike = rows_once(docs)
+    size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET))
-    dealt = docs.select("doc_id", text.alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(buckets)).cast("int").alias("bucket"))
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
 
     anchors = stored(anchor_rows(dealt, window, gram), "anchors")
     twice = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
@@ -348,4 +380,5 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, texts:
     repeated = windows.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
     confirmed = stored(windows.drop("n").join(stored(repeated, "repeated"), ["h1", "h2"]).select("bucket", "h1", "h2"), "confirmed")
     recurring = stored(recurring_passages(passages, confirmed, window), "recurring")
-    return located(dealt, recurring, texts)
+    found = located(dealt, recurring, texts)
+    return (multiplied(stored(found, "located")) if alike else found).drop("times")

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from accesslens.llm import substring
 
@@ -58,6 +59,28 @@ def test_short_windows_and_many_buckets(make_docs, monkeypatch):
     assert rows_of(got) == brute(rows, 12)
 
 
+def test_a_third_of_all_rows_alike(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(substring, "TIMES", 1000)
+    long, short = " ".join(f"h{i}" for i in range(90)), "too short to repeat"
+    single = corpus() + [(500, long + " and more")]
+    hot = [(None, long, 20_000), (None, short, 10_001), (7, long, 3), (8, None, 2)]
+    docs = make_docs(single)
+    for doc_id, text, times in hot:
+        docs = docs.unionByName(make_docs([(doc_id, text)]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("n"))
+    rows, alike = substring.rows_once(docs)
+    assert alike and rows.count() <= len(single) + 2 * len(hot)
+    assert rows.agg(F.sum("times")).first()[0] == len(single) + sum(times for *_, times in hot)
+    got = substring.deduplicate(docs, window=35)
+    assert got.columns == ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+    # Two of each say the same as all of them.
+    want = brute(single + [(i, text) for i, text, _ in hot for _ in range(2)], 35)
+    times = Counter(tuple(r) for r in want)
+    for (doc_id, text, n) in hot:
+        row = brute([(doc_id, text)] * 2, 35)[0]
+        times[row] += n - 2
+    assert Counter(map(tuple, got.collect())) == times
+
+
 def test_empty_table(make_docs):
     assert substring.deduplicate(make_docs([])).collect() == []
 
