@@ -1,16 +1,18 @@
 """Exact top-k inner products with one KD-tree per shard.
 
-Components become ``floor(256 * x)``. Vectors are spread over shards by a hash
-of their id; a shard is built into a KD-tree: median splits on the widest side,
+Components become ``floor(256 * x)``. Median splits of about ``SAMPLE`` rows part the space
+into at most ``CELLS`` cells; the rows of a cell are dealt by row over its shards, so rows
+alike and repeated ids spread as well. The sample only decides who is near whom: every row
+is in a shard. A shard is built into a KD-tree: median splits on the widest side,
 every node with the tight bounding box of its points and its smallest id. A box
 bounds the inner product with a query: ``max(q * low, q * high)`` summed over the
 sides. The search visits nodes best bound first and ends when no open node can
 beat the k-th result so far.
 
-Two passes: each query first searches its own shard only, which gives a k-th
-score that holds for the whole table; then query and score are sent to all
-shards, where the score cuts nodes from the start. In a task a shard's vectors
-come first, then the queries in a stream, so a task holds one tree and a batch
+Two passes: each query first searches its own shard only, among the rows near it, which
+gives a k-th score that holds for the whole table; then query and score go to the shards of
+those cells whose box can reach that score, where it cuts nodes from the start. In a task a
+shard's vectors come first, then the queries in a stream, so a task holds one tree and a batch
 of queries. Results of shards are merged by a partial aggregate.
 
 Order: higher score, then smaller id. A query's own row is any row with its id.
@@ -29,13 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm.common import stored
+from accesslens.llm.negatives import Cut, cells_of, cuts_of, vectors_in
 from accesslens.operators.select import top_per_group
 
 SHARD = 4096  # vectors per shard, on average
+CELLS = 1024
+SAMPLE = 16384  # rows that the cells are cut by
 LEAF = 64
 SCALE = 256
 LONG = 2**63 - 1
@@ -189,29 +194,119 @@ def merged(found: DataFrame, k: int) -> DataFrame:
     return best.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score")
 
 
+def dealt_cells(rows: DataFrame, cuts: list[Cut]) -> DataFrame:
+    """``rows`` (row, id, vector) with their ``cell``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = vectors_in(batch.column("vector"))
+            sides = np.array([len(v) for v in vectors], np.int64)
+            cells = np.zeros(len(vectors), np.int64)
+            for n in set(sides.tolist()):
+                at = np.flatnonzero(sides == n)
+                cells[at] = cells_of(whole(np.array([vectors[i] for i in at]).reshape(len(at), n)), cuts)
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in batch.schema.names} | {"cell": cells})
+
+    kind = rows.schema["vector"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row long, id long, vector {kind}, cell long")
+
+
+def boxes_of(dealt: DataFrame, sides: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The box of the vectors of one length in each cell, of which there are at most ``CELLS``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            points = whole(np.array(vectors_in(batch.column("vector"))).reshape(batch.num_rows, sides))
+            cells = batch.column("cell").to_numpy()
+            for cell in np.unique(cells).tolist():
+                own = points[cells == cell]
+                low, high = own.min(axis=0), own.max(axis=0)
+                if cell in found:
+                    low, high = np.minimum(low, found[cell][0]), np.maximum(high, found[cell][1])
+                found[cell] = low, high
+        doubles = pa.list_(pa.float64())
+        lows, highs = ([f[i] for f in found.values()] for i in range(2))
+        columns = [pa.array(list(found), pa.int64()), pa.array(lows, doubles), pa.array(highs, doubles)]
+        yield pa.RecordBatch.from_arrays(columns, ["cell", "low", "high"])
+
+    some = dealt.filter(F.size("vector") == sides).select("cell", "vector")
+    each = some.mapInArrow(run, "cell long, low array<double>, high array<double>")
+    each = each.select("cell", F.posexplode(F.arrays_zip("low", "high")).alias("d", "x"))
+    per = each.groupBy("cell", "d").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"))
+    rows = per.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("d", "low", "high"))).alias("x"))
+    rows = rows.select("cell", F.col("x.low").alias("low"), F.col("x.high").alias("high")).collect()
+    return {r["cell"]: (np.array(r["low"]), np.array(r["high"])) for r in rows}
+
+
+def reaching(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]], sides: int) -> DataFrame:
+    """``queries`` with ``to``: the cells whose box can reach their floor; null for queries of other lengths."""
+    cells = np.array(sorted(boxes), np.int64)
+    low, high = (np.array([boxes[c][i] for c in cells.tolist()]).reshape(len(cells), sides) for i in range(2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for vector, floor in zip(vectors_in(batch.column("vector")), batch.column("floor").to_pylist()):
+                if len(vector) != sides or not boxes:
+                    found.append(None)
+                    continue
+                q = whole(vector)
+                up, down = np.maximum(q, 0), np.minimum(q, 0)
+                slack = 1e-9 * (up @ np.abs(high).T - down @ np.abs(low).T)  # of sums beyond 2^53
+                # What overflows is no number, and no bound.
+                found.append(cells[~(up @ high.T + down @ low.T + slack < floor)].tolist())
+            columns = {c: batch.column(c) for c in batch.schema.names}
+            yield pa.RecordBatch.from_pydict(columns | {"to": pa.array(found, pa.list_(pa.int64()))})
+
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
+    return queries.mapInArrow(run, f"{kind}, to array<long>")
+
+
+def visits_of(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]], sides: int, parts: DataFrame) -> DataFrame:
+    """``shard``, ``kind``, ``id``, ``vector``, ``floor``: ``queries`` (home, id, vector, floor) for all shards that
+    can hold a result but their own; ``parts`` (cell, parts) has at most ``CELLS`` rows."""
+    sent = reaching(queries, boxes, sides)
+    some = sent.filter("to IS NOT NULL").withColumn("cell", F.explode("to")).join(F.broadcast(parts), "cell")
+    columns = ["cell", "parts", "home", "id", "vector", "floor"]
+    every = sent.filter("to IS NULL").join(F.broadcast(parts), F.lit(True))
+    both = some.select(columns).unionAll(every.select(columns))
+    both = both.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    both = both.select(shard_of("cell", "part").alias("shard"), F.lit(1).alias("kind"), "id", "vector", "floor", "home")
+    return both.filter("shard <> home").drop("home")
+
+
+def shard_of(cell: str, part: str) -> Column:
+    return F.shiftleft(cell, 32) + F.col(part)
+
+
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -> DataFrame:
     """``vectors`` (vec_id, embedding). For each row whose id is divisible by ``every`` its k best
     other rows: ``query_id``, ``rank``, ``vec_id``, ``score``."""
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector"))
     rows = rows.filter(F.col("id").isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    rows = stored(rows, "vectors")
-    shards = max(1, -(-rows.count() // shard))
-    home = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "id", "vector"), "vectors")
+    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.mode(F.size("vector")).alias("sides")).first()
+    sides, cells = sizes["sides"] or 0, min(CELLS, -(-sizes["n"] // shard))
+    cuts: list[Cut] = []
+    if cells > 1:
+        some = F.pmod(F.xxhash64("row"), F.lit(max(1, sizes["n"] // SAMPLE))) == 0
+        sample = rows.filter(some & (F.size("vector") == sides)).select("vector").limit(2 * SAMPLE).toArrow()
+        cuts = cuts_of(whole(np.array(vectors_in(sample.column("vector").combine_chunks())).reshape(-1, sides)), cells)
+    placed = stored(dealt_cells(rows, cuts), "placed")
+    parts = stored(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / shard).cast("long").alias("parts")), "parts")
+    dealt = placed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("row"), "parts"))
+    dealt = dealt.select(shard_of("cell", "part").alias("home"), "id", "vector")
     every_floor = F.lit(float("-inf"))
-    own = rows.select(home.alias("shard"), F.lit(0).alias("kind"), "id", "vector", every_floor.alias("floor"))
-    queries = rows.filter(F.col("id") % every == 0)
-    first = queries.select(home.alias("shard"), F.lit(1).alias("kind"), "id", "vector", every_floor.alias("floor"))
-    near = stored(merged(searched(own.unionAll(first), k), k), "near")
+    own = dealt.select(F.col("home").alias("shard"), F.lit(0).alias("kind"), "id", "vector", every_floor.alias("floor"))
+    queries = dealt.filter(F.col("id") % every == 0)
+    first = queries.select(F.col("home").alias("shard"), F.lit(1).alias("kind"), "id", "vector", every_floor.alias("floor"))
+    near = stored(merged(searched(own.unionAll(first), k), k), "near").drop("rank")
     floors = near.groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).otherwise(every_floor).alias("floor")
     )
     queries = queries.join(floors, F.col("id") == F.col("query_id"), "left")
-    others = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.lit(1).alias("kind"),
-        "id",
-        "vector",
-        F.coalesce("floor", every_floor).alias("floor"),
-    )
-    return merged(searched(own.unionAll(others), k), k)
+    queries = queries.select("home", "id", "vector", F.coalesce("floor", every_floor).alias("floor"))
+    others = visits_of(queries, boxes_of(placed, sides), sides, parts)
+    return merged(near.unionAll(searched(own.unionAll(others), k)), k)

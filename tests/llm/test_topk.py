@@ -76,5 +76,36 @@ def test_boxes_bound_products_and_cut_nodes():
     assert cut > 0.5
 
 
+def test_queries_only_visit_cells_that_can_win(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 4)) * 10
+    rows = [(i, (centres[i % 40] + rng.normal(size=4) / 10).astype(np.float32).tolist()) for i in range(4000)]
+    assert found(topk.top_k(frame(spark, rows), k=5, every=50, shard=100)) == brute(rows, 5, 50)
+    queries = spark.createDataFrame([(-1, 7, [1.0, 0.0], 600.0), (-1, 8, [1.0], 0.0)], "home long, id long, vector array<double>, floor double")
+    boxes = {0: (np.array([0.0, -9.0]), np.array([2.0, 9.0])), 1: (np.array([3.0, 0.0]), np.array([4.0, 0.0]))}
+    parts = spark.createDataFrame([(0, 1), (1, 2)], "cell long, parts long")
+    sent = sorted((r.id, r.shard) for r in topk.visits_of(queries, boxes, 2, parts).collect())
+    # 256 * 2 is below 600, 256 * 4 is not; a query of another length goes everywhere.
+    assert sent == [(7, 1 << 32), (7, (1 << 32) + 1), (8, 0), (8, 1 << 32), (8, (1 << 32) + 1)]
+
+
+def test_empty_vectors_in_several_shards(spark):
+    rows = [(i, []) for i in range(1, 61)]
+    assert found(topk.top_k(frame(spark, rows), k=5, every=50, shard=10)) == brute(rows, 5, 50)
+
+
+def test_repeated_ids_spread_over_shards(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3).astype(np.float32).tolist()) for i in range(1, 400)] + [(403, [0.5, 0.5, 0.5])] * 300
+    seen = []
+    searched = topk.searched
+    topk.searched = lambda rows, k: seen.append(rows.filter("kind = 0").groupBy("shard").count().agg({"count": "max"}).first()[0]) or searched(rows, k)
+    try:
+        got = found(topk.top_k(frame(spark, rows), k=5, every=50, shard=50))
+    finally:
+        topk.searched = searched
+    assert got == brute(rows, 5, 50) and max(seen) < 150
+
+
 def test_empty_table(spark):
     assert topk.top_k(frame(spark, [])).collect() == []
