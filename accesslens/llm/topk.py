@@ -239,8 +239,8 @@ def boxes_of(dealt: DataFrame, sides: int) -> dict[int, tuple[np.ndarray, np.nda
     return {r["cell"]: (np.array(r["low"]), np.array(r["high"])) for r in rows}
 
 
-def reaching(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]], sides: int) -> DataFrame:
-    """``queries`` with ``to``: the cells whose box can reach their floor; null for queries of other lengths."""
+def reaching(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]], sides: int, count: int) -> DataFrame:
+    """``queries`` with ``to``: the cells whose box can reach their floor; all ``count`` for queries of other lengths."""
     cells = np.array(sorted(boxes), np.int64)
     low, high = (np.array([boxes[c][i] for c in cells.tolist()]).reshape(len(cells), sides) for i in range(2))
 
@@ -249,7 +249,7 @@ def reaching(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]]
             found = []
             for vector, floor in zip(vectors_in(batch.column("vector")), batch.column("floor").to_pylist()):
                 if len(vector) != sides or not boxes:
-                    found.append(None)
+                    found.append(list(range(count)))
                     continue
                 q = whole(vector)
                 up, down = np.maximum(q, 0), np.minimum(q, 0)
@@ -263,17 +263,15 @@ def reaching(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]]
     return queries.mapInArrow(run, f"{kind}, to array<long>")
 
 
-def visits_of(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]], sides: int, parts: DataFrame) -> DataFrame:
+def visits_of(
+    queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray]], sides: int, count: int, parts: DataFrame
+) -> DataFrame:
     """``shard``, ``kind``, ``id``, ``vector``, ``floor``: ``queries`` (home, id, vector, floor) for all shards that
-    can hold a result but their own; ``parts`` (cell, parts) has at most ``CELLS`` rows."""
-    sent = reaching(queries, boxes, sides)
-    some = sent.filter("to IS NOT NULL").withColumn("cell", F.explode("to")).join(F.broadcast(parts), "cell")
-    columns = ["cell", "parts", "home", "id", "vector", "floor"]
-    every = sent.filter("to IS NULL").join(F.broadcast(parts), F.lit(True))
-    both = some.select(columns).unionAll(every.select(columns))
-    both = both.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    both = both.select(shard_of("cell", "part").alias("shard"), F.lit(1).alias("kind"), "id", "vector", "floor", "home")
-    return both.filter("shard <> home").drop("home")
+    can hold a result but their own; ``parts`` (cell, parts) has at most ``count`` rows."""
+    sent = reaching(queries, boxes, sides, count).withColumn("cell", F.explode("to")).join(F.broadcast(parts), "cell")
+    sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    sent = sent.select(shard_of("cell", "part").alias("shard"), F.lit(1).alias("kind"), "id", "vector", "floor", "home")
+    return sent.filter("shard <> home").drop("home")
 
 
 def shard_of(cell: str, part: str) -> Column:
@@ -290,12 +288,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.mode(F.size("vector")).alias("sides")).first()
     sides, cells = sizes["sides"] or 0, min(CELLS, -(-sizes["n"] // shard))
     cuts: list[Cut] = []
-    if cells > 1:
+    if cells > 1 and sides:
         some = F.pmod(F.xxhash64("row"), F.lit(max(1, sizes["n"] // SAMPLE))) == 0
         sample = rows.filter(some & (F.size("vector") == sides)).select("vector").limit(2 * SAMPLE).toArrow()
         cuts = cuts_of(whole(np.array(vectors_in(sample.column("vector").combine_chunks())).reshape(-1, sides)), cells)
     placed = stored(dealt_cells(rows, cuts), "placed")
-    parts = stored(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / shard).cast("long").alias("parts")), "parts")
+    parts = stored(placed.groupBy("cell").agg(F.greatest(F.round(F.count(F.lit(1)) / shard), F.lit(1)).cast("long").alias("parts")), "parts")
     dealt = placed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("row"), "parts"))
     dealt = dealt.select(shard_of("cell", "part").alias("home"), "id", "vector")
     every_floor = F.lit(float("-inf"))
@@ -308,5 +306,5 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
     )
     queries = queries.join(floors, F.col("id") == F.col("query_id"), "left")
     queries = queries.select("home", "id", "vector", F.coalesce("floor", every_floor).alias("floor"))
-    others = visits_of(queries, boxes_of(placed, sides), sides, parts)
+    others = visits_of(queries, boxes_of(placed, sides), sides, len(cuts) + 1, parts)
     return merged(near.unionAll(searched(own.unionAll(others), k)), k)

@@ -84,7 +84,7 @@ def test_queries_only_visit_cells_that_can_win(spark):
     queries = spark.createDataFrame([(-1, 7, [1.0, 0.0], 600.0), (-1, 8, [1.0], 0.0)], "home long, id long, vector array<double>, floor double")
     boxes = {0: (np.array([0.0, -9.0]), np.array([2.0, 9.0])), 1: (np.array([3.0, 0.0]), np.array([4.0, 0.0]))}
     parts = spark.createDataFrame([(0, 1), (1, 2)], "cell long, parts long")
-    sent = sorted((r.id, r.shard) for r in topk.visits_of(queries, boxes, 2, parts).collect())
+    sent = sorted((r.id, r.shard) for r in topk.visits_of(queries, boxes, 2, 2, parts).collect())
     # 256 * 2 is below 600, 256 * 4 is not; a query of another length goes everywhere.
     assert sent == [(7, 1 << 32), (7, (1 << 32) + 1), (8, 0), (8, 1 << 32), (8, (1 << 32) + 1)]
 
