@@ -68,7 +68,7 @@ SUB_REQ_5M = _schema(
 
 # Numbers of the values of large accounts, and which of them a bucket has seen, as bits.
 VALUE_NUMBERS = _schema("user_id BIGINT, kind STRING, h1 BIGINT, h2 BIGINT, number BIGINT")
-VALUES_5M = _schema("ts5 TIMESTAMP_NTZ, user_id BIGINT, kind STRING, slot BIGINT, bits BINARY")
+VALUES_5M = _schema("ts5 TIMESTAMP_NTZ, user_id BIGINT, kind STRING, slot BIGINT, bits BIGINT")
 
 _EMPTY_VALUES = {
     T.StringType: "",

@@ -18,10 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accesslens import schemas
-from accesslens.operators.exact_states import bit_states, connection_values, new_numbers, request_values
+from accesslens.operators.exact_states import (
+    KINDS, PER_TASK, bit_states, connection_values, dealt, first_seen, frequent, numbered, request_values,
+)
 from accesslens.sources import files
 
 NUMBERS, STATES = "value_numbers", "values_5m"
+# Encodes numbers in order as differences.
+_COMPACT = ("parquet.writer.version", "PARQUET_2_0")
 
 
 def read_numbers(spark: SparkSession, root: str) -> DataFrame:
@@ -49,14 +53,21 @@ def store_exact_batch(
     ``large`` (``user_id``) comes from ``large_accounts``. Numbers are stored before the states that use
     them, so a batch that broke off leaves numbers without bits at most.
     """
-    values = connection_values(connections).unionByName(request_values(requests))
-    values = values.join(large.select("user_id").distinct(), "user_id", "left_semi").persist(StorageLevel.DISK_ONLY)
-    own = f"{root}/{NUMBERS}/batch_id={batch_id}"
-    new_numbers(values, read_numbers(spark, root)).write.mode("append").parquet(own)
-    states = bit_states(values, read_numbers(spark, root)).withColumns(
+    own = large.select("user_id").distinct()
+    parts = [f.join(own, "user_id", "left_semi") for f in (connections, requests)]
+    values = connection_values(parts[0]).unionByName(request_values(parts[1]))
+    known = read_numbers(spark, root)
+    rows = len(KINDS) * sum(f.count() for f in parts) + known.count()
+    tasks = max(spark.sparkContext.defaultParallelism, rows // PER_TASK)
+    placed = dealt(values, known, tasks, frequent(values)).persist(StorageLevel.DISK_ONLY)
+    # Both are written from the same numbers, which are fixed here: what is read later has the new ones too.
+    given = numbered(placed, known)
+    new = first_seen(given).sortWithinPartitions("user_id", "kind", "number")
+    new.write.mode("append").option(*_COMPACT).parquet(f"{root}/{NUMBERS}/batch_id={batch_id}")
+    states = bit_states(given).withColumns(
         {"month": F.date_format("ts5", "yyyyMM").cast("int"), "batch_id": F.lit(str(batch_id))}
     )
-    writer = states.sortWithinPartitions("month", "user_id", "kind", "slot", "ts5").write.mode("overwrite")
+    writer = states.sortWithinPartitions("month", "user_id", "kind", "ts5", "slot").write.mode("overwrite").option(*_COMPACT)
     writer = writer.option("partitionOverwriteMode", "dynamic").option("parquet.bloom.filter.enabled#user_id", "true")
     writer.partitionBy("month", "batch_id").parquet(f"{root}/{STATES}")
-    values.unpersist()
+    placed.unpersist()
