@@ -403,6 +403,12 @@ def _exact_abuse(spark: SparkSession, sf: str) -> DataFrame:
     return exact_abuse(usage, t.node_connections, t.sub_requests, t.dim_users, fx.T_FROM, fx.T_TO)
 
 
+def _stored(spark: SparkSession, root: str, table: str, rollup: DataFrame) -> DataFrame:
+    """A rollup that several steps read, made once."""
+    store.write_batch(rollup, root, table, 0)
+    return store.read_table(spark, root, table)
+
+
 def exact_rolled(spark: SparkSession, sf: str) -> DataFrame:
     """The score from rollups and bit states, which three batches brought; the last one came twice. The limit is low
     so that most accounts of the test tables count as large."""
@@ -410,7 +416,8 @@ def exact_rolled(spark: SparkSession, sf: str) -> DataFrame:
     store.write_batch(t.node_connections, root, "node_connections", 0)
     store.write_batch(t.sub_requests, root, "sub_requests", 0)
     connections, requests = (store.read_table(spark, root, f) for f in ("node_connections", "sub_requests"))
-    conn, sub = rollups.user_conn_5m(connections), rollups.sub_req_5m(requests)
+    conn = _stored(spark, root, "user_conn_5m", rollups.user_conn_5m(connections))
+    sub = _stored(spark, root, "sub_req_5m", rollups.sub_req_5m(requests))
     large_accounts(conn, sub, limit=2).write.parquet(f"{root}/large")
     large = spark.read.parquet(f"{root}/large")
     for batch in (0, 1, 2, 2):
@@ -430,11 +437,13 @@ def distinct_beyond_sketch(spark: SparkSession, sf: str) -> DataFrame:
     facts = schemas.conform(rows, schemas.NODE_CONNECTIONS)
     root = session.scratch(spark, "beyond")
     requests = spark.createDataFrame([], schemas.SUB_REQUESTS)
-    large = large_accounts(rollups.user_conn_5m(facts), rollups.sub_req_5m(requests))
+    conn = _stored(spark, root, "user_conn_5m", rollups.user_conn_5m(facts))
+    large_accounts(conn, rollups.sub_req_5m(requests)).write.parquet(f"{root}/large")
+    large = spark.read.parquet(f"{root}/large")
     # Lines come with one half of their addresses, then with all of them.
     for batch, some in enumerate((facts.filter("minute(ts) < 10"), facts)):
         store_exact_batch(spark, root, batch, some, requests, large)
-    small = rollups.merge_conn(rollups.user_conn_5m(facts), ["user_id"]).join(large, "user_id", "left_anti")
+    small = rollups.merge_conn(conn, ["user_id"]).join(large, "user_id", "left_anti")
     few = rollups.counts(small, rollups.CONN_STATES).select("user_id", "ips")
     return few.unionByName(bit_counts(read_states(spark, root)).select("user_id", "ips"))
 
