@@ -370,13 +370,20 @@ def distinct_state_merge(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.counts(merged, rollups.CONN_STATES)
 
 
+def _partitions(spark: SparkSession, sf: str, per: int = 100_000) -> str:
+    """Shuffle partitions for ``per`` events each, the session's number at least."""
+    return str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), fx.events(spark, sf).count() // per))
+
+
 def rollup_partial_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Three batches rolled up apart, then merged."""
+    """Three batches rolled up apart, then merged, in shuffle partitions by the number of events."""
     facts = fx.sub_requests(spark, sf)
     batch = F.pmod(F.xxhash64("ts", "user_id", "ip"), F.lit(3))
     partials = [rollups.sub_req_5m(facts.filter(batch == i)) for i in range(3)]
-    merged = rollups.merge_sub(reduce(DataFrame.unionByName, partials))
-    return rollups.counts(merged, rollups.SUB_STATES)
+    merged, root = rollups.merge_sub(reduce(DataFrame.unionByName, partials)), session.scratch(spark, "merged")
+    with session.setting(spark, "spark.sql.shuffle.partitions", _partitions(spark, sf)):
+        merged.write.parquet(root)
+    return rollups.counts(spark.read.parquet(root), rollups.SUB_STATES)
 
 
 def _abuse(spark: SparkSession, sf: str) -> DataFrame:
