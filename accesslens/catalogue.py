@@ -729,7 +729,7 @@ def refreshed_networks(spark: SparkSession, sf: str) -> DataFrame:
     messages = fx.request_messages(fx.events(spark, sf))
     for name, nets in (("a", first), ("b", later)):
         again = messages.withColumn("entry_id", F.concat(F.lit(f"{name}-"), "entry_id"))
-        again.coalesce(1).write.json(f"{root}/landing/{name}")
+        again.write.json(f"{root}/landing/{name}")
         source = read_entry_files(spark, f"{root}/landing/*", streaming=True)
         start_ingest(
             spark, source, REQUEST_STREAM, f"{root}/out", f"{root}/checkpoint", _NOW, lambda nets=nets: (nets, nets)

@@ -19,3 +19,18 @@ def test_rollup_shuffles_grow_with_the_events(spark, sf):
             catalogue._partitions = real
         assert seen == [sf] and spark.conf.get("spark.sql.shuffle.partitions") == "2"
     assert got.agg(F.sum("requests")).first()[0] == 3 * n
+
+
+def _landed(spark, sf, tmp_path, monkeypatch, query, names):
+    """Files per landing folder, and the rows of a query whose events come in four partitions."""
+    events = fx.events(spark, sf).repartition(4)
+    monkeypatch.setattr(fx, "events", lambda *_: events)
+    monkeypatch.setattr(session, "scratch", lambda *_: str(tmp_path))
+    rows = query(spark, sf).collect()
+    return [len(list((tmp_path / "landing" / name).glob("part-*"))) for name in names], rows, events.count()
+
+
+def test_refreshed_networks_lands_in_many_files(spark, sf, tmp_path, monkeypatch):
+    files, rows, n = _landed(spark, sf, tmp_path, monkeypatch, catalogue.refreshed_networks, "ab")
+    assert files == [4, 4]
+    assert sum(r.requests for r in rows) == 2 * n
