@@ -25,7 +25,8 @@ def _landed(spark, sf, tmp_path, monkeypatch, query, names):
     """Files per landing folder, and the rows of a query whose events come in four partitions."""
     events = fx.events(spark, sf).repartition(4)
     monkeypatch.setattr(fx, "events", lambda *_: events)
-    monkeypatch.setattr(session, "scratch", lambda *_: str(tmp_path))
+    real, own = session.scratch, ("refreshed", "redelivered")
+    monkeypatch.setattr(session, "scratch", lambda s, name: str(tmp_path) if name in own else real(s, name))
     rows = query(spark, sf).collect()
     return [len(list((tmp_path / "landing" / name).glob("part-*"))) for name in names], rows, events.count()
 
@@ -34,3 +35,10 @@ def test_refreshed_networks_lands_in_many_files(spark, sf, tmp_path, monkeypatch
     files, rows, n = _landed(spark, sf, tmp_path, monkeypatch, catalogue.refreshed_networks, "ab")
     assert files == [4, 4]
     assert sum(r.requests for r in rows) == 2 * n
+
+
+def test_redelivered_entries_land_in_many_files(spark, sf, tmp_path, monkeypatch):
+    files, rows, n = _landed(spark, sf, tmp_path, monkeypatch, catalogue.stream_dedup_two_batches, ["first", "again"])
+    assert files == [4, 4]
+    batches = {p.name.split("-")[-1] for p in (tmp_path / "out" / "measures").glob("batch_id=*")}
+    assert batches == {"0", "1"} and rows
