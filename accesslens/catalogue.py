@@ -503,10 +503,22 @@ def _banded(function, name: str) -> Query:
     return lambda spark, sf: report_bands(report(function)(spark, sf), name)
 
 
+def _stored_tables(spark: SparkSession, sf: str) -> Tables:
+    """What several reports read, stored once, the rollups built from the stored facts."""
+    t, root = _tables(spark, sf), session.scratch(spark, "reports")
+    for name in ("sub_requests", "node_connections"):
+        store.write_batch(getattr(t, name), root, name, 0)
+    facts = {name: store.read_table(spark, root, name) for name in ("sub_requests", "node_connections")}
+    usage = _stored(spark, root, "usage_5m", t.usage_5m)
+    conn = _stored(spark, root, "user_conn_5m", rollups.user_conn_5m(facts["node_connections"]))
+    sub = _stored(spark, root, "sub_req_5m", rollups.sub_req_5m(facts["sub_requests"]))
+    return Tables(usage, conn, sub, facts["sub_requests"], facts["node_connections"], t.dim_users, t.dim_nodes)
+
+
 def stat_bands(spark: SparkSession, sf: str) -> DataFrame:
     from accesslens.plans.severity import STAT_BANDS
 
-    t = _tables(spark, sf)
+    t = _stored_tables(spark, sf)
     parts = [
         stat_band(REPORTS[f"r_{name}"](t, fx.T_FROM, fx.T_TO), name, _STAT_COLUMN.get(name, "c"))
         for name in STAT_BANDS

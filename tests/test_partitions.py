@@ -42,3 +42,8 @@ def test_redelivered_entries_land_in_many_files(spark, sf, tmp_path, monkeypatch
     assert files == [4, 4]
     batches = {p.name.split("-")[-1] for p in (tmp_path / "out" / "measures").glob("batch_id=*")}
     assert batches == {"0", "1"} and rows
+
+
+def test_reports_of_the_bands_read_stored_tables(spark, sf):
+    read = catalogue.stat_bands(spark, sf).inputFiles()
+    assert read and not [path for path in read if "/events.parquet" in path]  # each report built its tables before
