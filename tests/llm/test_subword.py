@@ -135,3 +135,28 @@ def test_rows(make_docs):
 
 def test_empty_table(make_docs):
     assert subword.encoded(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.3, 0.9, 1.0])
+def test_chunks_in_step_equal_one_by_one(dropout):
+    own = subword.Pieces(subword.MODEL, dropout, 1)
+    words = ["▁information", "▁internationalization", "aaaaaaa", "▁thhaining", "▁", "\n", "▁中😀文", "\udc81x", "ab" * 32] * 60
+    skips = subword.Skips(own, 3)
+    keys = skips.keys(len(words))
+    wanted = [own.coded_parts(by_hand(own, w, skips.gaps(k))) for w, k in zip(words, keys.tolist())]
+    assert own.many(words, keys) == wanted
+
+
+def test_texts_together_equal_texts_alone(monkeypatch):
+    own = subword.pieces(subword.MODEL, 0.3, 1)
+    texts = (TEXTS + MARKS) * 3
+    alone = [own.encode(t, k) for k, t in enumerate(texts)]
+    assert own.encode_all(texts, range(len(texts))) == alone
+    monkeypatch.setattr(subword, "TOGETHER", 50)
+    assert own.encode_all(texts, range(len(texts))) == alone and own.decode_all(alone) == texts
+
+
+def test_one_odd_word_does_not_hide_the_others():
+    own = subword.Pieces(subword.MODEL, 0.1, 1)
+    own.learn(["▁stationing", "▁  x", "▁information"])
+    assert "▁stationing" in own.plain and "▁information" in own.plain
