@@ -3,6 +3,7 @@
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from accesslens import catalogue, session
 from accesslens import fixtures as fx
@@ -52,6 +53,18 @@ def test_unreadable_entries_come_in_bounded_batches(spark, sf, cut):
     assert sum(got.values()) == 6 * n
 
 
+def test_stream_ingest_is_the_same_in_many_batches(spark, sf, cut, monkeypatch):
+    """All events of a day at one moment, so that every batch has partials of the same buckets."""
+    events = fx.events(spark, sf).withColumn("ts", F.date_trunc("DAY", "ts"))
+    monkeypatch.setattr(fx, "events", lambda *_: events)
+    got = sorted(map(tuple, catalogue.stream_ingest(spark, sf).collect()))
+    assert _batches(cut / "stream-ingest") > 1
+    monkeypatch.setattr(catalogue, "_BATCH_BYTES", 1 << 30)
+    monkeypatch.setattr(session, "scratch", lambda _, name: f"{cut}/whole/{name}")
+    assert got == sorted(map(tuple, catalogue.stream_ingest(spark, sf).collect()))
+    assert _batches(cut / "whole" / "stream-ingest") == 1
+
+
 def test_the_checkpoint_keeps_two_batches(spark, sf, tmp_path):
     root = str(tmp_path)
     fx.usage_messages(fx.events(spark, sf)).repartition(5).write.json(f"{root}/landing")
