@@ -65,6 +65,15 @@ def test_stream_ingest_is_the_same_in_many_batches(spark, sf, cut, monkeypatch):
     assert _batches(cut / "whole" / "stream-ingest") == 1
 
 
+def test_stream_quality_adds_up_bounded_batches(spark, sf, cut):
+    n, before = fx.events(spark, sf).count(), _shuffles(spark)
+    got = catalogue.stream_quality(spark, sf).collect()
+    # The write of the network index leaves its one small shuffle.
+    assert len({name.split("_")[1] for name in _left(spark, before)}) <= 1
+    assert _batches(cut / "stream-quality") > 1
+    assert len(got) == 3 and {r.messages for r in got} == {2 * n}
+
+
 def test_the_checkpoint_keeps_two_batches(spark, sf, tmp_path):
     root = str(tmp_path)
     fx.usage_messages(fx.events(spark, sf)).repartition(5).write.json(f"{root}/landing")
